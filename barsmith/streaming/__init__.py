@@ -1,0 +1,7 @@
+"""Streaming.
+
+The workload this package reproduces reads batch tables only: it has no
+watermarks, event-time windows or stateful stream operators, so nothing is
+built here. The batch operators are plain DataFrame functions and can be
+applied inside ``foreachBatch`` by a caller who streams bars in.
+"""
