@@ -63,7 +63,7 @@ def closes_digest(daily_closes: DataFrame) -> DataFrame:
     arr = F.col("all_closes")
     return daily_closes.select(
         *DAY_KEYS,
-        F.size(arr).alias("n_closes"),
+        F.size(arr).cast("long").alias("n_closes"),
         F.get(arr, 0).alias("first_close"),
         F.get(arr, F.size(arr) - 1).alias("last_close"),
         F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x).alias("sum_closes"),

@@ -182,8 +182,8 @@ BASE_REPORT = BASE_IND + (REPORT,)
 BASE_CORR = BASE_IND + (PAIRS, CORRELATED)
 
 REGIME_ORDINAL_CASE = ("CASE signal_regime "
-                       + " ".join(f"WHEN '{name}' THEN {float(i)}" for i, name in enumerate(K.REGIME_ORDER))
-                       + f" ELSE {float(K.REGIME_ORDINAL_DEFAULT)} END")
+                       + " ".join(f"WHEN '{name}' THEN CAST({i} AS DOUBLE)" for i, name in enumerate(K.REGIME_ORDER))
+                       + f" ELSE CAST({K.REGIME_ORDINAL_DEFAULT} AS DOUBLE) END")
 
 
 def _fixture_dates() -> list[str]:
