@@ -1,4 +1,4 @@
-"""Null-safe arithmetic under ANSI mode."""
+"""Null-safe arithmetic under ANSI mode, as SQL expressions over column names."""
 
 from __future__ import annotations
 
@@ -6,33 +6,43 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def intraday_return_sql(close: str, open_: str) -> str:
+    return f"try_divide(({close}) - ({open_}), CASE WHEN ({open_}) <> 0 THEN ({open_}) END)"
 
 
-def intraday_return(close: Column | str, open_: Column | str) -> Column:
+def intraday_return(close: str, open_: str) -> Column:
     """(close - open) / open as a fraction; null when open is 0 or null."""
-    o = _col(open_)
-    return F.try_divide(_col(close) - o, F.when(o != 0, o))
+    return F.expr(intraday_return_sql(close, open_))
 
 
-def pct_change(current: Column | str, previous: Column | str, scale: int = 2) -> Column:
+def pct_change_sql(current: str, previous: str, scale: int = 2) -> str:
+    return (f"CASE WHEN ({previous}) IS NOT NULL AND ({previous}) <> 0 "
+            f"THEN round((({current}) - ({previous})) / ({previous}) * 100, {scale}) END")
+
+
+def pct_change(current: str, previous: str, scale: int = 2) -> Column:
     """Percent change rounded to ``scale`` places; null if previous is null or 0."""
-    p = _col(previous)
-    return F.when(p.isNotNull() & (p != 0),
-                  F.round((_col(current) - p) / p * 100, scale))
+    return F.expr(pct_change_sql(current, previous, scale))
+
 
+def changed_sql(current: str, previous: str) -> str:
+    return f"coalesce(({current}) <> ({previous}), false)"
 
-def changed(current: Column | str, previous: Column | str) -> Column:
+
+def changed(current: str, previous: str) -> Column:
     """True only when both are present and differ."""
-    return F.coalesce(_col(current) != _col(previous), F.lit(False))
+    return F.expr(changed_sql(current, previous))
+
+
+def pearson_sql(x: str, y: str) -> str:
+    den = f"(stddev_pop({x}) * stddev_pop({y}))"
+    return f"try_divide(covar_pop({x}, {y}), CASE WHEN {den} <> 0 THEN {den} END)"
 
 
-def pearson(x: Column | str, y: Column | str) -> Column:
+def pearson(x: str, y: str) -> Column:
     """Population Pearson correlation as an aggregate; null when either side is flat.
 
     ``corr`` itself divides by zero on a flat series, which raises under
     ANSI; here the zero divisor becomes null instead.
     """
-    den = F.stddev_pop(x) * F.stddev_pop(y)
-    return F.try_divide(F.covar_pop(x, y), F.when(den != 0, den))
+    return F.expr(pearson_sql(x, y))

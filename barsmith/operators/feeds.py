@@ -8,48 +8,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import OHLCV_FEED_TICKERS, RSI_FEED_TICKERS
-from ..functions.regime import candle_direction, regime_ordinal, rsi_band
+from ..functions.regime import candle_direction, regime_ordinal_sql, rsi_band
 from .pairs import daily_close_corr
 
 
 def top_tickers(report: DataFrame, k: int | None = None) -> DataFrame:
-    """(ticker, total_vol, volume_rank) by summed day_volume, largest first.
+    """(ticker, total_vol) by summed day_volume, largest first, ties by ticker.
 
-    Ties are broken by ticker. With ``k`` only the first ``k`` are kept.
+    With ``k`` only the first ``k`` are kept.
     """
-    totals = report.groupBy("ticker").agg(F.sum("day_volume").alias("total_vol"))
-    ranked = totals.orderBy(F.desc("total_vol"), "ticker")
-    if k is None:
-        return ranked
-    return ranked.limit(k)
+    ranked = (report.groupBy("ticker").agg(F.expr("sum(day_volume) AS total_vol"))
+              .orderBy(F.desc("total_vol"), "ticker"))
+    return ranked if k is None else ranked.limit(k)
 
 
 def _only_top(report: DataFrame, k: int) -> DataFrame:
     # The top-k list has at most k rows, a proven bound, so it is broadcast.
-    keep = F.broadcast(top_tickers(report, k).select("ticker"))
+    keep = F.broadcast(top_tickers(report, k).select(F.expr("ticker")))
     return report.join(keep, "ticker", "left_semi")
 
 
 def ohlcv_feed(report: DataFrame, k: int = OHLCV_FEED_TICKERS) -> DataFrame:
     """Daily candles of the ``k`` largest tickers by volume, with UP/DOWN direction."""
+    cols = ["ticker", "trade_date", "day_open", "day_high", "day_low", "day_close", "day_volume"]
     return (_only_top(report, k)
-            .select("ticker", "trade_date", "day_open", "day_high", "day_low", "day_close",
-                    "day_volume", candle_direction("day_close", "day_open").alias("direction"))
+            .select(*[F.expr(c) for c in cols], candle_direction("day_close", "day_open").alias("direction"))
             .orderBy("ticker", "trade_date"))
 
 
 def rsi_feed(report: DataFrame, k: int = RSI_FEED_TICKERS) -> DataFrame:
     """Daily RSI of the ``k`` largest tickers by volume, with its chart band."""
     return (_only_top(report, k)
-            .select("ticker", "trade_date", "rsi", rsi_band("rsi").alias("rsi_band"))
+            .select(F.expr("ticker"), F.expr("trade_date"), F.expr("rsi"), rsi_band("rsi").alias("rsi_band"))
             .orderBy("ticker", "trade_date"))
 
 
-def date_label(col: str = "trade_date"):
-    """Date as its yyyy-MM-dd label."""
-    return F.date_format(F.col(col), "yyyy-MM-dd")
-
-
 def regime_matrix(report: DataFrame, dates: Sequence[str] | None = None,
                   value: str = "ordinal") -> DataFrame:
     """Ticker x date matrix of regimes, one column per yyyy-MM-dd label.
@@ -59,11 +52,12 @@ def regime_matrix(report: DataFrame, dates: Sequence[str] | None = None,
     row that day. Pass ``dates`` to fix the columns and skip the distinct
     job; without it the dates present become the columns.
     """
-    v = regime_ordinal("signal_regime") if value == "ordinal" else F.col("signal_regime")
-    long = report.select("ticker", date_label().alias("date_label"), v.alias("v"))
+    v = regime_ordinal_sql("signal_regime") if value == "ordinal" else "signal_regime"
+    long = report.select(F.expr("ticker"), F.expr("date_format(trade_date, 'yyyy-MM-dd') AS date_label"),
+                         F.expr(f"{v} AS v"))
     grouped = long.groupBy("ticker")
     pivoted = (grouped.pivot("date_label", list(dates)) if dates is not None
-               else grouped.pivot("date_label")).agg(F.max("v"))
+               else grouped.pivot("date_label")).agg(F.expr("max(v)"))
     if value != "ordinal":
         pivoted = pivoted.na.fill("")
     return pivoted.orderBy("ticker")
@@ -77,15 +71,16 @@ def corr_matrix(bars: DataFrame, tickers: Sequence[str] | None = None,
     rounds the cells as the chart annotations do.
     """
     long = daily_close_corr(bars, ordered=True)
-    diag = long.select("ticker_a").distinct().select(
-        "ticker_a", F.col("ticker_a").alias("ticker_b"), F.lit(1.0).alias("correlation"))
+    diag = long.select(F.expr("ticker_a")).distinct().select(
+        F.expr("ticker_a"), F.expr("ticker_a AS ticker_b"), F.expr("1D AS correlation"))
     cells = long.unionByName(diag)
     if decimals is not None:
-        cells = cells.withColumn("correlation", F.round("correlation", decimals))
+        cells = cells.select(F.expr("ticker_a"), F.expr("ticker_b"),
+                             F.expr(f"round(correlation, {int(decimals)}) AS correlation"))
     grouped = cells.groupBy("ticker_a")
     names = sorted(tickers) if tickers is not None else None
     pivoted = (grouped.pivot("ticker_b", names) if names is not None
-               else grouped.pivot("ticker_b")).agg(F.max("correlation"))
+               else grouped.pivot("ticker_b")).agg(F.expr("max(correlation)"))
     if names is None:
         names = sorted(c for c in pivoted.columns if c != "ticker_a")
     return pivoted.select("ticker_a", *names).orderBy("ticker_a")

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import RSI_PERIOD
-from ..functions.regime import classify_regime
+from ..functions.regime import classify_regime_sql
 from .ohlcv import ohlcv_aggregates
 from .rsi import rsi_aggregates
 from .sequence import DAY_KEYS, sequence_view
 
+DAILY_COLUMNS = ("ticker", "trade_date", "day_open", "day_close", "day_high", "day_low",
+                 "day_volume", "bar_count")
+
 
 def avg_volume(daily: DataFrame) -> DataFrame:
     """(ticker, avg_volume): mean day_volume over the ticker's whole history."""
-    return daily.groupBy("ticker").agg(F.avg("day_volume").alias("avg_volume"))
+    return daily.groupBy("ticker").agg(F.expr("avg(day_volume) AS avg_volume"))
 
 
 def with_avg_volume(daily: DataFrame) -> DataFrame:
@@ -31,7 +34,7 @@ def with_avg_volume_window(daily: DataFrame) -> DataFrame:
     """Same values as ``with_avg_volume`` as a window over ticker: one shuffle
     of the daily rows, no second scan, and the partitioning is shared with the
     day-over-day lags of the report."""
-    return daily.withColumn("avg_volume", F.avg("day_volume").over(Window.partitionBy("ticker")))
+    return daily.select(F.expr("*"), F.expr("avg(day_volume) OVER (PARTITION BY ticker) AS avg_volume"))
 
 
 def daily_bars(bars: DataFrame, period: int = RSI_PERIOD) -> DataFrame:
@@ -49,9 +52,8 @@ def indicators(bars: DataFrame, period: int = RSI_PERIOD, **regime_args) -> Data
     Columns: ticker, trade_date, day_open, day_close, day_high, day_low,
     day_volume, bar_count, avg_volume, rsi, signal_regime.
     """
-    daily = with_avg_volume_window(daily_bars(bars, period))
-    return daily.select(
-        *DAY_KEYS, "day_open", "day_close", "day_high", "day_low", "day_volume", "bar_count",
-        "avg_volume", "rsi",
-        classify_regime("rsi", "day_volume", "avg_volume", **regime_args).alias("signal_regime"),
-    )
+    return daily_bars(bars, period).select(
+        *[F.expr(c) for c in DAILY_COLUMNS],
+        F.expr("avg(day_volume) OVER (PARTITION BY ticker) AS avg_volume"),
+        F.expr("rsi"),
+    ).select(F.expr("*"), F.expr(classify_regime_sql(**regime_args) + " AS signal_regime"))

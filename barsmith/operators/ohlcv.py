@@ -19,19 +19,14 @@ def ohlcv_aggregates(assume_unique_ts: bool = False) -> list[Column]:
     (hash aggregate), valid when (ticker, timestamp) is unique.
     """
     if assume_unique_ts:
-        day_open = F.min_by("open", "timestamp")
-        day_close = F.max_by("close", "timestamp")
+        edges = ["min_by(open, timestamp) AS day_open", "max_by(close, timestamp) AS day_close"]
     else:
-        day_open = F.min(F.struct("timestamp", "open"))["open"]
-        day_close = F.max(F.struct("timestamp", "close"))["close"]
-    return [
-        day_open.alias("day_open"),
-        day_close.alias("day_close"),
-        F.max("high").alias("day_high"),
-        F.min("low").alias("day_low"),
-        F.sum("volume").alias("day_volume"),
-        F.count(F.lit(1)).alias("bar_count"),
-    ]
+        edges = ["min(named_struct('t', timestamp, 'p', open)).p AS day_open",
+                 "max(named_struct('t', timestamp, 'p', close)).p AS day_close"]
+    return [F.expr(e) for e in edges + [
+        "max(high) AS day_high", "min(low) AS day_low",
+        "sum(volume) AS day_volume", "count(1) AS bar_count",
+    ]]
 
 
 def daily_ohlcv(bars: DataFrame, assume_unique_ts: bool = False) -> DataFrame:
@@ -50,26 +45,25 @@ def ordered_closes(bars: DataFrame) -> DataFrame:
     bars of one ticker-day; prefer the long form (``sequence_view``) for
     anything that can be computed from it.
     """
-    pt = F.when(F.col("close").isNotNull(), F.struct("timestamp", "close"))
     return (
         bars.groupBy(*DAY_KEYS)
-        .agg(F.sort_array(F.collect_list(pt)).alias("_closes"))
-        .select(*DAY_KEYS, F.transform("_closes", lambda x: x["close"]).alias("all_closes"))
+        .agg(F.expr("sort_array(collect_list(CASE WHEN close IS NOT NULL "
+                    "THEN named_struct('t', timestamp, 'c', close) END)) AS pts"))
+        .select(F.expr("ticker"), F.expr("trade_date"), F.expr("transform(pts, x -> x.c) AS all_closes"))
     )
 
 
 def closes_digest(daily_closes: DataFrame) -> DataFrame:
     """Summary of each close array: length, first, last and sum (in array order)."""
-    arr = F.col("all_closes")
     return daily_closes.select(
-        *DAY_KEYS,
-        F.size(arr).cast("long").alias("n_closes"),
-        F.get(arr, 0).alias("first_close"),
-        F.get(arr, F.size(arr) - 1).alias("last_close"),
-        F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x).alias("sum_closes"),
+        F.expr("ticker"), F.expr("trade_date"),
+        F.expr("CAST(size(all_closes) AS BIGINT) AS n_closes"),
+        F.expr("get(all_closes, 0) AS first_close"),
+        F.expr("get(all_closes, size(all_closes) - 1) AS last_close"),
+        F.expr("aggregate(all_closes, 0D, (acc, x) -> acc + x) AS sum_closes"),
     )
 
 
 def daily_mean_close(bars: DataFrame) -> DataFrame:
     """Mean close per (ticker, trade_date) as ``avg_close``."""
-    return bars.groupBy(*DAY_KEYS).agg(F.avg("close").alias("avg_close"))
+    return bars.groupBy(*DAY_KEYS).agg(F.expr("avg(close) AS avg_close"))

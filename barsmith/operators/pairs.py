@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import MIN_CORR_POINTS, STRONG_CORR, TOP_PAIRS
-from ..functions.numeric import intraday_return, pearson
+from ..functions.numeric import intraday_return_sql, pearson_sql
 from .indicators import indicators
 from .ohlcv import daily_mean_close
 from .sequence import close_points
@@ -16,22 +16,29 @@ from .sequence import close_points
 PAIR_FIELDS = (("day_open", "open"), ("day_close", "close"), ("day_volume", "volume"), ("rsi", "rsi"))
 
 
-def _side(df: DataFrame, suffix: str, fields: Sequence[tuple[str, str]], date_name: str) -> DataFrame:
+def _side(df: DataFrame, suffix: str, fields: Sequence[tuple[str, str]], date_name: str,
+          extra: Sequence[str] = ()) -> DataFrame:
     return df.select(
-        F.col("ticker").alias(f"ticker_{suffix}"),
-        F.col("trade_date").alias(date_name),
-        *[F.col(src).alias(f"{dst}_{suffix}") for src, dst in fields],
+        F.expr(f"ticker AS ticker_{suffix}"),
+        F.expr(f"trade_date AS {date_name}"),
+        *[F.expr(f"{src} AS {dst}_{suffix}") for src, dst in fields],
+        *[F.expr(f"{c} AS {c}_{suffix}") for c in extra],
     )
 
 
+def _pair_condition(ordered: bool, *equal: tuple[str, str]) -> str:
+    cmp = "ticker_a <> ticker_b" if ordered else "ticker_a < ticker_b"
+    return " AND ".join([f"{a} = {b}" for a, b in equal] + [cmp])
+
+
 def ticker_pairs(daily: DataFrame, ordered: bool = False, strategy: str | None = None,
                  fields: Sequence[tuple[str, str]] = PAIR_FIELDS) -> DataFrame:
     """Pairs of tickers present on the same date.
 
     Unordered (``ticker_a < ticker_b``, C(n, 2) rows a day) by default, both
     directions with ``ordered=True``. The date is the equi-join key, so the
-    join hashes on it and the ticker comparison is a residual filter; a group
-    is one date's tickers. ``strategy`` is an optional join hint
+    join hashes on it and the ticker comparison is a residual filter; a join
+    group is one date's tickers. ``strategy`` is an optional join hint
     ("merge", "shuffle_hash", "broadcast") applied to this join only.
     """
     fields = [f for f in fields if f[0] in daily.columns]
@@ -39,19 +46,17 @@ def ticker_pairs(daily: DataFrame, ordered: bool = False, strategy: str | None =
     b = _side(daily, "b", fields, "trade_date_b")
     if strategy:
         b = b.hint(strategy)
-    cmp = (F.col("ticker_a") != F.col("ticker_b")) if ordered else (F.col("ticker_a") < F.col("ticker_b"))
-    joined = a.join(b, (F.col("trade_date") == F.col("trade_date_b")) & cmp, "inner")
-    return joined.select("ticker_a", "ticker_b", "trade_date",
-                         *[f"{d}_{s}" for s in ("a", "b") for _, d in fields])
+    joined = a.join(b, F.expr(_pair_condition(ordered, ("trade_date", "trade_date_b"))), "inner")
+    return joined.select(*[F.expr(c) for c in ["ticker_a", "ticker_b", "trade_date"]
+                           + [f"{d}_{s}" for s in ("a", "b") for _, d in fields]])
 
 
 def intraday_returns(pairs: DataFrame) -> DataFrame:
     """Add open-to-close fractions ``return_a``, ``return_b`` and ``return_diff``
     (absolute gap); a zero open gives null instead of a division error."""
-    return (pairs
-            .withColumn("return_a", intraday_return("close_a", "open_a"))
-            .withColumn("return_b", intraday_return("close_b", "open_b"))
-            .withColumn("return_diff", F.abs(F.col("return_a") - F.col("return_b"))))
+    ra, rb = intraday_return_sql("close_a", "open_a"), intraday_return_sql("close_b", "open_b")
+    return pairs.select(F.expr("*"), F.expr(f"{ra} AS return_a"), F.expr(f"{rb} AS return_b"),
+                        F.expr(f"abs(({ra}) - ({rb})) AS return_diff"))
 
 
 def pair_correlation(bars: DataFrame, daily: DataFrame | None = None,
@@ -72,41 +77,40 @@ def pair_correlation(bars: DataFrame, daily: DataFrame | None = None,
     """
     if daily is None:
         daily = indicators(bars)
+    types = {src: daily.schema[src].dataType.simpleString() for src, _ in PAIR_FIELDS}
     heads = daily.select(
-        "ticker", "trade_date", F.lit(-1).alias("pos"), F.lit(None).cast("double").alias("pt"),
-        *[F.col(src).alias(dst) for src, dst in PAIR_FIELDS],
+        F.expr("ticker"), F.expr("trade_date"), F.expr("-1 AS pos"), F.expr("CAST(NULL AS DOUBLE) AS pt"),
+        *[F.expr(f"{src} AS {dst}") for src, dst in PAIR_FIELDS],
     )
     points = close_points(bars).select(
-        "ticker", "trade_date", F.col("pos").cast("int").alias("pos"), F.col("close").alias("pt"),
-        *[F.lit(None).cast(daily.schema[src].dataType).alias(dst) for src, dst in PAIR_FIELDS],
+        F.expr("ticker"), F.expr("trade_date"), F.expr("CAST(pos AS INT) AS pos"), F.expr("close AS pt"),
+        *[F.expr(f"CAST(NULL AS {types[src]}) AS {dst}") for src, dst in PAIR_FIELDS],
     )
     rel = heads.unionByName(points)
-    cols = ["pos", "pt"] + [dst for _, dst in PAIR_FIELDS]
-    a = rel.select(F.col("ticker").alias("ticker_a"), "trade_date", *[F.col(c).alias(f"{c}_a") for c in cols])
-    b = rel.select(F.col("ticker").alias("ticker_b"), F.col("trade_date").alias("trade_date_b"),
-                   *[F.col(c).alias(f"{c}_b") for c in cols])
-    joined = a.join(b, (F.col("trade_date") == F.col("trade_date_b")) & (F.col("pos_a") == F.col("pos_b"))
-                    & (F.col("ticker_a") < F.col("ticker_b")), "inner")
-    n = F.count("pt_a")
+    extra = ["pos", "pt"]
+    a = _side(rel, "a", [(d, d) for _, d in PAIR_FIELDS], "trade_date", extra)
+    b = _side(rel, "b", [(d, d) for _, d in PAIR_FIELDS], "trade_date_b", extra)
+    joined = a.join(b, F.expr(_pair_condition(False, ("trade_date", "trade_date_b"), ("pos_a", "pos_b"))),
+                    "inner")
     agg = joined.groupBy("ticker_a", "ticker_b", "trade_date").agg(
-        *[F.max(f"{dst}_{s}").alias(f"{dst}_{s}") for s in ("a", "b") for _, dst in PAIR_FIELDS],
-        n.alias("common_points"),
-        F.when(n >= min_points, pearson("pt_a", "pt_b")).alias("intraday_corr"),
+        *[F.expr(f"max({d}_{s}) AS {d}_{s}") for s in ("a", "b") for _, d in PAIR_FIELDS],
+        F.expr("count(pt_a) AS common_points"),
+        F.expr(f"CASE WHEN count(pt_a) >= {min_points} THEN {pearson_sql('pt_a', 'pt_b')} END AS intraday_corr"),
     )
     return intraday_returns(agg)
 
 
 def strong_pairs(correlated: DataFrame, threshold: float = STRONG_CORR) -> DataFrame:
     """Pair-days with ``intraday_corr > threshold`` (null and strong negatives drop out)."""
-    return correlated.where(F.col("intraday_corr") > F.lit(threshold))
+    return correlated.where(f"intraday_corr > {float(threshold)!r}D")
 
 
 def pair_summary(correlated: DataFrame, threshold: float = STRONG_CORR) -> DataFrame:
     """Per strong pair: correlated_days, avg_correlation, avg_return_diff."""
     return strong_pairs(correlated, threshold).groupBy("ticker_a", "ticker_b").agg(
-        F.count(F.lit(1)).alias("correlated_days"),
-        F.avg("intraday_corr").alias("avg_correlation"),
-        F.avg("return_diff").alias("avg_return_diff"),
+        F.expr("count(1) AS correlated_days"),
+        F.expr("avg(intraday_corr) AS avg_correlation"),
+        F.expr("avg(return_diff) AS avg_return_diff"),
     )
 
 
@@ -121,11 +125,5 @@ def daily_close_corr(bars: DataFrame, ordered: bool = True) -> DataFrame:
     (ticker_a, ticker_b, correlation), both directions by default; null when
     a side is flat over the common days.
     """
-    mean = daily_mean_close(bars)
-    pairs = ticker_pairs(mean, ordered=ordered, fields=[("avg_close", "close")])
-    return pairs.groupBy("ticker_a", "ticker_b").agg(pearson("close_a", "close_b").alias("correlation"))
-
-
-def corr_column(x: Column | str, y: Column | str) -> Column:
-    """Alias of the null-safe Pearson aggregate, for callers building their own groupings."""
-    return pearson(x, y)
+    pairs = ticker_pairs(daily_mean_close(bars), ordered=ordered, fields=[("avg_close", "close")])
+    return pairs.groupBy("ticker_a", "ticker_b").agg(F.expr(pearson_sql("close_a", "close_b") + " AS correlation"))

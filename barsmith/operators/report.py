@@ -2,43 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import changed, pct_change
+from ..functions.numeric import changed_sql, pct_change_sql
 
 LAGGED = (("signal_regime", "prev_regime"), ("rsi", "prev_rsi"), ("day_close", "prev_close"))
 CHANGE_COLUMNS = ("ticker", "trade_date", "prev_regime", "signal_regime", "rsi", "day_return_pct")
 
+TRADING_DAYS = "PARTITION BY ticker ORDER BY trade_date"
 
-def _ticker_days() -> Window:
-    return Window.partitionBy("ticker").orderBy("trade_date")
+
+def _calendar_days(days: int) -> str:
+    # Exactly `days` calendar days back: a RANGE frame on the day number.
+    return f"PARTITION BY ticker ORDER BY unix_date(trade_date) RANGE BETWEEN {days} PRECEDING AND {days} PRECEDING"
 
 
 def _with_changes(df: DataFrame) -> DataFrame:
-    return (df
-            .withColumn("regime_changed", changed("signal_regime", "prev_regime"))
-            .withColumn("day_return_pct", pct_change("day_close", "prev_close")))
+    return df.select(
+        F.expr("*"),
+        F.expr(changed_sql("signal_regime", "prev_regime") + " AS regime_changed"),
+        F.expr(pct_change_sql("day_close", "prev_close") + " AS day_return_pct"),
+    )
 
 
 def signal_report(ind: DataFrame) -> DataFrame:
     """Indicators plus the previous *trading day's* regime, rsi and close.
 
-    ``regime_changed`` is true only when both regimes are present
-    (UNKNOWN counts as a label) and differ; the first day of a ticker has
-    null prev_* values, no change and a null return. ``day_return_pct`` is
-    the close-to-close change in percent, 2 places, null when the previous
-    close is null or 0. One window over daily rows partitioned by ticker.
+    ``regime_changed`` is true only when both regimes are present and differ
+    (UNKNOWN counts as a regime); the first day of a ticker has null prev_*
+    values, no change and a null return. ``day_return_pct`` is the
+    close-to-close change in percent, 2 places, null when the previous close
+    is null or 0. One window over daily rows partitioned by ticker.
     """
-    w = _ticker_days()
-    out = ind
-    for src, dst in LAGGED:
-        out = out.withColumn(dst, F.lag(src).over(w))
-    return _with_changes(out)
-
-
-def _day_number():
-    return F.unix_date(F.col("trade_date"))
+    lags = [F.expr(f"lag({src}) OVER ({TRADING_DAYS}) AS {dst}") for src, dst in LAGGED]
+    return _with_changes(ind.select(F.expr("*"), *lags))
 
 
 def calendar_lag_report(ind: DataFrame, days: int = 1) -> DataFrame:
@@ -49,23 +47,29 @@ def calendar_lag_report(ind: DataFrame, days: int = 1) -> DataFrame:
     Expressed as a RANGE frame [-days, -days] over the day number rather than
     a shifted self-join: same rows, no second scan and no join shuffle.
     """
-    w = (Window.partitionBy("ticker").orderBy(_day_number())
-         .rangeBetween(-days, -days))
-    out = ind
-    for src, dst in LAGGED:
-        out = out.withColumn(dst, F.first(src).over(w))
-    return _with_changes(out)
+    frame = _calendar_days(days)
+    lags = [F.expr(f"first({src}) OVER ({frame}) AS {dst}") for src, dst in LAGGED]
+    return _with_changes(ind.select(F.expr("*"), *lags))
 
 
 def regime_changes(report: DataFrame, limit: int | None = None) -> DataFrame:
     """Rows whose regime changed: six columns ordered by (trade_date, ticker)."""
-    out = report.where(F.col("regime_changed")).select(*CHANGE_COLUMNS).orderBy("trade_date", "ticker")
+    out = report.where("regime_changed").select(*[F.expr(c) for c in CHANGE_COLUMNS]).orderBy("trade_date", "ticker")
     return out.limit(limit) if limit is not None else out
 
 
 def regime_change_count(report: DataFrame) -> DataFrame:
     """One row: number of regime changes."""
-    return report.agg(F.count_if(F.col("regime_changed")).alias("regime_changes"))
+    return report.agg(F.expr("count_if(regime_changed) AS regime_changes"))
+
+
+def _both_lags(ind: DataFrame, days: int) -> DataFrame:
+    return ind.select(
+        F.expr("*"),
+        F.expr(f"lag(signal_regime) OVER ({TRADING_DAYS}) AS prev_regime"),
+        F.expr(f"lag(trade_date) OVER ({TRADING_DAYS}) AS prev_date"),
+        F.expr(f"first(signal_regime) OVER ({_calendar_days(days)}) AS cal_prev_regime"),
+    )
 
 
 def missed_transitions(ind: DataFrame, days: int = 1) -> DataFrame:
@@ -75,30 +79,21 @@ def missed_transitions(ind: DataFrame, days: int = 1) -> DataFrame:
     Columns: ticker, trade_date, prev_regime (previous trading day),
     signal_regime, gap_days (calendar days since the previous trading day).
     """
-    w_row = _ticker_days()
-    w_cal = Window.partitionBy("ticker").orderBy(_day_number()).rangeBetween(-days, -days)
-    both = (ind
-            .withColumn("prev_regime", F.lag("signal_regime").over(w_row))
-            .withColumn("prev_date", F.lag("trade_date").over(w_row))
-            .withColumn("cal_prev_regime", F.first("signal_regime").over(w_cal)))
-    return (both
-            .where(changed("signal_regime", "prev_regime")
-                   & ~changed("signal_regime", "cal_prev_regime"))
-            .select("ticker", "trade_date", "prev_regime", "signal_regime",
-                    F.date_diff("trade_date", "prev_date").alias("gap_days")))
+    return (_both_lags(ind, days)
+            .where(f"{changed_sql('signal_regime', 'prev_regime')} "
+                   f"AND NOT {changed_sql('signal_regime', 'cal_prev_regime')}")
+            .select(F.expr("ticker"), F.expr("trade_date"), F.expr("prev_regime"), F.expr("signal_regime"),
+                    F.expr("CAST(date_diff(trade_date, prev_date) AS INT) AS gap_days")))
 
 
 def transition_counts(ind: DataFrame, days: int = 1) -> DataFrame:
     """One row: changes by trading-day lag, by calendar-day lag, and missed."""
-    w_row = _ticker_days()
-    w_cal = Window.partitionBy("ticker").orderBy(_day_number()).rangeBetween(-days, -days)
-    both = (ind
-            .withColumn("row_changed", changed("signal_regime", F.lag("signal_regime").over(w_row)))
-            .withColumn("cal_changed", changed("signal_regime", F.first("signal_regime").over(w_cal))))
-    return both.agg(
-        F.count_if("row_changed").alias("row_lag_changes"),
-        F.count_if("cal_changed").alias("calendar_lag_changes"),
-        F.count_if(F.col("row_changed") & ~F.col("cal_changed")).alias("missed"),
+    row = changed_sql("signal_regime", "prev_regime")
+    cal = changed_sql("signal_regime", "cal_prev_regime")
+    return _both_lags(ind, days).agg(
+        F.expr(f"count_if({row}) AS row_lag_changes"),
+        F.expr(f"count_if({cal}) AS calendar_lag_changes"),
+        F.expr(f"count_if({row} AND NOT {cal}) AS missed"),
     )
 
 
@@ -106,25 +101,25 @@ def signal_summary(report: DataFrame) -> DataFrame:
     """Per (ticker, signal_regime): days, avg_rsi, avg_return, total_volume.
     Averages skip nulls (a regime with no RSI has a null avg_rsi)."""
     return report.groupBy("ticker", "signal_regime").agg(
-        F.count(F.lit(1)).alias("days"),
-        F.avg("rsi").alias("avg_rsi"),
-        F.avg("day_return_pct").alias("avg_return"),
-        F.sum("day_volume").alias("total_volume"),
+        F.expr("count(1) AS days"),
+        F.expr("avg(rsi) AS avg_rsi"),
+        F.expr("avg(day_return_pct) AS avg_return"),
+        F.expr("sum(day_volume) AS total_volume"),
     )
 
 
 def signal_summary_filled(report: DataFrame) -> DataFrame:
     """``signal_summary`` with missing values shown as 0, ordered by (ticker, regime)."""
-    s = signal_summary(report)
-    return s.select(
-        "ticker", "signal_regime", "days",
-        F.coalesce("avg_rsi", F.lit(0.0)).alias("avg_rsi"),
-        F.coalesce("avg_return", F.lit(0.0)).alias("avg_return"),
-        F.coalesce("total_volume", F.lit(0).cast(s.schema["total_volume"].dataType)).alias("total_volume"),
+    return signal_summary(report).select(
+        F.expr("ticker"), F.expr("signal_regime"), F.expr("days"),
+        F.expr("coalesce(avg_rsi, 0D) AS avg_rsi"),
+        F.expr("coalesce(avg_return, 0D) AS avg_return"),
+        F.expr("coalesce(total_volume, 0) AS total_volume"),
     ).orderBy("ticker", "signal_regime")
 
 
 def regime_timeline(report: DataFrame) -> DataFrame:
     """(ticker, trade_date, signal_regime, regime_changed) ordered by (trade_date, ticker)."""
-    return (report.select("ticker", "trade_date", "signal_regime", "regime_changed")
+    return (report.select(F.expr("ticker"), F.expr("trade_date"), F.expr("signal_regime"),
+                          F.expr("regime_changed"))
             .orderBy("trade_date", "ticker"))

@@ -17,26 +17,23 @@ from ..constants import RSI_PERIOD
 from .sequence import DAY_KEYS, sequence_view
 
 
-def rsi_from_sums(gain: Column, loss: Column, n_diffs: Column, period: int) -> Column:
-    """RSI from weighted gain/loss sums: null below ``period`` differences,
-    100 when there is no loss, else 100 - 100 / (1 + gain / loss)."""
-    g = F.coalesce(gain, F.lit(0.0))
-    l = F.coalesce(loss, F.lit(0.0))
-    return (F.when(F.coalesce(n_diffs, F.lit(0)) < period, F.lit(None).cast("double"))
-            .when(l == 0, F.lit(100.0))
-            .otherwise(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + g / l)))
+def rsi_from_sums_sql(gain: str, loss: str, n_diffs: str, period: int) -> str:
+    """RSI from (weighted) gain and loss sums: null below ``period`` differences,
+    100 with no loss, else 100 - 100 / (1 + gain / loss)."""
+    g, l = f"coalesce({gain}, 0D)", f"coalesce({loss}, 0D)"
+    return (f"CASE WHEN coalesce({n_diffs}, 0) < {period} THEN CAST(NULL AS DOUBLE) "
+            f"WHEN {l} = 0 THEN 100D ELSE 100D - 100D / (1D + {g} / {l}) END")
 
 
 def rsi_aggregates(period: int = RSI_PERIOD) -> list[Column]:
-    """Aggregate columns (``rsi``) over rows of ``sequence_view`` grouped by ticker-day."""
-    r = (period - 1) / period
-    n_diffs = F.col("n_closes") - 1
-    is_diff = (F.col("pos") >= 1) & (F.col("pos") < F.col("n_closes"))
-    d = F.col("close") - F.col("prev_close")
-    w = F.pow(F.lit(r), (n_diffs - F.greatest(F.col("pos"), F.lit(period))).cast("double"))
-    gain = F.sum(F.when(is_diff & (d > 0), w * d))
-    loss = F.sum(F.when(is_diff & (d <= 0), w * (-d)))
-    return [rsi_from_sums(gain, loss, F.max(n_diffs), period).alias("rsi")]
+    """Aggregate column ``rsi`` over rows of ``sequence_view`` grouped by ticker-day."""
+    r = f"CAST({period - 1} AS DOUBLE) / {period}"
+    w = f"pow({r}, CAST(n_closes - 1 - greatest(pos, {period}) AS DOUBLE))"
+    d = "(close - prev_close)"
+    is_diff = "pos >= 1 AND pos < n_closes"
+    gain = f"sum(CASE WHEN {is_diff} AND {d} > 0 THEN {w} * {d} END)"
+    loss = f"sum(CASE WHEN {is_diff} AND {d} <= 0 THEN {w} * -{d} END)"
+    return [F.expr(rsi_from_sums_sql(gain, loss, "max(n_closes) - 1", period) + " AS rsi")]
 
 
 def intraday_rsi(bars: DataFrame, period: int = RSI_PERIOD) -> DataFrame:
@@ -44,34 +41,26 @@ def intraday_rsi(bars: DataFrame, period: int = RSI_PERIOD) -> DataFrame:
     return sequence_view(bars).groupBy(*DAY_KEYS).agg(*rsi_aggregates(period))
 
 
-def rsi_of_array(closes: Column | str, period: int = RSI_PERIOD) -> Column:
+def rsi_of_array(closes: str, period: int = RSI_PERIOD) -> Column:
     """RSI of an ordered close array by the step-by-step recurrence.
 
-    A fold with ``aggregate`` (JVM-side), for callers that hold the nested
+    A fold with ``aggregate`` (JVM-side) for callers that hold the nested
     ``all_closes`` form; equal to the closed form within float rounding and
-    free of its weight underflow beyond ~10,000 closes a day.
+    free of its weight underflow beyond ~10,000 closes a day. The state is
+    (k closes seen, previous close, running gain, running loss); difference
+    k sums until k = p, is divided by p at k = p, then smoothed.
     """
-    arr = F.col(closes) if isinstance(closes, str) else closes
-    p = F.lit(float(period))
-    start = F.struct(F.lit(0).alias("k"), F.lit(None).cast("double").alias("prev"),
-                     F.lit(0.0).alias("g"), F.lit(0.0).alias("l"))
-
-    def step(acc, x):
-        d = x - acc["prev"]
-        gain = F.when(d > 0, d).otherwise(F.lit(0.0))
-        loss = F.when(d > 0, F.lit(0.0)).otherwise(-d)
-        k = acc["k"]          # number of closes seen so far; this is difference k
-        g = (F.when(k == 0, F.lit(0.0))
-             .when(k < period, acc["g"] + gain)
-             .when(k == period, (acc["g"] + gain) / p)
-             .otherwise((acc["g"] * (p - 1) + gain) / p))
-        l = (F.when(k == 0, F.lit(0.0))
-             .when(k < period, acc["l"] + loss)
-             .when(k == period, (acc["l"] + loss) / p)
-             .otherwise((acc["l"] * (p - 1) + loss) / p))
-        return F.struct((k + 1).alias("k"), x.alias("prev"), g.alias("g"), l.alias("l"))
-
-    def finish(acc):
-        return rsi_from_sums(acc["g"], acc["l"], acc["k"] - 1, period)
-
-    return F.when(arr.isNotNull(), F.aggregate(arr, start, step, finish))
+    p = f"CAST({period} AS DOUBLE)"
+    gain = "CASE WHEN x - s.prev > 0 THEN x - s.prev ELSE 0D END"
+    loss = "CASE WHEN x - s.prev > 0 THEN 0D ELSE s.prev - x END"
+
+    def smooth(field: str, inc: str) -> str:
+        return (f"CASE WHEN s.k = 0 THEN 0D WHEN s.k < {period} THEN s.{field} + {inc} "
+                f"WHEN s.k = {period} THEN (s.{field} + {inc}) / {p} "
+                f"ELSE (s.{field} * ({p} - 1) + {inc}) / {p} END")
+
+    step = (f"(s, x) -> named_struct('k', s.k + 1, 'prev', x, "
+            f"'g', {smooth('g', gain)}, 'l', {smooth('l', loss)})")
+    finish = f"s -> {rsi_from_sums_sql('s.g', 's.l', 's.k - 1', period)}"
+    start = "named_struct('k', 0, 'prev', CAST(NULL AS DOUBLE), 'g', 0D, 'l', 0D)"
+    return F.expr(f"CASE WHEN ({closes}) IS NOT NULL THEN aggregate({closes}, {start}, {step}, {finish}) END")

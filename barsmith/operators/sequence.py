@@ -2,20 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DAY_KEYS = ("ticker", "trade_date")
 
-
-def day_order_window():
-    """Bars of one ticker-day ordered by (timestamp, close), null closes last.
-
-    Non-null closes therefore take positions 0..n-1 and ``lag`` over the
-    first n rows always reaches the previous non-null close.
-    """
-    return (Window.partitionBy(*DAY_KEYS)
-            .orderBy(F.col("close").isNull(), F.col("timestamp"), F.col("close")))
+# Bars of one ticker-day ordered by (timestamp, close) with null closes last,
+# so non-null closes take positions 0..n-1 and lag over them reaches the
+# previous non-null close.
+DAY_ORDER = "PARTITION BY ticker, trade_date ORDER BY close IS NULL, timestamp, close"
 
 
 def sequence_view(bars: DataFrame) -> DataFrame:
@@ -23,21 +18,18 @@ def sequence_view(bars: DataFrame) -> DataFrame:
 
     One shuffle on (ticker, trade_date) and one sort; every window here
     shares it, and so does any aggregate on the same keys that follows.
-    Rows with a null close keep ``pos >= n_closes`` and a null ``prev_close``
-    for their own sake; sequence consumers filter ``pos < n_closes``.
+    Rows with a null close get ``pos >= n_closes``; sequence consumers keep
+    ``pos < n_closes``.
     """
-    w = day_order_window()
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return (
-        bars
-        .withColumn("pos", F.row_number().over(w) - 1)
-        .withColumn("prev_close", F.lag("close").over(w))
-        .withColumn("n_closes", F.count("close").over(whole))
+    return bars.select(
+        F.expr("*"),
+        F.expr(f"row_number() OVER ({DAY_ORDER}) - 1 AS pos"),
+        F.expr(f"lag(close) OVER ({DAY_ORDER}) AS prev_close"),
+        F.expr("count(close) OVER (PARTITION BY ticker, trade_date) AS n_closes"),
     )
 
 
 def close_points(bars: DataFrame) -> DataFrame:
     """(ticker, trade_date, pos, close) for the non-null closes only."""
-    return (sequence_view(bars)
-            .where(F.col("pos") < F.col("n_closes"))
-            .select(*DAY_KEYS, "pos", "close"))
+    return (sequence_view(bars).where("pos < n_closes")
+            .select(F.expr("ticker"), F.expr("trade_date"), F.expr("pos"), F.expr("close")))

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import MIN_CORR_POINTS
-from ..functions.numeric import pearson
+from ..functions.numeric import pearson_sql
 
 
-def slot_of(ts: str = "timestamp", slot_minutes: int = 1):
+def slot_sql(ts: str = "timestamp", slot_minutes: int = 1) -> str:
     """Integer slot of the day: floor(minute of day / slot_minutes)."""
-    return F.floor((F.hour(ts) * 60 + F.minute(ts)) / F.lit(slot_minutes)).cast("int")
+    return f"CAST(floor((hour({ts}) * 60 + minute({ts})) / {int(slot_minutes)}) AS INT)"
 
 
 def slot_returns(bars: DataFrame, slot_minutes: int = 1) -> DataFrame:
@@ -22,18 +22,18 @@ def slot_returns(bars: DataFrame, slot_minutes: int = 1) -> DataFrame:
     day, null for the first slot or a zero previous close. Both steps are
     windows on one (ticker, trade_date) partitioning: one shuffle.
     """
-    w = Window.partitionBy("ticker", "trade_date").orderBy("timestamp", "close")
     last_in_slot = (
-        bars.where(F.col("close").isNotNull())
-        .withColumn("slot", slot_of("timestamp", slot_minutes))
-        .withColumn("next_slot", F.lead("slot").over(w))
-        .where(F.col("next_slot").isNull() | (F.col("next_slot") != F.col("slot")))
+        bars.where("close IS NOT NULL")
+        .select(F.expr("ticker"), F.expr("trade_date"), F.expr("timestamp"), F.expr("close"),
+                F.expr(f"{slot_sql('timestamp', slot_minutes)} AS slot"))
+        .select(F.expr("*"), F.expr("lead(slot) OVER (PARTITION BY ticker, trade_date "
+                                    "ORDER BY timestamp, close) AS next_slot"))
+        .where("next_slot IS NULL OR next_slot <> slot")
     )
-    w_slot = Window.partitionBy("ticker", "trade_date").orderBy("slot")
-    prev = F.lag("close").over(w_slot)
+    prev = "lag(close) OVER (PARTITION BY ticker, trade_date ORDER BY slot)"
     return last_in_slot.select(
-        "ticker", "trade_date", "slot", F.col("close").alias("slot_close"),
-        F.try_divide(F.col("close") - prev, F.when(prev != 0, prev)).alias("slot_return"),
+        F.expr("ticker"), F.expr("trade_date"), F.expr("slot"), F.expr("close AS slot_close"),
+        F.expr(f"try_divide(close - {prev}, CASE WHEN {prev} <> 0 THEN {prev} END) AS slot_return"),
     )
 
 
@@ -46,14 +46,12 @@ def slot_return_corr(bars: DataFrame, slot_minutes: int = 1,
     common_slots, slot_corr (null below ``min_points`` or when flat).
     A join group is one (date, slot): at most one row per ticker.
     """
-    r = slot_returns(bars, slot_minutes).where(F.col("slot_return").isNotNull())
-    a = r.select(F.col("ticker").alias("ticker_a"), "trade_date", "slot", F.col("slot_return").alias("ret_a"))
-    b = r.select(F.col("ticker").alias("ticker_b"), F.col("trade_date").alias("trade_date_b"),
-                 F.col("slot").alias("slot_b"), F.col("slot_return").alias("ret_b"))
-    joined = a.join(b, (F.col("trade_date") == F.col("trade_date_b")) & (F.col("slot") == F.col("slot_b"))
-                    & (F.col("ticker_a") < F.col("ticker_b")), "inner")
-    n = F.count(F.lit(1))
+    r = slot_returns(bars, slot_minutes).where("slot_return IS NOT NULL")
+    a = r.select(F.expr("ticker AS ticker_a"), F.expr("trade_date"), F.expr("slot"), F.expr("slot_return AS ret_a"))
+    b = r.select(F.expr("ticker AS ticker_b"), F.expr("trade_date AS trade_date_b"), F.expr("slot AS slot_b"),
+                 F.expr("slot_return AS ret_b"))
+    joined = a.join(b, F.expr("trade_date = trade_date_b AND slot = slot_b AND ticker_a < ticker_b"), "inner")
     return joined.groupBy("ticker_a", "ticker_b", "trade_date").agg(
-        n.alias("common_slots"),
-        F.when(n >= min_points, pearson("ret_a", "ret_b")).alias("slot_corr"),
+        F.expr("count(1) AS common_slots"),
+        F.expr(f"CASE WHEN count(1) >= {min_points} THEN {pearson_sql('ret_a', 'ret_b')} END AS slot_corr"),
     )

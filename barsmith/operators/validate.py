@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 def bar_count_total(bars: DataFrame) -> DataFrame:
     """One row with the number of bars."""
-    return bars.agg(F.count(F.lit(1)).alias("total_rows"))
+    return bars.agg(F.expr("count(1) AS total_rows"))
 
 
 def distinct_tickers(bars: DataFrame) -> DataFrame:
     """The tickers present, one row each."""
-    return bars.select("ticker").distinct()
+    return bars.select(F.expr("ticker")).distinct()
 
 
 def validate_bars(bars: DataFrame, ordered: bool = True) -> DataFrame:
@@ -24,9 +24,6 @@ def validate_bars(bars: DataFrame, ordered: bool = True) -> DataFrame:
     carries one partial row per ticker-day and map task, the second one row
     per ticker-day, however many bars a hot ticker holds.
     """
-    per_day = bars.groupBy("ticker", "trade_date").agg(F.count(F.lit(1)).alias("n"))
-    out = per_day.groupBy("ticker").agg(
-        F.sum("n").alias("bar_count"),
-        F.count(F.lit(1)).alias("day_count"),
-    )
+    per_day = bars.groupBy("ticker", "trade_date").agg(F.expr("count(1) AS n"))
+    out = per_day.groupBy("ticker").agg(F.expr("sum(n) AS bar_count"), F.expr("count(1) AS day_count"))
     return out.orderBy("ticker") if ordered else out

@@ -24,10 +24,12 @@ PAIR_CHECK_COLUMNS = ("ticker_a", "ticker_b", "trade_date")
 
 
 def round_doubles(df: DataFrame, decimals: int = CHECK_DECIMALS) -> DataFrame:
+    doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
+    if not doubles:
+        return df
     return df.select(*[
-        F.round(F.col(f"`{f.name}`"), decimals).alias(f.name) if isinstance(f.dataType, T.DoubleType)
-        else F.col(f"`{f.name}`")
-        for f in df.schema.fields
+        F.expr(f"round(`{name}`, {decimals}) AS `{name}`") if name in doubles else F.expr(f"`{name}`")
+        for name in df.columns
     ])
 
 
@@ -87,8 +89,8 @@ def q_with_avg_volume(spark, sf):
 def q_classify_regime(spark, sf):
     daily = op.with_avg_volume_window(op.daily_bars(_bars(spark, sf)))
     return daily.select(
-        "ticker", "trade_date", "rsi",
-        F.try_divide(F.col("day_volume").cast("double"), F.col("avg_volume")).alias("volume_ratio"),
+        F.expr("ticker"), F.expr("trade_date"), F.expr("rsi"),
+        F.expr("try_divide(CAST(day_volume AS DOUBLE), avg_volume) AS volume_ratio"),
         classify_regime().alias("signal_regime"))
 
 
@@ -163,7 +165,7 @@ def q_transition_counts(spark, sf):
 
 
 def q_regime_ordinal(spark, sf):
-    return _report(spark, sf).select("ticker", "trade_date", "signal_regime",
+    return _report(spark, sf).select(F.expr("ticker"), F.expr("trade_date"), F.expr("signal_regime"),
                                      regime_ordinal().alias("regime_ordinal"))
 
 

@@ -91,54 +91,50 @@ def bars_from_events(events: DataFrame) -> DataFrame:
     (ticker, hour). The join of offsets back to events is on the same keys
     as the inner window, so both share one shuffle.
     """
-    steps = (
-        events
-        .where(~F.dayofweek("ts").isin(1, 7))
-        .select(
-            F.col("event_type").alias("ticker"),
-            F.col("ts"),
-            F.col("event_id"),
-            F.round(F.col("value") * 100).cast("long").alias("cents"),
-        )
-        .withColumn("step", F.col("cents") - F.lit(WALK_DRIFT_CENTS))
-        .withColumn("chunk", F.date_trunc("hour", "ts"))
+    steps = events.where("dayofweek(ts) NOT IN (1, 7)").select(
+        F.expr("event_type AS ticker"),
+        F.expr("ts"),
+        F.expr("event_id"),
+        F.expr("CAST(ROUND(value * 100) AS BIGINT) AS cents"),
+        F.expr(f"CAST(ROUND(value * 100) AS BIGINT) - {WALK_DRIFT_CENTS} AS step"),
+        F.expr("date_trunc('hour', ts) AS chunk"),
     )
     chunk_offsets = (
-        steps.groupBy("ticker", "chunk").agg(F.sum("step").alias("chunk_total"))
-        .withColumn(
-            "offset",
-            F.coalesce(
-                F.sum("chunk_total").over(
-                    Window.partitionBy("ticker").orderBy("chunk")
-                    .rowsBetween(Window.unboundedPreceding, -1)),
-                F.lit(0).cast("long"),
-            ),
+        steps.groupBy("ticker", "chunk").agg(F.expr("sum(step) AS chunk_total"))
+        .select(
+            F.expr("ticker"), F.expr("chunk"),
+            F.expr("coalesce(sum(chunk_total) OVER (PARTITION BY ticker ORDER BY chunk "
+                   "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS offset"),
         )
-        .drop("chunk_total")
     )
-    inner = (Window.partitionBy("ticker", "chunk").orderBy("ts", "event_id")
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    walk = (
-        steps.join(chunk_offsets, ["ticker", "chunk"], "inner")
-        .withColumn("c", F.lit(WALK_START_CENTS) + F.col("offset") + F.sum("step").over(inner))
+    walk = steps.join(chunk_offsets, ["ticker", "chunk"], "inner").select(
+        F.expr("*"),
+        F.expr(f"{WALK_START_CENTS} + offset + sum(step) OVER (PARTITION BY ticker, chunk "
+               "ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c"),
     )
-    open_ = (F.col("c") - F.col("step")).cast("double") / 100.0
-    close = F.col("c").cast("double") / 100.0
-    surge = F.when(F.dayofmonth("ts") % SURGE_DAY_MODULUS == 0, SURGE_FACTOR).otherwise(1)
     return walk.select(
-        F.col("ticker"),
-        F.to_date("ts").alias("trade_date"),
-        F.col("ts").alias("timestamp"),
-        open_.alias("open"),
-        F.greatest(open_, close).alias("high"),
-        F.least(open_, close).alias("low"),
-        close.alias("close"),
-        (F.col("cents") * surge).cast("long").alias("volume"),
+        F.expr("ticker"),
+        F.expr("CAST(ts AS DATE) AS trade_date"),
+        F.expr("ts AS timestamp"),
+        F.expr("CAST(c - step AS DOUBLE) / 100.0 AS open"),
+        F.expr("GREATEST(CAST(c - step AS DOUBLE), CAST(c AS DOUBLE)) / 100.0 AS high"),
+        F.expr("LEAST(CAST(c - step AS DOUBLE), CAST(c AS DOUBLE)) / 100.0 AS low"),
+        F.expr("CAST(c AS DOUBLE) / 100.0 AS close"),
+        F.expr(f"CAST(cents * CASE WHEN dayofmonth(ts) % {SURGE_DAY_MODULUS} = 0 "
+               f"THEN {SURGE_FACTOR} ELSE 1 END AS BIGINT) AS volume"),
     )
 
 
+# Column types of the driver's ``events`` table; passing them skips footer inference.
+EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+TABLE_SCHEMAS = {"events": EVENTS_SCHEMA}
+
+
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def fixture_bars(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,6 @@ import random
 
 import pytest
 from conftest import day_of, make_bars, wilder_rsi
-from pyspark.sql import functions as F
 
 from barsmith import operators as op
 
@@ -75,4 +74,4 @@ def test_array_form_handles_short_and_null(spark):
     df = spark.createDataFrame([([1.0, 2.0],), (None,)], "c array<double>")
     assert [r.r for r in df.select(op.rsi_of_array("c").alias("r")).collect()] == [None, None]
     df2 = spark.createDataFrame([([float(i) for i in range(15)],)], "c array<double>")
-    assert df2.select(op.rsi_of_array(F.col("c")).alias("r")).collect()[0].r == 100.0
+    assert df2.select(op.rsi_of_array("c").alias("r")).collect()[0].r == 100.0
