@@ -84,37 +84,38 @@ def bars_from_events(events: DataFrame) -> DataFrame:
     close = running sum, open = close before this step. All arithmetic is in
     integer cents until the final division, so any engine gets equal doubles.
 
-    The running sum over a ticker's whole history is computed as a two-level
-    prefix sum so no window holds a whole ticker: hour totals (one row per
-    ticker-hour) get their offsets from a window over that small table, and
-    the running sum inside each hour is a window partitioned by
-    (ticker, hour). The join of offsets back to events is on the same keys
-    as the inner window, so both share one shuffle.
+    The running sum over a ticker's whole history is a two-level prefix sum,
+    so no window holds a whole ticker: day totals (one row per ticker-day)
+    get their offsets from a window over that small table, and the running
+    sum inside each day is a window partitioned by (ticker, trade_date).
+    The output therefore leaves hash-partitioned by (ticker, trade_date),
+    which every daily roll-up and intraday sequence downstream reuses
+    without another shuffle of the bars.
     """
     steps = events.where("dayofweek(ts) NOT IN (1, 7)").select(
         F.expr("event_type AS ticker"),
+        F.expr("CAST(ts AS DATE) AS trade_date"),
         F.expr("ts"),
         F.expr("event_id"),
         F.expr("CAST(ROUND(value * 100) AS BIGINT) AS cents"),
         F.expr(f"CAST(ROUND(value * 100) AS BIGINT) - {WALK_DRIFT_CENTS} AS step"),
-        F.expr("date_trunc('hour', ts) AS chunk"),
     )
-    chunk_offsets = (
-        steps.groupBy("ticker", "chunk").agg(F.expr("sum(step) AS chunk_total"))
+    day_offsets = (
+        steps.groupBy("ticker", "trade_date").agg(F.expr("sum(step) AS day_total"))
         .select(
-            F.expr("ticker"), F.expr("chunk"),
-            F.expr("coalesce(sum(chunk_total) OVER (PARTITION BY ticker ORDER BY chunk "
+            F.expr("ticker"), F.expr("trade_date"),
+            F.expr("coalesce(sum(day_total) OVER (PARTITION BY ticker ORDER BY trade_date "
                    "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS offset"),
         )
     )
-    walk = steps.join(chunk_offsets, ["ticker", "chunk"], "inner").select(
+    walk = steps.join(day_offsets, ["ticker", "trade_date"], "inner").select(
         F.expr("*"),
-        F.expr(f"{WALK_START_CENTS} + offset + sum(step) OVER (PARTITION BY ticker, chunk "
+        F.expr(f"{WALK_START_CENTS} + offset + sum(step) OVER (PARTITION BY ticker, trade_date "
                "ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c"),
     )
     return walk.select(
         F.expr("ticker"),
-        F.expr("CAST(ts AS DATE) AS trade_date"),
+        F.expr("trade_date"),
         F.expr("ts AS timestamp"),
         F.expr("CAST(c - step AS DOUBLE) / 100.0 AS open"),
         F.expr("GREATEST(CAST(c - step AS DOUBLE), CAST(c AS DOUBLE)) / 100.0 AS high"),
