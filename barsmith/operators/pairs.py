@@ -12,6 +12,7 @@ from ..functions.numeric import intraday_return_sql, pearson_sql
 from .indicators import indicators
 from .ohlcv import daily_mean_close
 from .sequence import close_points
+from .series import DEFAULT_BLOCK, blocked_series, corr_from_moments_sql, pair_moments_sql
 
 PAIR_FIELDS = (("day_open", "open"), ("day_close", "close"), ("day_volume", "volume"), ("rsi", "rsi"))
 
@@ -60,42 +61,47 @@ def intraday_returns(pairs: DataFrame) -> DataFrame:
 
 
 def pair_correlation(bars: DataFrame, daily: DataFrame | None = None,
-                     min_points: int = MIN_CORR_POINTS) -> DataFrame:
+                     min_points: int = MIN_CORR_POINTS, block: int = DEFAULT_BLOCK) -> DataFrame:
     """Per (ticker_a < ticker_b, trade_date): intraday close correlation and returns.
 
     The correlation pairs the two days' closes by position in time order,
-    cut to the shorter day (the inner join on position *is* the cut), and
-    is the population Pearson coefficient; null below ``min_points`` common
-    positions or when either side is flat.
-
-    Plan: the day rows (position -1, carrying open/close/volume/rsi) and the
-    close points (positions 0..n-1) are one relation, joined to itself on
-    (trade_date, pos). No arrays, no Python, and every join group holds at
-    most one row per ticker, so a ticker with many bars adds positions, not
-    group size. Every pair that shares a date appears through its -1 rows.
-    The aggregate then folds the joined rows per pair-day.
+    cut to the shorter day, and is the population Pearson coefficient; null
+    below ``min_points`` common positions or when either side is flat.
+
+    Plan: each ticker-day's closes (centred on its first close) become
+    blocks of ``block`` positions (``blocked_series``, no shuffle on top of
+    the sequence window). Day rows (block -1, carrying open/close/volume/rsi)
+    and blocks are one relation, joined to itself on (trade_date, blk):
+    every join group holds at most one row per ticker, so a ticker with many
+    bars adds blocks, not group size, and every pair sharing a date appears
+    through its -1 rows. Each joined row folds its aligned slots into six
+    moments; the aggregate sums them per pair-day. No Python, and a block of
+    positions travels as one row.
     """
     if daily is None:
         daily = indicators(bars)
     types = {src: daily.schema[src].dataType.simpleString() for src, _ in PAIR_FIELDS}
     heads = daily.select(
-        F.expr("ticker"), F.expr("trade_date"), F.expr("-1 AS pos"), F.expr("CAST(NULL AS DOUBLE) AS pt"),
+        F.expr("ticker"), F.expr("trade_date"), F.expr("-1 AS blk"), F.expr("CAST(NULL AS ARRAY<DOUBLE>) AS xs"),
         *[F.expr(f"{src} AS {dst}") for src, dst in PAIR_FIELDS],
     )
-    points = close_points(bars).select(
-        F.expr("ticker"), F.expr("trade_date"), F.expr("CAST(pos AS INT) AS pos"), F.expr("close AS pt"),
-        *[F.expr(f"CAST(NULL AS {types[src]}) AS {dst}") for src, dst in PAIR_FIELDS],
-    )
-    rel = heads.unionByName(points)
-    extra = ["pos", "pt"]
-    a = _side(rel, "a", [(d, d) for _, d in PAIR_FIELDS], "trade_date", extra)
-    b = _side(rel, "b", [(d, d) for _, d in PAIR_FIELDS], "trade_date_b", extra)
-    joined = a.join(b, F.expr(_pair_condition(False, ("trade_date", "trade_date_b"), ("pos_a", "pos_b"))),
-                    "inner")
+    pts = close_points(bars).select(F.expr("ticker"), F.expr("trade_date"), F.expr("pos"),
+                                    F.expr("close - first_close AS x"))
+    blocks = blocked_series(pts, "pos", "x", block, dense=True).select(
+        F.expr("*"), *[F.expr(f"CAST(NULL AS {types[src]}) AS {dst}") for src, dst in PAIR_FIELDS])
+    # Shuffle the relation once on the join keys; both sides of the self-join
+    # read that one exchange instead of planning (and computing) it twice.
+    rel = heads.unionByName(blocks).repartition("trade_date", "blk")
+    fields = [(d, d) for _, d in PAIR_FIELDS]
+    a = _side(rel, "a", fields, "trade_date", ["blk", "xs"])
+    b = _side(rel, "b", fields, "trade_date_b", ["blk", "xs"])
+    joined = a.join(b, F.expr(_pair_condition(False, ("trade_date", "trade_date_b"), ("blk_a", "blk_b"))),
+                    "inner").select(F.expr("*"), F.expr(pair_moments_sql("xs_a", "xs_b") + " AS mo"))
+    sums = {k: f"sum(mo.{k})" for k in ("n", "sa", "sb", "saa", "sbb", "sab")}
     agg = joined.groupBy("ticker_a", "ticker_b", "trade_date").agg(
         *[F.expr(f"max({d}_{s}) AS {d}_{s}") for s in ("a", "b") for _, d in PAIR_FIELDS],
-        F.expr("count(pt_a) AS common_points"),
-        F.expr(f"CASE WHEN count(pt_a) >= {min_points} THEN {pearson_sql('pt_a', 'pt_b')} END AS intraday_corr"),
+        F.expr(f"coalesce({sums['n']}, 0) AS common_points"),
+        F.expr(corr_from_moments_sql(**sums, min_points=min_points) + " AS intraday_corr"),
     )
     return intraday_returns(agg)
 

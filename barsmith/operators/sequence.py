@@ -14,7 +14,8 @@ DAY_ORDER = "PARTITION BY ticker, trade_date ORDER BY close IS NULL, timestamp,
 
 
 def sequence_view(bars: DataFrame) -> DataFrame:
-    """Bars plus ``pos`` (0-based among non-null closes), ``prev_close`` and ``n_closes``.
+    """Bars plus ``pos`` (0-based among non-null closes), ``prev_close``, ``n_closes``
+    and the day's ``first_close``.
 
     One shuffle on (ticker, trade_date) and one sort; every window here
     shares it, and so does any aggregate on the same keys that follows.
@@ -26,10 +27,12 @@ def sequence_view(bars: DataFrame) -> DataFrame:
         F.expr(f"row_number() OVER ({DAY_ORDER}) - 1 AS pos"),
         F.expr(f"lag(close) OVER ({DAY_ORDER}) AS prev_close"),
         F.expr("count(close) OVER (PARTITION BY ticker, trade_date) AS n_closes"),
+        F.expr(f"first_value(close) OVER ({DAY_ORDER}) AS first_close"),
     )
 
 
 def close_points(bars: DataFrame) -> DataFrame:
-    """(ticker, trade_date, pos, close) for the non-null closes only."""
+    """(ticker, trade_date, pos, close, first_close) for the non-null closes only."""
     return (sequence_view(bars).where("pos < n_closes")
-            .select(F.expr("ticker"), F.expr("trade_date"), F.expr("pos"), F.expr("close")))
+            .select(F.expr("ticker"), F.expr("trade_date"), F.expr("pos"), F.expr("close"),
+                    F.expr("first_close")))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import MIN_CORR_POINTS
-from ..functions.numeric import pearson_sql
+from .series import DEFAULT_BLOCK, blocked_series, corr_from_moments_sql, pair_moments_sql
 
 
 def slot_sql(ts: str = "timestamp", slot_minutes: int = 1) -> str:
@@ -38,20 +38,26 @@ def slot_returns(bars: DataFrame, slot_minutes: int = 1) -> DataFrame:
 
 
 def slot_return_corr(bars: DataFrame, slot_minutes: int = 1,
-                     min_points: int = MIN_CORR_POINTS) -> DataFrame:
+                     min_points: int = MIN_CORR_POINTS, block: int = DEFAULT_BLOCK) -> DataFrame:
     """Per (ticker_a < ticker_b, trade_date): correlation of slot returns.
 
     Returns are aligned by clock slot, not by position, so gaps in one
     ticker do not shift the other. Columns: ticker_a, ticker_b, trade_date,
-    common_slots, slot_corr (null below ``min_points`` or when flat).
-    A join group is one (date, slot): at most one row per ticker.
+    common_slots (at least 1), slot_corr (null below ``min_points`` or when
+    flat). Slots travel in blocks of ``block`` (see ``series``): a join
+    group is one (date, block) with at most one row per ticker.
     """
     r = slot_returns(bars, slot_minutes).where("slot_return IS NOT NULL")
-    a = r.select(F.expr("ticker AS ticker_a"), F.expr("trade_date"), F.expr("slot"), F.expr("slot_return AS ret_a"))
-    b = r.select(F.expr("ticker AS ticker_b"), F.expr("trade_date AS trade_date_b"), F.expr("slot AS slot_b"),
-                 F.expr("slot_return AS ret_b"))
-    joined = a.join(b, F.expr("trade_date = trade_date_b AND slot = slot_b AND ticker_a < ticker_b"), "inner")
-    return joined.groupBy("ticker_a", "ticker_b", "trade_date").agg(
-        F.expr("count(1) AS common_slots"),
-        F.expr(f"CASE WHEN count(1) >= {min_points} THEN {pearson_sql('ret_a', 'ret_b')} END AS slot_corr"),
-    )
+    blocks = blocked_series(r, "slot", "slot_return", block).repartition("trade_date", "blk")
+    a = blocks.select(F.expr("ticker AS ticker_a"), F.expr("trade_date"), F.expr("blk AS blk_a"),
+                      F.expr("xs AS xs_a"))
+    b = blocks.select(F.expr("ticker AS ticker_b"), F.expr("trade_date AS trade_date_b"), F.expr("blk AS blk_b"),
+                      F.expr("xs AS xs_b"))
+    joined = a.join(b, F.expr("trade_date = trade_date_b AND blk_a = blk_b AND ticker_a < ticker_b"), "inner")
+    sums = {k: f"sum(mo.{k})" for k in ("n", "sa", "sb", "saa", "sbb", "sab")}
+    return (joined.select(F.expr("ticker_a"), F.expr("ticker_b"), F.expr("trade_date"),
+                          F.expr(pair_moments_sql("xs_a", "xs_b") + " AS mo"))
+            .groupBy("ticker_a", "ticker_b", "trade_date")
+            .agg(F.expr(f"{sums['n']} AS common_slots"),
+                 F.expr(corr_from_moments_sql(**sums, min_points=min_points) + " AS slot_corr"))
+            .where("common_slots > 0"))

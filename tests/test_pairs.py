@@ -112,3 +112,34 @@ def test_daily_close_corr_flat_is_null(spark):
     m = op.corr_matrix(make_bars(spark, rows)).collect()
     assert [r.ticker_a for r in m] == ["A", "B", "C"]
     assert m[1]["B"] == 1.0 and m[1]["C"] == pytest.approx(1.0)
+
+
+@pytest.mark.parametrize("block", [1, 3, 7, 64, 4096])
+def test_block_size_does_not_change_the_statistic(spark, block):
+    rng = random.Random(13)
+    rows = []
+    series = {}
+    for t in ("A", "B", "C"):
+        n = {"A": 25, "B": 40, "C": 11}[t]
+        xs = [100000.0 + round(rng.uniform(-50, 50), 2) for _ in range(n)]
+        series[t] = xs
+        rows += day_of(xs, ticker=t)
+    got = {(r.ticker_a, r.ticker_b): (r.common_points, r.intraday_corr)
+           for r in op.pair_correlation(make_bars(spark, rows), block=block).collect()}
+    for a, b in (("A", "B"), ("A", "C"), ("B", "C")):
+        n = min(len(series[a]), len(series[b]))
+        assert got[(a, b)][0] == n
+        assert got[(a, b)][1] == pytest.approx(np.corrcoef(series[a][:n], series[b][:n])[0, 1], abs=1e-9)
+
+
+@pytest.mark.parametrize("block", [1, 5, 64])
+def test_slot_corr_block_size_invariant(spark, block):
+    rng = random.Random(21)
+    a = [100 + rng.uniform(-1, 1) for _ in range(40)]
+    b = [50 + rng.uniform(-1, 1) for _ in range(40)]
+    rows = [r for k, r in enumerate(day_of(a, ticker="A")) if k % 7 != 3]
+    rows += [r for k, r in enumerate(day_of(b, ticker="B")) if k % 5 != 2]
+    base = op.slot_return_corr(make_bars(spark, rows), slot_minutes=1, min_points=5, block=1).collect()[0]
+    got = op.slot_return_corr(make_bars(spark, rows), slot_minutes=1, min_points=5, block=block).collect()[0]
+    assert got.common_slots == base.common_slots
+    assert got.slot_corr == pytest.approx(base.slot_corr, abs=1e-12)
