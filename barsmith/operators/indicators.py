@@ -37,22 +37,26 @@ def with_avg_volume_window(daily: DataFrame) -> DataFrame:
     return daily.select(F.expr("*"), F.expr("avg(day_volume) OVER (PARTITION BY ticker) AS avg_volume"))
 
 
-def daily_bars(bars: DataFrame, period: int = RSI_PERIOD) -> DataFrame:
+def daily_bars(bars: DataFrame, period: int = RSI_PERIOD, split_minutes: int | None = None) -> DataFrame:
     """OHLCV and RSI per ticker-day from one shuffle of the bars.
 
     The sequence window partitions the bars by (ticker, trade_date); the
-    aggregate on those keys reuses that partitioning and sort order.
+    aggregate on those keys reuses that partitioning and sort order. With
+    ``split_minutes`` the windows run per day chunk and the aggregate
+    combines partial results per chunk before its shuffle.
     """
-    return sequence_view(bars).groupBy(*DAY_KEYS).agg(*ohlcv_aggregates(), *rsi_aggregates(period))
+    return (sequence_view(bars, split_minutes).groupBy(*DAY_KEYS)
+            .agg(*ohlcv_aggregates(), *rsi_aggregates(period)))
 
 
-def indicators(bars: DataFrame, period: int = RSI_PERIOD, **regime_args) -> DataFrame:
+def indicators(bars: DataFrame, period: int = RSI_PERIOD, split_minutes: int | None = None,
+               **regime_args) -> DataFrame:
     """Daily rows with avg_volume, rsi and signal_regime.
 
     Columns: ticker, trade_date, day_open, day_close, day_high, day_low,
     day_volume, bar_count, avg_volume, rsi, signal_regime.
     """
-    return daily_bars(bars, period).select(
+    return daily_bars(bars, period, split_minutes).select(
         *[F.expr(c) for c in DAILY_COLUMNS],
         F.expr("avg(day_volume) OVER (PARTITION BY ticker) AS avg_volume"),
         F.expr("rsi"),

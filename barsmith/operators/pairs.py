@@ -61,7 +61,8 @@ def intraday_returns(pairs: DataFrame) -> DataFrame:
 
 
 def pair_correlation(bars: DataFrame, daily: DataFrame | None = None,
-                     min_points: int = MIN_CORR_POINTS, block: int = DEFAULT_BLOCK) -> DataFrame:
+                     min_points: int = MIN_CORR_POINTS, block: int = DEFAULT_BLOCK,
+                     split_minutes: int | None = None) -> DataFrame:
     """Per (ticker_a < ticker_b, trade_date): intraday close correlation and returns.
 
     The correlation pairs the two days' closes by position in time order,
@@ -79,13 +80,13 @@ def pair_correlation(bars: DataFrame, daily: DataFrame | None = None,
     positions travels as one row.
     """
     if daily is None:
-        daily = indicators(bars)
+        daily = indicators(bars, split_minutes=split_minutes)
     types = {src: daily.schema[src].dataType.simpleString() for src, _ in PAIR_FIELDS}
     heads = daily.select(
         F.expr("ticker"), F.expr("trade_date"), F.expr("-1 AS blk"), F.expr("CAST(NULL AS ARRAY<DOUBLE>) AS xs"),
         *[F.expr(f"{src} AS {dst}") for src, dst in PAIR_FIELDS],
     )
-    pts = close_points(bars).select(F.expr("ticker"), F.expr("trade_date"), F.expr("pos"),
+    pts = close_points(bars, split_minutes).select(F.expr("ticker"), F.expr("trade_date"), F.expr("pos"),
                                     F.expr("close - first_close AS x"))
     blocks = blocked_series(pts, "pos", "x", block, dense=True).select(
         F.expr("*"), *[F.expr(f"CAST(NULL AS {types[src]}) AS {dst}") for src, dst in PAIR_FIELDS])

@@ -36,9 +36,9 @@ def rsi_aggregates(period: int = RSI_PERIOD) -> list[Column]:
     return [F.expr(rsi_from_sums_sql(gain, loss, "max(n_closes) - 1", period) + " AS rsi")]
 
 
-def intraday_rsi(bars: DataFrame, period: int = RSI_PERIOD) -> DataFrame:
+def intraday_rsi(bars: DataFrame, period: int = RSI_PERIOD, split_minutes: int | None = None) -> DataFrame:
     """(ticker, trade_date, rsi): RSI of each day's closes in time order, restarting daily."""
-    return sequence_view(bars).groupBy(*DAY_KEYS).agg(*rsi_aggregates(period))
+    return sequence_view(bars, split_minutes).groupBy(*DAY_KEYS).agg(*rsi_aggregates(period))
 
 
 def rsi_of_array(closes: str, period: int = RSI_PERIOD) -> Column:

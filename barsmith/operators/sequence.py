@@ -13,26 +13,65 @@ DAY_KEYS = ("ticker", "trade_date")
 DAY_ORDER = "PARTITION BY ticker, trade_date ORDER BY close IS NULL, timestamp, close"
 
 
-def sequence_view(bars: DataFrame) -> DataFrame:
+def sequence_view(bars: DataFrame, split_minutes: int | None = None) -> DataFrame:
     """Bars plus ``pos`` (0-based among non-null closes), ``prev_close``, ``n_closes``
     and the day's ``first_close``.
 
-    One shuffle on (ticker, trade_date) and one sort; every window here
-    shares it, and so does any aggregate on the same keys that follows.
-    Rows with a null close get ``pos >= n_closes``; sequence consumers keep
-    ``pos < n_closes``.
+    Default: one shuffle on (ticker, trade_date) and one sort; every window
+    here shares it, and so does any aggregate on the same keys that follows.
+    A ticker-day of bars is bounded (at most 1,440 minute bars).
+
+    ``split_minutes=k`` is for series whose single days can be huge (tick
+    data, a hot key): the day is cut into k-minute chunks, chunk totals get
+    their offsets and carried-over previous close from a window over the
+    small chunk table, and the row windows run per (ticker, trade_date,
+    chunk). Same columns and values; one hot day becomes many tasks.
+
+    Rows with a null close get a position at or beyond ``n_closes`` (default)
+    or null (split); sequence consumers keep ``pos < n_closes``.
     """
-    return bars.select(
-        F.expr("*"),
-        F.expr(f"row_number() OVER ({DAY_ORDER}) - 1 AS pos"),
-        F.expr(f"lag(close) OVER ({DAY_ORDER}) AS prev_close"),
-        F.expr("count(close) OVER (PARTITION BY ticker, trade_date) AS n_closes"),
-        F.expr(f"first_value(close) OVER ({DAY_ORDER}) AS first_close"),
+    if not split_minutes:
+        return bars.select(
+            F.expr("*"),
+            F.expr(f"row_number() OVER ({DAY_ORDER}) - 1 AS pos"),
+            F.expr(f"lag(close) OVER ({DAY_ORDER}) AS prev_close"),
+            F.expr("count(close) OVER (PARTITION BY ticker, trade_date) AS n_closes"),
+            F.expr(f"first_value(close) OVER ({DAY_ORDER}) AS first_close"),
+        )
+    cols = bars.columns
+    chunk = (f"CAST(floor((date_diff(CAST(timestamp AS DATE), trade_date) * 1440 + hour(timestamp) * 60 "
+             f"+ minute(timestamp)) / {int(split_minutes)}) AS BIGINT)")
+    pts = bars.select(F.expr("*"), F.expr(f"{chunk} AS _chunk"))
+    pt = "CASE WHEN close IS NOT NULL THEN named_struct('t', timestamp, 'c', close) END"
+    before = "PARTITION BY ticker, trade_date ORDER BY _chunk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    chunks = (
+        pts.groupBy("ticker", "trade_date", "_chunk")
+        .agg(F.expr("count(close) AS _cnt"), F.expr(f"max({pt}).c AS _last"), F.expr(f"min({pt}).c AS _first"))
+        .select(
+            F.expr("ticker"), F.expr("trade_date"), F.expr("_chunk"),
+            F.expr(f"coalesce(sum(_cnt) OVER ({before}), 0) AS _offset"),
+            F.expr(f"last(_last, true) OVER ({before}) AS _carry"),
+            F.expr("sum(_cnt) OVER (PARTITION BY ticker, trade_date) AS n_closes"),
+            F.expr("first(_first, true) OVER (PARTITION BY ticker, trade_date ORDER BY _chunk "
+                   "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS first_close"),
+        )
+    )
+    order = "PARTITION BY ticker, trade_date, _chunk ORDER BY close IS NULL, timestamp, close"
+    return (
+        pts.join(chunks, ["ticker", "trade_date", "_chunk"], "inner")
+        .repartition("ticker", "trade_date", "_chunk")
+        .select(
+            *[F.expr(f"`{c}`") for c in cols],
+            F.expr(f"CASE WHEN close IS NOT NULL THEN _offset + row_number() OVER ({order}) - 1 END AS pos"),
+            F.expr(f"CASE WHEN close IS NOT NULL THEN coalesce(lag(close) OVER ({order}), _carry) END AS prev_close"),
+            F.expr("n_closes"),
+            F.expr("first_close"),
+        )
     )
 
 
-def close_points(bars: DataFrame) -> DataFrame:
+def close_points(bars: DataFrame, split_minutes: int | None = None) -> DataFrame:
     """(ticker, trade_date, pos, close, first_close) for the non-null closes only."""
-    return (sequence_view(bars).where("pos < n_closes")
+    return (sequence_view(bars, split_minutes).where("pos < n_closes")
             .select(F.expr("ticker"), F.expr("trade_date"), F.expr("pos"), F.expr("close"),
                     F.expr("first_close")))

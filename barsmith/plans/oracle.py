@@ -245,6 +245,7 @@ def oracle_sql() -> dict[str, str]:
         "classify_regime": _q(BASE_IND, "SELECT ticker, trade_date, rsi, day_volume / avg_volume AS volume_ratio, "
                                         "signal_regime FROM ind", ("rsi", "volume_ratio"), R),
         "indicators": _q(BASE_IND, "SELECT * FROM ind", IND_DOUBLES, R),
+        "indicators_split": _q(BASE_IND, "SELECT * FROM ind", IND_DOUBLES, R),
         "signal_report": _q(BASE_REPORT, f"SELECT {REPORT_COLUMNS} FROM report", REPORT_DOUBLES, R),
         "regime_changes": _q(BASE_REPORT, "SELECT ticker, trade_date, prev_regime, signal_regime, rsi, day_return_pct "
                                           "FROM report WHERE regime_changed ORDER BY trade_date, ticker",

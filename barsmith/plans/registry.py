@@ -98,6 +98,11 @@ def q_indicators(spark, sf):
     return _ind(spark, sf)
 
 
+def q_indicators_split(spark, sf):
+    # Same result through the hot-day path: windows per 60-minute chunk of each day.
+    return op.indicators(_bars(spark, sf), split_minutes=60)
+
+
 def q_signal_report(spark, sf):
     return _report(spark, sf)
 

@@ -75,3 +75,23 @@ def test_array_form_handles_short_and_null(spark):
     assert [r.r for r in df.select(op.rsi_of_array("c").alias("r")).collect()] == [None, None]
     df2 = spark.createDataFrame([([float(i) for i in range(15)],)], "c array<double>")
     assert df2.select(op.rsi_of_array("c").alias("r")).collect()[0].r == 100.0
+
+
+@pytest.mark.parametrize("split", [1, 7, 60])
+def test_split_day_sequence_is_identical(spark, split):
+    rng = random.Random(17)
+    rows = []
+    for t in ("A", "B"):
+        for d in ("2024-01-02", "2024-01-03"):
+            closes = [round(100 + rng.uniform(-3, 3), 2) for _ in range(90)]
+            rows += day_of(closes, ticker=t, day=d, start_minute=600)
+    rows.append(("A", "2024-01-02", 640, 1.0, None, 5))        # a null close mid-day
+    rows.append(("B", "2024-01-03", 650, 9.0, 9.5, 5))         # a timestamp tie
+    bars = make_bars(spark, rows)
+    cols = ["ticker", "trade_date", "timestamp", "close", "pos", "prev_close", "n_closes", "first_close"]
+    base = sorted(tuple(r) for r in op.sequence_view(bars).where("pos < n_closes").select(*cols).collect())
+    got = sorted(tuple(r) for r in op.sequence_view(bars, split).where("pos < n_closes").select(*cols).collect())
+    assert got == base
+    def rounded(df):
+        return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect())
+    assert rounded(op.indicators(bars)) == rounded(op.indicators(bars, split_minutes=split))
