@@ -62,3 +62,15 @@ def staging_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     return f"{shared_dir(spark)}/barsmith-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stage(df, eager: bool = True):
+    """Cut a frame's lineage with a reliable checkpoint in the shared folder.
+
+    For tables read by several later stages: they read the checkpoint files
+    instead of replaying the plan, and a lost executor costs a re-read, not a
+    recomputation from the source. (Not ``localCheckpoint``: its blocks die
+    with the executor that holds them.)
+    """
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=eager)
