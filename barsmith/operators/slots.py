@@ -17,18 +17,17 @@ def slot_sql(ts: str = "timestamp", slot_minutes: int = 1) -> str:
 def slot_returns(bars: DataFrame, slot_minutes: int = 1) -> DataFrame:
     """(ticker, trade_date, slot, slot_close, slot_return) per occupied slot.
 
-    slot_close is the last close in the slot by (timestamp, close);
-    slot_return = slot_close / previous occupied slot's close - 1 within the
-    day, null for the first slot or a zero previous close. Both steps are
-    windows on one (ticker, trade_date) partitioning: one shuffle.
+    slot_close is the last close in the slot by (timestamp, close), an
+    aggregate on (ticker, trade_date, slot): combined map-side, so a hot
+    ticker-day is reduced before any shuffle (and bars already partitioned by
+    ticker-day need none). slot_return = slot_close / previous occupied
+    slot's close - 1 within the day, null for the first slot or a zero
+    previous close; that window runs over slot rows (at most 1,440 a day).
     """
     last_in_slot = (
         bars.where("close IS NOT NULL")
-        .select(F.expr("ticker"), F.expr("trade_date"), F.expr("timestamp"), F.expr("close"),
-                F.expr(f"{slot_sql('timestamp', slot_minutes)} AS slot"))
-        .select(F.expr("*"), F.expr("lead(slot) OVER (PARTITION BY ticker, trade_date "
-                                    "ORDER BY timestamp, close) AS next_slot"))
-        .where("next_slot IS NULL OR next_slot <> slot")
+        .groupBy(F.expr("ticker"), F.expr("trade_date"), F.expr(f"{slot_sql('timestamp', slot_minutes)} AS slot"))
+        .agg(F.expr("max(named_struct('t', timestamp, 'c', close)).c AS close"))
     )
     prev = "lag(close) OVER (PARTITION BY ticker, trade_date ORDER BY slot)"
     return last_in_slot.select(
