@@ -63,17 +63,20 @@ def regime_matrix(report: DataFrame, dates: Sequence[str] | None = None,
     return pivoted.orderBy("ticker")
 
 
+def _sql_string(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def corr_matrix(bars: DataFrame, tickers: Sequence[str] | None = None,
                 decimals: int | None = None) -> DataFrame:
     """Ticker x ticker matrix of daily-mean-close correlations, diagonal 1.0.
 
     Rows (``ticker_a``) and columns are ordered by ticker. ``decimals``
-    rounds the cells as the chart annotations do.
+    rounds the cells as the chart annotations do. Ordered pairs are
+    symmetric, so a ticker has a row exactly when it has a column; the
+    diagonal is set after the pivot, with no second pass over the pairs.
     """
-    long = daily_close_corr(bars, ordered=True)
-    diag = long.select(F.expr("ticker_a")).distinct().select(
-        F.expr("ticker_a"), F.expr("ticker_a AS ticker_b"), F.expr("1D AS correlation"))
-    cells = long.unionByName(diag)
+    cells = daily_close_corr(bars, ordered=True)
     if decimals is not None:
         cells = cells.select(F.expr("ticker_a"), F.expr("ticker_b"),
                              F.expr(f"round(correlation, {int(decimals)}) AS correlation"))
@@ -83,4 +86,6 @@ def corr_matrix(bars: DataFrame, tickers: Sequence[str] | None = None,
                else grouped.pivot("ticker_b")).agg(F.expr("max(correlation)"))
     if names is None:
         names = sorted(c for c in pivoted.columns if c != "ticker_a")
-    return pivoted.select("ticker_a", *names).orderBy("ticker_a")
+    diag = [F.expr(f"CASE WHEN ticker_a = {_sql_string(t)} THEN 1D ELSE `{t.replace('`', '``')}` END")
+            .alias(t) for t in names]
+    return pivoted.select(F.expr("ticker_a"), *diag).orderBy("ticker_a")

@@ -143,3 +143,12 @@ def test_slot_corr_block_size_invariant(spark, block):
     got = op.slot_return_corr(make_bars(spark, rows), slot_minutes=1, min_points=5, block=block).collect()[0]
     assert got.common_slots == base.common_slots
     assert got.slot_corr == pytest.approx(base.slot_corr, abs=1e-12)
+
+
+def test_corr_matrix_quoted_ticker_names(spark):
+    rows = []
+    for i, d in enumerate(("2024-01-02", "2024-01-03", "2024-01-04")):
+        rows += day_of([float(i)], ticker="O'X", day=d) + day_of([float(3 * i + 1)], ticker="B`Q", day=d)
+    m = {r.ticker_a: r for r in op.corr_matrix(make_bars(spark, rows)).collect()}
+    assert m["O'X"]["O'X"] == 1.0 and m["B`Q"]["B`Q"] == 1.0
+    assert m["O'X"]["B`Q"] == pytest.approx(1.0)
