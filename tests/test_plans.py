@@ -55,3 +55,33 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
     plan = physical_plan(ev.where(F.col("event_type") == "click").select("ts"))
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,click)]" in plan
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string>" in plan
+
+
+def _plain_bars(spark):
+    from conftest import day_of, make_bars
+    return make_bars(spark, day_of([1.0, 2.0, 3.0]) + day_of([2.0, 1.0], ticker="B")
+                     + day_of([5.0, 6.0], day="2024-01-03"))
+
+
+def test_ohlcv_is_one_shuffle_with_partial_aggregation(spark):
+    plan = physical_plan(op.daily_ohlcv(_plain_bars(spark)))
+    assert count_nodes(plan, "Exchange") == 1, plan
+    assert "partial_min" in plan and "partial_sum" in plan, plan
+
+
+def test_validation_shuffle_budget(spark):
+    plan = physical_plan(op.validate_bars(_plain_bars(spark)))
+    # ticker-day counts, per-ticker counts, ordered output
+    assert count_nodes(plan, "Exchange") <= 3, plan
+    approx = physical_plan(op.validate_bars(_plain_bars(spark), exact=False))
+    assert count_nodes(approx, "Exchange") <= 2, approx
+    rows = {r.ticker: (r.bar_count, r.day_count) for r in op.validate_bars(_plain_bars(spark), exact=False).collect()}
+    assert rows == {"AAA": (5, 2), "B": (2, 1)}
+
+
+def test_pairs_plan_has_one_exchange_for_both_join_sides(spark):
+    bars = _plain_bars(spark)
+    df = op.pair_correlation(bars, op.daily_ohlcv(bars).selectExpr("*", "CAST(NULL AS DOUBLE) AS rsi"))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
