@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import MIN_CORR_POINTS, STRONG_CORR, TOP_PAIRS
+from ..constants import MIN_CORR_POINTS, RSI_PERIOD, STRONG_CORR, TOP_PAIRS
 from ..functions.numeric import intraday_return_sql, pearson_sql
-from .indicators import indicators
+from .rsi import rsi_from_sums_sql
 from .ohlcv import daily_mean_close
-from .sequence import close_points
+from .sequence import close_points, sequence_view
 from .series import DEFAULT_BLOCK, blocked_series, corr_from_moments_sql, pair_moments_sql
 
 PAIR_FIELDS = (("day_open", "open"), ("day_close", "close"), ("day_volume", "volume"), ("rsi", "rsi"))
@@ -60,19 +60,66 @@ def intraday_returns(pairs: DataFrame) -> DataFrame:
                         F.expr(f"abs(({ra}) - ({rb})) AS return_diff"))
 
 
+def _pair_relation_from_bars(bars: DataFrame, period: int, block: int,
+                             split_minutes: int | None) -> DataFrame:
+    """Day rows (blk -1) and close blocks from one pass over the bars.
+
+    The block aggregate also keeps mergeable day partials (earliest open and
+    latest close as structs, volume, weighted RSI gain/loss sums); a window
+    over the block rows of each ticker-day, on the same partitioning, merges
+    them; ``inline`` then emits each block row and, once per ticker-day, the
+    day row. One lineage, so the bars are read and shuffled once.
+    """
+    seq = sequence_view(bars, split_minutes)
+    r = f"CAST({period - 1} AS DOUBLE) / {period}"
+    w = f"pow({r}, CAST(n_closes - 1 - greatest(pos, {period}) AS DOUBLE))"
+    d = "(close - prev_close)"
+    is_diff = "pos >= 1 AND pos < n_closes"
+    blk = seq.groupBy(F.expr("ticker"), F.expr("trade_date"), F.expr(f"CAST(floor(pos / {block}) AS INT) AS blk")).agg(
+        F.expr("transform(sort_array(collect_list(CASE WHEN pos < n_closes "
+               "THEN named_struct('i', pos, 'x', close - first_close) END)), e -> e.x) AS xs"),
+        F.expr("min(named_struct('t', timestamp, 'p', open)) AS o"),
+        F.expr("max(named_struct('t', timestamp, 'p', close)) AS c"),
+        F.expr("sum(volume) AS v"),
+        F.expr(f"sum(CASE WHEN {is_diff} AND {d} > 0 THEN {w} * {d} END) AS g"),
+        F.expr(f"sum(CASE WHEN {is_diff} AND {d} <= 0 THEN {w} * -{d} END) AS l"),
+        F.expr("max(n_closes) AS n"),
+    )
+    vol_type = blk.schema["v"].dataType.simpleString()
+    day = "PARTITION BY ticker, trade_date"
+    merged = blk.select(
+        F.expr("ticker"), F.expr("trade_date"), F.expr("blk"), F.expr("xs"),
+        F.expr(f"min(o) OVER ({day}) AS day_o"), F.expr(f"max(c) OVER ({day}) AS day_c"),
+        F.expr(f"sum(v) OVER ({day}) AS day_volume"),
+        F.expr(rsi_from_sums_sql(f"sum(g) OVER ({day})", f"sum(l) OVER ({day})",
+                                 f"max(n) OVER ({day}) - 1", period) + " AS rsi"),
+        F.expr(f"row_number() OVER ({day} ORDER BY blk) AS rn"),
+    )
+    block_row = ("named_struct('blk', blk, 'xs', xs, 'open', CAST(NULL AS DOUBLE), 'close', CAST(NULL AS DOUBLE), "
+                 f"'volume', CAST(NULL AS {vol_type}), 'rsi', CAST(NULL AS DOUBLE))")
+    day_row = ("named_struct('blk', -1, 'xs', CAST(NULL AS ARRAY<DOUBLE>), 'open', day_o.p, 'close', day_c.p, "
+               "'volume', day_volume, 'rsi', rsi)")
+    return merged.select(
+        F.expr("ticker"), F.expr("trade_date"),
+        F.expr(f"inline(filter(array(CASE WHEN blk IS NOT NULL AND size(xs) > 0 THEN {block_row} END, "
+               f"CASE WHEN rn = 1 THEN {day_row} END), e -> e IS NOT NULL))"),
+    )
+
+
 def pair_correlation(bars: DataFrame, daily: DataFrame | None = None,
                      min_points: int = MIN_CORR_POINTS, block: int = DEFAULT_BLOCK,
-                     split_minutes: int | None = None) -> DataFrame:
+                     split_minutes: int | None = None, period: int = RSI_PERIOD) -> DataFrame:
     """Per (ticker_a < ticker_b, trade_date): intraday close correlation and returns.
 
     The correlation pairs the two days' closes by position in time order,
     cut to the shorter day, and is the population Pearson coefficient; null
-    below ``min_points`` common positions or when either side is flat.
+    below ``min_points`` common positions or when either side is flat. The
+    day fields (open, close, volume, rsi) come from ``daily`` when given (a
+    staged indicator table), else from the same pass over the bars.
 
     Plan: each ticker-day's closes (centred on its first close) become
-    blocks of ``block`` positions (``blocked_series``, no shuffle on top of
-    the sequence window). Day rows (block -1, carrying open/close/volume/rsi)
-    and blocks are one relation, joined to itself on (trade_date, blk):
+    blocks of ``block`` positions; day rows (block -1) and blocks form one
+    relation, shuffled once on (trade_date, blk) and joined to itself:
     every join group holds at most one row per ticker, so a ticker with many
     bars adds blocks, not group size, and every pair sharing a date appears
     through its -1 rows. Each joined row folds its aligned slots into six
@@ -80,19 +127,22 @@ def pair_correlation(bars: DataFrame, daily: DataFrame | None = None,
     positions travels as one row.
     """
     if daily is None:
-        daily = indicators(bars, split_minutes=split_minutes)
-    types = {src: daily.schema[src].dataType.simpleString() for src, _ in PAIR_FIELDS}
-    heads = daily.select(
-        F.expr("ticker"), F.expr("trade_date"), F.expr("-1 AS blk"), F.expr("CAST(NULL AS ARRAY<DOUBLE>) AS xs"),
-        *[F.expr(f"{src} AS {dst}") for src, dst in PAIR_FIELDS],
-    )
-    pts = close_points(bars, split_minutes).select(F.expr("ticker"), F.expr("trade_date"), F.expr("pos"),
-                                    F.expr("close - first_close AS x"))
-    blocks = blocked_series(pts, "pos", "x", block, dense=True).select(
-        F.expr("*"), *[F.expr(f"CAST(NULL AS {types[src]}) AS {dst}") for src, dst in PAIR_FIELDS])
+        rel = _pair_relation_from_bars(bars, period, block, split_minutes)
+    else:
+        types = {src: daily.schema[src].dataType.simpleString() for src, _ in PAIR_FIELDS}
+        heads = daily.select(
+            F.expr("ticker"), F.expr("trade_date"), F.expr("-1 AS blk"),
+            F.expr("CAST(NULL AS ARRAY<DOUBLE>) AS xs"),
+            *[F.expr(f"{src} AS {dst}") for src, dst in PAIR_FIELDS],
+        )
+        pts = close_points(bars, split_minutes).select(F.expr("ticker"), F.expr("trade_date"), F.expr("pos"),
+                                                       F.expr("close - first_close AS x"))
+        blocks = blocked_series(pts, "pos", "x", block, dense=True).select(
+            F.expr("*"), *[F.expr(f"CAST(NULL AS {types[src]}) AS {dst}") for src, dst in PAIR_FIELDS])
+        rel = heads.unionByName(blocks)
     # Shuffle the relation once on the join keys; both sides of the self-join
     # read that one exchange instead of planning (and computing) it twice.
-    rel = heads.unionByName(blocks).repartition("trade_date", "blk")
+    rel = rel.repartition("trade_date", "blk")
     fields = [(d, d) for _, d in PAIR_FIELDS]
     a = _side(rel, "a", fields, "trade_date", ["blk", "xs"])
     b = _side(rel, "b", fields, "trade_date_b", ["blk", "xs"])

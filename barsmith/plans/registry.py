@@ -46,8 +46,7 @@ def _report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _correlated(spark: SparkSession, sf: str) -> DataFrame:
-    bars = _bars(spark, sf)
-    return op.pair_correlation(bars, op.indicators(bars))
+    return op.pair_correlation(_bars(spark, sf))
 
 
 def q_scan_bars(spark, sf):
