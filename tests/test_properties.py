@@ -66,3 +66,24 @@ def test_ohlc_bounds_on_fixture(spark):
                   "OR day_low <= 0").count()
     assert bad == 0
     assert np.isfinite([r.day_close for r in d.collect()]).all()
+
+
+def test_correlation_invariant_to_price_scale(spark):
+    rng = random.Random(31)
+    rows, scaled = [], []
+    for t, k in (("A", 3.0), ("B", 0.25)):
+        closes = [round(100 + rng.uniform(-4, 4), 2) for _ in range(30)]
+        rows += day_of(closes, ticker=t)
+        scaled += day_of([c * k for c in closes], ticker=t)
+    a = op.pair_correlation(make_bars(spark, rows)).collect()[0].intraday_corr
+    b = op.pair_correlation(make_bars(spark, scaled)).collect()[0].intraday_corr
+    assert b == pytest.approx(a, abs=1e-9)
+
+
+def test_calendar_changes_are_a_subset_of_row_changes(spark):
+    from barsmith.sources import fixture_bars
+    ind = op.indicators(fixture_bars(spark, "/root/testdata/sf0.01"))
+    row = op.regime_changes(op.signal_report(ind)).select("ticker", "trade_date")
+    cal = op.regime_changes(op.calendar_lag_report(ind)).select("ticker", "trade_date")
+    assert cal.exceptAll(row).count() == 0
+    assert row.count() - cal.count() == op.missed_transitions(ind).count() == 14
