@@ -98,8 +98,9 @@ def q_indicators(spark, sf):
 
 
 def q_indicators_split(spark, sf):
-    # Same result through the hot-day path: windows per 60-minute chunk of each day.
-    return op.indicators(_bars(spark, sf), split_minutes=60)
+    # Same result through the hot-day path: no window holds a whole ticker-day,
+    # in the events mapping or in the intraday sequence (60-minute chunks).
+    return op.indicators(fixture_bars(spark, sf, split_minutes=60), split_minutes=60)
 
 
 def q_signal_report(spark, sf):

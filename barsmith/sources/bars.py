@@ -76,7 +76,7 @@ SURGE_DAY_MODULUS = 5           # every 5th day of the month ...
 SURGE_FACTOR = 3                # ... has triple volume
 
 
-def bars_from_events(events: DataFrame) -> DataFrame:
+def bars_from_events(events: DataFrame, split_minutes: int | None = None) -> DataFrame:
     """Turn the driver's ``events`` table into minute-style bars.
 
     Each event type is a ticker; weekday events only. ``value`` in cents is
@@ -91,6 +91,11 @@ def bars_from_events(events: DataFrame) -> DataFrame:
     The output therefore leaves hash-partitioned by (ticker, trade_date),
     which every daily roll-up and intraday sequence downstream reuses
     without another shuffle of the bars.
+
+    ``split_minutes=k`` adds a third level for days too big for one task:
+    k-minute chunk totals get within-day offsets from a window over the
+    chunk table (at most 1,440 / k rows per ticker-day), and the running sum
+    runs per (ticker, trade_date, chunk). Same values.
     """
     steps = events.where("dayofweek(ts) NOT IN (1, 7)").select(
         F.expr("event_type AS ticker"),
@@ -108,11 +113,28 @@ def bars_from_events(events: DataFrame) -> DataFrame:
                    "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS offset"),
         )
     )
-    walk = steps.join(day_offsets, ["ticker", "trade_date"], "inner").select(
-        F.expr("*"),
-        F.expr(f"{WALK_START_CENTS} + offset + sum(step) OVER (PARTITION BY ticker, trade_date "
-               "ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c"),
-    )
+    if split_minutes:
+        chunk = f"CAST(floor((hour(ts) * 60 + minute(ts)) / {int(split_minutes)}) AS INT)"
+        steps = steps.select(F.expr("*"), F.expr(f"{chunk} AS chunk"))
+        chunk_offsets = (
+            steps.groupBy("ticker", "trade_date", "chunk").agg(F.expr("sum(step) AS chunk_total"))
+            .select(F.expr("ticker"), F.expr("trade_date"), F.expr("chunk"),
+                    F.expr("coalesce(sum(chunk_total) OVER (PARTITION BY ticker, trade_date ORDER BY chunk "
+                           "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk_offset"))
+            .join(day_offsets, ["ticker", "trade_date"], "inner")
+        )
+        walk = (steps.join(chunk_offsets, ["ticker", "trade_date", "chunk"], "inner")
+                .repartition("ticker", "trade_date", "chunk")
+                .select(F.expr("*"),
+                        F.expr(f"{WALK_START_CENTS} + offset + chunk_offset + sum(step) OVER (PARTITION BY "
+                               "ticker, trade_date, chunk ORDER BY ts, event_id "
+                               "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c")))
+    else:
+        walk = steps.join(day_offsets, ["ticker", "trade_date"], "inner").select(
+            F.expr("*"),
+            F.expr(f"{WALK_START_CENTS} + offset + sum(step) OVER (PARTITION BY ticker, trade_date "
+                   "ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c"),
+        )
     return walk.select(
         F.expr("ticker"),
         F.expr("trade_date"),
@@ -138,6 +160,6 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def fixture_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fixture_bars(spark: SparkSession, sf_dir: str, split_minutes: int | None = None) -> DataFrame:
     """Bars derived from ``events`` under a test-data folder."""
-    return bars_from_events(load_table(spark, sf_dir, "events"))
+    return bars_from_events(load_table(spark, sf_dir, "events"), split_minutes)

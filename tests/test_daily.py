@@ -51,3 +51,11 @@ def test_validate_counts_bars_and_days(spark):
     assert got == [("AAA", 3, 2), ("BBB", 1, 1)]
     assert _one(op.bar_count_total(make_bars(spark, rows))).total_rows == 4
     assert sorted(r.ticker for r in op.distinct_tickers(make_bars(spark, rows)).collect()) == ["AAA", "BBB"]
+
+
+def test_split_events_mapping_is_identical(spark):
+    from barsmith.sources import fixture_bars
+    base = fixture_bars(spark, "/root/testdata/sf0.01")
+    for k in (1, 60):
+        split = fixture_bars(spark, "/root/testdata/sf0.01", split_minutes=k)
+        assert base.exceptAll(split).count() == 0 and split.exceptAll(base).count() == 0
