@@ -16,8 +16,8 @@ def enforce_bar_types(df: DataFrame) -> DataFrame:
 
     ticker string, trade_date date, timestamp kept as timestamp or
     timestamp_ntz (cast if it is anything else), prices double, volume kept
-    if integral or double, else double. NaN prices become null so they cannot
-    sort above every number in the regime rules.
+    if integral or double, else double. NaN and infinite prices become null so
+    they cannot sort above every number in the regime rules.
     """
     missing = [c for c in BAR_COLUMNS if c not in df.columns]
     if missing:
@@ -33,8 +33,9 @@ def enforce_bar_types(df: DataFrame) -> DataFrame:
         vol = vol.cast("long")
 
     def price(name: str) -> Column:
-        c = F.col(name).cast("double")
-        return F.when(~F.isnan(c), c).alias(name)
+        # NaN and infinities become null: Spark orders NaN above every number.
+        c = f"CAST(`{name}` AS DOUBLE)"
+        return F.expr(f"CASE WHEN isnan({c}) OR abs({c}) = double('Infinity') THEN NULL ELSE {c} END").alias(name)
 
     return df.select(
         F.col("ticker").cast("string").alias("ticker"),

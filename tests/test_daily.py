@@ -59,3 +59,13 @@ def test_split_events_mapping_is_identical(spark):
     for k in (1, 60):
         split = fixture_bars(spark, "/root/testdata/sf0.01", split_minutes=k)
         assert base.exceptAll(split).count() == 0 and split.exceptAll(base).count() == 0
+
+
+def test_enforce_types_nulls_nan_and_infinite_prices(spark):
+    from barsmith.sources import enforce_bar_types
+    rows = [("A", "2024-01-02", "2024-01-02 09:30:00", float("nan"), float("inf"), float("-inf"), 1.5, 7)]
+    df = spark.createDataFrame(rows, "ticker string, trade_date string, timestamp string, open double, "
+                                     "high double, low double, close double, volume int")
+    r = enforce_bar_types(df).collect()[0]
+    assert (r.open, r.high, r.low, r.close, r.volume) == (None, None, None, 1.5, 7)
+    assert str(r.trade_date) == "2024-01-02" and r.timestamp.hour == 9
