@@ -1,17 +1,18 @@
 """DataFrame -> DataFrame operators over bars and the daily report."""
 
 from .feeds import corr_matrix, ohlcv_feed, regime_matrix, rsi_feed, top_tickers
-from .indicators import avg_volume, daily_bars, indicators, with_avg_volume, with_avg_volume_window
+from .indicators import (avg_volume, daily_bars, indicators, with_avg_volume, with_avg_volume_window,
+                         with_regime)
 from .ohlcv import closes_digest, daily_mean_close, daily_ohlcv, ordered_closes
-from .pairs import (daily_close_corr, intraday_returns, pair_correlation, pair_summary,
-                    strong_pairs, ticker_pairs, top_pairs)
+from .pairs import (daily_close_corr, day_block_relation, day_rows, intraday_returns, pair_correlation,
+                    pair_correlation_from_relation, pair_summary, strong_pairs, ticker_pairs, top_pairs)
 from .report import (calendar_lag_report, missed_transitions, regime_change_count, regime_changes,
                      regime_timeline, signal_report, signal_summary, signal_summary_filled,
                      transition_counts)
 from .rsi import intraday_rsi, rsi_of_array
 from .sequence import close_points, sequence_view
 from .slots import slot_return_corr, slot_returns
-from .validate import bar_count_total, distinct_tickers, validate_bars
+from .validate import bar_count_total, distinct_tickers, validate_bars, validate_daily
 
 __all__ = [
     "avg_volume", "bar_count_total", "calendar_lag_report", "close_points", "closes_digest",
@@ -22,4 +23,5 @@ __all__ = [
     "sequence_view", "signal_report", "signal_summary", "signal_summary_filled", "slot_return_corr",
     "slot_returns", "strong_pairs", "ticker_pairs", "top_pairs", "top_tickers",
     "transition_counts", "validate_bars", "with_avg_volume", "with_avg_volume_window",
+    "day_block_relation", "day_rows", "pair_correlation_from_relation", "validate_daily", "with_regime",
 ]

@@ -49,6 +49,16 @@ def daily_bars(bars: DataFrame, period: int = RSI_PERIOD, split_minutes: int | N
             .agg(*ohlcv_aggregates(), *rsi_aggregates(period)))
 
 
+def with_regime(daily: DataFrame, **regime_args) -> DataFrame:
+    """Daily OHLCV + rsi rows -> the indicator table: adds avg_volume (window
+    over the ticker's daily rows) and signal_regime, in the standard order."""
+    return daily.select(
+        *[F.expr(c) for c in DAILY_COLUMNS],
+        F.expr("avg(day_volume) OVER (PARTITION BY ticker) AS avg_volume"),
+        F.expr("rsi"),
+    ).select(F.expr("*"), F.expr(classify_regime_sql(**regime_args) + " AS signal_regime"))
+
+
 def indicators(bars: DataFrame, period: int = RSI_PERIOD, split_minutes: int | None = None,
                **regime_args) -> DataFrame:
     """Daily rows with avg_volume, rsi and signal_regime.
@@ -56,8 +66,4 @@ def indicators(bars: DataFrame, period: int = RSI_PERIOD, split_minutes: int | N
     Columns: ticker, trade_date, day_open, day_close, day_high, day_low,
     day_volume, bar_count, avg_volume, rsi, signal_regime.
     """
-    return daily_bars(bars, period, split_minutes).select(
-        *[F.expr(c) for c in DAILY_COLUMNS],
-        F.expr("avg(day_volume) OVER (PARTITION BY ticker) AS avg_volume"),
-        F.expr("rsi"),
-    ).select(F.expr("*"), F.expr(classify_regime_sql(**regime_args) + " AS signal_regime"))
+    return with_regime(daily_bars(bars, period, split_minutes), **regime_args)

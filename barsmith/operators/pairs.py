@@ -60,15 +60,22 @@ def intraday_returns(pairs: DataFrame) -> DataFrame:
                         F.expr(f"abs(({ra}) - ({rb})) AS return_diff"))
 
 
-def _pair_relation_from_bars(bars: DataFrame, period: int, block: int,
-                             split_minutes: int | None) -> DataFrame:
+RELATION_DAY_COLUMNS = ("day_open", "day_close", "day_high", "day_low", "day_volume", "bar_count", "rsi")
+
+
+def day_block_relation(bars: DataFrame, period: int = RSI_PERIOD, block: int = DEFAULT_BLOCK,
+                       split_minutes: int | None = None) -> DataFrame:
     """Day rows (blk -1) and close blocks from one pass over the bars.
 
-    The block aggregate also keeps mergeable day partials (earliest open and
-    latest close as structs, volume, weighted RSI gain/loss sums); a window
-    over the block rows of each ticker-day, on the same partitioning, merges
-    them; ``inline`` then emits each block row and, once per ticker-day, the
-    day row. One lineage, so the bars are read and shuffled once.
+    Columns: ticker, trade_date, blk, xs, day_open, day_close, day_high,
+    day_low, day_volume, bar_count, rsi. Block rows carry ``xs`` (closes
+    centred on the day's first close, ``block`` positions per row) and null
+    day fields; each ticker-day has one day row with ``xs`` null. The block
+    aggregate keeps mergeable day partials (earliest open and latest close
+    as structs, high, low, volume, count, weighted RSI gain/loss sums); a
+    window over the block rows of each ticker-day, on the same partitioning,
+    merges them; ``inline`` emits the rows. One lineage, so the bars are read
+    and shuffled once for daily indicators and pair correlation alike.
     """
     seq = sequence_view(bars, split_minutes)
     r = f"CAST({period - 1} AS DOUBLE) / {period}"
@@ -80,7 +87,8 @@ def _pair_relation_from_bars(bars: DataFrame, period: int, block: int,
                "THEN named_struct('i', pos, 'x', close - first_close) END)), e -> e.x) AS xs"),
         F.expr("min(named_struct('t', timestamp, 'p', open)) AS o"),
         F.expr("max(named_struct('t', timestamp, 'p', close)) AS c"),
-        F.expr("sum(volume) AS v"),
+        F.expr("max(high) AS h"), F.expr("min(low) AS lo"),
+        F.expr("sum(volume) AS v"), F.expr("count(1) AS k"),
         F.expr(f"sum(CASE WHEN {is_diff} AND {d} > 0 THEN {w} * {d} END) AS g"),
         F.expr(f"sum(CASE WHEN {is_diff} AND {d} <= 0 THEN {w} * -{d} END) AS l"),
         F.expr("max(n_closes) AS n"),
@@ -90,15 +98,19 @@ def _pair_relation_from_bars(bars: DataFrame, period: int, block: int,
     merged = blk.select(
         F.expr("ticker"), F.expr("trade_date"), F.expr("blk"), F.expr("xs"),
         F.expr(f"min(o) OVER ({day}) AS day_o"), F.expr(f"max(c) OVER ({day}) AS day_c"),
-        F.expr(f"sum(v) OVER ({day}) AS day_volume"),
+        F.expr(f"max(h) OVER ({day}) AS day_high"), F.expr(f"min(lo) OVER ({day}) AS day_low"),
+        F.expr(f"sum(v) OVER ({day}) AS day_volume"), F.expr(f"sum(k) OVER ({day}) AS bar_count"),
         F.expr(rsi_from_sums_sql(f"sum(g) OVER ({day})", f"sum(l) OVER ({day})",
                                  f"max(n) OVER ({day}) - 1", period) + " AS rsi"),
         F.expr(f"row_number() OVER ({day} ORDER BY blk) AS rn"),
     )
-    block_row = ("named_struct('blk', blk, 'xs', xs, 'open', CAST(NULL AS DOUBLE), 'close', CAST(NULL AS DOUBLE), "
-                 f"'volume', CAST(NULL AS {vol_type}), 'rsi', CAST(NULL AS DOUBLE))")
-    day_row = ("named_struct('blk', -1, 'xs', CAST(NULL AS ARRAY<DOUBLE>), 'open', day_o.p, 'close', day_c.p, "
-               "'volume', day_volume, 'rsi', rsi)")
+    nulls = (f"'day_open', CAST(NULL AS DOUBLE), 'day_close', CAST(NULL AS DOUBLE), 'day_high', CAST(NULL AS DOUBLE), "
+             f"'day_low', CAST(NULL AS DOUBLE), 'day_volume', CAST(NULL AS {vol_type}), "
+             f"'bar_count', CAST(NULL AS BIGINT), 'rsi', CAST(NULL AS DOUBLE)")
+    block_row = f"named_struct('blk', blk, 'xs', xs, {nulls})"
+    day_row = ("named_struct('blk', -1, 'xs', CAST(NULL AS ARRAY<DOUBLE>), 'day_open', day_o.p, 'day_close', day_c.p, "
+               "'day_high', day_high, 'day_low', day_low, 'day_volume', day_volume, 'bar_count', bar_count, "
+               "'rsi', rsi)")
     return merged.select(
         F.expr("ticker"), F.expr("trade_date"),
         F.expr(f"inline(filter(array(CASE WHEN blk IS NOT NULL AND size(xs) > 0 THEN {block_row} END, "
@@ -106,6 +118,33 @@ def _pair_relation_from_bars(bars: DataFrame, period: int, block: int,
     )
 
 
+def day_rows(relation: DataFrame) -> DataFrame:
+    """The daily OHLCV + rsi rows of a ``day_block_relation``."""
+    return relation.where("blk = -1").select(F.expr("ticker"), F.expr("trade_date"),
+                                             *[F.expr(c) for c in RELATION_DAY_COLUMNS])
+
+
+def pair_correlation_from_relation(relation: DataFrame, min_points: int = MIN_CORR_POINTS) -> DataFrame:
+    """Pair correlation over a relation of day rows (blk -1) and close blocks.
+
+    The relation is shuffled once on (trade_date, blk) and joined to itself;
+    both sides read that one exchange. Each joined row folds its aligned
+    slots into six moments; the aggregate sums them per pair-day.
+    """
+    rel = relation.repartition("trade_date", "blk")
+    a = _side(rel, "a", PAIR_FIELDS, "trade_date", ["blk", "xs"])
+    b = _side(rel, "b", PAIR_FIELDS, "trade_date_b", ["blk", "xs"])
+    joined = a.join(b, F.expr(_pair_condition(False, ("trade_date", "trade_date_b"), ("blk_a", "blk_b"))),
+                    "inner").select(F.expr("*"), F.expr(pair_moments_sql("xs_a", "xs_b") + " AS mo"))
+    sums = {k: f"sum(mo.{k})" for k in ("n", "sa", "sb", "saa", "sbb", "sab")}
+    agg = joined.groupBy("ticker_a", "ticker_b", "trade_date").agg(
+        *[F.expr(f"max({d}_{s}) AS {d}_{s}") for s in ("a", "b") for _, d in PAIR_FIELDS],
+        F.expr(f"coalesce({sums['n']}, 0) AS common_points"),
+        F.expr(corr_from_moments_sql(**sums, min_points=min_points) + " AS intraday_corr"),
+    )
+    return intraday_returns(agg)
+
+
 def pair_correlation(bars: DataFrame, daily: DataFrame | None = None,
                      min_points: int = MIN_CORR_POINTS, block: int = DEFAULT_BLOCK,
                      split_minutes: int | None = None, period: int = RSI_PERIOD) -> DataFrame:
@@ -122,39 +161,22 @@ def pair_correlation(bars: DataFrame, daily: DataFrame | None = None,
     relation, shuffled once on (trade_date, blk) and joined to itself:
     every join group holds at most one row per ticker, so a ticker with many
     bars adds blocks, not group size, and every pair sharing a date appears
-    through its -1 rows. Each joined row folds its aligned slots into six
-    moments; the aggregate sums them per pair-day. No Python, and a block of
-    positions travels as one row.
+    through its -1 rows. No Python, and a block of positions travels as one
+    row.
     """
     if daily is None:
-        rel = _pair_relation_from_bars(bars, period, block, split_minutes)
-    else:
-        types = {src: daily.schema[src].dataType.simpleString() for src, _ in PAIR_FIELDS}
-        heads = daily.select(
-            F.expr("ticker"), F.expr("trade_date"), F.expr("-1 AS blk"),
-            F.expr("CAST(NULL AS ARRAY<DOUBLE>) AS xs"),
-            *[F.expr(f"{src} AS {dst}") for src, dst in PAIR_FIELDS],
-        )
-        pts = close_points(bars, split_minutes).select(F.expr("ticker"), F.expr("trade_date"), F.expr("pos"),
-                                                       F.expr("close - first_close AS x"))
-        blocks = blocked_series(pts, "pos", "x", block, dense=True).select(
-            F.expr("*"), *[F.expr(f"CAST(NULL AS {types[src]}) AS {dst}") for src, dst in PAIR_FIELDS])
-        rel = heads.unionByName(blocks)
-    # Shuffle the relation once on the join keys; both sides of the self-join
-    # read that one exchange instead of planning (and computing) it twice.
-    rel = rel.repartition("trade_date", "blk")
-    fields = [(d, d) for _, d in PAIR_FIELDS]
-    a = _side(rel, "a", fields, "trade_date", ["blk", "xs"])
-    b = _side(rel, "b", fields, "trade_date_b", ["blk", "xs"])
-    joined = a.join(b, F.expr(_pair_condition(False, ("trade_date", "trade_date_b"), ("blk_a", "blk_b"))),
-                    "inner").select(F.expr("*"), F.expr(pair_moments_sql("xs_a", "xs_b") + " AS mo"))
-    sums = {k: f"sum(mo.{k})" for k in ("n", "sa", "sb", "saa", "sbb", "sab")}
-    agg = joined.groupBy("ticker_a", "ticker_b", "trade_date").agg(
-        *[F.expr(f"max({d}_{s}) AS {d}_{s}") for s in ("a", "b") for _, d in PAIR_FIELDS],
-        F.expr(f"coalesce({sums['n']}, 0) AS common_points"),
-        F.expr(corr_from_moments_sql(**sums, min_points=min_points) + " AS intraday_corr"),
+        return pair_correlation_from_relation(day_block_relation(bars, period, block, split_minutes), min_points)
+    types = {src: daily.schema[src].dataType.simpleString() for src, _ in PAIR_FIELDS}
+    heads = daily.select(
+        F.expr("ticker"), F.expr("trade_date"), F.expr("-1 AS blk"),
+        F.expr("CAST(NULL AS ARRAY<DOUBLE>) AS xs"),
+        *[F.expr(src) for src, _ in PAIR_FIELDS],
     )
-    return intraday_returns(agg)
+    pts = close_points(bars, split_minutes).select(F.expr("ticker"), F.expr("trade_date"), F.expr("pos"),
+                                                   F.expr("close - first_close AS x"))
+    blocks = blocked_series(pts, "pos", "x", block, dense=True).select(
+        F.expr("*"), *[F.expr(f"CAST(NULL AS {types[src]}) AS {src}") for src, _ in PAIR_FIELDS])
+    return pair_correlation_from_relation(heads.unionByName(blocks), min_points)
 
 
 def strong_pairs(correlated: DataFrame, threshold: float = STRONG_CORR) -> DataFrame:

@@ -33,3 +33,10 @@ def validate_bars(bars: DataFrame, ordered: bool = True, exact: bool = True) ->
         out = bars.groupBy("ticker").agg(F.expr("count(1) AS bar_count"),
                                          F.expr("approx_count_distinct(trade_date) AS day_count"))
     return out.orderBy("ticker") if ordered else out
+
+
+def validate_daily(daily: DataFrame, ordered: bool = True) -> DataFrame:
+    """``validate_bars`` from daily rows (one per ticker-day with ``bar_count``):
+    the same table without touching the bars again."""
+    out = daily.groupBy("ticker").agg(F.expr("sum(bar_count) AS bar_count"), F.expr("count(1) AS day_count"))
+    return out.orderBy("ticker") if ordered else out

@@ -228,6 +228,8 @@ def oracle_sql() -> dict[str, str]:
         "distinct_tickers": _q((BARS,), "SELECT DISTINCT ticker FROM bars"),
         "validate_bars": _q((BARS,), "SELECT ticker, count(*) AS bar_count, count(DISTINCT trade_date) AS day_count "
                                      "FROM bars GROUP BY ticker ORDER BY ticker"),
+        "validate_from_daily": _q((BARS,), "SELECT ticker, count(*) AS bar_count, count(DISTINCT trade_date) "
+                                           "AS day_count FROM bars GROUP BY ticker ORDER BY ticker"),
         "daily_ohlcv": _q((BARS, OHLCV), "SELECT * FROM ohlcv", ("day_open", "day_close", "day_high", "day_low")),
         "ordered_closes": _q((BARS,),
                              "SELECT ticker, trade_date, count(close) AS n_closes, "
@@ -246,6 +248,7 @@ def oracle_sql() -> dict[str, str]:
                                         "signal_regime FROM ind", ("rsi", "volume_ratio"), R),
         "indicators": _q(BASE_IND, "SELECT * FROM ind", IND_DOUBLES, R),
         "indicators_split": _q(BASE_IND, "SELECT * FROM ind", IND_DOUBLES, R),
+        "indicators_one_pass": _q(BASE_IND, "SELECT * FROM ind", IND_DOUBLES, R),
         "signal_report": _q(BASE_REPORT, f"SELECT {REPORT_COLUMNS} FROM report", REPORT_DOUBLES, R),
         "regime_changes": _q(BASE_REPORT, "SELECT ticker, trade_date, prev_regime, signal_regime, rsi, day_return_pct "
                                           "FROM report WHERE regime_changed ORDER BY trade_date, ticker",

@@ -7,6 +7,8 @@ reach the driver (counts, the top-k pair list); everything else stays a
 DataFrame. The daily indicator table, reused by stages 4 and 5, is staged
 once with a reliable checkpoint in the session's shared checkpoint folder,
 so a lost executor recomputes from the checkpoint, not from the bars.
+The bars themselves are read and shuffled once: daily rows and pair
+blocks come from one relation.
 """
 
 from __future__ import annotations
@@ -32,25 +34,26 @@ class PipelineConfig:
     files: int = K.OUTPUT_FILES
     partition_by: list[str] | None = None
     calendar_lag: bool = False          # opt-in: previous calendar day instead of previous trading day
-    stage: bool = True                  # checkpoint the daily indicators
+    stage: bool = True                  # checkpoint the one-pass day/block relation
+    split_minutes: int | None = None    # chunk each day (hot ticker-days)
     regime_args: dict = field(default_factory=dict)
 
 
 def run_pipeline(spark: SparkSession, bars: DataFrame, cfg: PipelineConfig | None = None) -> dict:
     cfg = cfg or PipelineConfig()
     out: dict = {}
-    # Stage 1: validate. The per-ticker table is small (one row per ticker) and
-    # staged; the total bar count is summed from it instead of rescanning.
-    validation = op.validate_bars(bars, ordered=False)
+    # One pass over the bars: daily OHLCV + RSI rows and the close blocks of the
+    # pair correlation come out of one shuffle and are staged together. Every
+    # later stage reads the staged relation, never the bars.
+    rel = op.day_block_relation(bars, cfg.period, split_minutes=cfg.split_minutes)
     if cfg.stage:
-        validation = stage(validation)
-    out["validation"] = validation.orderBy("ticker")
-    out["total_rows"] = validation.agg(F.expr("coalesce(sum(bar_count), 0) AS n")).first()["n"]
-    # Stages 2-3: one shuffle of the bars gives OHLCV + RSI; one of the daily rows gives the
-    # average volume. Staged because stages 4 and 5 both read it.
-    ind = op.indicators(bars, cfg.period, **cfg.regime_args)
-    if cfg.stage:
-        ind = stage(ind)
+        rel = stage(rel)
+    daily = op.day_rows(rel)
+    # Stage 1: validation and the bar count, from the daily rows.
+    out["validation"] = op.validate_daily(daily)
+    out["total_rows"] = daily.agg(F.expr("coalesce(sum(bar_count), 0) AS n")).first()["n"]
+    # Stages 2-3: average volume (window over the daily rows) and regimes.
+    ind = op.with_regime(daily, **cfg.regime_args)
     out["indicators"] = ind
     # Stage 5 (+6): day-over-day report, written, read back; rows, files and the number of
     # regime changes come from one aggregate over the written table.
@@ -66,8 +69,8 @@ def run_pipeline(spark: SparkSession, bars: DataFrame, cfg: PipelineConfig | Non
     out["output"] = target
     out["written"] = {"rows": check["rows"], "files": check["files"]}
     out["regime_changes"] = check["regime_changes"]
-    # Stage 4: strong pairs (day rows from the staged indicators, closes from the bars).
-    correlated = op.pair_correlation(bars, ind, cfg.min_points)
+    # Stage 4: strong pairs, from the same staged relation.
+    correlated = op.pair_correlation_from_relation(rel, cfg.min_points)
     summary = op.pair_summary(correlated, cfg.threshold)
     out["pair_summary"] = summary
     out["top_pairs"] = op.top_pairs(summary, cfg.top_pairs).collect()

@@ -97,6 +97,15 @@ def q_indicators(spark, sf):
     return _ind(spark, sf)
 
 
+def q_indicators_one_pass(spark, sf):
+    # The indicator table from the one-pass day/block relation the pipeline stages.
+    return op.with_regime(op.day_rows(op.day_block_relation(_bars(spark, sf))))
+
+
+def q_validate_from_daily(spark, sf):
+    return op.validate_daily(op.day_rows(op.day_block_relation(_bars(spark, sf))))
+
+
 def q_indicators_split(spark, sf):
     # Same result through the hot-day path: no window holds a whole ticker-day,
     # in the events mapping or in the intraday sequence (60-minute chunks).

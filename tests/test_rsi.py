@@ -95,3 +95,23 @@ def test_split_day_sequence_is_identical(spark, split):
     def rounded(df):
         return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect())
     assert rounded(op.indicators(bars)) == rounded(op.indicators(bars, split_minutes=split))
+
+
+@pytest.mark.parametrize("split,block", [(None, 64), (None, 5), (7, 3)])
+def test_one_pass_relation_matches_daily_bars(spark, split, block):
+    rng = random.Random(41)
+    rows = []
+    for t in ("A", "B"):
+        for d in ("2024-01-02", "2024-01-03"):
+            rows += day_of([round(100 + rng.uniform(-3, 3), 2) for _ in range(40)], ticker=t, day=d, start_minute=600)
+    rows.append(("A", "2024-01-02", 615, 1.0, None, 5))
+    rows.append(("B", "2024-01-03", 620, 9.0, 9.5, 5))
+    rows.append(("C", "2024-01-02", 600, 3.0, None, 2))      # a day with no close at all
+    bars = make_bars(spark, rows)
+
+    def rounded(df):
+        return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect())
+    cols = ["ticker", "trade_date", "day_open", "day_close", "day_high", "day_low", "day_volume", "bar_count", "rsi"]
+    rel = op.day_block_relation(bars, block=block, split_minutes=split)
+    assert rounded(op.day_rows(rel).select(*cols)) == rounded(op.daily_bars(bars).select(*cols))
+    assert sorted(op.validate_daily(op.day_rows(rel)).collect()) == sorted(op.validate_bars(bars).collect())
