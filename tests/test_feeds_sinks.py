@@ -1,4 +1,6 @@
+import contextlib
 import datetime as dt
+import io
 
 from pyspark.sql import functions as F
 
@@ -75,5 +77,9 @@ def test_partitioned_write_roundtrip(spark):
     assert back.columns == rep.columns
     assert back.exceptAll(rep).count() == 0 and rep.exceptAll(back).count() == 0
     pruned = back.where(F.col("ticker") == "A")
-    assert "PartitionFilters: [isnotnull(ticker" in pruned._jdf.queryExecution().executedPlan().toString() \
-        or pruned.count() == 2
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        pruned.explain("formatted")
+    scan = [line for line in buf.getvalue().splitlines() if line.startswith("PartitionFilters")]
+    assert scan and "ticker" in scan[0] and "= A" in scan[0], buf.getvalue()   # partition pruning
+    assert pruned.count() == 2
