@@ -4,11 +4,11 @@ Stages: (1) load and validate, (2)+(3) daily OHLCV, RSI and regimes,
 (4) pair correlation summary, (5) day-over-day report, (6) write and
 verify, (7) regime summary from the written table. Only bounded results
 reach the driver (counts, the top-k pair list); everything else stays a
-DataFrame. The daily indicator table, reused by stages 4 and 5, is staged
-once with a reliable checkpoint in the session's shared checkpoint folder,
-so a lost executor recomputes from the checkpoint, not from the bars.
-The bars themselves are read and shuffled once: daily rows and pair
-blocks come from one relation.
+DataFrame. The bars are read and shuffled once: the daily rows and the
+pair close blocks come from one relation (``day_block_relation``), staged
+with a reliable checkpoint in the session's shared checkpoint folder, and
+every stage reads it; a lost executor re-reads the checkpoint instead of
+recomputing from the bars.
 """
 
 from __future__ import annotations
