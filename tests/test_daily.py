@@ -69,3 +69,21 @@ def test_enforce_types_nulls_nan_and_infinite_prices(spark):
     r = enforce_bar_types(df).collect()[0]
     assert (r.open, r.high, r.low, r.close, r.volume) == (None, None, None, 1.5, 7)
     assert str(r.trade_date) == "2024-01-02" and r.timestamp.hour == 9
+
+
+def test_read_bars_from_path_types_and_null_keys(spark):
+    from barsmith.session import staging_path
+    from barsmith.sources import null_key_rows, read_bars
+    rows = [("A", "2024-01-02", "2024-01-02 09:30:00", "10.0", 10.5, 9.5, 10.2, 100),
+            ("A", "2024-01-02", None, "10.2", 10.4, 10.1, 10.3, 50),
+            (None, "2024-01-02", "2024-01-02 09:31:00", "10.3", 10.6, 10.2, 10.4, 70)]
+    raw = spark.createDataFrame(rows, "ticker string, trade_date string, timestamp string, open string, "
+                                      "high double, low double, close double, volume int")
+    path = staging_path(spark, "test-bars")
+    raw.write.parquet(path)
+    bars = read_bars(spark, path)
+    assert [f.dataType.simpleString() for f in bars.schema.fields] == \
+        ["string", "date", "timestamp", "double", "double", "double", "double", "bigint"]
+    assert bars.count() == 1
+    assert null_key_rows(spark.read.parquet(path)).collect()[0].null_key_rows == 2
+    assert read_bars(spark, path, drop_null_keys=False).count() == 3
