@@ -49,14 +49,14 @@ def run_pipeline(spark: SparkSession, bars: DataFrame, cfg: PipelineConfig | Non
     if cfg.stage:
         rel = stage(rel)
     daily = op.day_rows(rel)
-    # Stage 1: validation and the bar count, from the daily rows.
+    # Stage 1: validation from the daily rows (the bar count is read below, with
+    # the write check, from the report's bar_count column).
     out["validation"] = op.validate_daily(daily)
-    out["total_rows"] = daily.agg(F.expr("coalesce(sum(bar_count), 0) AS n")).first()["n"]
     # Stages 2-3: average volume (window over the daily rows) and regimes.
     ind = op.with_regime(daily, **cfg.regime_args)
     out["indicators"] = ind
     # Stage 5 (+6): day-over-day report, written, read back; rows, files and the number of
-    # regime changes come from one aggregate over the written table.
+    # regime changes (and the bar count) come from one aggregate over the written table.
     report = op.calendar_lag_report(ind) if cfg.calendar_lag else op.signal_report(ind)
     target = cfg.output or staging_path(spark, "signals")
     write_signals(report, target, files=cfg.files, partition_by=cfg.partition_by)
@@ -65,7 +65,9 @@ def run_pipeline(spark: SparkSession, bars: DataFrame, cfg: PipelineConfig | Non
         F.expr("count(1) AS rows"),
         F.expr("count(DISTINCT _metadata.file_path) AS files"),
         F.expr("count_if(regime_changed) AS regime_changes"),
+        F.expr("coalesce(sum(bar_count), 0) AS total_rows"),
     ).first()
+    out["total_rows"] = check["total_rows"]
     out["output"] = target
     out["written"] = {"rows": check["rows"], "files": check["files"]}
     out["regime_changes"] = check["regime_changes"]
