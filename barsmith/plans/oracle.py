@@ -274,6 +274,8 @@ def oracle_sql() -> dict[str, str]:
                                ("return_a", "return_b", "return_diff"), R),
         "pair_correlation": _q(BASE_CORR, "SELECT * FROM correlated",
                                PAIR_DOUBLES + ("intraday_corr", "return_a", "return_b", "return_diff"), R),
+        "pair_correlation_split": _q(BASE_CORR, "SELECT * FROM correlated",
+                                     PAIR_DOUBLES + ("intraday_corr", "return_a", "return_b", "return_diff"), R),
         "strong_pairs": _q(BASE_CORR, "SELECT ticker_a, ticker_b, trade_date, common_points, intraday_corr, "
                                       "return_diff FROM strong", ("intraday_corr", "return_diff"), R),
         "pair_summary": _q(BASE_CORR, "SELECT * FROM psum", ("avg_correlation", "avg_return_diff"), R),

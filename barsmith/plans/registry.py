@@ -153,6 +153,11 @@ def q_pair_correlation(spark, sf):
     return _correlated(spark, sf)
 
 
+def q_pair_correlation_split(spark, sf):
+    # The hot-day path for pairs: chunked mapping and chunked intraday sequences.
+    return op.pair_correlation(fixture_bars(spark, sf, split_minutes=60), split_minutes=60)
+
+
 def q_strong_pairs(spark, sf):
     return op.strong_pairs(_correlated(spark, sf)).select(*PAIR_CHECK_COLUMNS, "common_points",
                                                           "intraday_corr", "return_diff")
