@@ -85,3 +85,22 @@ def test_pairs_plan_has_one_exchange_for_both_join_sides(spark):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_flagship_on_parquet_pushes_ticker_filter_to_the_scan(spark):
+    import contextlib
+    import io
+
+    from barsmith.session import staging_path
+    from barsmith.sources import read_bars
+    path = staging_path(spark, "test-flagship")
+    _plain_bars(spark).write.parquet(path)
+    df = op.signal_report(op.indicators(read_bars(spark, path))).where("ticker = 'AAA'")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    text = buf.getvalue()
+    pushed = [line for line in text.splitlines() if line.startswith("PushedFilters")]
+    assert pushed and "EqualTo(ticker,AAA)" in pushed[0], text
+    assert count_nodes(physical_plan(df), "Exchange") == 2
+    assert df.count() == 2
