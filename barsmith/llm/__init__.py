@@ -3,11 +3,3 @@
 Nothing else in the package imports this subpackage. Queries are registered
 in :mod:`barsmith.llm.queries`; their SQL twins in :mod:`barsmith.llm.oracle`.
 """
-
-import sys
-
-from pyspark import cloudpickle
-
-# Functions sent to the executors carry this subpackage's code with them, so
-# the executors need not have the package installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])

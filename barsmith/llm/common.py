@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 
 import numpy as np
@@ -14,7 +17,18 @@ from ..session import shared_dir
 CHUNK = 1 << 20
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors, once per application (as --py-files would)."""
+    sc = spark.sparkContext
+    if getattr(ship, "sent", None) != sc.applicationId:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        at = tempfile.mkdtemp(prefix="barsmith-code-")
+        sc.addPyFile(shutil.make_archive(f"{at}/barsmith", "zip", os.path.dirname(package), os.path.basename(package)))
+        ship.sent = sc.applicationId
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

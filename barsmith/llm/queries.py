@@ -5,15 +5,44 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import bpe, token_counts
 from .common import table
 from .simhash import simhash_components
 
+BYTE_VOCABULARY = "byte_bpe_50k.json"
+WORD_VOCABULARY = "word_bpe_49k.json"
+TOKEN_LIMIT = 2048
+
+
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file; the files are installed with the library on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary(BYTE_VOCABULARY)
+    decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return decoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                          F.sha2("ids", 256).alias("ids_sha256"),
+                          F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.prefix_counts(table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY))
+    n = token_counts.total("counts")
+    return counted.select("doc_id", "n_bytes", n.alias("n_tokens"), (n > TOKEN_LIMIT).alias("over_limit"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_bpe": op2_bpe,
+    "op7_token_counts": op7_token_counts,
 }
