@@ -1,3 +1,57 @@
-"""DuckDB twins of the operator queries that SQL can express."""
+"""DuckDB twins of the operator queries that SQL can express.
 
-ORACLE_SQL: dict[str, str] = {}
+The others are tested against brute force or the tokenizers' own libraries
+in tests/llm.
+"""
+
+OP3 = """
+WITH RECURSIVE sizes AS (
+  SELECT source, count(*) AS n, sqrt(count(*)) AS w FROM documents GROUP BY source),
+rates AS (
+  SELECT source, w * (SELECT sum(n) FROM sizes)::DOUBLE / (SELECT sum(w) FROM sizes) / n AS rate FROM sizes),
+pmf(source, rate, k, logp) AS (
+  SELECT source, rate, 0, -rate FROM rates
+  UNION ALL
+  SELECT source, rate, k + 1, logp + ln(rate) - ln(k + 1) FROM pmf WHERE k < ceil(rate + 12 * sqrt(rate) + 30)),
+cdf AS (
+  SELECT source, k, sum(exp(logp)) OVER (PARTITION BY source ORDER BY k) AS c FROM pmf),
+draws AS (
+  SELECT doc_id, source, ('0x' || substr(md5('42:' || doc_id), 1, 13))::BIGINT / 4503599627370496.0 AS u FROM documents),
+copies AS (
+  SELECT d.doc_id, count(*) AS copies FROM draws d JOIN cdf ON cdf.source = d.source AND cdf.c <= d.u GROUP BY d.doc_id),
+rows_ AS (
+  SELECT doc_id, unnest(range(1, copies + 1))::INTEGER AS copy FROM copies)
+SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, r.copy,
+       md5('42:' || d.doc_id || ':' || r.copy) AS shuffle_key
+FROM rows_ r JOIN documents d USING (doc_id)
+"""
+
+OP9 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q::DOUBLE[], b.q::DOUBLE[])::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+OP4 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.e, b.e) / (sqrt(list_inner_product(a.e, a.e)) * sqrt(list_inner_product(b.e, b.e))) >= 0.9),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b),
+comp AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(comp.b, e.vec_id)) AS component_id,
+       e.vec_id = least(e.vec_id, coalesce(comp.b, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN n ON n.a = e.vec_id LEFT JOIN comp ON comp.a = e.vec_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_mixing": OP3, "op4_embeddings": OP4, "op9_topk": OP9}

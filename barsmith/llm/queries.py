@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from . import bpe, token_counts
 from .common import table
+from .embed import embedding_components
+from .mixing import mix
 from .simhash import simhash_components
+from .topk import top_k
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -35,14 +38,31 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares proportional to the square root of a source's size, as many rows as documents."""
+    return mix(table(spark, sf_dir, "documents"), power=0.5, seed=42).withColumnsRenamed(
+        {"mix_copy": "copy", "mix_order": "shuffle_key"})
+
+
+def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_components(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.prefix_counts(table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY))
     n = token_counts.total("counts")
     return counted.select("doc_id", "n_bytes", n.alias("n_tokens"), (n > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), every=20, k=20, scale=64)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_bpe": op2_bpe,
+    "op3_mixing": op3_mixing,
+    "op4_embeddings": op4_embeddings,
     "op7_token_counts": op7_token_counts,
+    "op9_topk": op9_topk,
 }
