@@ -54,4 +54,25 @@ SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(c
 FROM embeddings e LEFT JOIN n ON n.a = e.vec_id LEFT JOIN comp ON comp.a = e.vec_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_mixing": OP3, "op4_embeddings": OP4, "op9_topk": OP9}
+OP8 = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (
+  SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM words),
+win AS (
+  SELECT doc_id, pos, w, string_agg(w, ' ') OVER f AS s, count(*) OVER f AS n FROM w
+  WINDOW f AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)),
+rep AS (
+  SELECT *, n = 35 AND count(*) OVER (PARTITION BY s, n) > 1 AS repeats FROM win),
+gone AS (
+  SELECT *, coalesce(max(CASE WHEN repeats THEN pos END) OVER (PARTITION BY doc_id ORDER BY pos) >= pos - 34, false) AS gone
+  FROM rep),
+kept AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
+         coalesce(string_agg(w, ' ' ORDER BY pos) FILTER (NOT gone), '') AS kept FROM gone GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_mixing": OP3, "op4_embeddings": OP4, "op8_substring": OP8, "op9_topk": OP9}

@@ -12,6 +12,7 @@ from .common import table
 from .embed import embedding_components
 from .mixing import mix
 from .simhash import simhash_components
+from .substring import remove_repeats
 from .topk import top_k
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -54,6 +55,11 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", n.alias("n_tokens"), (n > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), window=35).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), every=20, k=20, scale=64)
 
@@ -64,5 +70,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op4_embeddings": op4_embeddings,
     "op7_token_counts": op7_token_counts,
+    "op8_substring": op8_substring,
     "op9_topk": op9_topk,
 }
