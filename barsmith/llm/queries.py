@@ -11,6 +11,7 @@ from . import bpe, token_counts
 from .common import table
 from .embed import embedding_components
 from .mixing import mix
+from .quality import classify
 from .simhash import simhash_components
 from .substring import remove_repeats
 from .topk import top_k
@@ -49,6 +50,10 @@ def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_components(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.prefix_counts(table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY))
     n = token_counts.total("counts")
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_mixing": op3_mixing,
     "op4_embeddings": op4_embeddings,
+    "op6_quality": op6_quality,
     "op7_token_counts": op7_token_counts,
     "op8_substring": op8_substring,
     "op9_topk": op9_topk,
