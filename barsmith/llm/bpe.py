@@ -34,6 +34,17 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+@lru_cache(1)
+def token_bytes(path: str) -> list[bytes]:
+    """The bytes of each token id; special tokens are their strings."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    letters = byte_letters()
+    raw = {i: bytes(letters[c] for c in token) for token, i in spec["model"]["vocab"].items()}
+    raw.update({t["id"]: t["content"].encode() for t in spec["added_tokens"]})
+    return [raw.get(i, b"") for i in range(max(raw) + 1)]
+
+
 class Vocabulary:
     """Tokens as bytes, the merge that makes each token, and which neighbours are valid."""
 
@@ -277,8 +288,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     Bytes that are not UTF-8 become U+FFFD; null ids give an empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = encoder(path).vocab.text
-        raw = [known.get(i, b"") for i in range(max(known) + 1)]
+        raw = token_bytes(path)
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
