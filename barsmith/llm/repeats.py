@@ -14,7 +14,7 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import stage
@@ -23,7 +23,8 @@ from .common import stage
 SLICE_BYTES = 4 << 20
 
 OPEN, WITNESS, KNOWN = 0, 1, 2
-ASK_SCHEMA = "h long, g int, row long, pos int, kind byte"
+#: One row per slice and part: the part's questions, packed column by column, in ascending row.
+ASK_SCHEMA = "part int, h binary, g binary, row binary, pos binary, kind binary"
 
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xC2B2AE3D27D4EB4F)
 
@@ -91,37 +92,62 @@ def _groups(h: np.ndarray, g: np.ndarray, row: np.ndarray, two_rows: bool) -> tu
     return order, new, np.repeat(again, size)
 
 
-def ask(h: np.ndarray, g: np.ndarray, row: np.ndarray, pos: np.ndarray, two_rows: bool) -> pa.RecordBatch:
-    """Questions of a task: what repeats within the task is known, with one witness for the others."""
+def ask(h: np.ndarray, g: np.ndarray, row: np.ndarray, pos: np.ndarray, two_rows: bool, parts: int, width: int = 8) -> pa.RecordBatch:
+    """Questions of a slice: what repeats within it is known, with one witness for the others.
+
+    ``width`` is the number of bytes of ``h`` that are sent besides the part,
+    which other bits of ``h`` determine. Where an answer only selects
+    candidates, fewer bytes will do: chance matches then cost work, not results.
+    """
     order, new, again = _groups(h, g, row, two_rows)
     h, g, row, pos = h[order], g[order], row[order], pos[order]
-    known, witness = np.flatnonzero(again), np.flatnonzero(again & new)
-    own = np.flatnonzero(~again)
-    spread = mixed(row[known].astype(np.uint64) * np.uint64(_BASES[1]) + pos[known].astype(np.uint64))
-    return pa.RecordBatch.from_arrays([
-        pa.array(np.concatenate([h[own], h[witness], spread]).view(np.int64)),
-        pa.array(np.concatenate([g[own], g[witness], g[known]]).astype(np.int32)),
-        pa.array(np.concatenate([row[own], row[witness], row[known]]).astype(np.int64)),
-        pa.array(np.concatenate([pos[own], pos[witness], pos[known]]).astype(np.int32)),
-        pa.array(np.repeat(np.array([OPEN, WITNESS, KNOWN], np.int8), [len(own), len(witness), len(known)]))],
-        names=["h", "g", "row", "pos", "kind"])
-
-
-def _answer(batches: Iterator[pa.RecordBatch], two_rows: bool) -> Iterator[pa.RecordBatch]:
-    parts = []
+    known, witness, own = np.flatnonzero(again), np.flatnonzero(again & new), np.flatnonzero(~again)
+    at = np.concatenate([own, witness, known])
+    kind = np.repeat(np.array([OPEN, WITNESS, KNOWN], np.int8), [len(own), len(witness), len(known)])
+    spread = np.where(kind == KNOWN, mixed(row[at].astype(np.uint64) * np.uint64(_BASES[1])), h[at])
+    part = ((spread >> np.uint64(40)) % np.uint64(parts)).astype(np.int32)
+    order = np.lexsort((pos[at], row[at], kind == KNOWN, part))
+    at, part, kind = at[order], part[order], kind[order]
+    edge = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.empty(0, np.int64)
+    low = h[at].view(np.uint8).reshape(-1, 8)[:, :width]
+    out: list[list] = [[] for _ in range(6)]
+    for lo, hi in zip(edge, np.append(edge[1:], len(part))):
+        asked = lo + int((kind[lo:hi] != KNOWN).sum())  # known positions come last and need no hash
+        rows = row[at[lo:hi]].astype(np.int64)
+        cells = (int(part[lo]), low[lo:asked].tobytes(), g[at[lo:asked]].astype(np.int32).tobytes() if width == 8 else b"",
+                 np.diff(rows, prepend=0).tobytes(), pos[at[lo:hi]].astype(np.int32).tobytes(), kind[lo:hi].tobytes())
+        for o, c in zip(out, cells):
+            o.append(c)
+    return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *[pa.array(o, pa.binary()) for o in out[1:]]],
+                                      names=["part", "h", "g", "row", "pos", "kind"])
+
+
+def _answer(batches: Iterator[pa.RecordBatch], two_rows: bool, width: int) -> Iterator[pa.RecordBatch]:
+    open_: dict[int, list[tuple]] = {}
     for b in batches:
-        cols = [c.to_numpy(zero_copy_only=False) for c in b.columns]
-        known = cols[4] == KNOWN
-        yield pa.RecordBatch.from_arrays([pa.array(cols[2][known]), pa.array(cols[3][known])], names=["row", "pos"])
-        parts.append([c[~known] for c in cols])
-    if parts:
-        h, g, row, pos, kind = (np.concatenate(c) for c in zip(*parts))
+        for part, h, g, row, pos, kind in zip(*[c.to_pylist() for c in b.columns]):
+            rows, at, kinds = np.cumsum(np.frombuffer(row, np.int64)), np.frombuffer(pos, np.int32), np.frombuffer(kind, np.int8)
+            known = kinds == KNOWN
+            if known.any():
+                yield pa.RecordBatch.from_arrays([pa.array(rows[known]), pa.array(at[known])], names=["row", "pos"])
+            n = int((~known).sum())
+            hashes = np.zeros((n, 8), np.uint8)
+            hashes[:, :width] = np.frombuffer(h, np.uint8).reshape(n, width)
+            second = np.frombuffer(g, np.int32) if width == 8 else np.zeros(n, np.int32)
+            open_.setdefault(part, []).append((hashes.view(np.uint64).ravel(), second, rows[~known], at[~known], kinds[~known]))
+    while open_:
+        h, g, row, pos, kind = (np.concatenate(c) for c in zip(*open_.popitem()[1]))
         order, _, again = _groups(h, g, row, two_rows)
         own = order[again & (kind[order] == OPEN)]
         yield pa.RecordBatch.from_arrays([pa.array(row[own]), pa.array(pos[own])], names=["row", "pos"])
 
 
-def answers(questions: DataFrame, two_rows: bool) -> DataFrame:
-    """(row, positions): the positions asked whose hash repeats (``two_rows``: in two different rows)."""
-    found = questions.repartition("h").mapInArrow(partial(_answer, two_rows=two_rows), "row long, pos int")
+def parts_for(spark: SparkSession) -> int:
+    """Parts that the questions are dealt into: twice the shuffle partitions, so they fall evenly."""
+    return 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def answers(questions: DataFrame, two_rows: bool, width: int = 8) -> DataFrame:
+    """(row, found): the positions asked whose hash repeats (``two_rows``: in two different rows)."""
+    found = questions.repartition("part").mapInArrow(partial(_answer, two_rows=two_rows, width=width), "row long, pos int")
     return found.groupBy("row").agg(F.collect_list("pos").alias("found"))

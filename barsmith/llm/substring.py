@@ -19,11 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .repeats import ASK_SCHEMA, Rolling, answers, ask, keyed, slices
+from .repeats import ASK_SCHEMA, Rolling, answers, ask, keyed, parts_for, slices
 
 #: Perfect difference sets: period -> cover. Each nonzero residue is a difference exactly once.
 COVERS = {3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16)}
 
+#: Bytes of an anchor's hash that are exchanged, within its part; anchors only choose candidates.
+ANCHOR_BYTES = 5
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -51,7 +54,7 @@ class Words:
         return self.rolling[which].hash(at, at + n)
 
 
-def _anchors(batches: Iterator[pa.RecordBatch], window: int, period: int) -> Iterator[pa.RecordBatch]:
+def _anchors(batches: Iterator[pa.RecordBatch], window: int, period: int, parts: int) -> Iterator[pa.RecordBatch]:
     length = window - period + 1
     cover = np.isin(np.arange(period), COVERS.get(period, (0,)))
     for b in batches:
@@ -62,7 +65,7 @@ def _anchors(batches: Iterator[pa.RecordBatch], window: int, period: int) -> Ite
             pos = np.arange(len(doc)) - words.first[doc]
             at = np.flatnonzero(cover[pos % period] & (pos + length <= n[doc]) & (n[doc] >= window))
             row = part.column(0).to_numpy(zero_copy_only=False)[doc[at]]
-            yield ask(words.hash(at, length), np.zeros(len(at), np.int32), row, pos[at], two_rows=False)
+            yield ask(words.hash(at, length), np.zeros(len(at), np.int32), row, pos[at], False, parts, ANCHOR_BYTES)
 
 
 def covered(length: int, positions: np.ndarray, before: int, after: int) -> np.ndarray:
@@ -80,7 +83,7 @@ def _found(part: pa.RecordBatch, first: np.ndarray) -> np.ndarray:
     return np.repeat(first[:-1], n) + found.flatten().to_numpy(zero_copy_only=False)
 
 
-def _windows(batches: Iterator[pa.RecordBatch], window: int, period: int) -> Iterator[pa.RecordBatch]:
+def _windows(batches: Iterator[pa.RecordBatch], window: int, parts: int, period: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for part, data, ends in slices(b.filter(b.column(b.num_columns - 1).is_valid())):
             words = Words(data, ends)
@@ -91,7 +94,7 @@ def _windows(batches: Iterator[pa.RecordBatch], window: int, period: int) -> Ite
             at = np.flatnonzero(near & (pos + window <= n[doc]))
             row = part.column(0).to_numpy(zero_copy_only=False)[doc[at]]
             g = (words.hash(at, window, 1) >> np.uint64(33)).astype(np.int32)
-            yield ask(words.hash(at, window), g, row, pos[at], two_rows=False)
+            yield ask(words.hash(at, window), g, row, pos[at], False, parts)
 
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int, carried: int) -> Iterator[pa.RecordBatch]:
@@ -145,9 +148,12 @@ def remove_repeats(docs: DataFrame, window: int = 35, period: int | None = None,
     base = keyed(docs, id_col, text_col, tuple(carry))
     kinds = {f.name: f.dataType.simpleString() for f in base.schema.fields}
     narrow = base.select("row", "doc_id", "text")
-    anchors = answers(narrow.mapInArrow(partial(_anchors, window=window, period=period), ASK_SCHEMA), two_rows=False)
+    parts = parts_for(docs.sparkSession)
+    anchors = answers(narrow.mapInArrow(partial(_anchors, window=window, period=period, parts=parts), ASK_SCHEMA),
+                      two_rows=False, width=ANCHOR_BYTES)
     candidates = base.join(anchors, "row", "left")
-    repeats = answers(candidates.mapInArrow(partial(_windows, window=window, period=period), ASK_SCHEMA), two_rows=False)
+    repeats = answers(candidates.mapInArrow(partial(_windows, window=window, period=period, parts=parts), ASK_SCHEMA),
+                      two_rows=False)
     cut = base.join(repeats, "row", "left").mapInArrow(
         partial(_cut, window=window, carried=len(carry)),
         "doc_id long, n_words long, n_removed long, kept string, text string"
