@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from . import bpe, token_counts
 from .common import table
+from .ctw import score_texts
 from .embed import embedding_components
 from .mixing import mix
 from .quality import classify
 from .simhash import simhash_components
 from .substring import remove_repeats
+from .suffix import remove_earlier
 from .topk import top_k
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -50,6 +52,11 @@ def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_components(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_earlier(table(spark, sf_dir, "documents"), length=50).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -69,13 +76,19 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), every=20, k=20, scale=64)
 
 
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"), depth=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_bpe": op2_bpe,
     "op3_mixing": op3_mixing,
     "op4_embeddings": op4_embeddings,
+    "op5_suffixes": op5_suffixes,
     "op6_quality": op6_quality,
     "op7_token_counts": op7_token_counts,
     "op8_substring": op8_substring,
     "op9_topk": op9_topk,
+    "op10_lm_scores": op10_lm_scores,
 }
