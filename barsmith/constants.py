@@ -13,7 +13,7 @@ NEUTRAL_HIGH = 55.0
 VOLUME_SURGE = 1.5              # day_volume / avg_volume > 1.5 -> STRONG_*
 MIN_CORR_POINTS = 10            # fewer common closes -> correlation is null
 STRONG_CORR = 0.8               # intraday_corr > 0.8 -> strong pair
-OUTPUT_FILES = 10               # coalesce target of the report sink
+OUTPUT_FILES = 10               # files of the small report sink
 TOP_PAIRS = 20                  # rows in the strong-pair preview
 TOP_CHANGES = 30                # rows in the regime-change preview
 OHLCV_FEED_TICKERS = 3          # top tickers by volume in the OHLCV feed

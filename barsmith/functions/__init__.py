@@ -1,7 +1,5 @@
 """Column-level functions (built-in expressions only, no Python UDFs)."""
 
-from .numeric import changed, intraday_return, pct_change, pearson
 from .regime import candle_direction, classify_regime, regime_ordinal, rsi_band
 
-__all__ = ["candle_direction", "changed", "classify_regime", "intraday_return",
-           "pct_change", "pearson", "regime_ordinal", "rsi_band"]
+__all__ = ["candle_direction", "classify_regime", "regime_ordinal", "rsi_band"]

@@ -2,47 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 
 def intraday_return_sql(close: str, open_: str) -> str:
-    return f"try_divide(({close}) - ({open_}), CASE WHEN ({open_}) <> 0 THEN ({open_}) END)"
-
-
-def intraday_return(close: str, open_: str) -> Column:
     """(close - open) / open as a fraction; null when open is 0 or null."""
-    return F.expr(intraday_return_sql(close, open_))
+    return f"try_divide(({close}) - ({open_}), CASE WHEN ({open_}) <> 0 THEN ({open_}) END)"
 
 
 def pct_change_sql(current: str, previous: str, scale: int = 2) -> str:
+    """Percent change rounded to ``scale`` places; null if previous is null or 0."""
     return (f"CASE WHEN ({previous}) IS NOT NULL AND ({previous}) <> 0 "
             f"THEN round((({current}) - ({previous})) / ({previous}) * 100, {scale}) END")
 
 
-def pct_change(current: str, previous: str, scale: int = 2) -> Column:
-    """Percent change rounded to ``scale`` places; null if previous is null or 0."""
-    return F.expr(pct_change_sql(current, previous, scale))
-
-
 def changed_sql(current: str, previous: str) -> str:
-    return f"coalesce(({current}) <> ({previous}), false)"
-
-
-def changed(current: str, previous: str) -> Column:
     """True only when both are present and differ."""
-    return F.expr(changed_sql(current, previous))
+    return f"coalesce(({current}) <> ({previous}), false)"
 
 
 def pearson_sql(x: str, y: str) -> str:
+    """Population Pearson as an aggregate, null when a side is flat (``corr`` raises there under ANSI)."""
     den = f"(stddev_pop({x}) * stddev_pop({y}))"
     return f"try_divide(covar_pop({x}, {y}), CASE WHEN {den} <> 0 THEN {den} END)"
-
-
-def pearson(x: str, y: str) -> Column:
-    """Population Pearson correlation as an aggregate; null when either side is flat.
-
-    ``corr`` itself divides by zero on a flat series, which raises under
-    ANSI; here the zero divisor becomes null instead.
-    """
-    return F.expr(pearson_sql(x, y))

@@ -12,6 +12,9 @@ from ..functions.regime import candle_direction, regime_ordinal_sql, rsi_band
 from .pairs import daily_close_corr
 
 
+BROADCAST_TICKERS = 100_000  # longest ticker list that is broadcast
+
+
 def top_tickers(report: DataFrame, k: int | None = None) -> DataFrame:
     """(ticker, total_vol) by summed day_volume, largest first, ties by ticker.
 
@@ -23,9 +26,10 @@ def top_tickers(report: DataFrame, k: int | None = None) -> DataFrame:
 
 
 def _only_top(report: DataFrame, k: int) -> DataFrame:
-    # The top-k list has at most k rows, a proven bound, so it is broadcast.
-    keep = F.broadcast(top_tickers(report, k).select(F.expr("ticker")))
-    return report.join(keep, "ticker", "left_semi")
+    # The top-k list has at most k rows, so a small k is broadcast. The report is read
+    # twice: pass a written or staged one.
+    keep = top_tickers(report, k).select(F.expr("ticker"))
+    return report.join(F.broadcast(keep) if k <= BROADCAST_TICKERS else keep, "ticker", "left_semi")
 
 
 def ohlcv_feed(report: DataFrame, k: int = OHLCV_FEED_TICKERS) -> DataFrame:
@@ -50,7 +54,9 @@ def regime_matrix(report: DataFrame, dates: Sequence[str] | None = None,
     ``value="ordinal"`` gives the chart position as double (unknown labels
     3.0); ``value="label"`` gives the label text, "" where a ticker has no
     row that day. Pass ``dates`` to fix the columns and skip the distinct
-    job; without it the dates present become the columns.
+    job; without it the dates present become the columns, up to Spark's
+    limit of pivot values (``spark.sql.pivotMaxValues``). ``report`` itself is
+    the long form, for more columns than a table should have.
     """
     v = regime_ordinal_sql("signal_regime") if value == "ordinal" else "signal_regime"
     long = report.select(F.expr("ticker"), F.expr("date_format(trade_date, 'yyyy-MM-dd') AS date_label"),

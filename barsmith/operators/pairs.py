@@ -12,7 +12,7 @@ from ..functions.numeric import intraday_return_sql, pearson_sql
 from .rsi import rsi_from_sums_sql
 from .ohlcv import daily_mean_close
 from .sequence import close_points, sequence_view
-from .series import DEFAULT_BLOCK, blocked_series, corr_from_moments_sql, pair_moments_sql
+from .series import DEFAULT_BLOCK, aligned_sql, blocked_series, common_points_sql, corr_sql
 
 PAIR_FIELDS = (("day_open", "open"), ("day_close", "close"), ("day_volume", "volume"), ("rsi", "rsi"))
 
@@ -63,26 +63,22 @@ def intraday_returns(pairs: DataFrame) -> DataFrame:
 RELATION_DAY_COLUMNS = ("day_open", "day_close", "day_high", "day_low", "day_volume", "bar_count", "rsi")
 
 
-def day_block_relation(bars: DataFrame, period: int = RSI_PERIOD, block: int = DEFAULT_BLOCK,
-                       split_minutes: int | None = None) -> DataFrame:
-    """Day rows (blk -1) and close blocks from one pass over the bars.
+def close_blocks(bars: DataFrame, period: int = RSI_PERIOD, block: int = DEFAULT_BLOCK,
+                 split_minutes: int | None = None) -> DataFrame:
+    """One row per (ticker, trade_date, blk of ``block`` positions).
 
-    Columns: ticker, trade_date, blk, xs, day_open, day_close, day_high,
-    day_low, day_volume, bar_count, rsi. Block rows carry ``xs`` (closes
-    centred on the day's first close, ``block`` positions per row) and null
-    day fields; each ticker-day has one day row with ``xs`` null. The block
-    aggregate keeps mergeable day partials (earliest open and latest close
-    as structs, high, low, volume, count, weighted RSI gain/loss sums); a
-    window over the block rows of each ticker-day, on the same partitioning,
-    merges them; ``inline`` emits the rows. One lineage, so the bars are read
-    and shuffled once for daily indicators and pair correlation alike.
+    ``xs``: the block's closes in order, centred on the day's first close;
+    and the block's share of the day, as mergeable partials (earliest open
+    and latest close as structs, high, low, volume, count, weighted RSI
+    gain and loss sums). Bars without a close are in the last block or in
+    one of their own (null ``blk``), with no ``xs``.
     """
     seq = sequence_view(bars, split_minutes)
     r = f"CAST({period - 1} AS DOUBLE) / {period}"
     w = f"pow({r}, CAST(n_closes - 1 - greatest(pos, {period}) AS DOUBLE))"
     d = "(close - prev_close)"
     is_diff = "pos >= 1 AND pos < n_closes"
-    blk = seq.groupBy(F.expr("ticker"), F.expr("trade_date"), F.expr(f"CAST(floor(pos / {block}) AS INT) AS blk")).agg(
+    return seq.groupBy(F.expr("ticker"), F.expr("trade_date"), F.expr(f"CAST(floor(pos / {block}) AS INT) AS blk")).agg(
         F.expr("transform(sort_array(collect_list(CASE WHEN pos < n_closes "
                "THEN named_struct('i', pos, 'x', close - first_close) END)), e -> e.x) AS xs"),
         F.expr("min(named_struct('t', timestamp, 'p', open)) AS o"),
@@ -93,31 +89,46 @@ def day_block_relation(bars: DataFrame, period: int = RSI_PERIOD, block: int = D
         F.expr(f"sum(CASE WHEN {is_diff} AND {d} <= 0 THEN {w} * -{d} END) AS l"),
         F.expr("max(n_closes) AS n"),
     )
-    vol_type = blk.schema["v"].dataType.simpleString()
-    day = "PARTITION BY ticker, trade_date"
-    merged = blk.select(
-        F.expr("ticker"), F.expr("trade_date"), F.expr("blk"), F.expr("xs"),
-        F.expr(f"min(o) OVER ({day}) AS day_o"), F.expr(f"max(c) OVER ({day}) AS day_c"),
-        F.expr(f"max(h) OVER ({day}) AS day_high"), F.expr(f"min(lo) OVER ({day}) AS day_low"),
-        F.expr(f"sum(v) OVER ({day}) AS day_volume"), F.expr(f"sum(k) OVER ({day}) AS bar_count"),
-        F.expr(rsi_from_sums_sql(f"sum(g) OVER ({day})", f"sum(l) OVER ({day})",
-                                 f"max(n) OVER ({day}) - 1", period) + " AS rsi"),
-        F.expr(f"row_number() OVER ({day} ORDER BY blk) AS rn"),
-    )
-    nulls = (f"'day_open', CAST(NULL AS DOUBLE), 'day_close', CAST(NULL AS DOUBLE), 'day_high', CAST(NULL AS DOUBLE), "
-             f"'day_low', CAST(NULL AS DOUBLE), 'day_volume', CAST(NULL AS {vol_type}), "
-             f"'bar_count', CAST(NULL AS BIGINT), 'rsi', CAST(NULL AS DOUBLE)")
-    block_row = f"named_struct('blk', blk, 'xs', xs, {nulls})"
-    day_row = ("named_struct('blk', -1, 'xs', CAST(NULL AS ARRAY<DOUBLE>), 'day_open', day_o.p, 'day_close', day_c.p, "
-               "'day_high', day_high, 'day_low', day_low, 'day_volume', day_volume, 'bar_count', bar_count, "
-               "'rsi', rsi)")
-    return merged.select(
-        F.expr("ticker"), F.expr("trade_date"),
-        F.expr(f"inline(filter(array(CASE WHEN blk IS NOT NULL AND size(xs) > 0 THEN {block_row} END, "
-               f"CASE WHEN rn = 1 THEN {day_row} END), e -> e IS NOT NULL))"),
+
+
+def merge_day(blocks: DataFrame, period: int = RSI_PERIOD) -> DataFrame:
+    """Daily OHLCV + rsi rows from the partials of ``close_blocks``; the blocks' closes are not read."""
+    return blocks.groupBy("ticker", "trade_date").agg(
+        F.expr("min(o).p AS day_open"), F.expr("max(c).p AS day_close"),
+        F.expr("max(h) AS day_high"), F.expr("min(lo) AS day_low"),
+        F.expr("sum(v) AS day_volume"), F.expr("sum(k) AS bar_count"),
+        F.expr(rsi_from_sums_sql("sum(g)", "sum(l)", "max(n) - 1", period) + " AS rsi"),
     )
 
 
+def block_rows(blocks: DataFrame) -> DataFrame:
+    """(ticker, trade_date, blk, xs) of the blocks that hold closes."""
+    return blocks.where("blk IS NOT NULL AND size(xs) > 0").select(
+        F.expr("ticker"), F.expr("trade_date"), F.expr("blk"), F.expr("xs"))
+
+
+def day_block_relation(bars: DataFrame, period: int = RSI_PERIOD, block: int = DEFAULT_BLOCK,
+                       split_minutes: int | None = None) -> DataFrame:
+    """Day rows (blk -1) and close blocks of the bars.
+
+    Columns: ticker, trade_date, blk, xs, day_open, day_close, day_high,
+    day_low, day_volume, bar_count, rsi. Block rows carry ``xs`` and null
+    day fields; each ticker-day has one day row with ``xs`` null, merged
+    from the blocks' partials by an aggregate. Both come from one exchange
+    of the bars, and nothing gathers a day's closes in one place.
+    """
+    blocks = close_blocks(bars, period, block, split_minutes)
+    return relation_of(merge_day(blocks, period), block_rows(blocks))
+
+
+def relation_of(daily: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The relation of ``day_block_relation`` from its two parts, e.g. two staged tables."""
+    days = daily.select(F.expr("ticker"), F.expr("trade_date"), F.expr("-1 AS blk"), F.expr("CAST(NULL AS ARRAY<DOUBLE>) AS xs"),
+                        *[F.expr(c) for c in RELATION_DAY_COLUMNS])
+    kinds = {c: daily.schema[c].dataType.simpleString() for c in RELATION_DAY_COLUMNS}
+    return days.unionByName(blocks.select(F.expr("*"), *[F.expr(f"CAST(NULL AS {kinds[c]}) AS {c}") for c in RELATION_DAY_COLUMNS]))
+
+
 def day_rows(relation: DataFrame) -> DataFrame:
     """The daily OHLCV + rsi rows of a ``day_block_relation``."""
     return relation.where("blk = -1").select(F.expr("ticker"), F.expr("trade_date"),
@@ -127,20 +138,20 @@ def day_rows(relation: DataFrame) -> DataFrame:
 def pair_correlation_from_relation(relation: DataFrame, min_points: int = MIN_CORR_POINTS) -> DataFrame:
     """Pair correlation over a relation of day rows (blk -1) and close blocks.
 
-    The relation is shuffled once on (trade_date, blk) and joined to itself;
-    both sides read that one exchange. Each joined row folds its aligned
-    slots into six moments; the aggregate sums them per pair-day.
+    The join hashes both sides on (trade_date, blk); they are the same rows,
+    so the second side reuses the first one's exchange, and adaptive
+    execution splits a group with very many tickers. The joined blocks'
+    slots are unfolded into the covariance aggregates.
     """
-    rel = relation.repartition("trade_date", "blk")
-    a = _side(rel, "a", PAIR_FIELDS, "trade_date", ["blk", "xs"])
-    b = _side(rel, "b", PAIR_FIELDS, "trade_date_b", ["blk", "xs"])
-    joined = a.join(b, F.expr(_pair_condition(False, ("trade_date", "trade_date_b"), ("blk_a", "blk_b"))),
-                    "inner").select(F.expr("*"), F.expr(pair_moments_sql("xs_a", "xs_b") + " AS mo"))
-    sums = {k: f"sum(mo.{k})" for k in ("n", "sa", "sb", "saa", "sbb", "sab")}
+    a = _side(relation, "a", PAIR_FIELDS, "trade_date", ["blk", "xs"])
+    b = _side(relation, "b", PAIR_FIELDS, "trade_date_b", ["blk", "xs"])
+    fields = [f"{d}_{s}" for s in ("a", "b") for _, d in PAIR_FIELDS]
+    joined = a.join(b, F.expr(_pair_condition(False, ("trade_date", "trade_date_b"), ("blk_a", "blk_b"))), "inner").select(
+        F.expr("ticker_a"), F.expr("ticker_b"), F.expr("trade_date"), *[F.expr(f) for f in fields], F.expr(aligned_sql()))
     agg = joined.groupBy("ticker_a", "ticker_b", "trade_date").agg(
-        *[F.expr(f"max({d}_{s}) AS {d}_{s}") for s in ("a", "b") for _, d in PAIR_FIELDS],
-        F.expr(f"coalesce({sums['n']}, 0) AS common_points"),
-        F.expr(corr_from_moments_sql(**sums, min_points=min_points) + " AS intraday_corr"),
+        *[F.expr(f"max({f}) AS {f}") for f in fields],
+        F.expr(common_points_sql() + " AS common_points"),
+        F.expr(corr_sql(min_points) + " AS intraday_corr"),
     )
     return intraday_returns(agg)
 
@@ -158,7 +169,7 @@ def pair_correlation(bars: DataFrame, daily: DataFrame | None = None,
 
     Plan: each ticker-day's closes (centred on its first close) become
     blocks of ``block`` positions; day rows (block -1) and blocks form one
-    relation, shuffled once on (trade_date, blk) and joined to itself:
+    relation, joined to itself on (trade_date, blk):
     every join group holds at most one row per ticker, so a ticker with many
     bars adds blocks, not group size, and every pair sharing a date appears
     through its -1 rows. No Python, and a block of positions travels as one
@@ -179,9 +190,11 @@ def pair_correlation(bars: DataFrame, daily: DataFrame | None = None,
     return pair_correlation_from_relation(heads.unionByName(blocks), min_points)
 
 
-def strong_pairs(correlated: DataFrame, threshold: float = STRONG_CORR) -> DataFrame:
-    """Pair-days with ``intraday_corr > threshold`` (null and strong negatives drop out)."""
-    return correlated.where(f"intraday_corr > {float(threshold)!r}D")
+def strong_pairs(correlated: DataFrame, threshold: float = STRONG_CORR, absolute: bool = False) -> DataFrame:
+    """Pair-days with ``intraday_corr > threshold``; nulls drop out, and so do strong
+    negatives unless ``absolute`` compares the coefficient's size."""
+    corr = "abs(intraday_corr)" if absolute else "intraday_corr"
+    return correlated.where(f"{corr} > {float(threshold)!r}D")
 
 
 def pair_summary(correlated: DataFrame, threshold: float = STRONG_CORR) -> DataFrame:

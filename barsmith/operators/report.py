@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import changed_sql, pct_change_sql
 
+# --- fixed names: columns of the report and the change feed ---
 LAGGED = (("signal_regime", "prev_regime"), ("rsi", "prev_rsi"), ("day_close", "prev_close"))
 CHANGE_COLUMNS = ("ticker", "trade_date", "prev_regime", "signal_regime", "rsi", "day_return_pct")
 

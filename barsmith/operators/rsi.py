@@ -25,8 +25,25 @@ def rsi_from_sums_sql(gain: str, loss: str, n_diffs: str, period: int) -> str:
             f"WHEN {l} = 0 THEN 100D ELSE 100D - 100D / (1D + {g} / {l}) END")
 
 
-def rsi_aggregates(period: int = RSI_PERIOD) -> list[Column]:
-    """Aggregate column ``rsi`` over rows of ``sequence_view`` grouped by ticker-day."""
+RSI_METHODS = ("closed", "sequence")
+
+
+def rsi_aggregates(period: int = RSI_PERIOD, method: str = "closed") -> list[Column]:
+    """Aggregate column ``rsi`` over rows of ``sequence_view`` grouped by ticker-day.
+
+    ``method="closed"`` sums weighted differences and merges partial sums.
+    The weights underflow to zero about 10,000 closes (at period 14) before
+    the day's end, so a longer tail without any move loses the earlier ones;
+    ``method="sequence"`` runs the step-by-step recurrence over the day's
+    closes in order and suits any length, at the price of one array per
+    ticker-day.
+    """
+    if method not in RSI_METHODS:
+        raise ValueError(f"method must be one of {RSI_METHODS}")
+    if method == "sequence":
+        closes = ("transform(sort_array(collect_list(CASE WHEN pos < n_closes THEN named_struct('i', pos, 'x', close) END)), "
+                  "e -> e.x)")
+        return [rsi_of_array(closes, period).alias("rsi")]
     r = f"CAST({period - 1} AS DOUBLE) / {period}"
     w = f"pow({r}, CAST(n_closes - 1 - greatest(pos, {period}) AS DOUBLE))"
     d = "(close - prev_close)"
@@ -36,9 +53,13 @@ def rsi_aggregates(period: int = RSI_PERIOD) -> list[Column]:
     return [F.expr(rsi_from_sums_sql(gain, loss, "max(n_closes) - 1", period) + " AS rsi")]
 
 
-def intraday_rsi(bars: DataFrame, period: int = RSI_PERIOD, split_minutes: int | None = None) -> DataFrame:
-    """(ticker, trade_date, rsi): RSI of each day's closes in time order, restarting daily."""
-    return sequence_view(bars, split_minutes).groupBy(*DAY_KEYS).agg(*rsi_aggregates(period))
+def intraday_rsi(bars: DataFrame, period: int = RSI_PERIOD, split_minutes: int | None = None,
+                 method: str = "closed") -> DataFrame:
+    """(ticker, trade_date, rsi): RSI of each day's closes in time order, restarting daily.
+
+    ``method``: see ``rsi_aggregates``; "sequence" for days of more than about 10,000 closes.
+    """
+    return sequence_view(bars, split_minutes).groupBy(*DAY_KEYS).agg(*rsi_aggregates(period, method))
 
 
 def rsi_of_array(closes: str, period: int = RSI_PERIOD) -> Column:

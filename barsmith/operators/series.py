@@ -4,11 +4,11 @@ A ticker-day series (an integer index -> value) is cut into blocks of
 ``block`` consecutive indices; each block is one row holding an array of
 ``block`` slots, null where the index has no value. Two tickers' blocks with
 the same (trade_date, blk) are aligned slot by slot, so one join row carries
-up to ``block`` index pairs and the pairwise moments are folded inside the
-row (JVM-side ``aggregate``). Compared with joining one row per index, the
-join emits ``block`` times fewer rows and the per-pair aggregate shuffles
-``block`` times fewer partial rows, while every join group still holds at
-most one row per ticker.
+up to ``block`` index pairs. They are unfolded after the join and feed the
+built-in covariance aggregates in the same stage, so a block's slots collapse
+into one partial result before the shuffle. Compared with joining one row per
+index, the join itself handles ``block`` times fewer rows, while every join
+group holds at most one row per ticker.
 """
 
 from __future__ import annotations
@@ -18,8 +18,6 @@ from pyspark.sql import functions as F
 
 DEFAULT_BLOCK = 64
 
-ZERO_MOMENTS = "named_struct('n', 0L, 'sa', 0D, 'sb', 0D, 'saa', 0D, 'sbb', 0D, 'sab', 0D)"
-
 
 def blocked_series(points: DataFrame, index: str, value: str, block: int = DEFAULT_BLOCK,
                    dense: bool = False) -> DataFrame:
@@ -46,23 +44,19 @@ def blocked_series(points: DataFrame, index: str, value: str, block: int = DEFAU
     )
 
 
-def pair_moments_sql(xs_a: str = "xs_a", xs_b: str = "xs_b") -> str:
-    """Struct (n, sa, sb, saa, sbb, sab) over the slots where both arrays hold a value."""
-    step = ("(s, e) -> CASE WHEN e.p IS NULL OR e.q IS NULL THEN s ELSE named_struct("
-            "'n', s.n + 1, 'sa', s.sa + e.p, 'sb', s.sb + e.q, 'saa', s.saa + e.p * e.p, "
-            "'sbb', s.sbb + e.q * e.q, 'sab', s.sab + e.p * e.q) END")
-    return (f"aggregate(zip_with({xs_a}, {xs_b}, (p, q) -> named_struct('p', p, 'q', q)), "
-            f"{ZERO_MOMENTS}, {step})")
+def aligned_sql(xs_a: str = "xs_a", xs_b: str = "xs_b") -> str:
+    """Generator: one row (x_a, x_b) per slot of two blocks; a pair of rows without blocks gives one row of nulls."""
+    return f"inline_outer(transform(arrays_zip({xs_a}, {xs_b}), e -> named_struct('x_a', e.{xs_a}, 'x_b', e.{xs_b})))"
 
 
-def corr_from_moments_sql(n: str, sa: str, sb: str, saa: str, sbb: str, sab: str, min_points: int) -> str:
-    """Population Pearson from summed moments; null below ``min_points`` or when a side is flat.
+def common_points_sql(a: str = "x_a", b: str = "x_b") -> str:
+    return f"count_if({a} IS NOT NULL AND {b} IS NOT NULL)"
 
-    n*sab - sa*sb over sqrt((n*saa - sa^2)(n*sbb - sb^2)); the inputs should
-    be centred per series (any constant shift leaves the result unchanged)
-    so the differences do not cancel digits away.
-    """
-    va = f"({n} * {saa} - {sa} * {sa})"
-    vb = f"({n} * {sbb} - {sb} * {sb})"
-    return (f"CASE WHEN {n} >= {min_points} AND {va} > 0 AND {vb} > 0 "
-            f"THEN ({n} * {sab} - {sa} * {sb}) / sqrt({va} * {vb}) END")
+
+def corr_sql(min_points: int, a: str = "x_a", b: str = "x_b") -> str:
+    """Population Pearson over the slots where both sides hold a value; null below
+    ``min_points`` of them or when a side is flat. The aggregates merge centred
+    moments, and partial results of a block collapse before the shuffle."""
+    sd = f"stddev_pop(CASE WHEN {b} IS NOT NULL THEN {a} END) * stddev_pop(CASE WHEN {a} IS NOT NULL THEN {b} END)"
+    return (f"CASE WHEN {common_points_sql(a, b)} >= {min_points} AND {sd} <> 0 "
+            f"THEN covar_pop({a}, {b}) / ({sd}) END")

@@ -6,12 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import MIN_CORR_POINTS
-from .series import DEFAULT_BLOCK, blocked_series, corr_from_moments_sql, pair_moments_sql
+from .sequence import elapsed_minutes_sql
+from .series import DEFAULT_BLOCK, aligned_sql, blocked_series, common_points_sql, corr_sql
 
 
-def slot_sql(ts: str = "timestamp", slot_minutes: int = 1) -> str:
-    """Integer slot of the day: floor(minute of day / slot_minutes)."""
-    return f"CAST(floor((hour({ts}) * 60 + minute({ts})) / {int(slot_minutes)}) AS INT)"
+def slot_sql(bars: DataFrame, slot_minutes: int = 1) -> str:
+    """Integer slot of the session: floor(minutes since the start of trade_date / slot_minutes).
+
+    Minutes run on past midnight (and are negative before the trading day),
+    so a session over midnight keeps its order.
+    """
+    return f"CAST(floor({elapsed_minutes_sql(bars, since='trade_date')} / {int(slot_minutes)}) AS INT)"
 
 
 def slot_returns(bars: DataFrame, slot_minutes: int = 1) -> DataFrame:
@@ -22,11 +27,12 @@ def slot_returns(bars: DataFrame, slot_minutes: int = 1) -> DataFrame:
     ticker-day is reduced before any shuffle (and bars already partitioned by
     ticker-day need none). slot_return = slot_close / previous occupied
     slot's close - 1 within the day, null for the first slot or a zero
-    previous close; that window runs over slot rows (at most 1,440 a day).
+    previous close; that window runs over slot rows (at most 1,440 a
+    calendar day).
     """
     last_in_slot = (
         bars.where("close IS NOT NULL")
-        .groupBy(F.expr("ticker"), F.expr("trade_date"), F.expr(f"{slot_sql('timestamp', slot_minutes)} AS slot"))
+        .groupBy(F.expr("ticker"), F.expr("trade_date"), F.expr(f"{slot_sql(bars, slot_minutes)} AS slot"))
         .agg(F.expr("max(named_struct('t', timestamp, 'c', close)).c AS close"))
     )
     prev = "lag(close) OVER (PARTITION BY ticker, trade_date ORDER BY slot)"
@@ -47,16 +53,13 @@ def slot_return_corr(bars: DataFrame, slot_minutes: int = 1,
     group is one (date, block) with at most one row per ticker.
     """
     r = slot_returns(bars, slot_minutes).where("slot_return IS NOT NULL")
-    blocks = blocked_series(r, "slot", "slot_return", block).repartition("trade_date", "blk")
+    blocks = blocked_series(r, "slot", "slot_return", block)
     a = blocks.select(F.expr("ticker AS ticker_a"), F.expr("trade_date"), F.expr("blk AS blk_a"),
                       F.expr("xs AS xs_a"))
     b = blocks.select(F.expr("ticker AS ticker_b"), F.expr("trade_date AS trade_date_b"), F.expr("blk AS blk_b"),
                       F.expr("xs AS xs_b"))
     joined = a.join(b, F.expr("trade_date = trade_date_b AND blk_a = blk_b AND ticker_a < ticker_b"), "inner")
-    sums = {k: f"sum(mo.{k})" for k in ("n", "sa", "sb", "saa", "sbb", "sab")}
-    return (joined.select(F.expr("ticker_a"), F.expr("ticker_b"), F.expr("trade_date"),
-                          F.expr(pair_moments_sql("xs_a", "xs_b") + " AS mo"))
+    return (joined.select(F.expr("ticker_a"), F.expr("ticker_b"), F.expr("trade_date"), F.expr(aligned_sql()))
             .groupBy("ticker_a", "ticker_b", "trade_date")
-            .agg(F.expr(f"{sums['n']} AS common_slots"),
-                 F.expr(corr_from_moments_sql(**sums, min_points=min_points) + " AS slot_corr"))
+            .agg(F.expr(common_points_sql() + " AS common_slots"), F.expr(corr_sql(min_points) + " AS slot_corr"))
             .where("common_slots > 0"))

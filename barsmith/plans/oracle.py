@@ -8,26 +8,30 @@ rounded to 6 places, as the registered Spark queries are.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from .. import constants as K
+from . import fixture
 
 DEC = 6
 
 # The events -> bars mapping (DuckDB numbers weekdays 0 = Sunday .. 6 = Saturday).
 BARS = """
+minutes AS (
+  SELECT event_type AS ticker,
+         CAST(ts AS DATE) + CASE dayofweek(ts) WHEN 6 THEN 2 WHEN 0 THEN 1 ELSE 0 END AS trade_date,
+         date_trunc('minute', ts) AS timestamp,
+         CAST(sum(CAST(ROUND(value*100) AS BIGINT) - 5000) AS BIGINT) AS step,
+         CAST(sum(CAST(ROUND(value*100) AS BIGINT)) AS BIGINT) AS cents
+  FROM events GROUP BY ALL),
 walk AS (
-  SELECT event_type, ts, event_id, CAST(ROUND(value*100) AS BIGINT) AS cents,
-         10000000 + SUM(CAST(ROUND(value*100) AS BIGINT) - 5000) OVER (
-           PARTITION BY event_type ORDER BY ts, event_id
-           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c
-  FROM events WHERE dayofweek(ts) NOT IN (0, 6)),
+  SELECT *, 10000000 + SUM(step) OVER (
+           PARTITION BY ticker ORDER BY timestamp ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c
+  FROM minutes),
 px AS (
-  SELECT *, CAST(c - (cents - 5000) AS DOUBLE)/100.0 AS open, CAST(c AS DOUBLE)/100.0 AS close FROM walk),
+  SELECT *, CAST(c - step AS DOUBLE)/100.0 AS open, CAST(c AS DOUBLE)/100.0 AS close FROM walk),
 bars AS (
-  SELECT event_type AS ticker, CAST(ts AS DATE) AS trade_date, ts AS timestamp,
+  SELECT ticker, CAST(trade_date AS DATE) AS trade_date, timestamp,
          open, GREATEST(open, close) AS high, LEAST(open, close) AS low, close,
-         CAST(cents * CASE WHEN EXTRACT(DAY FROM ts) % 5 = 0 THEN 3 ELSE 1 END AS BIGINT) AS volume
+         CAST(cents * CASE WHEN EXTRACT(DAY FROM trade_date) % 5 = 0 THEN 3 ELSE 1 END AS BIGINT) AS volume
   FROM px)"""
 
 OHLCV = """
@@ -76,15 +80,20 @@ REGIME = f"""CASE WHEN rsi IS NULL OR day_volume IS NULL OR avg_volume IS NULL T
               WHEN rsi > {K.NEUTRAL_HIGH} THEN 'LEAN_SELL'
               ELSE 'LEAN_BUY' END"""
 
-IND = f"""
+def _ind(frame: str = "") -> str:
+    return f"""
 ind0 AS (
-  SELECT o.*, avg(o.day_volume) OVER (PARTITION BY o.ticker) AS avg_volume, r.rsi
+  SELECT o.*, avg(o.day_volume) OVER (PARTITION BY o.ticker{frame}) AS avg_volume, r.rsi
   FROM ohlcv o JOIN rsi r USING (ticker, trade_date)),
 ind AS (
   SELECT ticker, trade_date, day_open, day_close, day_high, day_low, day_volume, bar_count,
          avg_volume, rsi, {REGIME} AS signal_regime
   FROM ind0)"""
 
+
+IND = _ind()
+IND_TRAILING = _ind(f" ORDER BY o.trade_date ROWS BETWEEN {fixture.TRAILING_DAYS - 1} PRECEDING AND CURRENT ROW")
+
 REPORT = """
 rep0 AS (
   SELECT *, lag(signal_regime) OVER w AS prev_regime, lag(rsi) OVER w AS prev_rsi,
@@ -129,6 +138,7 @@ correlated AS (
          CASE WHEN c.n >= {K.MIN_CORR_POINTS} AND c.sd <> 0 THEN c.cv / c.sd END AS intraday_corr
   FROM returns r LEFT JOIN cstats c USING (ticker_a, ticker_b, trade_date)),
 strong AS (SELECT * FROM correlated WHERE intraday_corr > {K.STRONG_CORR}),
+strong_abs AS (SELECT * FROM correlated WHERE abs(intraday_corr) > {K.STRONG_CORR}),
 psum AS (
   SELECT ticker_a, ticker_b, count(*) AS correlated_days, avg(intraday_corr) AS avg_correlation,
          avg(return_diff) AS avg_return_diff
@@ -143,10 +153,12 @@ dcc AS (
          END AS correlation
   FROM dm a JOIN dm b ON a.trade_date = b.trade_date AND a.ticker <> b.ticker GROUP BY ALL)"""
 
-SLOT_MINUTES = 60
-SLOTS = f"""
+def _slots(slot_minutes: int) -> str:
+    return f"""
 sl AS (
-  SELECT ticker, trade_date, CAST((hour(timestamp) * 60 + minute(timestamp)) // {SLOT_MINUTES} AS INTEGER) AS slot,
+  SELECT ticker, trade_date,
+         CAST(floor((date_diff('day', trade_date, CAST(timestamp AS DATE)) * 1440 + hour(timestamp) * 60
+                     + minute(timestamp)) / CAST({slot_minutes} AS DOUBLE)) AS INTEGER) AS slot,
          timestamp, close
   FROM bars WHERE close IS NOT NULL),
 slast AS (SELECT ticker, trade_date, slot, last(close ORDER BY timestamp, close) AS slot_close FROM sl GROUP BY ALL),
@@ -155,6 +167,16 @@ sret AS (
   SELECT ticker, trade_date, slot, (slot_close - prev) / prev AS r
   FROM sprev WHERE prev IS NOT NULL AND prev <> 0)"""
 
+
+def _slot_corr_sql(slot_minutes: int) -> str:
+    return _q((BARS, _slots(slot_minutes)),
+              "SELECT a.ticker AS ticker_a, b.ticker AS ticker_b, a.trade_date, count(*) AS common_slots, "
+              f"CASE WHEN count(*) >= {K.MIN_CORR_POINTS} AND stddev_pop(a.r) * stddev_pop(b.r) <> 0 "
+              "THEN covar_pop(a.r, b.r) / (stddev_pop(a.r) * stddev_pop(b.r)) END AS slot_corr "
+              "FROM sret a JOIN sret b ON a.trade_date = b.trade_date AND a.slot = b.slot "
+              "AND a.ticker < b.ticker GROUP BY ALL", ("slot_corr",))
+
+
 TOTALS = """
 tv AS (SELECT ticker, CAST(sum(day_volume) AS BIGINT) AS total_vol FROM report GROUP BY ticker)"""
 
@@ -186,18 +208,8 @@ REGIME_ORDINAL_CASE = ("CASE signal_regime "
                        + f" ELSE CAST({K.REGIME_ORDINAL_DEFAULT} AS DOUBLE) END")
 
 
-def _fixture_dates() -> list[str]:
-    # The events span 2024-01-01 .. 2024-01-30; bars keep the weekdays.
-    start = _dt.date(2024, 1, 1)
-    days = [start + _dt.timedelta(d) for d in range(30)]
-    return [d.isoformat() for d in days if d.weekday() < 5]
-
-
-FIXTURE_TICKERS = ["click", "error", "purchase", "signup", "view"]
-
-
 def _regime_matrix_sql(value: str) -> str:
-    dates = _fixture_dates()
+    dates = fixture.DATES
     if value == "ordinal":
         cells = ", ".join(f"max(CASE WHEN trade_date = DATE '{d}' THEN {REGIME_ORDINAL_CASE} END) AS \"{d}\""
                           for d in dates)
@@ -212,9 +224,9 @@ def _corr_matrix_sql() -> str:
 cells AS (
   SELECT ticker_a, ticker_b, ROUND(correlation, 2) AS c FROM dcc
   UNION ALL SELECT DISTINCT ticker_a, ticker_a, 1.0 FROM dcc)"""
-    cols = ", ".join(f"max(CASE WHEN ticker_b = '{t}' THEN c END) AS \"{t}\"" for t in FIXTURE_TICKERS)
+    cols = ", ".join(f"max(CASE WHEN ticker_b = '{t}' THEN c END) AS \"{t}\"" for t in fixture.TICKERS)
     return _q((BARS, DAILY_CORR, cells_cte), f"SELECT ticker_a, {cols} FROM cells GROUP BY ticker_a",
-              FIXTURE_TICKERS)
+              fixture.TICKERS)
 
 
 PAIR_DOUBLES = ("open_a", "close_a", "rsi_a", "open_b", "close_b", "rsi_b")
@@ -222,7 +234,7 @@ PAIR_DOUBLES = ("open_a", "close_a", "rsi_a", "open_b", "close_b", "rsi_b")
 
 def oracle_sql() -> dict[str, str]:
     R = True
-    return {
+    twins = {
         "scan_bars": _q((BARS,), "SELECT * FROM bars"),
         "bar_count_total": _q((BARS,), "SELECT count(*) AS total_rows FROM bars"),
         "distinct_tickers": _q((BARS,), "SELECT DISTINCT ticker FROM bars"),
@@ -314,14 +326,21 @@ def oracle_sql() -> dict[str, str]:
                        f"ELSE 'MID' END AS rsi_band FROM report "
                        f"WHERE ticker IN (SELECT ticker FROM tv ORDER BY total_vol DESC, ticker "
                        f"LIMIT {K.RSI_FEED_TICKERS}) ORDER BY ticker, trade_date", ("rsi",), R),
-        "slot_return_corr": _q((BARS, SLOTS),
-                               "SELECT a.ticker AS ticker_a, b.ticker AS ticker_b, a.trade_date, "
-                               "count(*) AS common_slots, "
-                               f"CASE WHEN count(*) >= {K.MIN_CORR_POINTS} AND stddev_pop(a.r) * stddev_pop(b.r) <> 0 "
-                               "THEN covar_pop(a.r, b.r) / (stddev_pop(a.r) * stddev_pop(b.r)) END AS slot_corr "
-                               "FROM sret a JOIN sret b ON a.trade_date = b.trade_date AND a.slot = b.slot "
-                               "AND a.ticker < b.ticker GROUP BY ALL", ("slot_corr",)),
+        "slot_return_corr": _slot_corr_sql(60),
+        "slot_return_corr_1m": _slot_corr_sql(1),
         "write_roundtrip": _q(BASE_REPORT, f"SELECT {REPORT_COLUMNS} FROM report", REPORT_DOUBLES, R),
         "write_partitioned_roundtrip": _q(BASE_REPORT, f"SELECT {REPORT_COLUMNS} FROM report", REPORT_DOUBLES, R),
-        "write_verify": _q(BASE_REPORT, "SELECT count(*) AS rows, true AS files_within_limit FROM report", (), R),
+        "write_verify": _q(BASE_REPORT, "SELECT count(*) AS rows, 1 AS files FROM report", (), R),
+        "indicators_trailing": _q((BARS, OHLCV, RSI, IND_TRAILING), "SELECT * FROM ind", IND_DOUBLES, R),
+        "read_bars_table": _q((BARS,), "SELECT * FROM bars"),
+        "one_ticker_bars": _q((BARS,), f"SELECT * FROM bars WHERE ticker = '{fixture.TICKER}'"),
+        "regime_changes_preview": _q(BASE_REPORT, "SELECT ticker, trade_date, prev_regime, signal_regime, rsi, day_return_pct "
+                                                  f"FROM report WHERE regime_changed ORDER BY trade_date, ticker LIMIT {K.TOP_CHANGES}",
+                                     ("rsi", "day_return_pct"), R),
+        "strong_pairs_abs": _q(BASE_CORR, "SELECT ticker_a, ticker_b, trade_date, common_points, intraday_corr, "
+                                          "return_diff FROM strong_abs", ("intraday_corr", "return_diff"), R),
     }
+    same = {"rsi_sequence": "rsi", "with_avg_volume_merge": "with_avg_volume", "write_rebalanced_roundtrip": "write_roundtrip",
+            "write_table_roundtrip": "write_roundtrip", "pipeline_report": "signal_report",
+            "pipeline_signal_summary": "signal_summary_filled", "pipeline_pair_summary": "pair_summary"}
+    return twins | {name: twins[of] for name, of in same.items()}

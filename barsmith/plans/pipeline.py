@@ -4,24 +4,25 @@ Stages: (1) load and validate, (2)+(3) daily OHLCV, RSI and regimes,
 (4) pair correlation summary, (5) day-over-day report, (6) write and
 verify, (7) regime summary from the written table. Only bounded results
 reach the driver (counts, the top-k pair list); everything else stays a
-DataFrame. The bars are read and shuffled once: the daily rows and the
-pair close blocks come from one relation (``day_block_relation``), staged
-with a reliable checkpoint in the session's shared checkpoint folder, and
-every stage reads it; a lost executor re-reads the checkpoint instead of
-recomputing from the bars.
+DataFrame. The bars are read and shuffled once: their close blocks with the
+day partials, and the daily rows merged from them, are written as two
+Parquet tables in the session's shared folder. Later stages read the
+columns they need from these; a lost executor re-reads files instead of
+recomputing from the bars. The folders belong to the results returned
+(which are lazy), so whoever owns the shared folder removes them.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from .. import operators as op
 from ..session import stage, staging_path
-from ..sources import read_signals, write_signals
+from ..sources import null_key, read_signals, write_signals
 
 
 @dataclass
@@ -31,10 +32,12 @@ class PipelineConfig:
     threshold: float = K.STRONG_CORR
     top_pairs: int = K.TOP_PAIRS
     output: str | None = None           # path or table; default: a fresh folder under the shared dir
-    files: int = K.OUTPUT_FILES
+    files: int | None = None            # at most so many output files (coalesce); default: by size
     partition_by: list[str] | None = None
     calendar_lag: bool = False          # opt-in: previous calendar day instead of previous trading day
-    stage: bool = True                  # checkpoint the one-pass day/block relation
+    stage: bool = True                  # write the close blocks and daily rows as tables
+    method: str = "closed"              # RSI arithmetic, see rsi_aggregates
+    drop_null_keys: bool = True         # leave out bars without ticker, trade_date or timestamp, and report their number
     split_minutes: int | None = None    # chunk each day (hot ticker-days)
     regime_args: dict = field(default_factory=dict)
 
@@ -42,13 +45,21 @@ class PipelineConfig:
 def run_pipeline(spark: SparkSession, bars: DataFrame, cfg: PipelineConfig | None = None) -> dict:
     cfg = cfg or PipelineConfig()
     out: dict = {}
-    # One pass over the bars: daily OHLCV + RSI rows and the close blocks of the
-    # pair correlation come out of one shuffle and are staged together. Every
-    # later stage reads the staged relation, never the bars.
-    rel = op.day_block_relation(bars, cfg.period, split_minutes=cfg.split_minutes)
+    # One pass over the bars: blocks of closes with the day's partials, then the daily
+    # rows merged from the partials alone. Every later stage reads these two.
+    loaded = Observation("load")
+    bars = bars.observe(loaded, F.count_if(null_key()).alias("dropped"))
+    if cfg.drop_null_keys:
+        bars = bars.where(~null_key())
+    blocks = op.close_blocks(bars, cfg.period, split_minutes=cfg.split_minutes)
     if cfg.stage:
-        rel = stage(rel)
-    daily = op.day_rows(rel)
+        blocks = stage(blocks, "blocks")
+    if cfg.method == "closed":
+        daily = op.merge_day(blocks, cfg.period)
+    else:
+        daily = op.daily_bars(bars, cfg.period, cfg.split_minutes, cfg.method)
+    if cfg.stage:
+        daily = stage(daily, "daily")
     # Stage 1: validation from the daily rows (the bar count is read below, with
     # the write check, from the report's bar_count column).
     out["validation"] = op.validate_daily(daily)
@@ -68,11 +79,13 @@ def run_pipeline(spark: SparkSession, bars: DataFrame, cfg: PipelineConfig | Non
         F.expr("coalesce(sum(bar_count), 0) AS total_rows"),
     ).first()
     out["total_rows"] = check["total_rows"]
+    out["dropped_rows"] = loaded.get["dropped"] if cfg.drop_null_keys else 0
+    out["report"] = written
     out["output"] = target
     out["written"] = {"rows": check["rows"], "files": check["files"]}
     out["regime_changes"] = check["regime_changes"]
     # Stage 4: strong pairs, from the same staged relation.
-    correlated = op.pair_correlation_from_relation(rel, cfg.min_points)
+    correlated = op.pair_correlation_from_relation(op.relation_of(daily, op.block_rows(blocks)), cfg.min_points)
     summary = op.pair_summary(correlated, cfg.threshold)
     out["pair_summary"] = summary
     out["top_pairs"] = op.top_pairs(summary, cfg.top_pairs).collect()

@@ -8,16 +8,20 @@ SQL twins in ``oracle.py`` (two engines sum floats in different orders).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import constants as K
 from .. import operators as op
 from ..functions import classify_regime, regime_ordinal
-from ..session import staging_path
-from ..sources import fixture_bars, read_signals, verify_write, write_signals
+from ..session import stage, staging_path
+from ..sources import fixture_bars, read_bars, read_signals, verify_write, write_signals
+from . import fixture
+from .pipeline import run_pipeline
 
 CHECK_DECIMALS = 6
 PAIR_CHECK_COLUMNS = ("ticker_a", "ticker_b", "trade_date")
@@ -82,7 +86,11 @@ def q_avg_volume(spark, sf):
 
 
 def q_with_avg_volume(spark, sf):
-    return op.with_avg_volume(op.daily_ohlcv(_bars(spark, sf)))
+    return op.with_avg_volume(stage(op.daily_ohlcv(_bars(spark, sf)), "daily"))
+
+
+def q_with_avg_volume_merge(spark, sf):
+    return op.with_avg_volume(stage(op.daily_ohlcv(_bars(spark, sf)), "daily"), strategy="merge")
 
 
 def q_classify_regime(spark, sf):
@@ -107,9 +115,16 @@ def q_validate_from_daily(spark, sf):
 
 
 def q_indicators_split(spark, sf):
-    # Same result through the hot-day path: no window holds a whole ticker-day,
-    # in the events mapping or in the intraday sequence (60-minute chunks).
-    return op.indicators(fixture_bars(spark, sf, split_minutes=60), split_minutes=60)
+    # Same result through the hot-day path: no window holds a whole ticker-day (60-minute chunks).
+    return op.indicators(_bars(spark, sf), split_minutes=60)
+
+
+def q_indicators_trailing(spark, sf):
+    return op.with_regime(op.daily_bars(_bars(spark, sf)), trailing_days=fixture.TRAILING_DAYS)
+
+
+def q_rsi_sequence(spark, sf):
+    return op.intraday_rsi(_bars(spark, sf), method="sequence")
 
 
 def q_signal_report(spark, sf):
@@ -120,6 +135,10 @@ def q_regime_changes(spark, sf):
     return op.regime_changes(_report(spark, sf))
 
 
+def q_regime_changes_preview(spark, sf):
+    return op.regime_changes(_report(spark, sf), limit=K.TOP_CHANGES)
+
+
 def q_regime_change_count(spark, sf):
     return op.regime_change_count(_report(spark, sf))
 
@@ -154,8 +173,8 @@ def q_pair_correlation(spark, sf):
 
 
 def q_pair_correlation_split(spark, sf):
-    # The hot-day path for pairs: chunked mapping and chunked intraday sequences.
-    return op.pair_correlation(fixture_bars(spark, sf, split_minutes=60), split_minutes=60)
+    # The hot-day path for pairs: chunked intraday sequences.
+    return op.pair_correlation(_bars(spark, sf), split_minutes=60)
 
 
 def q_strong_pairs(spark, sf):
@@ -163,6 +182,11 @@ def q_strong_pairs(spark, sf):
                                                           "intraday_corr", "return_diff")
 
 
+def q_strong_pairs_abs(spark, sf):
+    return op.strong_pairs(_correlated(spark, sf), absolute=True).select(*PAIR_CHECK_COLUMNS, "common_points",
+                                                                         "intraday_corr", "return_diff")
+
+
 def q_pair_summary(spark, sf):
     return op.pair_summary(_correlated(spark, sf))
 
@@ -189,11 +213,11 @@ def q_regime_ordinal(spark, sf):
 
 
 def q_regime_matrix(spark, sf):
-    return op.regime_matrix(_report(spark, sf))
+    return op.regime_matrix(_report(spark, sf), dates=fixture.DATES)
 
 
 def q_regime_label_matrix(spark, sf):
-    return op.regime_matrix(_report(spark, sf), value="label")
+    return op.regime_matrix(_report(spark, sf), dates=fixture.DATES, value="label")
 
 
 def q_daily_close_corr(spark, sf):
@@ -201,7 +225,7 @@ def q_daily_close_corr(spark, sf):
 
 
 def q_corr_matrix(spark, sf):
-    return op.corr_matrix(_bars(spark, sf), decimals=2)
+    return op.corr_matrix(_bars(spark, sf), tickers=fixture.TICKERS, decimals=2)
 
 
 def q_top_tickers(spark, sf):
@@ -209,21 +233,25 @@ def q_top_tickers(spark, sf):
 
 
 def q_ohlcv_feed(spark, sf):
-    return op.ohlcv_feed(_report(spark, sf))
+    return op.ohlcv_feed(stage(_report(spark, sf), "report"))
 
 
 def q_rsi_feed(spark, sf):
-    return op.rsi_feed(_report(spark, sf))
+    return op.rsi_feed(stage(_report(spark, sf), "report"))
 
 
 def q_slot_return_corr(spark, sf):
     return op.slot_return_corr(_bars(spark, sf), slot_minutes=60)
 
 
-def _written_report(spark, sf, partition_by=None):
+def q_slot_return_corr_1m(spark, sf):
+    return op.slot_return_corr(_bars(spark, sf), slot_minutes=1)
+
+
+def _written_report(spark, sf, partition_by=None, files=K.OUTPUT_FILES, target=None):
     report = _report(spark, sf)
-    target = staging_path(spark, "report")
-    write_signals(report, target, partition_by=partition_by)
+    target = target or staging_path(spark, "report")
+    write_signals(report, target, files=files, partition_by=partition_by)
     return read_signals(spark, target, schema=report.schema)
 
 
@@ -231,12 +259,62 @@ def q_write_roundtrip(spark, sf):
     return _written_report(spark, sf)
 
 
+def q_write_rebalanced_roundtrip(spark, sf):
+    return _written_report(spark, sf, files=None)
+
+
 def q_write_partitioned_roundtrip(spark, sf):
     return _written_report(spark, sf, partition_by=["ticker", "signal_regime"])
 
 
+def q_write_table_roundtrip(spark, sf):
+    # Into a catalog table, partitioned, and back in the written column order.
+    return _written_report(spark, sf, partition_by=["ticker", "signal_regime"], target=_table_name("report"))
+
+
 def q_write_verify(spark, sf):
-    return verify_write(_written_report(spark, sf), max_files=10)
+    return verify_write(_written_report(spark, sf, files=1))
+
+
+def _table_name(kind: str) -> str:
+    return f"barsmith_{kind}_{uuid.uuid4().hex[:12]}"
+
+
+# A bar table's own column names, for the reader's mapping.
+SOURCE_NAMES = {"ticker": "symbol", "timestamp": "bar_time", "volume": "shares"}
+
+
+def q_read_bars_table(spark, sf):
+    # The real reader: a catalog table with other column names and types, and a bar without a key.
+    bars = _bars(spark, sf)
+    keyless = bars.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in bars.schema.fields]).limit(1)
+    name = _table_name("bars")
+    (bars.unionByName(keyless).withColumn("trade_date", F.col("trade_date").cast("string"))
+     .withColumnsRenamed(SOURCE_NAMES).write.option("path", staging_path(spark, "bars")).saveAsTable(name))
+    return read_bars(spark, name, fmt="table", mapping=SOURCE_NAMES)
+
+
+def q_one_ticker_bars(spark, sf):
+    # The ticker predicate reaches the scan of the written bars.
+    path = staging_path(spark, "bars")
+    _bars(spark, sf).write.parquet(path)
+    return read_bars(spark, path).where(F.col("ticker") == fixture.TICKER)
+
+
+def _pipeline(spark, sf):
+    return run_pipeline(spark, _bars(spark, sf))
+
+
+def q_pipeline_report(spark, sf):
+    return _pipeline(spark, sf)["report"]
+
+
+def q_pipeline_signal_summary(spark, sf):
+    return _pipeline(spark, sf)["signal_summary"]
+
+
+def q_pipeline_pair_summary(spark, sf):
+    return _pipeline(spark, sf)["pair_summary"]
 
 
 RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -59,18 +60,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared folder for one staged table."""
-    import uuid
-
     return f"{shared_dir(spark)}/barsmith-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stage(df, eager: bool = True):
-    """Cut a frame's lineage with a reliable checkpoint in the shared folder.
+def stage(df, name: str = "stage"):
+    """Write a frame as Parquet into the shared folder and read it back.
 
-    For tables read by several later stages: they read the checkpoint files
-    instead of replaying the plan, and a lost executor costs a re-read, not a
-    recomputation from the source. (Not ``localCheckpoint``: its blocks die
-    with the executor that holds them.)
+    For tables read by several later stages: they read the files, pruned to
+    their columns, instead of replaying the plan, and a lost executor costs
+    a re-read, not a recomputation from the source. (Not
+    ``localCheckpoint``: its blocks die with the executor that holds them.)
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    path = staging_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,27 +49,35 @@ def enforce_bar_types(df: DataFrame) -> DataFrame:
 
 
 def read_bars(spark: SparkSession, source: str, fmt: str = "parquet",
-              drop_null_keys: bool = True) -> DataFrame:
+              drop_null_keys: bool = True, mapping: Mapping[str, str] | None = None) -> DataFrame:
     """Read bars from a catalog table name or a path, typed as in the schema.
 
     ``fmt="table"`` reads a catalog table; any other value is a file format.
-    Rows without ticker, trade_date or timestamp have no place in a daily
+    ``mapping`` gives the source's column for a bar column where the names
+    differ, e.g. ``{"ticker": "symbol"}``. Rows without ticker, trade_date or timestamp have no place in a daily
     sequence and are left out when ``drop_null_keys`` (count them with
     ``null_key_rows``).
     """
     raw = spark.table(source) if fmt == "table" else spark.read.format(fmt).load(source)
+    if mapping:
+        unknown = [c for c in mapping if c not in BAR_COLUMNS]
+        if unknown:
+            raise ValueError(f"not bar columns: {unknown}")
+        raw = raw.select(*[F.col(mapping.get(c, c)).alias(c) for c in BAR_COLUMNS])
     bars = enforce_bar_types(raw)
     if drop_null_keys:
-        bars = bars.where(" AND ".join(f"{k} IS NOT NULL" for k in KEY_COLUMNS))
+        bars = bars.where(~null_key())
     return bars
 
 
+def null_key() -> Column:
+    """Whether a bar lacks a key column."""
+    return F.expr(" OR ".join(f"{k} IS NULL" for k in KEY_COLUMNS))
+
+
 def null_key_rows(raw: DataFrame) -> DataFrame:
     """One row: how many input rows lack a key column."""
-    cond = F.lit(False)
-    for k in KEY_COLUMNS:
-        cond = cond | F.col(k).isNull()
-    return raw.agg(F.count_if(cond).alias("null_key_rows"))
+    return raw.agg(F.count_if(null_key()).alias("null_key_rows"))
 
 
 # --- fixed values: the events -> bars test mapping --------------------------
@@ -77,74 +87,56 @@ SURGE_DAY_MODULUS = 5           # every 5th day of the month ...
 SURGE_FACTOR = 3                # ... has triple volume
 
 
-def bars_from_events(events: DataFrame, split_minutes: int | None = None) -> DataFrame:
-    """Turn the driver's ``events`` table into minute-style bars.
-
-    Each event type is a ticker; weekday events only. ``value`` in cents is
-    integrated into a price walk per ticker ordered by (ts, event_id):
-    close = running sum, open = close before this step. All arithmetic is in
-    integer cents until the final division, so any engine gets equal doubles.
+def bars_from_events(events: DataFrame) -> DataFrame:
+    """Turn the driver's ``events`` table into minute bars, one per (ticker, minute), over every event.
 
-    The running sum over a ticker's whole history is a two-level prefix sum,
-    so no window holds a whole ticker: day totals (one row per ticker-day)
-    get their offsets from a window over that small table, and the running
-    sum inside each day is a window partitioned by (ticker, trade_date).
-    The output therefore leaves hash-partitioned by (ticker, trade_date),
-    which every daily roll-up and intraday sequence downstream reuses
-    without another shuffle of the bars.
+    Each event type is a ticker. ``value`` in cents is integrated into a
+    price walk per ticker: a minute's step is the sum of its events' steps,
+    close = running sum over the minutes, open = close before this minute.
+    All arithmetic is in integer cents until the final division, so any
+    engine gets equal doubles. Events of a Saturday or Sunday belong to the
+    following Monday's ``trade_date`` (their timestamps stay), so trading
+    days have gaps and no event is lost.
 
-    ``split_minutes=k`` adds a third level for days too big for one task:
-    k-minute chunk totals get within-day offsets from a window over the
-    chunk table (at most 1,440 / k rows per ticker-day), and the running sum
-    runs per (ticker, trade_date, chunk). Same values.
+    Events meet in a sum per minute, combined before the shuffle, so a task
+    holds at most the 1,440 minutes a calendar day of a ticker, however many
+    events it has. Prefix sums then go minute -> day -> history over the
+    small tables. The output leaves hash-partitioned by (ticker,
+    trade_date), which every daily roll-up and intraday sequence downstream
+    reuses without another shuffle.
     """
-    steps = events.where("dayofweek(ts) NOT IN (1, 7)").select(
-        F.expr("event_type AS ticker"),
-        F.expr("CAST(ts AS DATE) AS trade_date"),
-        F.expr("ts"),
-        F.expr("event_id"),
-        F.expr("CAST(ROUND(value * 100) AS BIGINT) AS cents"),
-        F.expr(f"CAST(ROUND(value * 100) AS BIGINT) - {WALK_DRIFT_CENTS} AS step"),
+    minutes = (
+        events.select(
+            F.expr("event_type AS ticker"),
+            F.expr("date_add(CAST(ts AS DATE), CASE dayofweek(ts) WHEN 7 THEN 2 WHEN 1 THEN 1 ELSE 0 END) AS trade_date"),
+            F.expr("date_trunc('MINUTE', ts) AS timestamp"),
+            F.expr("CAST(ROUND(value * 100) AS BIGINT) AS cents"))
+        .groupBy("ticker", "trade_date", "timestamp")
+        .agg(F.expr(f"sum(cents - {WALK_DRIFT_CENTS}) AS step"), F.expr("sum(cents) AS cents"))
+        .repartition("ticker", "trade_date")
     )
     day_offsets = (
-        steps.groupBy("ticker", "trade_date").agg(F.expr("sum(step) AS day_total"))
+        minutes.groupBy("ticker", "trade_date").agg(F.expr("sum(step) AS day_total"))
         .select(
             F.expr("ticker"), F.expr("trade_date"),
             F.expr("coalesce(sum(day_total) OVER (PARTITION BY ticker ORDER BY trade_date "
                    "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS offset"),
         )
     )
-    if split_minutes:
-        chunk = f"CAST(floor((hour(ts) * 60 + minute(ts)) / {int(split_minutes)}) AS INT)"
-        steps = steps.select(F.expr("*"), F.expr(f"{chunk} AS chunk"))
-        chunk_offsets = (
-            steps.groupBy("ticker", "trade_date", "chunk").agg(F.expr("sum(step) AS chunk_total"))
-            .select(F.expr("ticker"), F.expr("trade_date"), F.expr("chunk"),
-                    F.expr("coalesce(sum(chunk_total) OVER (PARTITION BY ticker, trade_date ORDER BY chunk "
-                           "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk_offset"))
-            .join(day_offsets, ["ticker", "trade_date"], "inner")
-        )
-        walk = (steps.join(chunk_offsets, ["ticker", "trade_date", "chunk"], "inner")
-                .repartition("ticker", "trade_date", "chunk")
-                .select(F.expr("*"),
-                        F.expr(f"{WALK_START_CENTS} + offset + chunk_offset + sum(step) OVER (PARTITION BY "
-                               "ticker, trade_date, chunk ORDER BY ts, event_id "
-                               "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c")))
-    else:
-        walk = steps.join(day_offsets, ["ticker", "trade_date"], "inner").select(
-            F.expr("*"),
-            F.expr(f"{WALK_START_CENTS} + offset + sum(step) OVER (PARTITION BY ticker, trade_date "
-                   "ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c"),
-        )
+    walk = minutes.join(day_offsets, ["ticker", "trade_date"], "inner").select(
+        F.expr("*"),
+        F.expr(f"{WALK_START_CENTS} + offset + sum(step) OVER (PARTITION BY ticker, trade_date "
+               "ORDER BY timestamp ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c"),
+    )
     return walk.select(
         F.expr("ticker"),
         F.expr("trade_date"),
-        F.expr("ts AS timestamp"),
+        F.expr("timestamp"),
         F.expr("CAST(c - step AS DOUBLE) / 100.0 AS open"),
         F.expr("GREATEST(CAST(c - step AS DOUBLE), CAST(c AS DOUBLE)) / 100.0 AS high"),
         F.expr("LEAST(CAST(c - step AS DOUBLE), CAST(c AS DOUBLE)) / 100.0 AS low"),
         F.expr("CAST(c AS DOUBLE) / 100.0 AS close"),
-        F.expr(f"CAST(cents * CASE WHEN dayofmonth(ts) % {SURGE_DAY_MODULUS} = 0 "
+        F.expr(f"CAST(cents * CASE WHEN dayofmonth(trade_date) % {SURGE_DAY_MODULUS} = 0 "
                f"THEN {SURGE_FACTOR} ELSE 1 END AS BIGINT) AS volume"),
     )
 
@@ -161,6 +153,6 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def fixture_bars(spark: SparkSession, sf_dir: str, split_minutes: int | None = None) -> DataFrame:
+def fixture_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars derived from ``events`` under a test-data folder."""
-    return bars_from_events(load_table(spark, sf_dir, "events"), split_minutes)
+    return bars_from_events(load_table(spark, sf_dir, "events"))

@@ -8,37 +8,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..constants import OUTPUT_FILES
+#: Rows per output file at most.
+MAX_RECORDS_PER_FILE = 5_000_000
 
 
 def _is_path(target: str) -> bool:
     return "/" in target or ":" in target
 
 
-def write_signals(df: DataFrame, target: str, files: int = OUTPUT_FILES,
+def write_signals(df: DataFrame, target: str, files: int | None = None,
                   partition_by: Sequence[str] | None = None,
-                  files_per_partition: int = 1, fmt: str = "parquet") -> None:
+                  max_records_per_file: int = MAX_RECORDS_PER_FILE, fmt: str = "parquet") -> None:
     """Overwrite ``target`` (a path, or a catalog table name) with ``df``.
 
-    Array columns are dropped first (the report is flat). Without
-    ``partition_by`` the frame is narrowed with ``coalesce(files)``: no
-    shuffle, at most ``files`` output files. With ``partition_by`` the rows
-    are hash-partitioned on the directory columns so each directory gets
-    ``files_per_partition`` files instead of one per task; a salt taken from
-    the other columns spreads one hot directory over that many writers.
+    Array columns are dropped first (the report is flat). By default the
+    rows are rebalanced: adaptive execution merges small and splits large
+    partitions to its advisory size, within each directory when
+    ``partition_by`` is given, so a hot directory gets several writers and
+    files follow the size of the data. ``files=n`` instead narrows the frame
+    with ``coalesce(n)``: no shuffle, at most n files, for small reports.
     """
     flat = df.drop(*[f.name for f in df.schema.fields if isinstance(f.dataType, T.ArrayType)])
-    if partition_by:
-        cols = [F.col(c) for c in partition_by]
-        if files_per_partition > 1:
-            rest = [c for c in flat.columns if c not in partition_by]
-            salt = F.pmod(F.xxhash64(*rest), F.lit(files_per_partition))
-            flat = flat.repartition(*cols, salt)
-        else:
-            flat = flat.repartition(*cols)
-        writer = flat.write.mode("overwrite").format(fmt).partitionBy(*partition_by)
+    by = [F.col(c) for c in partition_by or ()]
+    if files is not None and not by:
+        out = flat.coalesce(files)
     else:
-        writer = flat.coalesce(files).write.mode("overwrite").format(fmt)
+        out = flat.hint("rebalance", *by)
+    writer = out.write.mode("overwrite").format(fmt).option("maxRecordsPerFile", max_records_per_file)
+    if by:
+        writer = writer.partitionBy(*partition_by)
     if _is_path(target):
         writer.save(target)
     else:
@@ -50,22 +48,22 @@ def read_signals(spark: SparkSession, target: str, schema: T.StructType | None =
     """Read a written report back, from a catalog table or a path.
 
     Passing the written ``schema`` keeps partition columns typed as written
-    (no inference of directory values) and in the original column order.
+    (no inference of directory values) and in the original column order; a
+    catalog table knows its types, so there it sets the order.
     """
-    if not _is_path(target):
-        return spark.table(target)
-    reader = spark.read.format(fmt)
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.load(target)
+    if _is_path(target):
+        reader = spark.read.format(fmt)
+        df = (reader.schema(schema) if schema is not None else reader).load(target)
+    else:
+        df = spark.table(target)
     return df.select(*schema.fieldNames()) if schema is not None else df
 
 
 def verify_write(written: DataFrame, max_files: int | None = None) -> DataFrame:
     """One row: rows read back and distinct files behind them.
 
-    With ``max_files`` a boolean ``files_within_limit`` is added, since the
-    exact file count depends on the machine.
+    With ``max_files`` a boolean ``files_within_limit`` takes the place of
+    ``files``, for targets whose exact file count depends on the machine.
     """
     out = written.agg(
         F.count(F.lit(1)).alias("rows"),

@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -14,7 +15,8 @@ BAR_SCHEMA = ("ticker string, trade_date date, timestamp timestamp_ntz, open dou
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", shuffle_partitions=8, app_name="barsmith-tests")
+    s = build_session("local[4]", shuffle_partitions=8, app_name="barsmith-tests",
+                      spark__sql__warehouse__dir=tempfile.mkdtemp(prefix="barsmith-test-warehouse-"))
     yield s
 
 

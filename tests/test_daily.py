@@ -53,12 +53,19 @@ def test_validate_counts_bars_and_days(spark):
     assert sorted(r.ticker for r in op.distinct_tickers(make_bars(spark, rows)).collect()) == ["AAA", "BBB"]
 
 
-def test_split_events_mapping_is_identical(spark):
-    from barsmith.sources import fixture_bars
-    base = fixture_bars(spark, "/root/testdata/sf0.01")
-    for k in (1, 60):
-        split = fixture_bars(spark, "/root/testdata/sf0.01", split_minutes=k)
-        assert base.exceptAll(split).count() == 0 and split.exceptAll(base).count() == 0
+def test_mapping_uses_every_event(spark):
+    from barsmith.sources import fixture_bars, load_table
+    sf = "/root/testdata/sf0.01"
+    events = load_table(spark, sf, "events")
+    bars = fixture_bars(spark, sf)
+    assert bars.count() == events.selectExpr("event_type", "date_trunc('MINUTE', ts)").distinct().count()
+    cents = events.selectExpr("sum(CAST(ROUND(value * 100) AS BIGINT)) AS c", "count(*) AS n").first()
+    got = bars.selectExpr("sum(volume / CASE WHEN dayofmonth(trade_date) % 5 = 0 THEN 3 ELSE 1 END) AS c",
+                          "sum((close - open) * 100) AS step").first()
+    assert round(got.c) == cents.c                      # every event's volume
+    assert round(got.step) == cents.c - 5000 * cents.n   # and step, whatever its weekday
+    days = bars.selectExpr("dayofweek(trade_date) AS d", "dayofweek(timestamp) AS t").distinct().collect()
+    assert {r.d for r in days} == {2, 3, 4, 5, 6} and {r.t for r in days} == {1, 2, 3, 4, 5, 6, 7}
 
 
 def test_enforce_types_nulls_nan_and_infinite_prices(spark):

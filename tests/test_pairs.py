@@ -152,3 +152,20 @@ def test_corr_matrix_quoted_ticker_names(spark):
     m = {r.ticker_a: r for r in op.corr_matrix(make_bars(spark, rows)).collect()}
     assert m["O'X"]["O'X"] == 1.0 and m["B`Q"]["B`Q"] == 1.0
     assert m["O'X"]["B`Q"] == pytest.approx(1.0)
+
+
+def test_slots_follow_a_session_over_midnight(spark):
+    rows = []
+    for ticker, base in (("A", 100.0), ("B", 50.0)):
+        for i in range(6):  # 23:00 .. 01:30, each close 1 % above the one before
+            rows.append((ticker, "2024-01-02", 23 * 60 + 30 * i, base, base * 1.01 ** i, 1))
+    bars = make_bars(spark, rows)
+    got = op.slot_returns(bars, slot_minutes=30).where("ticker = 'A'").orderBy("slot").collect()
+    assert [r.slot for r in got] == [46, 47, 48, 49, 50, 51]
+    assert [None if r.slot_return is None else round(r.slot_return, 6) for r in got] == [None] + [0.01] * 5
+
+
+def test_absolute_threshold_keeps_strong_negatives(spark):
+    df = spark.createDataFrame([("a", 0.9), ("b", -0.9), ("c", 0.1), ("d", None)], "t string, intraday_corr double")
+    assert [r.t for r in op.strong_pairs(df).collect()] == ["a"]
+    assert [r.t for r in op.strong_pairs(df, absolute=True).collect()] == ["a", "b"]

@@ -2,18 +2,17 @@
 
 import pytest
 
-import __spark_entry__ as E
 from barsmith import operators as op
+from barsmith.plans.registry import QUERIES
 from barsmith.plans.shape import count_nodes, explodes_pairs, physical_plan, uses_python
 from barsmith.sources import fixture_bars
 
 SF = "/root/testdata/sf0.01"
-SKIP_EAGER = {"write_roundtrip", "write_partitioned_roundtrip", "write_verify"}
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SKIP_EAGER))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_no_cartesian(spark, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     assert not uses_python(df), name
     assert not explodes_pairs(df), name
 
@@ -79,12 +78,63 @@ def test_validation_shuffle_budget(spark):
     assert rows == {"AAA": (5, 2), "B": (2, 1)}
 
 
-def test_pairs_plan_has_one_exchange_for_both_join_sides(spark):
-    bars = _plain_bars(spark)
-    df = op.pair_correlation(bars, op.daily_ohlcv(bars).selectExpr("*", "CAST(NULL AS DOUBLE) AS rsi"))
+def _executed(df) -> str:
     df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _written(spark, df, name):
+    from barsmith.session import stage
+    return stage(df, f"test-{name}")
+
+
+@pytest.mark.parametrize("which", ["pairs", "slots"])
+def test_self_join_sides_share_one_exchange(spark, which):
+    bars = _written(spark, fixture_bars(spark, SF), "bars")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _executed(op.pair_correlation(bars) if which == "pairs" else op.slot_return_corr(bars, 60))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ReusedExchange" in plan, plan
+    assert "REPARTITION_BY_COL" not in plan, plan  # left to adaptive skew-join splitting
+    assert not any(n in plan for n in ("BroadcastNestedLoopJoin", "CartesianProduct", "aggregate(")), plan
+
+
+def test_split_pairs_gather_no_day_in_a_window(spark):
+    plan = physical_plan(op.pair_correlation(_plain_bars(spark), split_minutes=60))
+    for line in plan.splitlines():
+        if "Window [" in line and "windowspecdefinition(ticker" in line and "_chunk" not in line:
+            assert "xs" not in line, line
+    assert plan.count("Scan") >= 1
+
+
+def test_day_rows_do_not_read_the_closes(spark):
+    import contextlib
+    import io
+    blocks = _written(spark, op.close_blocks(_plain_bars(spark)), "blocks")
+    for df, reads in ((op.merge_day(blocks), False), (op.block_rows(blocks), True)):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain("formatted")
+        schema = [line for line in buf.getvalue().splitlines() if line.startswith("ReadSchema")]
+        assert len(schema) == 1 and ("xs:" in schema[0]) == reads, schema
+
+
+@pytest.mark.parametrize("name", ["ohlcv_feed", "rsi_feed", "with_avg_volume"])
+def test_shared_inputs_are_read_from_a_staged_table(spark, name):
+    plan = _executed(QUERIES[name](spark, SF))
+    final = plan.split("== Initial Plan ==")[0]
+    assert "events.parquet" not in final and final.count("Scan parquet") == 2, plan
+
+
+def test_one_ticker_query_pushes_the_predicate(spark):
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        QUERIES["one_ticker_bars"](spark, SF).explain("formatted")
+    assert "EqualTo(ticker,view)" in buf.getvalue(), buf.getvalue()
 
 
 def test_flagship_on_parquet_pushes_ticker_filter_to_the_scan(spark):

@@ -86,4 +86,4 @@ def test_calendar_changes_are_a_subset_of_row_changes(spark):
     row = op.regime_changes(op.signal_report(ind)).select("ticker", "trade_date")
     cal = op.regime_changes(op.calendar_lag_report(ind)).select("ticker", "trade_date")
     assert cal.exceptAll(row).count() == 0
-    assert row.count() - cal.count() == op.missed_transitions(ind).count() == 14
+    assert row.count() - cal.count() == op.missed_transitions(ind).count() == 16

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from conftest import day_of, make_bars, wilder_rsi
 
 from barsmith import operators as op
@@ -115,3 +116,65 @@ def test_one_pass_relation_matches_daily_bars(spark, split, block):
     rel = op.day_block_relation(bars, block=block, split_minutes=split)
     assert rounded(op.day_rows(rel).select(*cols)) == rounded(op.daily_bars(bars).select(*cols))
     assert sorted(op.validate_daily(op.day_rows(rel)).collect()) == sorted(op.validate_bars(bars).collect())
+
+
+def _variants(bars):
+    def rounded(df):
+        return sorted((tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in df.collect()), key=str)
+    return rounded
+
+
+@pytest.mark.parametrize("split", [1, 7, 60])
+def test_split_keeps_rows_without_a_timestamp(spark, split):
+    from conftest import day_of, make_bars
+    bars = make_bars(spark, day_of([float(10 + i % 7) for i in range(20)]))
+    bars = bars.unionByName(bars.limit(1).selectExpr("ticker", "trade_date", "CAST(NULL AS TIMESTAMP_NTZ) AS timestamp", "9D AS open",
+                                                     "9D AS high", "9D AS low", "9D AS close", "200L AS volume"))
+    rounded = _variants(bars)
+    want = rounded(op.indicators(bars))
+    assert want[0][7] == 21 and want[0][2] == 9.0 and rounded(op.indicators(bars, split_minutes=split)) == want
+    assert rounded(op.pair_correlation(bars, split_minutes=split)) == rounded(op.pair_correlation(bars))
+
+
+@pytest.mark.parametrize("split", [7, 60])
+def test_split_over_midnight_and_a_clock_change(spark, split):
+    from conftest import BAR_SCHEMA
+    import datetime as dt
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        start = dt.datetime(2023, 11, 5, 3, 0)  # UTC; 23:00 of the day before there, clocks go back at 06:00 UTC
+        rows = [("A", "2023-11-04", (start + dt.timedelta(minutes=6 * i)).isoformat() + "Z", float(100 + (i * 7) % 11)) for i in range(60)]
+        bars = spark.createDataFrame(rows, "ticker string, d string, t string, close double").selectExpr(
+            "ticker", "CAST(d AS DATE) AS trade_date", "CAST(t AS TIMESTAMP) AS timestamp", "close AS open", "close AS high",
+            "close AS low", "close", "1L AS volume")
+        rounded = _variants(bars)
+        assert rounded(op.indicators(bars, split_minutes=split)) == rounded(op.indicators(bars))
+        ntz = bars.withColumn("timestamp", F.expr("to_timestamp_ntz(date_format(timestamp, 'yyyy-MM-dd HH:mm:ss'))")).dropDuplicates(["timestamp"])
+        assert rounded(op.indicators(ntz, split_minutes=split)) == rounded(op.indicators(ntz))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_sequence_method_holds_over_a_long_flat_tail(spark):
+    # 30 moving closes, then 12,000 equal ones: the closed form's weights underflow, the recurrence does not.
+    closes = [100.0 + (i % 2) for i in range(30)] + [101.0] * 12_000
+    bars = spark.range(len(closes)).selectExpr(
+        "'A' AS ticker", "DATE'2024-01-02' AS trade_date", "timestampadd(SECOND, CAST(id AS INT), TIMESTAMP_NTZ'2024-01-02 00:00:00') AS timestamp",
+        "CASE WHEN id < 30 THEN 100D + id % 2 ELSE 101D END AS close").selectExpr("*", "close AS open", "close AS high", "close AS low", "1L AS volume")
+    gain = loss = 0.0
+    for k in range(1, len(closes)):
+        d = closes[k] - closes[k - 1]
+        up, down = max(d, 0.0), max(-d, 0.0)
+        if k < 14:
+            gain, loss = gain + up, loss + down
+        elif k == 14:
+            gain, loss = (gain + up) / 14, (loss + down) / 14
+        else:
+            gain, loss = (gain * 13 + up) / 14, (loss * 13 + down) / 14
+    want = 100.0 if loss == 0 else 100 - 100 / (1 + gain / loss)
+    got = op.intraday_rsi(bars, method="sequence").first().rsi
+    assert abs(got - want) < 1e-9
+    assert abs(op.indicators(bars, method="sequence").first().rsi - want) < 1e-9
+    with pytest.raises(ValueError):
+        op.intraday_rsi(bars, method="other")
