@@ -4,9 +4,8 @@ from .feeds import corr_matrix, ohlcv_feed, regime_matrix, rsi_feed, top_tickers
 from .indicators import (avg_volume, daily_bars, indicators, with_avg_volume, with_avg_volume_window,
                          with_regime)
 from .ohlcv import closes_digest, daily_mean_close, daily_ohlcv, ordered_closes
-from .pairs import (block_rows, close_blocks, daily_close_corr, day_block_relation, day_rows, intraday_returns,
-                    merge_day, pair_correlation, pair_correlation_from_relation, pair_summary, relation_of,
-                    strong_pairs, ticker_pairs, top_pairs)
+from .pairs import (block_correlation, block_rows, close_blocks, daily_close_corr, intraday_returns, merge_day,
+                    pair_correlation, pair_correlation_of, pair_summary, strong_pairs, ticker_pairs, top_pairs)
 from .report import (calendar_lag_report, missed_transitions, regime_change_count, regime_changes,
                      regime_timeline, signal_report, signal_summary, signal_summary_filled,
                      transition_counts)
@@ -24,5 +23,5 @@ __all__ = [
     "sequence_view", "signal_report", "signal_summary", "signal_summary_filled", "slot_return_corr",
     "slot_returns", "strong_pairs", "ticker_pairs", "top_pairs", "top_tickers",
     "transition_counts", "validate_bars", "with_avg_volume", "with_avg_volume_window",
-    "block_rows", "close_blocks", "day_block_relation", "day_rows", "merge_day", "relation_of", "pair_correlation_from_relation", "validate_daily", "with_regime",
+    "block_correlation", "block_rows", "close_blocks", "merge_day", "pair_correlation_of", "validate_daily", "with_regime",
 ]

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from ..constants import MIN_CORR_POINTS, RSI_PERIOD, STRONG_CORR, TOP_PAIRS
 from ..functions.numeric import intraday_return_sql, pearson_sql
+from ..session import stage
 from .rsi import rsi_from_sums_sql
 from .ohlcv import daily_mean_close
-from .sequence import close_points, sequence_view
-from .series import DEFAULT_BLOCK, aligned_sql, blocked_series, common_points_sql, corr_sql
+from .sequence import sequence_view
+from .series import DEFAULT_BLOCK, aligned_points, corr_sql
 
 PAIR_FIELDS = (("day_open", "open"), ("day_close", "close"), ("day_volume", "volume"), ("rsi", "rsi"))
 
@@ -60,9 +61,6 @@ def intraday_returns(pairs: DataFrame) -> DataFrame:
                         F.expr(f"abs(({ra}) - ({rb})) AS return_diff"))
 
 
-RELATION_DAY_COLUMNS = ("day_open", "day_close", "day_high", "day_low", "day_volume", "bar_count", "rsi")
-
-
 def close_blocks(bars: DataFrame, period: int = RSI_PERIOD, block: int = DEFAULT_BLOCK,
                  split_minutes: int | None = None) -> DataFrame:
     """One row per (ticker, trade_date, blk of ``block`` positions).
@@ -107,87 +105,52 @@ def block_rows(blocks: DataFrame) -> DataFrame:
         F.expr("ticker"), F.expr("trade_date"), F.expr("blk"), F.expr("xs"))
 
 
-def day_block_relation(bars: DataFrame, period: int = RSI_PERIOD, block: int = DEFAULT_BLOCK,
-                       split_minutes: int | None = None) -> DataFrame:
-    """Day rows (blk -1) and close blocks of the bars.
-
-    Columns: ticker, trade_date, blk, xs, day_open, day_close, day_high,
-    day_low, day_volume, bar_count, rsi. Block rows carry ``xs`` and null
-    day fields; each ticker-day has one day row with ``xs`` null, merged
-    from the blocks' partials by an aggregate. Both come from one exchange
-    of the bars, and nothing gathers a day's closes in one place.
-    """
-    blocks = close_blocks(bars, period, block, split_minutes)
-    return relation_of(merge_day(blocks, period), block_rows(blocks))
-
-
-def relation_of(daily: DataFrame, blocks: DataFrame) -> DataFrame:
-    """The relation of ``day_block_relation`` from its two parts, e.g. two staged tables."""
-    days = daily.select(F.expr("ticker"), F.expr("trade_date"), F.expr("-1 AS blk"), F.expr("CAST(NULL AS ARRAY<DOUBLE>) AS xs"),
-                        *[F.expr(c) for c in RELATION_DAY_COLUMNS])
-    kinds = {c: daily.schema[c].dataType.simpleString() for c in RELATION_DAY_COLUMNS}
-    return days.unionByName(blocks.select(F.expr("*"), *[F.expr(f"CAST(NULL AS {kinds[c]}) AS {c}") for c in RELATION_DAY_COLUMNS]))
+PAIR_KEYS = ("ticker_a", "ticker_b", "trade_date")
 
 
-def day_rows(relation: DataFrame) -> DataFrame:
-    """The daily OHLCV + rsi rows of a ``day_block_relation``."""
-    return relation.where("blk = -1").select(F.expr("ticker"), F.expr("trade_date"),
-                                             *[F.expr(c) for c in RELATION_DAY_COLUMNS])
+def block_correlation(blocks: DataFrame, min_points: int = MIN_CORR_POINTS) -> DataFrame:
+    """(ticker_a < ticker_b, trade_date, common_points, intraday_corr) from rows of ``block_rows``.
 
+    The blocks are joined to themselves on (trade_date, blk); both sides are
+    the same rows, so the second reuses the first one's exchange, a join
+    group holds at most one row per ticker, and adaptive execution splits a
+    group with very many tickers. The joined blocks' points go into the
+    covariance aggregates. Pairs without a common point have no row.
+    """
+    a = _side(blocks, "a", (), "trade_date", ["blk", "xs"])
+    b = _side(blocks, "b", (), "trade_date_b", ["blk", "xs"])
+    joined = a.join(b, F.expr(_pair_condition(False, ("trade_date", "trade_date_b"), ("blk_a", "blk_b"))), "inner")
+    return aligned_points(joined, PAIR_KEYS).groupBy(*PAIR_KEYS).agg(
+        F.expr("count(1) AS common_points"), F.expr(corr_sql(min_points) + " AS intraday_corr"))
 
-def pair_correlation_from_relation(relation: DataFrame, min_points: int = MIN_CORR_POINTS) -> DataFrame:
-    """Pair correlation over a relation of day rows (blk -1) and close blocks.
 
-    The join hashes both sides on (trade_date, blk); they are the same rows,
-    so the second side reuses the first one's exchange, and adaptive
-    execution splits a group with very many tickers. The joined blocks'
-    slots are unfolded into the covariance aggregates.
-    """
-    a = _side(relation, "a", PAIR_FIELDS, "trade_date", ["blk", "xs"])
-    b = _side(relation, "b", PAIR_FIELDS, "trade_date_b", ["blk", "xs"])
-    fields = [f"{d}_{s}" for s in ("a", "b") for _, d in PAIR_FIELDS]
-    joined = a.join(b, F.expr(_pair_condition(False, ("trade_date", "trade_date_b"), ("blk_a", "blk_b"))), "inner").select(
-        F.expr("ticker_a"), F.expr("ticker_b"), F.expr("trade_date"), *[F.expr(f) for f in fields], F.expr(aligned_sql()))
-    agg = joined.groupBy("ticker_a", "ticker_b", "trade_date").agg(
-        *[F.expr(f"max({f}) AS {f}") for f in fields],
-        F.expr(common_points_sql() + " AS common_points"),
-        F.expr(corr_sql(min_points) + " AS intraday_corr"),
-    )
-    return intraday_returns(agg)
+def pair_correlation_of(daily: DataFrame, blocks: DataFrame, min_points: int = MIN_CORR_POINTS) -> DataFrame:
+    """Pair correlation from daily rows and close blocks, e.g. two staged tables."""
+    pairs = ticker_pairs(daily).join(block_correlation(blocks, min_points), list(PAIR_KEYS), "left")
+    return intraday_returns(pairs.withColumn("common_points", F.expr("coalesce(common_points, 0L)")))
 
 
 def pair_correlation(bars: DataFrame, daily: DataFrame | None = None,
                      min_points: int = MIN_CORR_POINTS, block: int = DEFAULT_BLOCK,
-                     split_minutes: int | None = None, period: int = RSI_PERIOD) -> DataFrame:
+                     split_minutes: int | None = None, period: int = RSI_PERIOD, staged: bool = True) -> DataFrame:
     """Per (ticker_a < ticker_b, trade_date): intraday close correlation and returns.
 
     The correlation pairs the two days' closes by position in time order,
     cut to the shorter day, and is the population Pearson coefficient; null
     below ``min_points`` common positions or when either side is flat. The
     day fields (open, close, volume, rsi) come from ``daily`` when given (a
-    staged indicator table), else from the same pass over the bars.
-
-    Plan: each ticker-day's closes (centred on its first close) become
-    blocks of ``block`` positions; day rows (block -1) and blocks form one
-    relation, joined to itself on (trade_date, blk):
-    every join group holds at most one row per ticker, so a ticker with many
-    bars adds blocks, not group size, and every pair sharing a date appears
-    through its -1 rows. No Python, and a block of positions travels as one
-    row.
+    staged indicator table), else from the blocks' day partials.
+
+    The bars are read and shuffled once into blocks of ``block`` centred
+    closes, written to the shared folder (``staged=False`` leaves them a plan,
+    which is then run for the day rows and for the closes). A ticker with many
+    bars adds blocks, not group size. No Python, and a block of positions
+    travels as one row.
     """
-    if daily is None:
-        return pair_correlation_from_relation(day_block_relation(bars, period, block, split_minutes), min_points)
-    types = {src: daily.schema[src].dataType.simpleString() for src, _ in PAIR_FIELDS}
-    heads = daily.select(
-        F.expr("ticker"), F.expr("trade_date"), F.expr("-1 AS blk"),
-        F.expr("CAST(NULL AS ARRAY<DOUBLE>) AS xs"),
-        *[F.expr(src) for src, _ in PAIR_FIELDS],
-    )
-    pts = close_points(bars, split_minutes).select(F.expr("ticker"), F.expr("trade_date"), F.expr("pos"),
-                                                   F.expr("close - first_close AS x"))
-    blocks = blocked_series(pts, "pos", "x", block, dense=True).select(
-        F.expr("*"), *[F.expr(f"CAST(NULL AS {types[src]}) AS {src}") for src, _ in PAIR_FIELDS])
-    return pair_correlation_from_relation(heads.unionByName(blocks), min_points)
+    blocks = close_blocks(bars, period, block, split_minutes)
+    if staged:
+        blocks = stage(blocks, "blocks")
+    return pair_correlation_of(merge_day(blocks, period) if daily is None else daily, block_rows(blocks), min_points)
 
 
 def strong_pairs(correlated: DataFrame, threshold: float = STRONG_CORR, absolute: bool = False) -> DataFrame:

@@ -13,9 +13,13 @@ group holds at most one row per ticker.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import pearson_sql
+
 DEFAULT_BLOCK = 64
 
 
@@ -44,19 +48,14 @@ def blocked_series(points: DataFrame, index: str, value: str, block: int = DEFAU
     )
 
 
-def aligned_sql(xs_a: str = "xs_a", xs_b: str = "xs_b") -> str:
-    """Generator: one row (x_a, x_b) per slot of two blocks; a pair of rows without blocks gives one row of nulls."""
-    return f"inline_outer(transform(arrays_zip({xs_a}, {xs_b}), e -> named_struct('x_a', e.{xs_a}, 'x_b', e.{xs_b})))"
-
-
-def common_points_sql(a: str = "x_a", b: str = "x_b") -> str:
-    return f"count_if({a} IS NOT NULL AND {b} IS NOT NULL)"
+def aligned_points(joined: DataFrame, keys: Sequence[str], xs_a: str = "xs_a", xs_b: str = "xs_b") -> DataFrame:
+    """One row (*keys, x_a, x_b) per slot where both blocks of a joined row hold a value."""
+    return (joined.select(*[F.expr(k) for k in keys], F.expr(f"inline(arrays_zip({xs_a}, {xs_b})) AS (x_a, x_b)"))
+            .where("x_a IS NOT NULL AND x_b IS NOT NULL"))
 
 
 def corr_sql(min_points: int, a: str = "x_a", b: str = "x_b") -> str:
-    """Population Pearson over the slots where both sides hold a value; null below
-    ``min_points`` of them or when a side is flat. The aggregates merge centred
-    moments, and partial results of a block collapse before the shuffle."""
-    sd = f"stddev_pop(CASE WHEN {b} IS NOT NULL THEN {a} END) * stddev_pop(CASE WHEN {a} IS NOT NULL THEN {b} END)"
-    return (f"CASE WHEN {common_points_sql(a, b)} >= {min_points} AND {sd} <> 0 "
-            f"THEN covar_pop({a}, {b}) / ({sd}) END")
+    """Population Pearson of aligned points; null below ``min_points`` of them or when a
+    side is flat. The aggregates merge centred moments, and partial results of a block
+    collapse before the shuffle."""
+    return f"CASE WHEN count(1) >= {min_points} THEN {pearson_sql(a, b)} END"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..constants import MIN_CORR_POINTS
 from .sequence import elapsed_minutes_sql
-from .series import DEFAULT_BLOCK, aligned_sql, blocked_series, common_points_sql, corr_sql
+from .series import DEFAULT_BLOCK, aligned_points, blocked_series, corr_sql
 
 
 def slot_sql(bars: DataFrame, slot_minutes: int = 1) -> str:
@@ -59,7 +59,6 @@ def slot_return_corr(bars: DataFrame, slot_minutes: int = 1,
     b = blocks.select(F.expr("ticker AS ticker_b"), F.expr("trade_date AS trade_date_b"), F.expr("blk AS blk_b"),
                       F.expr("xs AS xs_b"))
     joined = a.join(b, F.expr("trade_date = trade_date_b AND blk_a = blk_b AND ticker_a < ticker_b"), "inner")
-    return (joined.select(F.expr("ticker_a"), F.expr("ticker_b"), F.expr("trade_date"), F.expr(aligned_sql()))
-            .groupBy("ticker_a", "ticker_b", "trade_date")
-            .agg(F.expr(common_points_sql() + " AS common_slots"), F.expr(corr_sql(min_points) + " AS slot_corr"))
-            .where("common_slots > 0"))
+    keys = ("ticker_a", "ticker_b", "trade_date")
+    return aligned_points(joined, keys).groupBy(*keys).agg(
+        F.expr("count(1) AS common_slots"), F.expr(corr_sql(min_points) + " AS slot_corr"))

@@ -85,7 +85,7 @@ def run_pipeline(spark: SparkSession, bars: DataFrame, cfg: PipelineConfig | Non
     out["written"] = {"rows": check["rows"], "files": check["files"]}
     out["regime_changes"] = check["regime_changes"]
     # Stage 4: strong pairs, from the same staged relation.
-    correlated = op.pair_correlation_from_relation(op.relation_of(daily, op.block_rows(blocks)), cfg.min_points)
+    correlated = op.pair_correlation_of(daily, op.block_rows(blocks), cfg.min_points)
     summary = op.pair_summary(correlated, cfg.threshold)
     out["pair_summary"] = summary
     out["top_pairs"] = op.top_pairs(summary, cfg.top_pairs).collect()

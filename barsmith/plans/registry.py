@@ -106,12 +106,12 @@ def q_indicators(spark, sf):
 
 
 def q_indicators_one_pass(spark, sf):
-    # The indicator table from the one-pass day/block relation the pipeline stages.
-    return op.with_regime(op.day_rows(op.day_block_relation(_bars(spark, sf))))
+    # The indicator table from the day partials of the close blocks, as in the pipeline.
+    return op.with_regime(op.merge_day(op.close_blocks(_bars(spark, sf))))
 
 
 def q_validate_from_daily(spark, sf):
-    return op.validate_daily(op.day_rows(op.day_block_relation(_bars(spark, sf))))
+    return op.validate_daily(op.merge_day(op.close_blocks(_bars(spark, sf))))
 
 
 def q_indicators_split(spark, sf):

@@ -101,12 +101,12 @@ def test_self_join_sides_share_one_exchange(spark, which):
     assert not any(n in plan for n in ("BroadcastNestedLoopJoin", "CartesianProduct", "aggregate(")), plan
 
 
-def test_split_pairs_gather_no_day_in_a_window(spark):
-    plan = physical_plan(op.pair_correlation(_plain_bars(spark), split_minutes=60))
-    for line in plan.splitlines():
-        if "Window [" in line and "windowspecdefinition(ticker" in line and "_chunk" not in line:
-            assert "xs" not in line, line
-    assert plan.count("Scan") >= 1
+def test_split_blocks_gather_no_day_in_a_window(spark):
+    plan = physical_plan(op.close_blocks(_plain_bars(spark), split_minutes=60))
+    rows = [line for line in plan.splitlines() if "Window [" in line]
+    assert rows and all("_chunk" in line or "_cnt" in line for line in rows), plan
+    merged = physical_plan(op.merge_day(_written(spark, op.close_blocks(_plain_bars(spark)), "merge")))
+    assert "Window" not in merged and "partial_min" in merged, merged
 
 
 def test_day_rows_do_not_read_the_closes(spark):

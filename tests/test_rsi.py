@@ -99,7 +99,7 @@ def test_split_day_sequence_is_identical(spark, split):
 
 
 @pytest.mark.parametrize("split,block", [(None, 64), (None, 5), (7, 3)])
-def test_one_pass_relation_matches_daily_bars(spark, split, block):
+def test_merged_blocks_match_daily_bars(spark, split, block):
     rng = random.Random(41)
     rows = []
     for t in ("A", "B"):
@@ -113,9 +113,9 @@ def test_one_pass_relation_matches_daily_bars(spark, split, block):
     def rounded(df):
         return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect())
     cols = ["ticker", "trade_date", "day_open", "day_close", "day_high", "day_low", "day_volume", "bar_count", "rsi"]
-    rel = op.day_block_relation(bars, block=block, split_minutes=split)
-    assert rounded(op.day_rows(rel).select(*cols)) == rounded(op.daily_bars(bars).select(*cols))
-    assert sorted(op.validate_daily(op.day_rows(rel)).collect()) == sorted(op.validate_bars(bars).collect())
+    daily = op.merge_day(op.close_blocks(bars, block=block, split_minutes=split))
+    assert rounded(daily.select(*cols)) == rounded(op.daily_bars(bars).select(*cols))
+    assert sorted(op.validate_daily(daily).collect()) == sorted(op.validate_bars(bars).collect())
 
 
 def _variants(bars):
