@@ -21,6 +21,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +33,8 @@ GRAM = 16
 ANCHOR_BYTES = 5
 #: Suffixes that a task sorts into runs together.
 RUN = 300_000
+#: Anchors whose stretches are looked at together.
+STEP = 50_000
 
 RUN_SCHEMA = ("part int, n int, shared binary, right binary, rest binary, left binary, before binary, "
               "ord binary, row binary, pos binary")
@@ -47,24 +50,39 @@ def _slide(x: np.ndarray, n: int, pick) -> np.ndarray:
     return pick(x[: len(x) - (n - have)], x[n - have:]) if n > have else x
 
 
-def anchor_positions(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, gram hashes) of all anchors: smallest gram hash of some stretch inside one text."""
-    n, reach = len(data), length - gram + 1
+def gram_hashes(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of the gram at each byte, smallest gram hash of the stretch that starts at each byte; 0: none inside its text)."""
+    n = len(data)
     if n < length:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
+        return np.empty(0, np.uint64), np.empty(0, np.uint64)
     at = np.arange(n - gram + 1)
     h = Rolling(data.astype(np.uint64) + np.uint64(1)).hash(at, at + gram)
-    least = _slide(h, reach, np.minimum)
+    least = _slide(h, length - gram + 1, np.minimum)
     valid = np.zeros(n + 1, np.int64)  # starts of stretches that stay inside their text
     long = np.flatnonzero(np.diff(ends) >= length)
     np.add.at(valid, ends[long], 1)
     np.add.at(valid, ends[long + 1] - length + 1, -1)
-    least = np.where(np.cumsum(valid)[: len(least)] > 0, least, np.uint64(0))
-    edge = np.zeros(reach - 1, np.uint64)
-    anchor = np.flatnonzero(_slide(np.concatenate([edge, least, edge]), reach, np.maximum) == h)
+    return h, np.where(np.cumsum(valid)[: len(least)] > 0, least, np.uint64(0))
+
+
+def anchor_positions(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, gram hashes) of all anchors: smallest gram hash of some stretch inside one text."""
+    h, least = gram_hashes(data, ends, length, gram)
+    if not len(h):
+        return np.empty(0, np.int64), h
+    edge = np.zeros(length - gram, np.uint64)
+    anchor = np.flatnonzero(_slide(np.concatenate([edge, least, edge]), length - gram + 1, np.maximum) == h)
     return anchor, h[anchor]
 
 
+def anchored(h: np.ndarray, least: np.ndarray, at: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first, last) start of the stretches whose smallest gram hash is the one at each anchor; they are consecutive."""
+    start = at[:, None] - np.arange(reach, -1, -1)
+    inside = (start >= 0) & (start < len(least))
+    own = inside & (least[np.where(inside, start, 0)] == h[at, None])
+    return at - reach + own.argmax(axis=1), at - own[:, ::-1].argmax(axis=1)
+
+
 def _anchors(batches: Iterator[pa.RecordBatch], length: int, gram: int, parts: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for part, data, ends in slices(b):
@@ -85,8 +103,8 @@ class Suffixes:
     """Candidate suffixes with the bytes before them, as padded matrices.
 
     ``right``: up to ``length`` bytes from the anchor; ``left``: up to
-    ``length - gram`` bytes before it, nearest first; ``n_right`` and
-    ``n_left`` are the bytes there are before the text ends.
+    ``length - gram`` bytes before it, nearest first. ``n_right`` and
+    ``n_left`` are the bytes that belong to stretches with this anchor.
     """
 
     def __init__(self, right, n_right, left, n_left, order, row, pos):
@@ -104,17 +122,16 @@ class Suffixes:
         return Suffixes(*[np.concatenate(c) for c in zip(*[p._columns() for p in parts])])
 
     @staticmethod
-    def read(data: np.ndarray, ends: np.ndarray, at: np.ndarray, doc: np.ndarray, order, row, length: int, gram: int) -> Suffixes:
+    def read(data: np.ndarray, ends: np.ndarray, at: np.ndarray, doc: np.ndarray, order, row, length: int, gram: int,
+             first: np.ndarray, last: np.ndarray) -> Suffixes:
         reach = length - gram
-        n_right = np.minimum(length, ends[doc + 1] - at)
-        n_left = np.minimum(reach, at - ends[doc])
+        n_right, n_left = last + length - at, at - first
         wide = np.concatenate([np.zeros(reach, np.uint8), data, np.zeros(length, np.uint8)])
         right = wide[(at + reach)[:, None] + np.arange(length)]
         left = wide[(at + reach - 1)[:, None] - np.arange(reach)]
         right[np.arange(length) >= n_right[:, None]] = 0
         left[np.arange(reach) >= n_left[:, None]] = 0
-        keep = n_right + n_left >= length
-        return Suffixes(right, n_right, left, n_left, order[doc], row[doc], at - ends[doc]).take(np.flatnonzero(keep))
+        return Suffixes(right, n_right, left, n_left, order[doc], row[doc], at - ends[doc])
 
 
 def _shared(a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
@@ -165,6 +182,18 @@ def make_runs(s: Suffixes, parts: int, gram: int) -> tuple[list[tuple], np.ndarr
     return runs, *settled
 
 
+def pack(part: int, n: int, *cells: bytes) -> tuple:
+    """A run as it travels: its columns compressed; the row, mostly the same, as the difference to the order."""
+    *some, order, row, pos = cells
+    apart = np.frombuffer(row, np.int64) - np.frombuffer(order, np.int64)
+    return part, n, *[zstandard.compress(c) for c in (*some, order, apart.tobytes(), pos)]
+
+
+def unpack(cells: list[bytes]) -> list[bytes]:
+    *some, order, apart, pos = [zstandard.decompress(c) for c in cells]
+    return [*some, order, (np.frombuffer(order, np.int64) + np.frombuffer(apart, np.int64)).tobytes(), pos]
+
+
 class Run:
     """A front-coded run, read one suffix at a time."""
 
@@ -278,6 +307,7 @@ def _merged(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterat
     runs: dict[int, list[Run]] = {}
     for b in batches:
         for part, n, *cells in zip(*[c.to_pylist() for c in b.columns]):
+            cells = unpack(cells)
             if part < 0:  # settled where the run was made: row, start, end
                 yield _spans(np.frombuffer(cells[6], np.int64), np.frombuffer(cells[5], np.int64), np.frombuffer(cells[7], np.int32))
             else:
@@ -326,7 +356,7 @@ def _runs(batches: Iterator[pa.RecordBatch], length: int, gram: int, parts: int)
             own = slice(k, k + (1 << 12))
             runs.append((-1 - int(row[k]) % parts, 0, b"", b"", b"", b"", b"", start[own].astype(np.int64).tobytes(),
                          row[own].astype(np.int64).tobytes(), end[own].astype(np.int32).tobytes()))
-        columns = list(zip(*runs)) or [[]] * len(_FIELDS)
+        columns = list(zip(*[pack(*r) for r in runs])) or [[]] * len(_FIELDS)
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i < 2 else pa.binary()) for i, c in enumerate(columns)], names=_FIELDS)
 
     for b in batches:
@@ -337,8 +367,11 @@ def _runs(batches: Iterator[pa.RecordBatch], length: int, gram: int, parts: int)
             at = ends[doc] + found.flatten().to_numpy(zero_copy_only=False)
             row = part.column(0).to_numpy(zero_copy_only=False)
             order = part.column(1).fill_null(np.iinfo(np.int64).max).to_numpy(zero_copy_only=False)
-            for k in range(0, len(at), RUN // 2):
-                waiting.append(Suffixes.read(data, ends, at[k:k + RUN // 2], doc[k:k + RUN // 2], order, row, length, gram))
+            h, least = gram_hashes(data, ends, length, gram)
+            for k in range(0, len(at), STEP):
+                some = at[k:k + STEP]
+                waiting.append(Suffixes.read(data, ends, some, doc[k:k + STEP], order, row, length, gram,
+                                             *anchored(h, least, some, length - gram)))
                 if sum(len(w.row) for w in waiting) >= RUN // 2:
                     yield flush()
     if waiting:

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from barsmith.llm.suffix import Run, anchor_positions, make_runs, merge, remove_earlier, Suffixes
+from barsmith.llm.suffix import Run, Suffixes, anchor_positions, anchored, gram_hashes, make_runs, merge, pack, remove_earlier, unpack
 
 
 def brute(rows, length):
@@ -69,6 +69,11 @@ def test_every_stretch_has_an_anchor():
     for lo, hi in zip(ends[:-1], ends[1:]):
         for p in range(lo, hi - 49):
             assert ((at >= p) & (at <= p + 34)).any()
+    h, least = gram_hashes(data, ends, 50, 16)
+    first, last = anchored(h, least, at, 34)
+    for a, lo, hi in zip(at, first, last):
+        own = [p for p in range(max(0, a - 34), a + 1) if p < len(least) and least[p] == h[a]]
+        assert own == list(range(lo, hi + 1))
 
 
 def test_runs_are_front_coded_and_merge_in_order():
@@ -79,9 +84,11 @@ def test_runs_are_front_coded_and_merge_in_order():
         data = np.frombuffer(b"".join(texts[k:k + 17]), np.uint8)
         ends = np.cumsum([0, *map(len, texts[k:k + 17])])
         n = len(ends) - 1
-        s = Suffixes.read(data, ends, ends[:-1], np.arange(n), np.arange(n), np.arange(n), 20, 8)
+        first, last = ends[:-1], ends[:-1] + np.minimum(np.diff(ends), 20) - 20
+        s = Suffixes.read(data, ends, ends[:-1], np.arange(n), np.arange(n), np.arange(n), 20, 8, first, last)
         want += [t[:20] for t in texts[k:k + 17]]
         for _, count, *cells in make_runs(s, 1, 8)[0]:
+            assert unpack(pack(0, count, *cells)[2:]) == cells
             runs.append(Run(count, *cells))
     out = list(merge(runs))
     assert [x for _, x, _ in out] == sorted(x for _, x, _ in out) and set(x for _, x, _ in out) == set(want)
