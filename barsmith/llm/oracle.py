@@ -54,6 +54,30 @@ SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(c
 FROM embeddings e LEFT JOIN n ON n.a = e.vec_id LEFT JOIN comp ON comp.a = e.vec_id
 """
 
+OP5 = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+p AS (
+  SELECT doc_id, unnest(regexp_extract_all(h, '..')) AS b, unnest(range(n)) AS i FROM d),
+w AS (
+  SELECT doc_id, i, b, CASE WHEN count(*) OVER f = 50 THEN string_agg(b, '') OVER f END AS s FROM p
+  WINDOW f AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)),
+first_ AS (
+  SELECT s, min(doc_id) AS doc FROM w WHERE s IS NOT NULL GROUP BY s),
+hit AS (
+  SELECT w.doc_id, w.i, w.b, f.doc < w.doc_id AS hit FROM w LEFT JOIN first_ f ON f.s = w.s),
+gone AS (
+  SELECT *, coalesce(max(CASE WHEN hit THEN i END) OVER (PARTITION BY doc_id ORDER BY i) >= i - 49, false) AS gone FROM hit),
+edge AS (
+  SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens FROM gone),
+kept AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_spans,
+         coalesce(string_agg(b, '' ORDER BY i) FILTER (NOT gone), '') AS kept FROM edge GROUP BY doc_id)
+SELECT d.doc_id, d.n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 OP8 = r"""
 WITH words AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
@@ -75,4 +99,4 @@ SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)
 FROM documents d LEFT JOIN kept USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_mixing": OP3, "op4_embeddings": OP4, "op8_substring": OP8, "op9_topk": OP9}
+ORACLE_SQL: dict[str, str] = {"op3_mixing": OP3, "op4_embeddings": OP4, "op5_suffixes": OP5, "op8_substring": OP8, "op9_topk": OP9}
