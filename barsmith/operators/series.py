@@ -1,14 +1,13 @@
-"""Aligned series in fixed-size blocks, and pairwise moments over them.
-
-A ticker-day series (an integer index -> value) is cut into blocks of
-``block`` consecutive indices; each block is one row holding an array of
-``block`` slots, null where the index has no value. Two tickers' blocks with
-the same (trade_date, blk) are aligned slot by slot, so one join row carries
-up to ``block`` index pairs. They are unfolded after the join and feed the
-built-in covariance aggregates in the same stage, so a block's slots collapse
-into one partial result before the shuffle. Compared with joining one row per
-index, the join itself handles ``block`` times fewer rows, while every join
-group holds at most one row per ticker.
+"""Blocks of aligned positions, and the correlation of the points in them.
+
+A ticker-day's closes are cut into blocks of ``block`` consecutive positions,
+one row with an array each (see ``pairs.close_blocks``). Two tickers' blocks
+with the same (trade_date, blk) are aligned slot by slot, so one join row
+carries up to ``block`` pairs of points. They are unfolded after the join and
+feed the built-in covariance aggregates in the same stage, so a block's points
+collapse into one partial result before the shuffle. Compared with joining one
+row per position, the join itself handles ``block`` times fewer rows, while
+every join group holds at most one row per ticker.
 """
 
 from __future__ import annotations
@@ -23,31 +22,6 @@ from ..functions.numeric import pearson_sql
 DEFAULT_BLOCK = 64
 
 
-def blocked_series(points: DataFrame, index: str, value: str, block: int = DEFAULT_BLOCK,
-                   dense: bool = False) -> DataFrame:
-    """(ticker, trade_date, index, value) rows -> (ticker, trade_date, blk, xs).
-
-    ``xs[j]`` is the value at index ``blk * block + j``, or null. With
-    ``dense=True`` the caller guarantees the indices of a series are
-    0..n-1 without gaps (positions), so a sorted list already is the aligned
-    array (its tail may be short; ``zip_with`` pads it with nulls). Sparse
-    indices (clock slots) are placed through a slot -> value map. Grouping
-    on (ticker, trade_date, blk) needs no shuffle when the points are
-    already partitioned by (ticker, trade_date).
-    """
-    keys = (F.expr("ticker"), F.expr("trade_date"), F.expr(f"CAST(floor({index} / {block}) AS INT) AS blk"))
-    entry = f"struct(CAST(pmod({index}, {block}) AS INT) AS j, CAST({value} AS DOUBLE) AS x)"
-    if dense:
-        return (points.groupBy(*keys)
-                .agg(F.expr(f"transform(sort_array(collect_list({entry})), e -> e.x) AS xs")))
-    return (
-        points.groupBy(*keys)
-        .agg(F.expr(f"map_from_entries(collect_list({entry})) AS m"))
-        .select(F.expr("ticker"), F.expr("trade_date"), F.expr("blk"),
-                F.expr(f"transform(sequence(0, {block - 1}), j -> try_element_at(m, j)) AS xs"))
-    )
-
-
 def aligned_points(joined: DataFrame, keys: Sequence[str], xs_a: str = "xs_a", xs_b: str = "xs_b") -> DataFrame:
     """One row (*keys, x_a, x_b) per slot where both blocks of a joined row hold a value."""
     return (joined.select(*[F.expr(k) for k in keys], F.expr(f"inline(arrays_zip({xs_a}, {xs_b})) AS (x_a, x_b)"))

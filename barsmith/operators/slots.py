@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..constants import MIN_CORR_POINTS
 from .sequence import elapsed_minutes_sql
-from .series import DEFAULT_BLOCK, aligned_points, blocked_series, corr_sql
+from .series import corr_sql
 
 
 def slot_sql(bars: DataFrame, slot_minutes: int = 1) -> str:
@@ -42,23 +42,21 @@ def slot_returns(bars: DataFrame, slot_minutes: int = 1) -> DataFrame:
     )
 
 
-def slot_return_corr(bars: DataFrame, slot_minutes: int = 1,
-                     min_points: int = MIN_CORR_POINTS, block: int = DEFAULT_BLOCK) -> DataFrame:
+def slot_return_corr(bars: DataFrame, slot_minutes: int = 1, min_points: int = MIN_CORR_POINTS) -> DataFrame:
     """Per (ticker_a < ticker_b, trade_date): correlation of slot returns.
 
     Returns are aligned by clock slot, not by position, so gaps in one
     ticker do not shift the other. Columns: ticker_a, ticker_b, trade_date,
     common_slots (at least 1), slot_corr (null below ``min_points`` or when
-    flat). Slots travel in blocks of ``block`` (see ``series``): a join
-    group is one (date, block) with at most one row per ticker.
+    flat). The slot rows join themselves on (trade_date, slot): a join group
+    holds at most one row per ticker, only common slots come out, and both
+    sides read one exchange. (Blocks of slots, as for positions, would be
+    mostly empty: few of a day's minutes have a bar in both tickers.)
     """
     r = slot_returns(bars, slot_minutes).where("slot_return IS NOT NULL")
-    blocks = blocked_series(r, "slot", "slot_return", block)
-    a = blocks.select(F.expr("ticker AS ticker_a"), F.expr("trade_date"), F.expr("blk AS blk_a"),
-                      F.expr("xs AS xs_a"))
-    b = blocks.select(F.expr("ticker AS ticker_b"), F.expr("trade_date AS trade_date_b"), F.expr("blk AS blk_b"),
-                      F.expr("xs AS xs_b"))
-    joined = a.join(b, F.expr("trade_date = trade_date_b AND blk_a = blk_b AND ticker_a < ticker_b"), "inner")
-    keys = ("ticker_a", "ticker_b", "trade_date")
-    return aligned_points(joined, keys).groupBy(*keys).agg(
+    a = r.select(F.expr("ticker AS ticker_a"), F.expr("trade_date"), F.expr("slot AS slot_a"), F.expr("slot_return AS x_a"))
+    b = r.select(F.expr("ticker AS ticker_b"), F.expr("trade_date AS trade_date_b"), F.expr("slot AS slot_b"),
+                 F.expr("slot_return AS x_b"))
+    joined = a.join(b, F.expr("trade_date = trade_date_b AND slot_a = slot_b AND ticker_a < ticker_b"), "inner")
+    return joined.groupBy("ticker_a", "ticker_b", "trade_date").agg(
         F.expr("count(1) AS common_slots"), F.expr(corr_sql(min_points) + " AS slot_corr"))

@@ -139,8 +139,8 @@ def test_slot_corr_block_size_invariant(spark, block):
     b = [50 + rng.uniform(-1, 1) for _ in range(40)]
     rows = [r for k, r in enumerate(day_of(a, ticker="A")) if k % 7 != 3]
     rows += [r for k, r in enumerate(day_of(b, ticker="B")) if k % 5 != 2]
-    base = op.slot_return_corr(make_bars(spark, rows), slot_minutes=1, min_points=5, block=1).collect()[0]
-    got = op.slot_return_corr(make_bars(spark, rows), slot_minutes=1, min_points=5, block=block).collect()[0]
+    base = op.slot_return_corr(make_bars(spark, rows), slot_minutes=1, min_points=5).collect()[0]
+    got = op.slot_return_corr(make_bars(spark, rows).repartition(block), slot_minutes=1, min_points=5).collect()[0]
     assert got.common_slots == base.common_slots
     assert got.slot_corr == pytest.approx(base.slot_corr, abs=1e-12)
 
