@@ -269,15 +269,18 @@ def q_write_partitioned_roundtrip(spark, sf):
 
 def q_write_table_roundtrip(spark, sf):
     # Into a catalog table, partitioned, and back in the written column order.
-    return _written_report(spark, sf, partition_by=["ticker", "signal_regime"], target=_table_name("report"))
+    return _written_report(spark, sf, partition_by=["ticker", "signal_regime"], target=_table_name(spark, "report"))
 
 
 def q_write_verify(spark, sf):
     return verify_write(_written_report(spark, sf, files=1))
 
 
-def _table_name(kind: str) -> str:
-    return f"barsmith_{kind}_{uuid.uuid4().hex[:12]}"
+def _table_name(spark: SparkSession, kind: str) -> str:
+    """A new catalog table's name, in a database of its own whose files lie in the shared folder."""
+    database = f"barsmith_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{staging_path(spark, 'database')}'")
+    return f"{database}.{kind}"
 
 
 # A bar table's own column names, for the reader's mapping.
@@ -288,9 +291,9 @@ def q_read_bars_table(spark, sf):
     # The real reader: a catalog table with other column names and types, and a bar without a key.
     bars = _bars(spark, sf)
     keyless = bars.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in bars.schema.fields]).limit(1)
-    name = _table_name("bars")
+    name = _table_name(spark, "bars")
     (bars.unionByName(keyless).withColumn("trade_date", F.col("trade_date").cast("string"))
-     .withColumnsRenamed(SOURCE_NAMES).write.option("path", staging_path(spark, "bars")).saveAsTable(name))
+     .withColumnsRenamed(SOURCE_NAMES).write.saveAsTable(name))
     return read_bars(spark, name, fmt="table", mapping=SOURCE_NAMES)
 
 
