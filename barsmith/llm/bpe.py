@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Pieces that a worker remembers before it starts afresh (bounds its memory, not its results).
-REMEMBER = 600_000
+REMEMBER = 200_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -138,7 +138,7 @@ class Vocabulary:
         key = left << 20 | right
         got = self.beside.get(key)
         if got is None:
-            if len(self.beside) > 4 * REMEMBER:
+            if len(self.beside) > 2 * REMEMBER:
                 self.beside.clear()
             got = self.beside[key] = self._apart(left, right, float("inf"))
         return got
@@ -229,6 +229,8 @@ class Encoder:
         """Encode the pieces not yet known, all their distinct words in one walk."""
         if len(self.pieces) > REMEMBER:
             self.pieces.clear()
+        if len(self.vocab.next) > 2 * REMEMBER:
+            self.vocab.next.clear()
         new = {p: self.split(p) for p in pieces.difference(self.pieces)}
         by = {w.encode(): w for ws in new.values() for w in ws}
         known = {by[raw]: pack(f"<{len(ids)}I", *ids) for raw, _, _, _, ids in self.vocab.walk(by)}
@@ -241,7 +243,7 @@ class Encoder:
         at = 0
         while at < len(texts):
             block, seen = [], set()
-            while at < len(texts) and len(seen) < REMEMBER // 2:
+            while at < len(texts) and len(seen) < REMEMBER // 4:
                 segments = [s if s in self.vocab.special else self.cut(s) for s in self.segments(texts[at])]
                 for s in segments:
                     if isinstance(s, list):
@@ -283,6 +285,26 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     return chosen.mapInArrow(run, "doc_id long, ids binary")
 
 
+def _texts(ids: list[bytes | None], raw: list[bytes]) -> list[str]:
+    return [b"".join(map(raw.__getitem__, np.frombuffer(x or b"", "<u4").tolist())).decode("utf-8", "replace") for x in ids]
+
+
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids, text): :func:`encode` and :func:`decode` of its ids, by one worker a task instead of two."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc, raw = encoder(path), token_bytes(path)
+        for b in batches:
+            for at in range(0, b.num_rows, 500):
+                part = b.slice(at, 500)
+                ids = enc.encode([t or "" for t in part.column(1).to_pylist()])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.array(_texts(ids, raw), pa.string())],
+                                                 names=["doc_id", "ids", "text"])
+
+    chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return chosen.mapInArrow(run, "doc_id long, ids binary, text string")
+
+
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, text) from the rows of :func:`encode`; special tokens become their strings.
     Bytes that are not UTF-8 become U+FFFD; null ids give an empty text."""
@@ -292,8 +314,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
-                text = [b"".join(map(raw.__getitem__, np.frombuffer(ids or b"", "<u4").tolist())).decode("utf-8", "replace")
-                        for ids in part.column(1).to_pylist()]
+                text = _texts(part.column(1).to_pylist(), raw)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(text, pa.string())],
                                                  names=["doc_id", "ids", "text"])
 

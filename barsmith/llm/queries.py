@@ -36,10 +36,9 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary(BYTE_VOCABULARY)
-    decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
-    return decoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-                          F.sha2("ids", 256).alias("ids_sha256"),
-                          F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+    return bpe.round_trip(table(spark, sf_dir, "documents"), path).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

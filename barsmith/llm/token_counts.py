@@ -59,6 +59,8 @@ class Counter:
     def learn(self, pieces: set[str]) -> None:
         if len(self.pieces) > REMEMBER:
             self.pieces.clear()
+        if len(self.vocab.next) > 2 * REMEMBER:
+            self.vocab.next.clear()
         new = {p: [p] if p in self.vocab.special else self.split(self.normal(p)) for p in pieces.difference(self.pieces)}
         by = {w.encode(): w for ws in new.values() for w in ws}
         known = {by[raw]: len(ids) for raw, _, _, _, ids in self.vocab.walk(by)}
@@ -71,7 +73,7 @@ class Counter:
         at = 0
         while at < len(texts):
             block, seen = [], set()
-            while at < len(texts) and len(seen) < REMEMBER // 2:
+            while at < len(texts) and len(seen) < REMEMBER // 4:
                 block.append(self.cut(texts[at]))
                 seen.update(block[-1])
                 at += 1

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsmith.llm.bpe import decode, encode
+from barsmith.llm.bpe import round_trip
 from barsmith.llm.common import ship, stage, table
 from barsmith.llm.mixing import mix
 from barsmith.llm.quality import classify
@@ -68,7 +68,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each row's text (little-endian unsigned 32-bit), and digests of the ids and of the decoded text."""
     ship(spark)
     path = vocabulary(BYTE_VOCABULARY)
-    return decode(encode(docs, path), path).select(
+    return round_trip(docs, path).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 

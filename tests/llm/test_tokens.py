@@ -62,7 +62,9 @@ def test_queries_edge_cases(spark, tmp_path):
     assert got == sorted(want, key=str)
     empty = spark.createDataFrame([], schema)
     path = vocabulary(BYTE_VOCABULARY)
-    assert bpe.decode(bpe.encode(empty, path), path).count() == 0
+    assert bpe.decode(bpe.encode(empty, path), path).count() == 0 and bpe.round_trip(empty, path).count() == 0
+    df = spark.createDataFrame(rows, schema)
+    assert sorted(map(str, bpe.decode(bpe.encode(df, path), path).collect())) == sorted(map(str, bpe.round_trip(df, path).collect()))
     assert token_counts.prefix_counts(empty, vocabulary(WORD_VOCABULARY)).count() == 0
 
 
