@@ -76,9 +76,10 @@ def roots(parent: np.ndarray) -> np.ndarray:
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components: (a long, b long) -> (node, component = smallest node).
 
-    Alternating large-star and small-star rounds; each round's edge set is
-    checkpointed in the shared folder. A star centre with very many leaves is
-    one hot join key on one side only, which the adaptive skew join splits.
+    Alternating large-star and small-star rounds; each round's edge set and
+    smallest neighbours are checkpointed in the shared folder, so both sides of
+    a round's joins are plain shuffles: a star centre with very many leaves is
+    one hot key on one side only, which the adaptive skew join splits.
     Self loops are allowed; rows with a null end are ignored.
     """
     spark = edges.sparkSession
@@ -93,10 +94,11 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             break
         before = seen
         both = edges.unionByName(edges.selectExpr("b AS a", "a AS b"))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).selectExpr("a", "least(a, m) AS m")
+        low = both.groupBy("a").agg(F.min("b").alias("m")).selectExpr("a", "least(a, m) AS m").checkpoint()
         large = (both.join(low, "a").where("b > a").selectExpr("b AS a", "m AS b")
                  .where("a <> b").distinct())
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = large.checkpoint()
+        low = large.groupBy("a").agg(F.min("b").alias("m")).checkpoint()
         small = large.join(low, "a")
         edges = (small.selectExpr("b AS a", "m AS b").unionByName(small.selectExpr("a", "m AS b"))
                  .where("a <> b").distinct().checkpoint())
