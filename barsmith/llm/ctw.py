@@ -36,7 +36,9 @@ SHARD = 1_500_000
 #: Most frequent words whose counts are shipped to the tasks; the other words' counts are met in an exchange.
 HEAD = 1 << 19
 #: Distinct keys that a task gathers before it sends them on.
-GATHER = 1 << 21
+GATHER = 1 << 20
+#: Bytes of text that a task looks at together.
+SLICE = 1 << 20
 
 WORD, GRAM = 0, 1
 COUNT_SCHEMA = "part int, kind int, key binary, n binary"
@@ -107,7 +109,7 @@ def _count(batches: Iterator[pa.RecordBatch], depth: int, parts: int) -> Iterato
         return _batch(list(_packed(kind, key, n, parts, depth)))
 
     for b in batches:
-        for part, data, ends in slices(b):
+        for part, data, ends in slices(b, size=SLICE):
             own = part.column(3).to_numpy(zero_copy_only=False)
             code, to = gram_codes(data, ends, depth)
             use = np.repeat(own, np.diff(to))
@@ -361,7 +363,7 @@ def _sums(value: np.ndarray, ends: np.ndarray) -> np.ndarray:
 def _score(batches: Iterator[pa.RecordBatch], depth: int, table) -> Iterator[pa.RecordBatch]:
     lookup = _restore(table)
     for b in batches:
-        for part, data, ends in slices(b):
+        for part, data, ends in slices(b, size=SLICE):
             code, to = gram_codes(data, ends, depth)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(_sums(lookup.get(code)[1], to))], names=["row", "score"])
 
@@ -376,7 +378,7 @@ def _base(batches: Iterator[pa.RecordBatch], table) -> Iterator[pa.RecordBatch]:
     """Per row: tokens, and the frequent words' part of the sum and of the known tokens."""
     lookup = _restore(table)
     for b in batches:
-        for part, data, ends in slices(b):
+        for part, data, ends in slices(b, size=SLICE):
             words = Words(_LOWER[data], ends)
             found, c = lookup.get(words.hash(np.arange(len(words.start)), 1))
             yield pa.RecordBatch.from_arrays(
@@ -390,7 +392,7 @@ def _ask(batches: Iterator[pa.RecordBatch], table, parts: int) -> Iterator[pa.Re
     """The other words of each row, packed by part: key (hash), n (row deltas, then times)."""
     lookup = _restore(table)
     for b in batches:
-        for part, data, ends in slices(b):
+        for part, data, ends in slices(b, size=SLICE):
             words = Words(_LOWER[data], ends)
             h = words.hash(np.arange(len(words.start)), 1)
             doc = np.repeat(np.arange(part.num_rows), np.diff(words.first))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import stage
 
 #: Bytes of text that a task looks at together.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 OPEN, WITNESS, KNOWN = 0, 1, 2
 #: One row per slice and part: the part's questions, packed column by column, in ascending row.
@@ -65,14 +65,14 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] =
     return chosen.select(F.col("doc_id").alias("row"), "*")
 
 
-def slices(batch: pa.RecordBatch, text: int = 2) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Parts of a batch with about SLICE_BYTES of text: (rows, bytes, offsets of the rows' texts in them)."""
+def slices(batch: pa.RecordBatch, text: int = 2, size: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Parts of a batch with about ``size`` bytes of text: (rows, bytes, offsets of the rows' texts in them)."""
     column = batch.column(text).cast(pa.binary()).fill_null(b"")
     ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
     data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
     at = 0
     while at < batch.num_rows:
-        to = max(at + 1, int(np.searchsorted(ends, ends[at] + SLICE_BYTES, "right")) - 1)
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + size, "right")) - 1)
         yield batch.slice(at, to - at), data[ends[at]:ends[to]], ends[at:to + 1] - ends[at]
         at = to
 
