@@ -19,8 +19,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
-
 #: Labelled rows that the model is fitted on at most (those with the smallest hash of the doc_id).
 SAMPLE = 20_000
 
@@ -168,26 +166,33 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def fit(table: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Fit on at most ``sample`` labelled rows that are not held out, chosen by a hash of the doc_id.
 
     Rows of ``labels`` that share a doc_id count once, with the larger label;
-    null labels and ids do not count. Without both labels among the rows
-    every score is the (smoothed) share of label 1.
+    null labels and ids do not count, nor do ids without a document. Without
+    both labels among the rows every score is the (smoothed) share of label 1.
+    The chosen ids, at most ``sample``, are broadcast; only their texts are
+    turned into features here.
     """
+    ids = docs.select(F.col(id_col).cast("long").alias("id_"))
     known = (labels.select(F.col("doc_id").cast("long").alias("id_"), F.col("quality").cast("int").alias("y_"))
-             .where("id_ IS NOT NULL AND y_ IS NOT NULL").groupBy("id_").agg(F.max("y_").alias("y_")).where(~held_out("id_")))
-    rows = (table.select("doc_id", "x").join(known, F.col("doc_id") == F.col("id_"))
-            .select("x", "y_", F.xxhash64("doc_id").alias("k")).orderBy("k", "x").limit(sample).collect())
+             .where("id_ IS NOT NULL AND y_ IS NOT NULL").groupBy("id_").agg(F.max("y_").alias("y_")).where(~held_out("id_"))
+             .join(ids, "id_", "left_semi").orderBy(F.xxhash64("id_"), "id_").limit(sample))
+    chosen = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+              .join(F.broadcast(known), F.col("doc_id") == F.col("id_")).select("doc_id", "text", "y_"))
+    rows = (feature_table(chosen, carry=("y_",)).select("x", "c_0", F.xxhash64("doc_id").alias("k"))
+            .orderBy("k", "x").limit(sample).collect())
     x = np.array([r.x for r in rows], np.float64).reshape(len(rows), len(FEATURES))
-    return Model(x, np.array([r.y_ for r in rows], np.float64))
+    return Model(x, np.array([r.c_0 for r in rows], np.float64))
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        flat = b.column(1).flatten().to_numpy(zero_copy_only=False)
-        score = model.score(flat.reshape(b.num_rows, len(FEATURES)))
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score), *b.columns[2:]], names=["doc_id", "score", *b.schema.names[2:]])
+        text = b.column(1).cast(pa.binary()).to_pylist()
+        x = np.array([features(t or b"") for t in text], np.float64).reshape(b.num_rows, len(FEATURES))
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(model.score(x)), *b.columns[2:]],
+                                         names=["doc_id", "score", *b.schema.names[2:]])
 
 
 def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text",
@@ -199,9 +204,10 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: s
     repeated rows and null doc_ids are scored like others. An empty table
     gives an empty result; columns not named in ``carry`` are not read.
     """
-    table = stage(feature_table(docs, id_col, text_col, carry), "quality-features")
-    model = fit(table, labels, sample)
-    kinds = "".join(f", {f.name} {f.dataType.simpleString()}" for f in table.schema.fields[2:])
-    scored = table.mapInArrow(partial(_score, model=model), "doc_id long, score double" + kinds)
+    model = fit(docs, labels, sample, id_col, text_col)
+    chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                         *[F.col(c).alias(f"c_{i}") for i, c in enumerate(carry)])
+    kinds = "".join(f", {f.name} {f.dataType.simpleString()}" for f in chosen.schema.fields[2:])
+    scored = chosen.mapInArrow(partial(_score, model=model), "doc_id long, score double" + kinds)
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
                          *[F.col(f"c_{i}").alias(c) for i, c in enumerate(carry)])

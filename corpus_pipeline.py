@@ -40,7 +40,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = simhash_components(docs, shingle=4, max_bits=4)
     first = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
     first = stage(first.select(F.col("doc_id").alias("first_"), "n"), "pipeline-first")
-    kept = docs.join(first.select("first_"), docs.doc_id == F.col("first_"), "left_semi")
+    # merge: the same plan at every size, whether or not the ids would fit a broadcast
+    kept = docs.join(first.select("first_").hint("merge"), docs.doc_id == F.col("first_"), "left_semi")
     if first.where("n > 1").limit(1).count():
         kept = kept.dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where("doc_id IS NULL"))
