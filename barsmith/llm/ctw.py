@@ -14,7 +14,9 @@ context meet in one part, which holds all their nodes of depth two and more;
 the depths above are small and built from the parts' sums. Grams that occur
 only in texts not learned from are gathered too, with count zero, so the
 model is a table of the log-probability of every gram there is and scoring a
-text adds up lookups.
+text adds up lookups. The most frequent grams are looked up where the text is;
+a document's other grams are sent, counted, to the parts that hold their
+log-probabilities, and come back as one sum per row and part.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from .common import stage
 from .repeats import keyed, mixed, parts_for, slices
 from .substring import Words
 
-#: Grams of the model that one scoring pass over the texts looks up; more grams take more passes.
+#: Most frequent grams whose log-probabilities are shipped to the tasks; the other grams' are met in an exchange.
 SHARD = 1_500_000
 #: Most frequent words whose counts are shipped to the tasks; the other words' counts are met in an exchange.
 HEAD = 1 << 19
@@ -322,37 +324,43 @@ def log10_grams(key: np.ndarray, n: np.ndarray, depth: int, top: Top) -> np.ndar
     return out
 
 
-def _model(batches: Iterator[pa.RecordBatch], depth: int, top: Top) -> Iterator[pa.RecordBatch]:
+def _model(batches: Iterator[pa.RecordBatch], depth: int, top: Top, often: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for key, n in zip(*[c.to_pylist() for c in b.columns]):
-            p = log10_grams(np.frombuffer(key, np.uint64), np.frombuffer(n, np.int64), depth, top)
-            yield pa.RecordBatch.from_arrays([pa.array([len(p)]), pa.array([key], pa.binary()), pa.array([p.tobytes()], pa.binary())],
-                                             names=["n", "key", "p"])
-
-
-def model(counts: DataFrame, depth: int) -> DataFrame:
-    """The model as rows (n, key, p): packed grams with the log10 probability of their byte."""
-    grams = counts.where(f"kind = {GRAM}").select("key", "n")
+        for part, key, n in zip(*[c.to_pylist() for c in b.columns]):
+            key, n = np.frombuffer(key, np.uint64), np.frombuffer(n, np.int64)
+            p, head = log10_grams(key, n, depth, top), n >= often
+            cells = [x.tobytes() for x in (key[~head], p[~head], key[head], p[head])]
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), *[pa.array([c], pa.binary()) for c in cells]],
+                                             names=["part", "key", "p", "head_key", "head_p"])
+
+
+def model(counts: DataFrame, depth: int, often: int) -> DataFrame:
+    """The model as one row (part, key, p, head_key, head_p) per part: packed grams, ascending, with the log10
+    probability of their byte; those counted ``often`` times and more stand apart."""
+    own = counts.where(f"kind = {GRAM}").select("part", "key", "n")
+    grams = own.select("key", "n")
     sums = np.zeros(1 << 17)
     for i, v in grams.mapInArrow(partial(_tops, depth=depth), "i long, v double").groupBy("i").agg(F.sum("v")).collect():
         sums[i] = v  # at most 2^17 rows
     top = Top(sums[: 1 << 16].reshape(256, 256), sums[1 << 16:].reshape(256, 256))
-    return stage(grams.mapInArrow(partial(_model, depth=depth, top=top), "n long, key binary, p binary"), "ctw-model")
+    return stage(own.mapInArrow(partial(_model, depth=depth, top=top, often=often),
+                                "part int, key binary, p binary, head_key binary, head_p binary"), "ctw-model")
 
 
-def shards(rows: DataFrame, most: int) -> Iterator[Lookup]:
-    """The model in lookups of at most ``most`` grams each (a part's row is kept whole), one at a time."""
-    held, size = [], 0
-    for r in rows.toLocalIterator():
-        for lo in range(0, r.n, most):
-            key, p = np.frombuffer(r.key, np.uint64)[lo:lo + most], np.frombuffer(r.p, np.float64)[lo:lo + most]
-            if size and size + len(key) > most:
-                yield Lookup(*(np.concatenate(x) for x in zip(*held)))
-                held, size = [], 0
-            held.append((key, p))
-            size += len(key)
-    if held:
-        yield Lookup(*(np.concatenate(x) for x in zip(*held)))
+def _table(rows: DataFrame) -> Lookup:
+    """Lookup over all of (key, value), rows of packed columns; what the caller selects bounds it."""
+    held = [(np.frombuffer(key, np.uint64), np.frombuffer(value, np.float64)) for key, value in rows.toLocalIterator()]
+    return Lookup(*(np.concatenate(x) for x in zip(*held))) if held else Lookup(np.empty(0, np.uint64), np.empty(0))
+
+
+def _often(counts: DataFrame, kind: int, most: int) -> tuple[int, int, int]:
+    """(sum of the counts, number of keys, the least power of two such that at most ``most`` keys are counted that often)."""
+    seen = counts.where(f"kind = {kind}").agg(F.sum("total"), F.sum("distinct"),
+                                              *[F.sum(F.element_at("sizes", i + 1)) for i in range(64)]).first()
+    sizes, least = [int(x or 0) for x in seen[2:]], 64
+    while least > 1 and sum(sizes[least - 1:]) <= most:
+        least -= 1  # keys counted 2^(least - 1) times and more are at most ``most``
+    return int(seen[0] or 0), int(seen[1] or 0), 1 << (least - 1)
 
 
 def _sums(value: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -360,12 +368,65 @@ def _sums(value: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return total[ends[1:]] - total[ends[:-1]]
 
 
-def _score(batches: Iterator[pa.RecordBatch], depth: int, table) -> Iterator[pa.RecordBatch]:
+def _planes(x: np.ndarray) -> bytes:
+    """64-bit values byte by byte, all lowest bytes first: what is the same in most of them compresses away."""
+    return x.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _values(planes: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(planes, np.uint8).reshape(8, -1).T.copy().view(kind).ravel()
+
+
+def _asked(kind: int, h: np.ndarray, doc: np.ndarray, rows: np.ndarray, parts: int, depth: int) -> Iterator[tuple]:
+    """Questions of a slice by part: (part, keys, row deltas, times); a row's keys come together, each once."""
+    to = _part(kind, h, parts, depth).astype(np.int64)
+    order = np.lexsort((h, doc, to))
+    h, doc, to = h[order], doc[order], to[order]
+    at = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]) | (to[1:] != to[:-1]))) if len(h) else np.empty(0, np.int64)
+    times = np.diff(np.append(at, len(h))).astype(np.int64)
+    h, row, to = h[at], rows[doc[at]], to[at]
+    edge = np.flatnonzero(np.append(True, to[1:] != to[:-1])) if len(to) else []
+    for lo, hi in zip(edge, np.append(edge[1:], len(to))):
+        yield int(to[lo]), h[lo:hi], np.diff(row[lo:hi], prepend=0), times[lo:hi]
+
+
+def _score(batches: Iterator[pa.RecordBatch], depth: int, table, parts: int) -> Iterator[pa.RecordBatch]:
+    """Per slice, the frequent grams' part of each row's sum (kind 2: rows, sums) and the
+    other grams of each row, packed by part (kind 1: grams, then row deltas and times)."""
     lookup = _restore(table)
     for b in batches:
         for part, data, ends in slices(b, size=SLICE):
             code, to = gram_codes(data, ends, depth)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(_sums(lookup.get(code)[1], to))], names=["row", "score"])
+            found, p = lookup.get(code)
+            rows = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            doc = np.repeat(np.arange(len(rows)), np.diff(to))[~found]
+            yield _batch([(int(rows[0] % parts), 2, rows.tobytes(), _sums(p, to).tobytes()),
+                          *[(at, 1, _planes(h), _planes(np.concatenate([step, times])))
+                            for at, h, step, times in _asked(GRAM, code[~found], doc, rows, parts, depth)]])
+
+
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, score): partial sums of the rows. Each part's share of the model (kind 0) comes before its questions."""
+    own, key, p = None, np.empty(0, np.uint64), np.empty(0)
+    for b in batches:
+        rows, sums = [], []
+        for part, kind, k, v in zip(*[c.to_pylist() for c in b.columns]):
+            if kind == 0:
+                own, key, p = part, np.frombuffer(k, np.uint64), np.frombuffer(v, np.float64)
+            elif kind == 2:
+                rows.append(np.frombuffer(k, np.int64))
+                sums.append(np.frombuffer(v, np.float64))
+            else:
+                code, packed = _values(k, np.uint64), _values(v, np.int64)
+                at = np.searchsorted(key, code) if own == part else np.full(len(code), len(key))
+                if (at == len(key)).any() or (key[at] != code).any():
+                    raise ValueError(f"part {part} was asked for a gram outside the model")
+                row, times = np.cumsum(packed[:len(code)]), packed[len(code):]
+                edge = np.flatnonzero(np.append(True, row[1:] != row[:-1]))  # a row's grams come together
+                rows.append(row[edge])
+                sums.append(np.add.reduceat(times * p[at], edge))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(rows)), pa.array(np.concatenate(sums))], names=["row", "score"])
 
 
 def _restore(table) -> Lookup:
@@ -397,16 +458,9 @@ def _ask(batches: Iterator[pa.RecordBatch], table, parts: int) -> Iterator[pa.Re
             h = words.hash(np.arange(len(words.start)), 1)
             doc = np.repeat(np.arange(part.num_rows), np.diff(words.first))
             rare = ~lookup.get(h)[0]
-            h, doc = h[rare], doc[rare]
-            to = _part(WORD, h, parts, 1).astype(np.int64)
-            order = np.lexsort((h, doc, to))
-            h, doc, to = h[order], doc[order], to[order]
-            at = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]) | (to[1:] != to[:-1]))) if len(h) else np.empty(0, np.int64)
-            times = np.diff(np.append(at, len(h))).astype(np.int64)
-            h, row, to = h[at], part.column(0).to_numpy(zero_copy_only=False)[doc[at]], to[at]
-            edge = np.flatnonzero(np.append(True, to[1:] != to[:-1])) if len(to) else []
-            yield _batch([(int(to[lo]), 1, h[lo:hi].tobytes(), np.concatenate([np.diff(row[lo:hi], prepend=0), times[lo:hi]]).tobytes())
-                          for lo, hi in zip(edge, np.append(edge[1:], len(to)))])
+            rows = part.column(0).to_numpy(zero_copy_only=False)
+            yield _batch([(to, 1, key.tobytes(), np.concatenate([step, times]).tobytes())
+                          for to, key, step, times in _asked(WORD, h[rare], doc[rare], rows, parts, 1)])
 
 
 def _tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -455,44 +509,40 @@ def score_texts(docs: DataFrame, depth: int = 5, shard: int = SHARD, head: int =
     are learned and scored each; a null doc_id is learned from. An empty
     table gives an empty result; other columns are not read.
 
-    Besides tables in the shared folder, the tasks get the counts of at most
-    ``head`` words and, per scoring pass, at most ``shard`` grams.
+    Besides tables in the shared folder, the driver and the tasks get the
+    counts of at most ``head`` words and the log-probabilities of at most
+    ``shard`` grams, the most frequent ones. The other words and grams are
+    settled where they are counted.
     """
     if depth < 2 or depth > 6:
         raise ValueError("2 <= depth <= 6")
     base = keyed(docs, id_col, text_col)
     counts = gather(base, depth)
     words = counts.where(f"kind = {WORD}")
-    seen = words.agg(F.sum("total"), F.sum("distinct"), *[F.sum(F.element_at("sizes", i + 1)) for i in range(64)]).first()
+    total, distinct, often = _often(counts, WORD, head)
     ends = base.where(learned()).count()
-    n, v = int(seen[0] or 0) + ends, int(seen[1] or 0) + (ends > 0)
-    sizes, least = [int(x or 0) for x in seen[2:]], 64
-    while least > 1 and sum(sizes[least - 1:]) <= head:
-        least -= 1  # words counted 2^(least - 1) times and more are at most ``head``
-    often = 1 << (least - 1)
+    n, v = total + ends, distinct + (ends > 0)
 
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for key, c in zip(*[x.to_pylist() for x in b.columns]):
                 key, c = np.frombuffer(key, np.uint64), np.frombuffer(c, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([key[c >= often].tobytes()], pa.binary()), pa.array([c[c >= often].tobytes()], pa.binary())],
+                yield pa.RecordBatch.from_arrays([pa.array([key[c >= often].tobytes()], pa.binary()), pa.array([c[c >= often].astype(np.float64).tobytes()], pa.binary())],
                                                  names=["key", "n"])
 
-    top = [(np.frombuffer(r.key, np.uint64), np.frombuffer(r.n, np.int64).astype(np.float64))
-           for r in words.select("key", "n").mapInArrow(frequent, "key binary, n binary").toLocalIterator()]
-    known = _ship(base, Lookup(*(np.concatenate(x) for x in zip(*top))) if top else Lookup(np.empty(0, np.uint64), np.empty(0)))
+    known = _ship(base, _table(words.select("key", "n").mapInArrow(frequent, "key binary, n binary")))
     parts = parts_for(base.sparkSession)
     narrow = base.select("row", "doc_id", "text")
     asked = narrow.mapInArrow(partial(_ask, table=known, parts=parts), COUNT_SCHEMA)
     told = (words.select("part", F.lit(0).alias("kind"), "key", "n").unionByName(asked).repartition("part")
             .mapInArrow(_tell, "row long, s double, k long").groupBy("row").agg(F.sum("s").alias("s"), F.sum("k").alias("k")))
     basic = narrow.mapInArrow(partial(_base, table=known), "row long, n_tokens long, head_sum double, head_known long")
-    passes = None
-    for lookup in shards(model(counts, depth), shard):
-        part = narrow.mapInArrow(partial(_score, depth=depth, table=_ship(base, lookup)), "row long, score double")
-        passes = part if passes is None else passes.unionByName(part)
-    scored = (passes.groupBy("row").agg(F.sum("score").alias("score")) if passes is not None
-              else basic.select("row", F.lit(0.0).alias("score")))
+    grams = model(counts, depth, _often(counts, GRAM, shard)[2])
+    likely = _ship(base, _table(grams.select("head_key", "head_p")))
+    sent = narrow.mapInArrow(partial(_score, depth=depth, table=likely, parts=parts), COUNT_SCHEMA)
+    scored = (grams.select("part", F.lit(0).alias("kind"), "key", F.col("p").alias("n")).unionByName(sent).repartition("part")
+              .sortWithinPartitions("part", "kind").mapInArrow(_settle, "row long, score double")
+              .groupBy("row").agg(F.sum("score").alias("score")))
     end = float(np.log10(ends + 0.5))
     share = float(np.log10(n + 0.5 * (v + 1)))
     return (base.select("row", "doc_id").join(basic, "row").join(told, "row", "left").join(scored, "row")

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from barsmith.llm import ctw
 from barsmith.llm.ctw import Lookup, gram_codes, log_gamma, score_texts
 
 
@@ -124,3 +125,13 @@ def test_gram_codes_and_lookup():
     assert found.sum() == 1000 and (value[found] == np.arange(1000)).all()
     x = np.array([.5, 1, 3.5, 1e6])
     assert np.allclose(log_gamma(x), [math.lgamma(v) for v in x], rtol=1e-12, atol=1e-12)
+
+
+def test_only_a_bounded_head_of_the_model_is_shipped(spark, monkeypatch):
+    shipped, ship = [], ctw._ship
+    monkeypatch.setattr(ctw, "_ship", lambda df, table: shipped.append(int((table.key != Lookup.EMPTY).sum())) or ship(df, table))
+    rows = [(i, f"{t} {i * i}") for i, t in ROWS]
+    got = score_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 3, 50, 4).collect()
+    assert len(shipped) == 2 and shipped[0] <= 4 and 0 < shipped[1] <= 50
+    for r, w in zip(sorted(got, key=lambda r: r.doc_id), brute(rows, 3)):
+        assert math.isclose(r.score, w[6], rel_tol=1e-8)
