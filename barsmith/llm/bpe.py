@@ -150,16 +150,14 @@ class Vocabulary:
                 return t, d - n
         raise ValueError("bytes without an encoding")
 
-    def walk(self, words: Iterable[bytes]) -> Iterator[tuple[bytes, list[int], list[int], list[int], list[int]]]:
-        """Depth-first walk over distinct words: (word, last, start, count, ids).
+    def _descend(self, words: Iterable[bytes]) -> Iterator[tuple[bytes, int, list[int], list[int], list[int], list[int]]]:
+        """Depth-first walk over distinct words: (word, bytes it shares with the word before, state, last, start, count).
 
         ``last[d]``, ``start[d]`` and ``count[d]`` are the last token, its
         start and the number of tokens of the word's first d bytes (without
-        the end-of-word mark); ``ids`` is the encoding of the whole word. The
-        lists are reused for the next word.
+        the end-of-word mark). The lists are reused for the next word.
         """
         last, start, count, state, before = [-1], [0], [0], [0], b""
-        marked = self.final is not self.inner
         step, ends_of, beside = self.next.get, self.ends, self.beside.get
         for word in sorted(words):
             shared, most = 0, min(len(before), len(word))
@@ -184,16 +182,36 @@ class Vocabulary:
                 last.append(t)
                 start.append(s)
                 count.append(count[s] + 1)
+            yield word, shared, state, last, start, count
+            before = word
+
+    def walk(self, words: Iterable[bytes]) -> Iterator[tuple[bytes, list[int], list[int], list[int], list[int]]]:
+        """(word, last, start, count, ids) per distinct word; ``ids`` is the encoding of the whole word."""
+        marked = self.final is not self.inner
+        for word, _, state, last, start, count in self._descend(words):
             ids, d = [], len(word)
             if marked and d:
-                t, d = self._last(d, self.final_ends[at], last)
+                t, d = self._last(d, self.final_ends[state[d]], last)
                 ids.append(t)
             while d:
                 ids.append(last[d])
                 d = start[d]
             ids.reverse()
             yield word, last, start, count, ids
-            before = word
+
+    def prefixes(self, words: Iterable[bytes]) -> Iterator[tuple[bytes, list[int]]]:
+        """(word, whole) per distinct word: ``whole[d]`` is the number of tokens of its first d bytes as a
+        word of their own: the count where its last token, with the end-of-word mark, starts, and one.
+        It is 0 inside a character. The list is reused for the next word."""
+        whole = [0]
+        for word, shared, state, last, _, count in self._descend(words):
+            del whole[shared + 1:]
+            for d in range(shared + 1, len(word) + 1):
+                if d < len(word) and word[d] & 0xC0 == 0x80:
+                    whole.append(0)
+                else:
+                    whole.append(count[self._last(d, self.final_ends[state[d]], last)[1]] + 1)
+            yield word, whole
 
 
 class Encoder:

@@ -1,16 +1,20 @@
 """Exact token counts at every prefix.
 
 The same prefix states as in :mod:`barsmith.llm.bpe` give the number of
-tokens of every prefix of a word: ``count[d] = count[start[d]] + 1``, and one
-more for the token that carries the end-of-word mark. Summed over the words
-of a text, each word boundary stores the count of the text up to there, so
-budget and truncation questions are lookups in the stored counts.
+tokens of every prefix of a word: ``count[d] = count[start[d]] + 1``, and as a
+word of its own ``count[s] + 1`` for the start s of the token that ends there
+with the end-of-word mark. Each piece keeps its counts at all its prefixes; a
+text's count is the sum of its pieces' last ones. The running sums at the
+piece ends tell in which piece a budget is used up, and that piece's counts
+at which character: truncation encodes nothing again.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from array import array
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate
@@ -25,6 +29,10 @@ from .bpe import REMEMBER, Vocabulary
 
 #: Characters that str.split() takes for white space and the vocabulary's pattern does not.
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
+#: Characters that the composed form may join to, or order with, those before them.
+_JOINS = regex.compile(r"[\p{M}\u1100-\u11FF]")
+#: Words of the pattern whose prefixes are split otherwise: the apostrophe stands alone.
+_SHORT = {"'s", "'t", "'re", "'ve", "'m", "'ll", "'d"}
 
 
 class Counter:
@@ -38,7 +46,7 @@ class Counter:
         self.split = regex.compile(self.PATTERN).findall
         self.space = regex.compile(r"\s+")
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.vocab.special)) + ")")
-        self.pieces: dict[str, int] = {}
+        self.pieces: dict[str, array] = {}  # token counts of the piece's first 0, 1, 2, ... characters
 
     @staticmethod
     def normal(piece: str) -> str:
@@ -61,12 +69,53 @@ class Counter:
             self.pieces.clear()
         if len(self.vocab.next) > 2 * REMEMBER:
             self.vocab.next.clear()
-        new = {p: [p] if p in self.vocab.special else self.split(self.normal(p)) for p in pieces.difference(self.pieces)}
-        by = {w.encode(): w for ws in new.values() for w in ws}
-        known = {by[raw]: len(ids) for raw, _, _, _, ids in self.vocab.walk(by)}
-        known.update(dict.fromkeys(self.vocab.special, 1))
-        for p, ws in new.items():
-            self.pieces[p] = sum([known[w] for w in ws])
+        # a special string is one token; its prefixes are ordinary text
+        new = {p: self._split(p[:-1] if p in self.vocab.special else p) for p in pieces.difference(self.pieces)}
+        words = {"'", "l", "r", "v"}
+        for own, ends in new.values():
+            words.update(own)
+            for e in ends or ():
+                if isinstance(e, tuple):
+                    words.update(e[1])
+        by = {w.encode(): w for w in words}
+        known = {by[raw]: tuple(filter(None, whole)) for raw, whole in self.vocab.prefixes(by)}
+        for w in _SHORT & known.keys():
+            first = known["'"][0]
+            known[w] = (first, *[first + known[c][0] for c in w[1:-1]], known[w][-1])
+        for p, (own, ends) in new.items():
+            table = array("i", [0])
+            for w in own:
+                so_far = table[-1]
+                table.extend([so_far + n for n in known[w]] if so_far else known[w])
+            if ends is not None:
+                table = array("i", [table[e] if isinstance(e, int) else table[e[0]] + sum([known[w][-1] for w in e[1]]) for e in ends])
+            if p in self.vocab.special:
+                table.append(1)
+            self.pieces[p] = table
+
+    def _split(self, piece: str) -> tuple[list[str], list | None]:
+        """(words of the normal form, where each prefix of the piece ends in it). None: character by character.
+
+        A prefix that ends between characters which the normal form joins has
+        a normal form of its own; for it stand (place, words of the rest from
+        there). The rest starts two words before the joined characters, as
+        far back as the pattern's words can depend on what follows.
+        """
+        norm = self.normal(piece)
+        words = self.split(norm)
+        if piece.isascii() or len(norm) == len(piece) and not _JOINS.search(piece):
+            return words, None
+        starts = list(accumulate(map(len, words), initial=0))
+        ends, at, since = [0], 0, 0
+        for i in range(1, len(piece) + 1):
+            own = self.normal(piece[since:i])
+            if i < len(piece) and _JOINS.match(piece[i]):
+                back = starts[max(0, bisect_left(starts, at) - 2)]
+                ends.append((back, self.split(norm[back:at] + own)))
+            else:
+                at, since = at + len(own), i
+                ends.append(at)
+        return words, ends
 
     def counts(self, texts: list[str]) -> Iterator[list[int]]:
         """Per text, the token count at every piece's end, piece after piece."""
@@ -79,15 +128,37 @@ class Counter:
                 at += 1
             self.learn(seen)
             for pieces in block:
-                yield list(accumulate(map(self.pieces.__getitem__, pieces)))
+                yield list(accumulate([self.pieces[p][-1] for p in pieces]))
 
     def within(self, piece: str) -> list[int]:
         """Token count of each prefix of one piece, character by character."""
-        return [self._count(piece[:i]) for i in range(len(piece) + 1)]
-
-    def _count(self, piece: str) -> int:
         self.learn({piece})
-        return self.pieces[piece]
+        return self.pieces[piece].tolist()
+
+    def fit(self, text: str, ends: list[int], budget: int) -> tuple[int, int]:
+        """(tokens, characters) of the longest prefix of at most ``budget`` tokens, without white space at its
+        end if it is not the whole text; ``ends`` are the text's :meth:`counts`."""
+        at = bisect_right(ends, budget)
+        if at == len(ends):
+            return (ends[-1] if ends else 0), len(text)
+        pieces, starts, to = self.cut(text)[:at + 2], [], 0
+        for p in pieces:
+            starts.append(text.index(p, to))
+            to = starts[-1] + len(p)
+        special = self.vocab.special
+        joined = lambda i: starts[i] + len(pieces[i]) == starts[i + 1]
+        # the beginning of a special string is ordinary text that continues the piece before it
+        if pieces[at] in special and at and pieces[at - 1] not in special and joined(at - 1):
+            at -= 1
+        run = pieces[at]
+        if run not in special and at + 1 < len(pieces) and pieces[at + 1] in special and joined(at):
+            run += pieces[at + 1][:-1]
+        base = ends[at - 1] if at else 0
+        table = self.within(run)
+        best = max(i for i, n in enumerate(table) if base + n <= budget)
+        if not best:
+            return base, starts[at - 1] + len(pieces[at - 1]) if at else 0
+        return base + table[best], starts[at] + best
 
 
 @lru_cache(1)
@@ -123,11 +194,37 @@ def prefix_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     return chosen.mapInArrow(run, "doc_id long, n_bytes long, counts array<int>")
 
 
+def truncate(docs: DataFrame, path: str, budget: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_tokens, kept_tokens, kept) per row of ``docs``: the tokens of the whole text, and
+    its longest prefix of at most ``budget`` tokens with the number of its tokens.
+
+    The cut may fall at any character; white space before a cut goes. A null
+    text counts as empty. Rows pass through as in :func:`prefix_counts`.
+    """
+    if budget < 0:
+        raise ValueError("budget >= 0")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = counter(path)
+        for b in batches:
+            for at in range(0, b.num_rows, 1000):
+                part = b.slice(at, 1000)
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                counts = list(count.counts(texts))
+                fits = [count.fit(t, c, budget) for t, c in zip(texts, counts)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([c[-1] if c else 0 for c in counts], pa.int64()), pa.array([n for n, _ in fits], pa.int64()),
+                     pa.array([t[:i] for t, (_, i) in zip(texts, fits)], pa.string())], names=["doc_id", "n_tokens", "kept_tokens", "kept"])
+
+    chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return chosen.mapInArrow(run, "doc_id long, n_tokens long, kept_tokens long, kept string")
+
+
 def total(counts: str = "counts") -> F.Column:
     """Tokens of the whole text."""
     return F.when(F.size(counts) > 0, F.element_at(counts, -1)).otherwise(0).cast("long")
 
 
 def pieces_within(budget: int, counts: str = "counts") -> F.Column:
-    """How many leading pieces fit a budget of tokens: where to truncate, without encoding again."""
+    """How many whole leading pieces fit a budget of tokens, without encoding again; :func:`truncate` also cuts inside a piece."""
     return F.size(F.filter(counts, lambda c: c <= budget)).cast("long")

@@ -72,3 +72,31 @@ def test_truncation_is_a_lookup(spark):
     df = spark.createDataFrame([(1, "one two three four")], "doc_id long, text string")
     counted = token_counts.prefix_counts(df, vocabulary(WORD_VOCABULARY))
     assert counted.select(token_counts.pieces_within(2)).first()[0] == 2
+
+
+def test_truncation_inside_a_piece(spark):
+    path = vocabulary(WORD_VOCABULARY)
+    lib = tokenizers.Tokenizer.from_file(path)
+    size = lambda t: len(lib.encode(t, add_special_tokens=False).ids)
+    own = ["漢字かな交じり文" * 40, "https://example.org/" + "a/very-long_path.html?x=1&" * 20, "x" * 300, "don't!'restop'll", "  one two  ",
+           "stop!<|endoftext|>'ll<|endoftext|><|startoftext|>go", "e\u0301te\u0301're\u0301 \u1112\u1161\u11ab\u1100\u1173\u11af",
+           "\u0e01\u0e38\u0e48\u0e01\u0e48\u0e38", "", "İİSTRASSEß\u0958\u093c"]
+    rows = [(i, t) for i, t in enumerate(own + texts(150)[10:])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    for budget in (0, 1, 3, 7, 20):
+        for r in token_counts.truncate(df, path, budget).collect():
+            text = rows[r.doc_id][1]
+            fits = [i for i in range(len(text) + 1) if size(text[:i]) <= budget]
+            want = text if fits[-1] == len(text) else text[:fits[-1]]
+            assert r.n_tokens == size(text) and r.kept_tokens == size(r.kept) <= budget
+            assert text.startswith(r.kept) and r.kept.strip() == want.strip()
+
+
+def test_counts_at_every_prefix_take_one_walk():
+    count, lib = token_counts.Counter(vocabulary(WORD_VOCABULARY)), tokenizers.Tokenizer.from_file(vocabulary(WORD_VOCABULARY))
+    piece, steps = "漢字e\u0301don't" * 30, []
+    count.vocab.stand, stand = lambda a, b: steps.append(1) or stand(a, b), count.vocab.stand
+    table = count.within(piece)
+    assert table == [len(lib.encode(piece[:i], add_special_tokens=False).ids) for i in range(len(piece) + 1)]
+    assert len(steps) < 20 * len(piece)
+    assert next(count.counts([piece]))[-1] == table[-1]
