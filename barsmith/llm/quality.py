@@ -10,6 +10,7 @@ same way. A score is the sum of the bins' table entries.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from functools import partial
 from itertools import combinations
@@ -46,8 +47,8 @@ def features(text: bytes) -> list[float]:
     words, lines = text.split(), [x for x in text.split(b"\n") if x.strip()]
     k = max(1, len(words))
     lengths = np.fromiter(map(len, words), np.float64, len(words)) if words else np.zeros(1)
-    different = set(words)
-    common = max(map(words.count, sorted(different, key=lambda w: (len(w), w))[:8]), default=0)
+    different = Counter(words)
+    common = max(different.values(), default=0)
     bare = [w.strip(_MARKS) for w in words]
     return [
         math.log1p(n), math.log1p(len(words)), float(lengths.mean()), float(lengths.std()),

@@ -49,3 +49,8 @@ def test_edge_cases(spark):
     assert classify(df.limit(0), labels.limit(0)).count() == 0
     assert classify(df, labels.limit(0)).select("score").distinct().first().score == 0.5
     assert features(b"") == [0.0] * len(FEATURES) and feature_table(df).count() == 4
+
+
+def test_common_word_counts_every_word():
+    text = b"a b c d e f g h " + b"repeated " * 92
+    assert features(text)[FEATURES.index("common_word")] == 0.92
