@@ -5,13 +5,12 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
-import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import shared_dir, stage  # noqa: F401
 
 #: Rows of a block that a task expands at once.
 CHUNK = 1 << 20
@@ -32,18 +31,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back.
-
-    Cuts the lineage (a lost executor rereads files instead of recomputing)
-    and lets later passes prune columns.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def min_links(a: np.ndarray, b: np.ndarray, parent: np.ndarray) -> None:
     """Union the node pairs (a[i], b[i]) in the forest ``parent``, in place.
 

@@ -99,4 +99,14 @@ SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)
 FROM documents d LEFT JOIN kept USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_mixing": OP3, "op4_embeddings": OP4, "op5_suffixes": OP5, "op8_substring": OP8, "op9_topk": OP9}
+OP11 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+         sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS s FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY s) AS group_size,
+       row_number() OVER w = 1 AS kept, s AS text_sha256
+FROM d WINDOW w AS (PARTITION BY s ORDER BY n DESC, doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_mixing": OP3, "op4_embeddings": OP4, "op5_suffixes": OP5, "op8_substring": OP8, "op9_topk": OP9,
+                              "op11_exact": OP11}

@@ -1,4 +1,4 @@
-"""Registered queries op1..op10: thin wrappers with the production parameters."""
+"""Registered queries op1..op13: thin wrappers with the production parameters."""
 
 from __future__ import annotations
 
@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import staging_path
 from . import bpe, token_counts
 from .common import table
 from .ctw import score_texts
 from .embed import embedding_components
+from .exact import DigestIndex, digests
 from .mixing import mix
+from .periodic import periodic_runs, with_planted_runs
 from .quality import classify
 from .simhash import simhash_components
 from .substring import remove_repeats
@@ -79,6 +82,27 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents"), depth=5)
 
 
+def op11_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents arrive in two deliveries; the second meets the index of the first."""
+    rows = digests(table(spark, sf_dir, "documents"))
+    index = DigestIndex(spark, staging_path(spark, "digest-index"))
+    for half in (0, 1):
+        index.add(rows.where(F.col("row") % 2 == half))
+    return index.decide(rows).select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")), min_length=6, min_exponent=4)
+    best = F.expr("""aggregate(runs, CAST(NULL AS struct<start:bigint,length:bigint,period:bigint>),
+        (b, r) -> CASE WHEN b IS NULL OR r.length * b.period > b.length * r.period THEN r ELSE b END)""")
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n"))), "")
+    return (found.withColumn("best", best)
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                    F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+                    F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+                    F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_bpe": op2_bpe,
@@ -90,4 +114,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring": op8_substring,
     "op9_topk": op9_topk,
     "op10_lm_scores": op10_lm_scores,
+    "op11_exact": op11_exact,
+    "op12_periodic": op12_periodic,
 }
