@@ -69,7 +69,8 @@ class DigestIndex:
     def add(self, delivery: DataFrame) -> None:
         """Append the rows of :func:`digests` (or a part of them) to the index."""
         best = F.max(F.struct("n_chars", F.expr("~doc_id").alias("id"), F.expr("-delivery").alias("delivery"), F.expr("-row").alias("row")))
-        summary = delivery.groupBy("digest").agg(best.alias("best"), F.count("*").alias("copies"))
+        # staged, or the optimiser would push the joins below the aggregate and meet the index row by row
+        summary = stage(delivery.groupBy("digest").agg(best.alias("best"), F.count("*").alias("copies")), "summary")
         known = self.entries().where("fresh").select("digest").hint("merge")
         rows = (summary.join(known, "digest", "left_anti").withColumn("fresh", F.lit(True))
                 .unionByName(summary.join(known, "digest", "left_semi").withColumn("fresh", F.lit(False))))
