@@ -226,6 +226,11 @@ class Encoder:
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.vocab.special)) + ")") if self.vocab.special else None
         self.pieces: dict[str, bytes] = {}
 
+    @staticmethod
+    def special_ids(path: str) -> list[int]:
+        with open(path, encoding="utf-8") as f:
+            return [t["id"] for t in json.load(f)["added_tokens"]]
+
     @staticmethod
     def cut(text: str) -> list[str]:
         """Pieces that the pattern never matches across: cut before each space

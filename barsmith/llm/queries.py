@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import staging_path
 from . import bpe, token_counts
+from .alignment import align
 from .common import table
 from .ctw import score_texts
 from .embed import embedding_components
@@ -23,6 +24,7 @@ from .topk import top_k
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 WORD_VOCABULARY = "word_bpe_49k.json"
+PIECE_VOCABULARY = "piece_bpe_32k.model"
 TOKEN_LIMIT = 2048
 
 
@@ -103,6 +105,12 @@ def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = F.when(F.col("n_links") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
+    return align(table(spark, sf_dir, "documents"), vocabulary(BYTE_VOCABULARY), vocabulary(PIECE_VOCABULARY),
+                 groups=digest).withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_bpe": op2_bpe,
@@ -116,4 +124,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_lm_scores": op10_lm_scores,
     "op11_exact": op11_exact,
     "op12_periodic": op12_periodic,
+    "op13_alignment": op13_alignment,
 }
