@@ -34,8 +34,10 @@ from pyspark.sql import functions as F
 from .bpe import Encoder, token_bytes
 from .common import stage
 
-#: Bytes of text, and documents, that a task aligns together (at least one document).
-BLOCK_BYTES, BLOCK_DOCS = 8 << 20, 1 << 16
+#: Characters of text, and documents, of a block (at least one document), whose runs are sorted together.
+BLOCK_BYTES, BLOCK_DOCS = 6 << 20, 1 << 16
+#: Characters of text, and documents, that a task encodes together (at least one document).
+SLICE_BYTES, SLICE_DOCS = 1 << 19, 1 << 13
 #: Pairs of a page.
 PAGE = 1 << 13
 #: Reply rows that the merge holds before it passes them on.
@@ -100,17 +102,19 @@ def _labels(n_a: int, n_b: int) -> np.ndarray:
     return np.array([f"{i}{c}" for n, ends in ((n_a, ",|"), (n_b, (",", ";", ""))) for c in ends for i in range(n)], object)
 
 
-class Block:
-    """Documents aligned together; ``pairs`` and ``members`` are their distinct records in part-major order."""
+class Slice:
+    """Documents aligned together; ``key`` holds their links as one number each: (part, A id, B id, document)."""
 
-    def __init__(self, texts: list[str], a: Side, b: Side, parts: int):
+    def __init__(self, texts: list[str], a: Side, b: Side, rank: np.ndarray, first: int):
         n = len(texts)
         want = [(" " + t).encode() if t else b"" for t in texts]
-        ids_a = [a.encode(t) if t else () for t in texts]
-        ids_b = [b.encode(t) if t else () for t in texts]
-        for i, w in enumerate(want):
-            if w and (b"".join(map(a.raw.__getitem__, ids_a[i])) != w or b"".join(map(b.raw.__getitem__, ids_b[i])) != w):
-                ids_a[i], ids_b[i], want[i] = (), (), b""
+        ids_a, ids_b = [], []
+        for i, t in enumerate(texts):
+            x, y = (a.encode(t), b.encode(t)) if t else ((), ())
+            if t and (b"".join(map(a.raw.__getitem__, x.tolist())) != want[i] or b"".join(map(b.raw.__getitem__, y)) != want[i]):
+                x, y, want[i] = (), (), b""
+            ids_a.append(x)
+            ids_b.append(np.array(y, np.int32))
         self.n_a, self.n_b = (np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b))
         flat_a, flat_b = (np.concatenate([np.asarray(x, np.int64) for x in ids] + [np.empty(0, np.int64)]) for ids in (ids_a, ids_b))
         ends = np.cumsum([len(w) for w in want], dtype=np.int64)
@@ -120,27 +124,12 @@ class Block:
         mark_a[end_a] = mark_b[end_b] = True
         cuts = np.flatnonzero(mark_a | mark_b)  # each piece between two ends is one link
         groups = np.flatnonzero(mark_a & mark_b)
-        link_a, link_b = flat_a[np.searchsorted(end_a, cuts)], flat_b[np.searchsorted(end_b, cuts)]
-        upto = np.searchsorted(cuts, ends, "right")
-        self.n_links = np.diff(upto, prepend=0)
+        self.n_links = np.diff(np.searchsorted(cuts, ends, "right"), prepend=0)
         group_upto = np.searchsorted(groups, ends, "right")
         self.n_groups = np.diff(group_upto, prepend=0)
         self.groups = self._texts(a, b, flat_a, flat_b, np.searchsorted(groups, end_a), np.searchsorted(groups, end_b), group_upto)
-        # (part, A id, B id, document) in one number
-        na, nb = len(a.raw), len(b.raw)
-        by_part = np.lexsort((np.arange(na), np.arange(na) % parts))
-        rank = np.empty(na, np.int64)
-        rank[by_part] = np.arange(na)
-        key = (rank[link_a] * nb + link_b) * max(n, 1) + np.repeat(np.arange(n), self.n_links)
-        key.sort()
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
-        self.times = np.diff(np.append(first, len(key)))
-        pair, self.doc = np.divmod(key[first], max(n, 1))
-        first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]])) if len(pair) else first
-        self.docs = np.diff(np.append(first, len(pair)))
-        ra, self.b = np.divmod(pair[first], nb)
-        self.a = by_part[ra]
-        self.part = self.a % parts
+        pair = rank[flat_a[np.searchsorted(end_a, cuts)]] * len(b.raw) + flat_b[np.searchsorted(end_b, cuts)]
+        self.key = pair * BLOCK_DOCS + np.repeat(np.arange(first, first + n), self.n_links)
 
     def _texts(self, a: Side, b: Side, flat_a, flat_b, group_a, group_b, group_upto) -> list[str]:
         """``a1,a2|b1;a3|b2,b3`` per document."""
@@ -156,24 +145,56 @@ class Block:
         upto = np.cumsum(self.n_a + self.n_b).tolist()
         return ["".join(words[i:j]) for i, j in zip([0, *upto], upto)]
 
-    def pages(self, size: int) -> Iterator[tuple[int, int, bytes, bytes]]:
-        """(part, page, pairs, members) of the runs; a page ends with an A id, at ``size`` pairs or soon after."""
-        if not len(self.a):
-            return
-        member = np.concatenate([[0], np.cumsum(self.docs)])
-        change = np.flatnonzero(self.a[1:] != self.a[:-1]) + 1
-        at, page, part = 0, 0, int(self.part[0])
-        ends = np.append(change, len(self.a)).tolist()
-        parts = self.part.tolist()
-        for k, end in enumerate(ends):
-            done = end == len(parts) or parts[end] != part
-            if end - at >= size or done:
-                lo, hi = member[at], member[end]
-                yield (part, page, _pack(self.a[at:end], self.b[at:end], self.docs[at:end]),
-                       _pack(self.docs[at:end], self.doc[lo:hi], self.times[lo:hi]))
-                at, page = end, 0 if done else page + 1
-                if done and end < len(parts):
-                    part = parts[end]
+
+def part_rank(n_a: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(A ids in part-major order, place of each A id in it); an A id's part is its remainder."""
+    by_part = np.lexsort((np.arange(n_a), np.arange(n_a) % parts))
+    rank = np.empty(n_a, np.int64)
+    rank[by_part] = np.arange(n_a)
+    return by_part, rank
+
+
+def _opens(x: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.empty(0, np.int64)
+
+
+def runs_of(key: np.ndarray, by_part: np.ndarray, n_b: int, parts: int, size: int) -> Iterator[tuple[int, int, bytes, bytes]]:
+    """(part, page, pairs, members) of a block's runs; a page ends with an A id, at ``size`` pairs or soon after."""
+    key.sort()
+    first = _opens(key)
+    times = np.diff(np.append(first, len(key)))
+    pair, doc = np.divmod(key[first], BLOCK_DOCS)
+    first = _opens(pair)
+    member = np.append(first, len(pair))
+    docs = np.diff(member)
+    a, b = np.divmod(pair[first], n_b)
+    a = by_part[a]
+    ends = np.append(_opens(a)[1:], len(a)).tolist() if len(a) else []
+    part = (a % parts).tolist()
+    at, page = 0, 0
+    for end in ends:
+        done = end == len(part) or part[end] != part[at]
+        if end - at >= size or done:
+            lo, hi = member[at], member[end]
+            yield part[at], page, _pack(a[at:end], b[at:end], docs[at:end]), _pack(docs[at:end], doc[lo:hi], times[lo:hi])
+            at, page = end, 0 if done else page + 1
+
+
+def _slices(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[list, list[str], bool]]:
+    """(ids, texts, whether they are the last) of at most ``most`` documents and about SLICE_BYTES."""
+    ids: list[int | None] = []
+    texts: list[str] = []
+    size = 0
+    for batch in batches:
+        for i, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if size >= SLICE_BYTES or len(ids) >= most:
+                yield ids, texts, False
+                ids, texts, size = [], [], 0
+            ids.append(i)
+            texts.append(t.as_py() or "")
+            size += len(texts[-1])
+    if ids:
+        yield ids, texts, True
 
 
 def spill(docs: DataFrame, path_a: str, path_b: str, parts: int, id_col: str = "doc_id", text_col: str = "text",
@@ -184,38 +205,32 @@ def spill(docs: DataFrame, path_a: str, path_b: str, parts: int, id_col: str = "
     whatever its doc_id. The groups of a text are ``a1,a2|b1;a3|b2,b3``.
     """
 
-    def rows(ids: list, texts: list[str], block: int, a: Side, b: Side) -> Iterator[pa.RecordBatch]:
-        x = Block(texts, a, b, parts)
-        n = len(ids)
-        names = [f.split()[0] for f in _SPILL.split(", ")]
-        none = lambda kind, n: pa.nulls(n, kind)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n, block)), pa.array(np.arange(n, dtype=np.int32)), pa.array(ids, pa.int64()), pa.array(x.n_a), pa.array(x.n_b),
-             pa.array(x.n_groups), pa.array(x.n_links), pa.array(x.groups, pa.string()), none(pa.int32(), n), none(pa.int32(), n),
-             none(pa.binary(), n), none(pa.binary(), n)], names=names)
-        found = list(x.pages(page))
-        if found:
-            p = [pa.array([r[k] for r in found], kind) for k, kind in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.binary()))]
-            m = len(found)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(m, block)), none(pa.int32(), m), *[none(pa.int64(), m) for _ in range(5)], none(pa.string(), m), *p], names=names)
+    names = [f.split()[0] for f in _SPILL.split(", ")]
+
+    def rows(n: int, block: int, cells: list, at: int) -> pa.RecordBatch:
+        """Columns from ``at`` on; the others are null."""
+        kinds = (pa.int64(), pa.int32(), *[pa.int64()] * 5, pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+        arrays = [pa.array(np.full(n, block)), *[pa.nulls(n, k) for k in kinds[1:]]]
+        for k, c in enumerate(cells, at):
+            arrays[k] = pa.array(c, kinds[k])
+        return pa.RecordBatch.from_arrays(arrays, names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = side(path_a), side(path_b)
-        block = TaskContext.get().partitionId() << 32
-        ids: list[int | None] = []
-        texts: list[str] = []
-        size = 0
-        for batch in batches:
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids.append(i)
-                texts.append(t.as_py() or "")
-                size += len(texts[-1])
-                if size >= BLOCK_BYTES or len(ids) >= block_docs:
-                    yield from rows(ids, texts, block, a, b)
-                    ids, texts, size, block = [], [], 0, block + 1
-        if ids:
-            yield from rows(ids, texts, block, a, b)
+        by_part, rank = part_rank(len(a.raw), parts)
+        block, n, size = TaskContext.get().partitionId() << 32, 0, 0
+        keys: list[np.ndarray] = []
+        for ids, texts, last in _slices(batches, min(block_docs, SLICE_DOCS)):
+            x = Slice(texts, a, b, rank, n)
+            yield rows(len(ids), block, [np.arange(n, n + len(ids)), ids, x.n_a, x.n_b, x.n_groups, x.n_links, x.groups], 1)
+            keys.append(x.key)
+            n, size = n + len(ids), size + sum(map(len, texts))
+            if last or n + min(block_docs, SLICE_DOCS) > BLOCK_DOCS or n >= block_docs or size >= BLOCK_BYTES:
+                found = list(runs_of(np.concatenate(keys), by_part, len(b.raw), parts, page))
+                keys = []
+                for k in range(0, len(found), FLUSH):
+                    yield rows(len(found[k:k + FLUSH]), block, list(zip(*found[k:k + FLUSH])), 8)
+                block, n, size = block + 1, 0, 0
 
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return chosen.mapInArrow(run, _SPILL)
