@@ -3,10 +3,11 @@
 The same prefix states as in :mod:`barsmith.llm.bpe` give the number of
 tokens of every prefix of a word: ``count[d] = count[start[d]] + 1``, and as a
 word of its own ``count[s] + 1`` for the start s of the token that ends there
-with the end-of-word mark. Each piece keeps its counts at all its prefixes; a
-text's count is the sum of its pieces' last ones. The running sums at the
-piece ends tell in which piece a budget is used up, and that piece's counts
-at which character: truncation encodes nothing again.
+with the end-of-word mark. Each distinct word keeps its counts at all its
+prefixes; a piece's count at a prefix is the sum of the last entries of the
+words before and one entry of the word it ends in, a text's count the sum over
+its pieces. The running sums at the piece ends tell in which piece a budget is
+used up, and its words' tables at which character.
 """
 
 from __future__ import annotations
@@ -25,7 +26,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import REMEMBER, Vocabulary
+from .bpe import REMEMBER as STATES
+from .bpe import Vocabulary
+
+#: Pieces, and words, that a worker remembers: half of them from the last blocks, half from before.
+REMEMBER = 600_000
+#: Distinct pieces of the texts that are counted together.
+BLOCK = 50_000
 
 #: Characters that str.split() takes for white space and the vocabulary's pattern does not.
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
@@ -33,6 +40,9 @@ _NOT_SPACE = re.compile("[\x1c-\x1f]")
 _JOINS = regex.compile(r"[\p{M}\u1100-\u11FF]")
 #: Words of the pattern whose prefixes are split otherwise: the apostrophe stands alone.
 _SHORT = {"'s", "'t", "'re", "'ve", "'m", "'ll", "'d"}
+_LETTERS = {"'", "l", "r", "v"}
+#: Marks that are a word of the pattern when they stand after letters at a piece's end.
+_MARKS = frozenset(".,;:!?)]")
 
 
 class Counter:
@@ -46,7 +56,10 @@ class Counter:
         self.split = regex.compile(self.PATTERN).findall
         self.space = regex.compile(r"\s+")
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.vocab.special)) + ")")
-        self.pieces: dict[str, array] = {}  # token counts of the piece's first 0, 1, 2, ... characters
+        self.totals: dict[str, int] = {}  # tokens of a piece
+        self.older: dict[str, int] = {}
+        self.tables: dict[str, bytes | array] = {}  # tokens of a word's first 0, 1, 2, ... characters
+        self.older_tables: dict[str, bytes | array] = {}
 
     @staticmethod
     def normal(piece: str) -> str:
@@ -64,34 +77,54 @@ class Counter:
     def _cut(self, text: str) -> list[str]:
         return [p for p in self.space.split(text) if p] if _NOT_SPACE.search(text) else text.split()
 
+    def words_of(self, norm: str) -> list[str]:
+        """The pattern's words of a normal form; plain ones, and those with a mark at the end, without the pattern."""
+        if norm < "\u0590" and max(norm, default="") < "\u0590":
+            if norm.isalpha():
+                return [norm]
+            if norm[-1:] in _MARKS and norm[:-1].isalpha():
+                return [norm[:-1], norm[-1]]
+        return self.split(norm)
+
     def learn(self, pieces: set[str]) -> None:
-        if len(self.pieces) > REMEMBER:
-            self.pieces.clear()
-        if len(self.vocab.next) > 2 * REMEMBER:
+        """Count the pieces not yet known, all their new words in one walk. What a block used last stays known;
+        the tables before are dropped (they bound the worker's memory, not its results)."""
+        if len(self.totals) > REMEMBER // 2:
+            self.older, self.totals = self.totals, {}
+        if len(self.vocab.next) > 2 * STATES:
             self.vocab.next.clear()
-        # a special string is one token; its prefixes are ordinary text
-        new = {p: self._split(p[:-1] if p in self.vocab.special else p) for p in pieces.difference(self.pieces)}
-        words = {"'", "l", "r", "v"}
-        for own, ends in new.values():
-            words.update(own)
-            for e in ends or ():
-                if isinstance(e, tuple):
-                    words.update(e[1])
-        by = {w.encode(): w for w in words}
-        known = {by[raw]: tuple(filter(None, whole)) for raw, whole in self.vocab.prefixes(by)}
-        for w in _SHORT & known.keys():
-            first = known["'"][0]
-            known[w] = (first, *[first + known[c][0] for c in w[1:-1]], known[w][-1])
-        for p, (own, ends) in new.items():
-            table = array("i", [0])
-            for w in own:
-                so_far = table[-1]
-                table.extend([so_far + n for n in known[w]] if so_far else known[w])
-            if ends is not None:
-                table = array("i", [table[e] if isinstance(e, int) else table[e[0]] + sum([known[w][-1] for w in e[1]]) for e in ends])
-            if p in self.vocab.special:
-                table.append(1)
-            self.pieces[p] = table
+        get, new = self.older.get, {}
+        for p in pieces.difference(self.totals):
+            n = get(p)
+            if n is None:
+                new[p] = self.words_of(self.normal(p))
+            else:
+                self.totals[p] = n
+        tables = self.learn_words({w for ws in new.values() for w in ws})
+        for p, ws in new.items():
+            self.totals[p] = tables[ws[0]][-1] if len(ws) == 1 else sum([tables[w][-1] for w in ws])
+        for p in self.vocab.special.keys() & new.keys():
+            self.totals[p] = 1
+
+    def learn_words(self, words: set[str]) -> dict[str, bytes | array]:
+        """The tables of these words (and others)."""
+        if len(self.tables) > REMEMBER // 2:
+            self.older_tables, self.tables = self.tables, {}
+        tables, get, by = self.tables, self.older_tables.get, {}
+        for w in (words | _LETTERS).difference(tables):
+            t = get(w)
+            if t is None:
+                by[w.encode()] = w
+            else:
+                tables[w] = t
+        for raw, whole in self.vocab.prefixes(by):
+            w = by[raw]
+            counts = whole if len(w) == len(raw) else [0, *filter(None, whole)]
+            tables[w] = bytes(counts) if counts[-1] < 200 and len(counts) < 200 else array("i", counts)
+        for w in _SHORT.intersection(by.values()):  # the apostrophe stands alone in the prefixes
+            first = tables["'"][-1]
+            tables[w] = array("i", [0, first, *[first + tables[c][-1] for c in w[1:-1]], tables[w][-1]])
+        return tables
 
     def _split(self, piece: str) -> tuple[list[str], list | None]:
         """(words of the normal form, where each prefix of the piece ends in it). None: character by character.
@@ -122,18 +155,27 @@ class Counter:
         at = 0
         while at < len(texts):
             block, seen = [], set()
-            while at < len(texts) and len(seen) < REMEMBER // 4:
+            while at < len(texts) and len(seen) < BLOCK:
                 block.append(self.cut(texts[at]))
                 seen.update(block[-1])
                 at += 1
             self.learn(seen)
             for pieces in block:
-                yield list(accumulate([self.pieces[p][-1] for p in pieces]))
+                yield list(accumulate(map(self.totals.__getitem__, pieces)))
 
     def within(self, piece: str) -> list[int]:
         """Token count of each prefix of one piece, character by character."""
-        self.learn({piece})
-        return self.pieces[piece].tolist()
+        # a special string is one token; its prefixes are ordinary text
+        special = piece in self.vocab.special
+        own, ends = self._split(piece[:-1] if special else piece)
+        tables = self.learn_words({*own, *(w for e in ends or () if isinstance(e, tuple) for w in e[1])})
+        counts = [0]
+        for w in own:
+            so_far = counts[-1]
+            counts += [so_far + n for n in tables[w][1:]]
+        if ends is not None:
+            counts = [counts[e] if isinstance(e, int) else counts[e[0]] + sum([tables[w][-1] for w in e[1]]) for e in ends]
+        return counts + [1] if special else counts
 
     def fit(self, text: str, ends: list[int], budget: int) -> tuple[int, int]:
         """(tokens, characters) of the longest prefix of at most ``budget`` tokens, without white space at its
