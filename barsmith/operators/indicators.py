@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..constants import RSI_PERIOD
 from ..functions.regime import classify_regime_sql
 from .ohlcv import ohlcv_aggregates
-from .rsi import rsi_aggregates
+from .pairs import close_blocks, merge_day
+from .rsi import rsi_aggregates, with_last_move
 from .sequence import DAY_KEYS, sequence_view
 
 DAILY_COLUMNS = ("ticker", "trade_date", "day_open", "day_close", "day_high", "day_low",
@@ -41,18 +42,18 @@ def with_avg_volume_window(daily: DataFrame) -> DataFrame:
     return daily.select(F.expr("*"), F.expr("avg(day_volume) OVER (PARTITION BY ticker) AS avg_volume"))
 
 
-def daily_bars(bars: DataFrame, period: int = RSI_PERIOD, split_minutes: int | None = None,
-               method: str = "closed") -> DataFrame:
+def daily_bars(bars: DataFrame, period: int = RSI_PERIOD, split_minutes: int | None = None) -> DataFrame:
     """OHLCV and RSI per ticker-day from one shuffle of the bars.
 
     The sequence window partitions the bars by (ticker, trade_date); the
     aggregate on those keys reuses that partitioning and sort order. With
-    ``split_minutes`` the windows run per day chunk and the aggregate
-    combines partial results per chunk before its shuffle. ``method``: the
-    RSI's, see ``rsi_aggregates``.
+    ``split_minutes`` the windows run per day chunk, and the day is merged
+    from blocks of positions (see ``rsi.compose_rsi``).
     """
-    return (sequence_view(bars, split_minutes).groupBy(*DAY_KEYS)
-            .agg(*ohlcv_aggregates(), *rsi_aggregates(period, method)))
+    if split_minutes:
+        return merge_day(close_blocks(bars, period, split_minutes=split_minutes, closes=False), period)
+    return (with_last_move(sequence_view(bars)).groupBy(*DAY_KEYS)
+            .agg(*ohlcv_aggregates(), *rsi_aggregates(period)))
 
 
 def with_regime(daily: DataFrame, trailing_days: int | None = None, **regime_args) -> DataFrame:
@@ -71,11 +72,10 @@ def with_regime(daily: DataFrame, trailing_days: int | None = None, **regime_arg
     ).select(F.expr("*"), F.expr(classify_regime_sql(**regime_args) + " AS signal_regime"))
 
 
-def indicators(bars: DataFrame, period: int = RSI_PERIOD, split_minutes: int | None = None,
-               method: str = "closed", **regime_args) -> DataFrame:
+def indicators(bars: DataFrame, period: int = RSI_PERIOD, split_minutes: int | None = None, **regime_args) -> DataFrame:
     """Daily rows with avg_volume, rsi and signal_regime.
 
     Columns: ticker, trade_date, day_open, day_close, day_high, day_low,
     day_volume, bar_count, avg_volume, rsi, signal_regime.
     """
-    return with_regime(daily_bars(bars, period, split_minutes, method), **regime_args)
+    return with_regime(daily_bars(bars, period, split_minutes), **regime_args)

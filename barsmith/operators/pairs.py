@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..constants import MIN_CORR_POINTS, RSI_PERIOD, STRONG_CORR, TOP_PAIRS
 from ..functions.numeric import intraday_return_sql, pearson_sql
 from ..session import stage
-from .rsi import rsi_from_sums_sql
+from .rsi import compose_rsi, rsi_blocks
 from .ohlcv import daily_mean_close
 from .sequence import sequence_view
 from .series import DEFAULT_BLOCK, aligned_points, corr_sql
@@ -61,42 +61,31 @@ def intraday_returns(pairs: DataFrame) -> DataFrame:
                         F.expr(f"abs(({ra}) - ({rb})) AS return_diff"))
 
 
+#: Day fields of the blocks, as mergeable partials, and the daily columns they end in.
+_DAY_PARTIALS = {"o": "min(o)", "c": "max(c)", "h": "max(h)", "lo": "min(lo)", "v": "sum(v)", "k": "sum(k)"}
+_DAY_COLUMNS = {"day_open": "o.p", "day_close": "c.p", "day_high": "h", "day_low": "lo", "day_volume": "v", "bar_count": "k"}
+
+
 def close_blocks(bars: DataFrame, period: int = RSI_PERIOD, block: int = DEFAULT_BLOCK,
-                 split_minutes: int | None = None) -> DataFrame:
+                 split_minutes: int | None = None, closes: bool = True) -> DataFrame:
     """One row per (ticker, trade_date, blk of ``block`` positions).
 
-    ``xs``: the block's closes in order, centred on the day's first close;
-    and the block's share of the day, as mergeable partials (earliest open
-    and latest close as structs, high, low, volume, count, weighted RSI
-    gain and loss sums). Bars without a close are in the last block or in
-    one of their own (null ``blk``), with no ``xs``.
+    ``xs``: the block's closes in order, centred on the day's first close (not
+    with ``closes=False``); and the block's share of the day, as mergeable
+    partials: earliest open and latest close as structs, high, low, volume,
+    count, and the RSI's map (see ``rsi_blocks``). Bars without a close are in
+    the last block or in one of their own (null ``blk``), with no ``xs``.
     """
-    seq = sequence_view(bars, split_minutes)
-    r = f"CAST({period - 1} AS DOUBLE) / {period}"
-    w = f"pow({r}, CAST(n_closes - 1 - greatest(pos, {period}) AS DOUBLE))"
-    d = "(close - prev_close)"
-    is_diff = "pos >= 1 AND pos < n_closes"
-    return seq.groupBy(F.expr("ticker"), F.expr("trade_date"), F.expr(f"CAST(floor(pos / {block}) AS INT) AS blk")).agg(
-        F.expr("transform(sort_array(collect_list(CASE WHEN pos < n_closes "
-               "THEN named_struct('i', pos, 'x', close - first_close) END)), e -> e.x) AS xs"),
-        F.expr("min(named_struct('t', timestamp, 'p', open)) AS o"),
-        F.expr("max(named_struct('t', timestamp, 'p', close)) AS c"),
-        F.expr("max(high) AS h"), F.expr("min(low) AS lo"),
-        F.expr("sum(volume) AS v"), F.expr("count(1) AS k"),
-        F.expr(f"sum(CASE WHEN {is_diff} AND {d} > 0 THEN {w} * {d} END) AS g"),
-        F.expr(f"sum(CASE WHEN {is_diff} AND {d} <= 0 THEN {w} * -{d} END) AS l"),
-        F.expr("max(n_closes) AS n"),
-    )
+    xs = ("transform(sort_array(collect_list(CASE WHEN pos < n_closes "
+          "THEN named_struct('i', pos, 'x', close - first_close) END)), e -> e.x) AS xs")
+    day = ["min(named_struct('t', timestamp, 'p', open)) AS o", "max(named_struct('t', timestamp, 'p', close)) AS c",
+           "max(high) AS h", "min(low) AS lo", "sum(volume) AS v", "count(1) AS k"]
+    return rsi_blocks(sequence_view(bars, split_minutes), block, period, *[F.expr(e) for e in ([xs] if closes else []) + day])
 
 
 def merge_day(blocks: DataFrame, period: int = RSI_PERIOD) -> DataFrame:
     """Daily OHLCV + rsi rows from the partials of ``close_blocks``; the blocks' closes are not read."""
-    return blocks.groupBy("ticker", "trade_date").agg(
-        F.expr("min(o).p AS day_open"), F.expr("max(c).p AS day_close"),
-        F.expr("max(h) AS day_high"), F.expr("min(lo) AS day_low"),
-        F.expr("sum(v) AS day_volume"), F.expr("sum(k) AS bar_count"),
-        F.expr(rsi_from_sums_sql("sum(g)", "sum(l)", "max(n) - 1", period) + " AS rsi"),
-    )
+    return compose_rsi(blocks, period, _DAY_PARTIALS, _DAY_COLUMNS)
 
 
 def block_rows(blocks: DataFrame) -> DataFrame:

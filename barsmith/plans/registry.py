@@ -124,7 +124,8 @@ def q_indicators_trailing(spark, sf):
 
 
 def q_rsi_sequence(spark, sf):
-    return op.intraday_rsi(_bars(spark, sf), method="sequence")
+    # The composed form: days in blocks of 8 closes dealt by hour.
+    return op.intraday_rsi(_bars(spark, sf), split_minutes=60, block=8)
 
 
 def q_signal_report(spark, sf):

@@ -27,7 +27,7 @@ def test_pipeline_calendar_lag_and_partitioned_output(spark):
     assert out["written"]["rows"] == 110
 
 
-@pytest.mark.parametrize("cfg", [PipelineConfig(), PipelineConfig(split_minutes=60), PipelineConfig(method="sequence")])
+@pytest.mark.parametrize("cfg", [PipelineConfig(), PipelineConfig(split_minutes=60), PipelineConfig(split_minutes=7)])
 def test_pipeline_reports_dropped_rows(spark, cfg):
     from conftest import day_of, make_bars
     bars = make_bars(spark, day_of([float(10 + i % 7) for i in range(20)]))

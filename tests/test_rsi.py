@@ -156,25 +156,58 @@ def test_split_over_midnight_and_a_clock_change(spark, split):
         spark.conf.set("spark.sql.session.timeZone", zone)
 
 
-def test_sequence_method_holds_over_a_long_flat_tail(spark):
-    # 30 moving closes, then 12,000 equal ones: the closed form's weights underflow, the recurrence does not.
-    closes = [100.0 + (i % 2) for i in range(30)] + [101.0] * 12_000
-    bars = spark.range(len(closes)).selectExpr(
-        "'A' AS ticker", "DATE'2024-01-02' AS trade_date", "timestampadd(SECOND, CAST(id AS INT), TIMESTAMP_NTZ'2024-01-02 00:00:00') AS timestamp",
-        "CASE WHEN id < 30 THEN 100D + id % 2 ELSE 101D END AS close").selectExpr("*", "close AS open", "close AS high", "close AS low", "1L AS volume")
+def _loop(closes, period=14):
+    """The recurrence step by step, with its rounding."""
     gain = loss = 0.0
     for k in range(1, len(closes)):
         d = closes[k] - closes[k - 1]
         up, down = max(d, 0.0), max(-d, 0.0)
-        if k < 14:
+        if k < period:
             gain, loss = gain + up, loss + down
-        elif k == 14:
-            gain, loss = (gain + up) / 14, (loss + down) / 14
+        elif k == period:
+            gain, loss = (gain + up) / period, (loss + down) / period
         else:
-            gain, loss = (gain * 13 + up) / 14, (loss * 13 + down) / 14
-    want = 100.0 if loss == 0 else 100 - 100 / (1 + gain / loss)
-    got = op.intraday_rsi(bars, method="sequence").first().rsi
-    assert abs(got - want) < 1e-9
-    assert abs(op.indicators(bars, method="sequence").first().rsi - want) < 1e-9
-    with pytest.raises(ValueError):
-        op.intraday_rsi(bars, method="other")
+            gain, loss = (gain * (period - 1) + up) / period, (loss * (period - 1) + down) / period
+    return None if len(closes) <= period else 100.0 if loss == 0 else 100 - 100 / (1 + gain / loss)
+
+
+def _days(spark, days):
+    """Bars a second apart, one ticker per list of closes."""
+    rows = [(f"T{t}", i, float(c)) for t, closes in enumerate(days) for i, c in enumerate(closes)]
+    return spark.createDataFrame(rows, "ticker string, i int, close double").selectExpr(
+        "ticker", "DATE'2024-01-02' AS trade_date", "timestampadd(SECOND, i, TIMESTAMP_NTZ'2024-01-02 00:00:00') AS timestamp",
+        "close AS open", "close AS high", "close AS low", "close", "1L AS volume")
+
+
+@pytest.mark.parametrize("period", [14, 3, 4])
+def test_any_length_equals_the_loop_split_and_unsplit(spark, period):
+    rng = random.Random(23)
+    walk = [100.0]
+    for _ in range(13_000):
+        walk.append(walk[-1] + rng.choice([-0.25, 0.0, 0.5, -0.5]))
+    wave = [100.0 + (i % 2) for i in range(30)]
+    days = [wave + [101.0] * 12_000,                       # moves, then flat beyond the range of doubles
+            wave + [101.0] * 5_000, wave + [101.0] * 300,
+            walk,
+            [1.0 + i for i in range(40)] + [40.0] * 11_000 + [39.0],   # the gains all lie before the flat stretch
+            [1.0 + i for i in range(40)] + [40.0] * 11_000 + [41.0],
+            [50.0 - i for i in range(40)] + [11.0] * 11_000 + [12.0] + [12.0] * 400,
+            [5.0] * 9_000, [7.0] * period, [7.0] * (period + 1), [3.0, 2.0] + [2.0] * period]
+    bars = _days(spark, days)
+    want = {f"T{t}": _loop(c, period) for t, c in enumerate(days)}
+    for kw in ({}, {"split_minutes": 10}, {"split_minutes": 60, "block": 8}):
+        got = {r.ticker: r.rsi for r in op.intraday_rsi(bars, period, **kw).collect()}
+        assert got.keys() == want.keys()
+        for t, v in want.items():
+            assert got[t] == (None if v is None else pytest.approx(v, abs=1e-9)), (t, kw)
+    for split in (None, 10):
+        got = {r.ticker: r.rsi for r in op.indicators(bars, period, split_minutes=split).collect()}
+        assert all(got[t] == (None if v is None else pytest.approx(v, abs=1e-9)) for t, v in want.items())
+
+
+def test_rsi_builds_no_array(spark):
+    from barsmith.plans.shape import physical_plan
+    bars = _days(spark, [[1.0, 2.0, 3.0]])
+    for split in (None, 60):
+        plan = physical_plan(op.intraday_rsi(bars, split_minutes=split))
+        assert "collect_list" not in plan and "aggregate(" not in plan
