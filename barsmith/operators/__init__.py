@@ -1,11 +1,14 @@
 """DataFrame -> DataFrame operators over bars and the daily report."""
 
-from .feeds import corr_matrix, ohlcv_feed, regime_matrix, rsi_feed, top_tickers
+from .bounds import candidate_pair_days, pair_bounds
+from .feeds import (corr_matrix, date_dimension, grid_cells, ohlcv_feed, regime_grid, regime_matrix, rsi_feed,
+                    top_tickers)
 from .indicators import (avg_volume, daily_bars, indicators, with_avg_volume, with_avg_volume_window,
                          with_regime)
-from .ohlcv import closes_digest, daily_mean_close, daily_ohlcv, ordered_closes
+from .ohlcv import close_pages, closes_digest, daily_mean_close, daily_ohlcv, ordered_closes, pages_digest
 from .pairs import (block_correlation, block_rows, close_blocks, daily_close_corr, intraday_returns, merge_day,
-                    pair_correlation, pair_correlation_of, pair_summary, strong_pairs, ticker_pairs, top_pairs)
+                    pair_correlation, pair_correlation_of, pair_summary, strong_pair_days, strong_pairs, ticker_pairs,
+                    top_pairs)
 from .report import (calendar_lag_report, missed_transitions, regime_change_count, regime_changes,
                      regime_timeline, signal_report, signal_summary, signal_summary_filled,
                      transition_counts)
@@ -15,7 +18,8 @@ from .slots import slot_return_corr, slot_returns
 from .validate import bar_count_total, distinct_tickers, validate_bars, validate_daily
 
 __all__ = [
-    "avg_volume", "bar_count_total", "calendar_lag_report", "close_points", "closes_digest",
+    "candidate_pair_days", "close_pages", "date_dimension", "grid_cells", "pages_digest", "pair_bounds", "regime_grid",
+    "strong_pair_days", "avg_volume", "bar_count_total", "calendar_lag_report", "close_points", "closes_digest",
     "corr_matrix", "daily_bars", "daily_close_corr", "daily_mean_close", "daily_ohlcv",
     "distinct_tickers", "indicators", "intraday_returns", "intraday_rsi", "missed_transitions",
     "ohlcv_feed", "ordered_closes", "pair_correlation", "pair_summary", "regime_change_count",

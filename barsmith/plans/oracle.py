@@ -229,6 +229,18 @@ cells AS (
               fixture.TICKERS)
 
 
+GRID = """
+cal AS (SELECT DISTINCT trade_date FROM report),
+names AS (SELECT DISTINCT ticker FROM report)"""
+
+
+def _grid_sql(cell: str, doubles=()) -> str:
+    return _q(BASE_REPORT + (GRID,),
+              f"SELECT n.ticker, strftime(c.trade_date, '%Y-%m-%d') AS date_label, {cell} AS value "
+              "FROM names n CROSS JOIN cal c LEFT JOIN report r ON r.ticker = n.ticker AND r.trade_date = c.trade_date",
+              doubles, recursive=True)
+
+
 PAIR_DOUBLES = ("open_a", "close_a", "rsi_a", "open_b", "close_b", "rsi_b")
 
 
@@ -311,6 +323,8 @@ def oracle_sql() -> dict[str, str]:
                                           f"AS regime_ordinal FROM report", ("regime_ordinal",), R),
         "regime_matrix": _regime_matrix_sql("ordinal"),
         "regime_label_matrix": _regime_matrix_sql("label"),
+        "regime_grid": _grid_sql(f"CASE WHEN r.ticker IS NOT NULL THEN {REGIME_ORDINAL_CASE} END", ("value",)),
+        "regime_label_grid": _grid_sql("COALESCE(signal_regime, '')"),
         "daily_close_corr": _q((BARS, DAILY_CORR), "SELECT * FROM dcc", ("correlation",)),
         "corr_matrix": _corr_matrix_sql(),
         "top_tickers": _q(BASE_REPORT + (TOTALS,), "SELECT * FROM tv ORDER BY total_vol DESC, ticker", (), R),
@@ -340,7 +354,9 @@ def oracle_sql() -> dict[str, str]:
         "strong_pairs_abs": _q(BASE_CORR, "SELECT ticker_a, ticker_b, trade_date, common_points, intraday_corr, "
                                           "return_diff FROM strong_abs", ("intraday_corr", "return_diff"), R),
     }
-    same = {"rsi_sequence": "rsi", "with_avg_volume_merge": "with_avg_volume", "write_rebalanced_roundtrip": "write_roundtrip",
+    same = {"ordered_closes_array": "ordered_closes", "strong_pairs_abs_bounded": "strong_pairs_abs",
+            "indicators_bucketed": "indicators", "write_replace_days": "write_roundtrip",
+            "rsi_sequence": "rsi", "with_avg_volume_merge": "with_avg_volume", "write_rebalanced_roundtrip": "write_roundtrip",
             "write_table_roundtrip": "write_roundtrip", "pipeline_report": "signal_report",
             "pipeline_signal_summary": "signal_summary_filled", "pipeline_pair_summary": "pair_summary"}
     return twins | {name: twins[of] for name, of in same.items()}

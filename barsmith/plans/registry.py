@@ -19,7 +19,7 @@ from .. import constants as K
 from .. import operators as op
 from ..functions import classify_regime, regime_ordinal
 from ..session import stage, staging_path
-from ..sources import fixture_bars, read_bars, read_signals, verify_write, write_signals
+from ..sources import fixture_bars, read_bars, read_signals, verify_write, write_bar_table, write_signals
 from . import fixture
 from .pipeline import run_pipeline
 
@@ -74,6 +74,10 @@ def q_daily_ohlcv(spark, sf):
 
 
 def q_ordered_closes(spark, sf):
+    return op.pages_digest(op.close_pages(_bars(spark, sf), split_minutes=60))
+
+
+def q_ordered_closes_array(spark, sf):
     return op.closes_digest(op.ordered_closes(_bars(spark, sf)))
 
 
@@ -179,8 +183,8 @@ def q_pair_correlation_split(spark, sf):
 
 
 def q_strong_pairs(spark, sf):
-    return op.strong_pairs(_correlated(spark, sf)).select(*PAIR_CHECK_COLUMNS, "common_points",
-                                                          "intraday_corr", "return_diff")
+    # Only pair-days whose bound exceeds the threshold are correlated.
+    return op.strong_pair_days(_bars(spark, sf)).select(*PAIR_CHECK_COLUMNS, "common_points", "intraday_corr", "return_diff")
 
 
 def q_strong_pairs_abs(spark, sf):
@@ -188,8 +192,13 @@ def q_strong_pairs_abs(spark, sf):
                                                                          "intraday_corr", "return_diff")
 
 
+def q_strong_pairs_abs_bounded(spark, sf):
+    return op.strong_pair_days(_bars(spark, sf), absolute=True).select(*PAIR_CHECK_COLUMNS, "common_points",
+                                                                       "intraday_corr", "return_diff")
+
+
 def q_pair_summary(spark, sf):
-    return op.pair_summary(_correlated(spark, sf))
+    return op.pair_summary(op.strong_pair_days(_bars(spark, sf)))
 
 
 def q_top_pairs(spark, sf):
@@ -221,6 +230,21 @@ def q_regime_label_matrix(spark, sf):
     return op.regime_matrix(_report(spark, sf), dates=fixture.DATES, value="label")
 
 
+def _grid(spark, sf, value):
+    report = stage(_report(spark, sf), "report")
+    dates = stage(op.date_dimension(report), "dates")
+    return op.grid_cells(op.regime_grid(report, dates, value), dates)
+
+
+def q_regime_grid(spark, sf):
+    # The matrix without a column list: every cell of any span of dates.
+    return _grid(spark, sf, "ordinal")
+
+
+def q_regime_label_grid(spark, sf):
+    return _grid(spark, sf, "label")
+
+
 def q_daily_close_corr(spark, sf):
     return op.daily_close_corr(_bars(spark, sf))
 
@@ -298,6 +322,23 @@ def q_read_bars_table(spark, sf):
     return read_bars(spark, name, fmt="table", mapping=SOURCE_NAMES)
 
 
+def q_indicators_bucketed(spark, sf):
+    # Over a bar table bucketed by (ticker, trade_date): no exchange of bars.
+    name = _table_name(spark, "bars")
+    write_bar_table(_bars(spark, sf), name, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return op.indicators(read_bars(spark, name, fmt="table"))
+
+
+def q_write_replace_days(spark, sf):
+    # A first run with wrong days, then a run of these days alone: the others stay as they are.
+    report = stage(_report(spark, sf), "report")
+    wrong = F.expr("dayofmonth(trade_date) % 2 = 0")
+    path = staging_path(spark, "days")
+    write_signals(report.withColumn("rsi", F.when(wrong, F.lit(-1.0)).otherwise(F.col("rsi"))), path, partition_by=["trade_date"])
+    write_signals(report.where(wrong), path, partition_by=["trade_date"], replace="partitions")
+    return read_signals(spark, path, schema=report.schema)
+
+
 def q_one_ticker_bars(spark, sf):
     # The ticker predicate reaches the scan of the written bars.
     path = staging_path(spark, "bars")

@@ -70,6 +70,18 @@ def read_bars(spark: SparkSession, source: str, fmt: str = "parquet",
     return bars
 
 
+def write_bar_table(bars: DataFrame, name: str, buckets: int) -> None:
+    """Write bars as a catalog table bucketed by (ticker, trade_date) and sorted in time order.
+
+    Every intraday window and daily roll-up is keyed by exactly these columns,
+    so over ``read_bars(spark, name, fmt="table")`` none of them shuffles the
+    bars. ``buckets`` is the number of tasks that read the table; the bars are
+    dealt to the buckets before the write, one file a bucket.
+    """
+    (bars.repartition(buckets, "ticker", "trade_date").write.mode("overwrite").format("parquet")
+     .bucketBy(buckets, "ticker", "trade_date").sortBy("ticker", "trade_date", "timestamp").saveAsTable(name))
+
+
 def null_key() -> Column:
     """Whether a bar lacks a key column."""
     return F.expr(" OR ".join(f"{k} IS NULL" for k in KEY_COLUMNS))
@@ -96,7 +108,8 @@ def bars_from_events(events: DataFrame) -> DataFrame:
     All arithmetic is in integer cents until the final division, so any
     engine gets equal doubles. Events of a Saturday or Sunday belong to the
     following Monday's ``trade_date`` (their timestamps stay), so trading
-    days have gaps and no event is lost.
+    days have gaps and no event is lost: those without a type or a time are
+    bars with a null key (``read_bars`` counts and drops such bars).
 
     Events meet in a sum per minute, combined before the shuffle, so a task
     holds at most the 1,440 minutes a calendar day of a ticker, however many
@@ -118,13 +131,14 @@ def bars_from_events(events: DataFrame) -> DataFrame:
     day_offsets = (
         minutes.groupBy("ticker", "trade_date").agg(F.expr("sum(step) AS day_total"))
         .select(
-            F.expr("ticker"), F.expr("trade_date"),
+            F.expr("ticker AS _t"), F.expr("trade_date AS _d"),
             F.expr("coalesce(sum(day_total) OVER (PARTITION BY ticker ORDER BY trade_date "
                    "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS offset"),
         )
     )
-    walk = minutes.join(day_offsets, ["ticker", "trade_date"], "inner").select(
-        F.expr("*"),
+    # null-safe: an event without a type or a time is a bar of its own key
+    walk = minutes.join(day_offsets, F.expr("ticker <=> _t AND trade_date <=> _d"), "inner").select(
+        F.expr("ticker"), F.expr("trade_date"), F.expr("timestamp"), F.expr("step"), F.expr("cents"),
         F.expr(f"{WALK_START_CENTS} + offset + sum(step) OVER (PARTITION BY ticker, trade_date "
                "ORDER BY timestamp ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c"),
     )

@@ -18,9 +18,15 @@ def _is_path(target: str) -> bool:
 
 def write_signals(df: DataFrame, target: str, files: int | None = None,
                   partition_by: Sequence[str] | None = None,
-                  max_records_per_file: int = MAX_RECORDS_PER_FILE, fmt: str = "parquet") -> None:
+                  max_records_per_file: int = MAX_RECORDS_PER_FILE, fmt: str = "parquet",
+                  replace: str = "all") -> None:
     """Overwrite ``target`` (a path, or a catalog table name) with ``df``.
 
+    ``replace="partitions"`` replaces only the partitions that ``df`` has rows
+    of: a day that is run again leaves the other days alone, and a run that
+    fails leaves all of them. The target's partition columns must be
+    ``partition_by``; a target that is not there yet is created.
+
     Array columns are dropped first (the report is flat). By default the
     rows are rebalanced: adaptive execution merges small and splits large
     partitions to its advisory size, within each directory when
@@ -28,6 +34,10 @@ def write_signals(df: DataFrame, target: str, files: int | None = None,
     files follow the size of the data. ``files=n`` instead narrows the frame
     with ``coalesce(n)``: no shuffle, at most n files, for small reports.
     """
+    if replace not in ("all", "partitions"):
+        raise ValueError("replace is 'all' or 'partitions'")
+    if replace == "partitions" and not partition_by:
+        raise ValueError("replacing partitions needs partition_by")
     flat = df.drop(*[f.name for f in df.schema.fields if isinstance(f.dataType, T.ArrayType)])
     by = [F.col(c) for c in partition_by or ()]
     if files is not None and not by:
@@ -37,8 +47,15 @@ def write_signals(df: DataFrame, target: str, files: int | None = None,
     writer = out.write.mode("overwrite").format(fmt).option("maxRecordsPerFile", max_records_per_file)
     if by:
         writer = writer.partitionBy(*partition_by)
+    if replace == "partitions":
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if _is_path(target):
         writer.save(target)
+    elif replace == "partitions" and df.sparkSession.catalog.tableExists(target):
+        # by position, in the table's order; not partitionBy, the table knows its partitions
+        columns = df.sparkSession.table(target).columns
+        (out.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .option("maxRecordsPerFile", max_records_per_file).insertInto(target))
     else:
         writer.saveAsTable(target)
 
