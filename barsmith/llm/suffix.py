@@ -272,6 +272,10 @@ def merge(runs: list[Run]) -> Iterator[tuple[int, bytes, int]]:
             node //= 2
 
 
+#: Base of the hash that sorts the strings left of an anchor; equal hashes are compared byte by byte.
+_LEFT_BASE = np.array(0x9E3779B97F4A7C15, np.uint64)
+
+
 def earlier(right_shared: np.ndarray, n_right: np.ndarray, left: np.ndarray, n_left: np.ndarray, order: np.ndarray,
             length: int, gram: int) -> np.ndarray:
     """Flags (suffix, r): the stretch that starts r bytes before the anchor starts in an earlier document too.
@@ -286,7 +290,7 @@ def earlier(right_shared: np.ndarray, n_right: np.ndarray, left: np.ndarray, n_l
     for r in range(reach + 1):
         if r:
             reversed_hash = reversed_hash + (left[:, r - 1].astype(np.uint64) + np.uint64(1)) * power
-            power = power * np.uint64(0x9E3779B97F4A7C15)
+            power = power * _LEFT_BASE
         own = np.flatnonzero((n_left >= r) & (n_right >= length - r))
         if not len(own):
             continue
@@ -300,6 +304,14 @@ def earlier(right_shared: np.ndarray, n_right: np.ndarray, left: np.ndarray, n_l
         hit = np.flatnonzero(order[own] > order[first])
         exact = (left[own[hit], :r] == left[first[hit], :r]).all(axis=1)
         out[own[hit[exact]], r] = True
+        if not exact.all():  # different strings under one hash: compare them all by their bytes
+            odd = np.flatnonzero(np.isin(np.cumsum(new), np.cumsum(new)[hit[~exact]]))
+            least: dict[tuple, int] = {}
+            named = [(int(g), left[i, :r].tobytes(), i) for g, i in zip(group[odd], own[odd])]
+            for g, s, i in named:
+                least[g, s] = min(least.get((g, s), order[i]), order[i])
+            for g, s, i in named:
+                out[i, r] |= order[i] > least[g, s]
     return out
 
 
