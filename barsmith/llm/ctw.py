@@ -116,7 +116,7 @@ def _count(batches: Iterator[pa.RecordBatch], depth: int, parts: int) -> Iterato
             code, to = gram_codes(data, ends, depth)
             use = np.repeat(own, np.diff(to))
             lower = Words(_LOWER[data], ends)
-            word = lower.hash(np.arange(len(lower.start)), 1)[np.repeat(own, np.diff(lower.first))]
+            word = lower.word[np.repeat(own, np.diff(lower.first))]
             for kind, key, once in ((WORD, word, 1), (GRAM, code[use], 1), (GRAM, code[~use], 0)):
                 key, n = np.unique(key, return_counts=True)
                 held[kind].append((key, n.astype(np.int64) * once))
@@ -441,7 +441,7 @@ def _base(batches: Iterator[pa.RecordBatch], table) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for part, data, ends in slices(b, size=SLICE):
             words = Words(_LOWER[data], ends)
-            found, c = lookup.get(words.hash(np.arange(len(words.start)), 1))
+            found, c = lookup.get(words.word)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(np.diff(words.first).astype(np.int64) + 1),
                  pa.array(_sums(np.where(found, np.log10(c + 0.5), 0.0), words.first)),
@@ -455,7 +455,7 @@ def _ask(batches: Iterator[pa.RecordBatch], table, parts: int) -> Iterator[pa.Re
     for b in batches:
         for part, data, ends in slices(b, size=SLICE):
             words = Words(_LOWER[data], ends)
-            h = words.hash(np.arange(len(words.start)), 1)
+            h = words.word
             doc = np.repeat(np.arange(part.num_rows), np.diff(words.first))
             rare = ~lookup.get(h)[0]
             rows = part.column(0).to_numpy(zero_copy_only=False)

@@ -14,6 +14,7 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +55,61 @@ class Rolling:
         return mixed((self.sums[end] - self.sums[start]) * self.down[start])
 
 
+#: Modulus and bases of :class:`PrimeRolling`.
+_PRIME, _PRIME_BASES = (1 << 31) - 1, (0x2545F491, 0x5851F42D, 0x14057B7E)
+
+
+@lru_cache(6)
+def _prime_powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a base and of its inverse modulo the prime, by doubling."""
+    out = []
+    for base in (_PRIME_BASES[which], pow(_PRIME_BASES[which], -1, _PRIME)):
+        x = np.ones(1, np.uint64)
+        while len(x) < n:
+            x = np.concatenate([x, x * np.uint64(pow(base, len(x), _PRIME)) % np.uint64(_PRIME)])
+        out.append(x)
+    return out[0], out[1]
+
+
+class PrimeRolling:
+    """31-bit hashes of any ranges of a sequence, from prefix sums of a polynomial modulo a prime: unlike
+    modulo a power of two, no pattern of two values collides whatever the base."""
+
+    def __init__(self, values: np.ndarray, which: int):
+        self.up, self.down = _prime_powers(which, 1 << max(10, len(values).bit_length()))
+        self.sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values % np.uint64(_PRIME) * self.up[:len(values)] % np.uint64(_PRIME), out=self.sums[1:])
+
+    def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return (self.sums[end] - self.sums[start]) % np.uint64(_PRIME) * self.down[start] % np.uint64(_PRIME)
+
+
+#: Bytes of a word up to which words are hashed together, eight bytes at a time.
+_SHORT_WORD = 64
+
+
+def word_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
+    """64-bit hash of the bytes of each range, mixed anew after every eight bytes; long ranges by XXH64."""
+    size = end - start
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.lib.stride_tricks.sliding_window_view(padded, 8)
+    h = mixed(size.astype(np.uint64) * np.uint64(_BASES[0]) + np.uint64(seed))
+    left = np.flatnonzero(size <= _SHORT_WORD)
+    done = 0
+    while len(left):
+        left = left[size[left] > done]
+        value = eight[start[left] + done].view("<u8").ravel()
+        spare = np.maximum(8 - (size[left] - done), 0).astype(np.uint64)
+        value = value << np.uint64(8) * spare  # the bytes past the end go
+        h[left] = mixed(mixed((h[left] ^ value) * np.uint64(_BASES[1])) * np.uint64(_BASES[2]))
+        done += 8
+    long = np.flatnonzero(size > _SHORT_WORD)
+    if len(long):
+        raw = data.tobytes()
+        h[long] = [xxhash.xxh64_intdigest(raw[i:j], seed) for i, j in zip(start[long].tolist(), end[long].tolist())]
+    return h
+
+
 def keyed(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
     """(row, doc_id, text, *carry): ``row`` is unique and not null. It is the doc_id where
     that serves; else the rows are numbered and written once so the numbers stay."""

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .repeats import ASK_SCHEMA, Rolling, answers, ask, keyed, parts_for, slices
+from .repeats import ASK_SCHEMA, PrimeRolling, answers, ask, keyed, mixed, parts_for, slices, word_hash
 
 #: Perfect difference sets: period -> cover. Each nonzero residue is a difference exactly once.
 COVERS = {3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16)}
@@ -37,9 +37,14 @@ def period_for(window: int) -> int:
 
 
 class Words:
-    """Words of the texts in a slice: byte ranges, first word of each text, rolling hashes."""
+    """Words of the texts in a slice: byte ranges, first word of each text, hashes of words and of stretches of them.
 
-    def __init__(self, data: np.ndarray, ends: np.ndarray):
+    ``word`` are 64-bit hashes of the words' bytes. A stretch has two hashes
+    of 62 and 31 bits, polynomials modulo a prime over two independent word
+    hashes (93 bits in all).
+    """
+
+    def __init__(self, data: np.ndarray, ends: np.ndarray, hashed: bool = True):
         word = ~_SPACE[data]
         edge = np.zeros(len(data) + 1, bool)
         edge[ends] = True  # a text's end parts words even without white space
@@ -47,11 +52,17 @@ class Words:
         end = word & (np.concatenate([~word[1:], [True]]) | edge[1:]) if len(data) else word
         self.start, self.end = np.flatnonzero(start), np.flatnonzero(end) + 1
         self.first = np.searchsorted(self.start, ends)  # words before each text; the last entry is their number
-        one = Rolling(data.astype(np.uint64) + np.uint64(1)).hash(self.start, self.end)
-        self.rolling = (Rolling(one, 0), Rolling(one, 1))
+        self.word = word_hash(data, self.start, self.end, 1) if hashed else None
+        self._data, self._rolling = data, None
 
     def hash(self, at: np.ndarray, n: int, which: int = 0) -> np.ndarray:
-        return self.rolling[which].hash(at, at + n)
+        if self._rolling is None:
+            other = word_hash(self._data, self.start, self.end, 2)
+            self._rolling = [PrimeRolling(x, i) for i, x in enumerate((self.word, other, other))]
+        a, b, c = self._rolling
+        if which:
+            return mixed(c.hash(at, at + n) << np.uint64(33))
+        return mixed(a.hash(at, at + n) << np.uint64(31) | b.hash(at, at + n))
 
 
 def _anchors(batches: Iterator[pa.RecordBatch], window: int, period: int, parts: int) -> Iterator[pa.RecordBatch]:
@@ -100,7 +111,7 @@ def _windows(batches: Iterator[pa.RecordBatch], window: int, parts: int, period:
 def _cut(batches: Iterator[pa.RecordBatch], window: int, carried: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for part, data, ends in slices(b):
-            words = Words(data, ends)
+            words = Words(data, ends, False)
             gone = covered(len(words.start), _found(part, words.first), 0, window)
             raw = data.tobytes()
             n_words = np.diff(words.first)
