@@ -62,20 +62,32 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, power: floa
         copy_col: str = "mix_copy", order_col: str = "mix_order") -> DataFrame:
     """The rows of ``docs``, each as often as drawn, in a global random order.
 
-    Adds ``copy_col`` (1, 2, ...) and ``order_col`` (the MD5 the rows are
-    ordered by); name them otherwise if ``docs`` has such columns. Null texts
-    are kept like others. Rows without a doc_id share one draw; repeated rows
-    get equal numbers of copies each. A source with target 0 gets no rows; an
-    empty table gives an empty result.
+    Adds as its last two columns ``copy_col`` (1, 2, ...) and ``order_col``
+    (the MD5 the rows are ordered by), with underscores after the names where
+    ``docs`` has such columns; columns of any names pass unchanged. Null and
+    empty texts are kept like others, and very long ones pass whole. Rows
+    without a doc_id share one draw; repeated rows get equal numbers of copies
+    each; rows with equal doc_id and copy are ordered by it together, in any
+    order among themselves. A source with target 0 gets no rows; an empty
+    table gives an empty result.
     """
-    key, cdf, src = "__mix_key", "__mix_cdf", "__mix_source"
+    names = docs.columns
+    while copy_col in names:
+        copy_col += "_"
+    while order_col in [*names, copy_col]:
+        order_col += "_"
+    own = [f"d_{i}" for i in range(len(names))]
+    at = lambda c: own[[n.lower() for n in names].index(c.lower())]
+    docs = docs.toDF(*own)
+    id_col, source_col = at(id_col), at(source_col)
+    key, cdf, src, n = "mix_key", "mix_cdf", "mix_source", "mix_n"
     rate = with_cdf(rates(docs, weights, power, budget, source_col)).select(F.col("source").alias(src), F.col("cdf").alias(cdf))
     if rate.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
         rate = F.broadcast(rate)
     drawn = (docs.join(rate, F.col(source_col).cast("string").eqNullSafe(F.col(src)))
              .withColumn(key, uniform(F.lit(seed), id_col))
-             .withColumn(copy_col, F.expr(f"size(filter({cdf}, c -> c <= {key}))"))
-             .where(F.col(copy_col) > 0)
-             .withColumn(copy_col, F.explode(F.sequence(F.lit(1), F.col(copy_col)))))
-    order = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col(copy_col).cast("string")))
-    return drawn.select(*docs.columns, copy_col, order.alias(order_col)).orderBy(order_col, id_col)
+             .withColumn(n, F.expr(f"size(filter({cdf}, c -> c <= {key}))"))
+             .where(F.col(n) > 0)
+             .withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n)))))
+    order = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col(n).cast("string")))
+    return drawn.select(*own, n, order.alias(key)).orderBy(key, id_col).toDF(*names, copy_col, order_col)
