@@ -308,20 +308,27 @@ def links(fps: DataFrame, tau: int, m: int | None = None) -> DataFrame:
 
 def simhash_components(docs: DataFrame, shingle: int = 4, max_bits: int = 4, m: int | None = None,
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fingerprint, component_id) per row of ``docs``.
+    """(doc_id, fingerprint, component_id, component) per row of ``docs``.
 
     ``fingerprint`` is 16 hex digits; documents link at ``max_bits`` or fewer
-    differing bits and ``component_id`` is the smallest doc_id reachable.
-    Null and empty texts have fingerprint zero and link like any other.
-    Repeated rows are returned as often as they come. A row with a null
-    doc_id gets its fingerprint and a null component, and links with nothing.
-    An empty table gives an empty result; other columns are not read.
+    differing bits, ``component_id`` is the smallest doc_id reachable, and
+    ``component`` names the component by one of its fingerprints, so that two
+    components stay apart even where unrelated rows share a doc_id. Very long
+    texts are taken whole. Null and empty texts have fingerprint zero and link
+    like any other. Repeated rows are returned as often as they come. A row
+    with a null doc_id gets its fingerprint and a null component, and links
+    with nothing. An empty table gives an empty result; other columns are not
+    read.
     """
     each = stage(fingerprints(docs, shingle, id_col, text_col), "simhash-docs")
-    classes = stage(each.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-classes")
-    part = components(links(classes, max_bits, m))
-    found = classes.join(part, classes.rep == part.node, "left").selectExpr(
-        "fp AS fp_", "coalesce(component, rep) AS component_id")
+    classes = stage(each.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
+    part = components(links(classes.selectExpr("fp AS rep", "fp"), max_bits, m))
+    named = stage(classes.join(part, classes.fp == part.node, "left").selectExpr(
+        "fp AS fp_", "least", "coalesce(component, fp) AS component_fp"), "simhash-components")
+    least = named.groupBy("component_fp").agg(F.min("least").alias("component_id")).withColumnRenamed("component_fp", "c")
+    found = named.join(least, F.col("component_fp") == F.col("c")).select("fp_", "component_fp", "component_id")
+    digits = lambda c: F.lower(F.lpad(F.hex(c), 16, "0"))
+    given = F.col("doc_id").isNotNull()
     return each.join(found, each.fp == found.fp_, "left").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+        "doc_id", digits("fp").alias("fingerprint"), F.when(given, F.col("component_id")).alias("component_id"),
+        F.when(given, digits("component_fp")).alias("component"))
