@@ -2,8 +2,9 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all rows its
 predecessor kept; all but the last return the columns of ``docs``. Null and
-empty texts, null doc_ids, repeated rows, empty tables and extra columns pass
-as the operators define; extra columns are carried along.
+empty texts, null doc_ids, repeated rows, ties, empty tables and extra columns
+pass as the operators define; extra columns of any name are carried along, and
+very long texts are taken whole.
 """
 
 from __future__ import annotations
@@ -34,16 +35,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest doc_id stays.
-    Rows that repeat its doc_id go too; rows without a doc_id are in no group and stay."""
+    """Of each group of near duplicates the document with the smallest doc_id stays; of rows of the
+    group that repeat it, one. Rows without a doc_id are in no group and stay."""
     ship(spark)
-    found = simhash_components(docs, shingle=4, max_bits=4)
-    first = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
-    first = stage(first.select(F.col("doc_id").alias("first_"), "n"), "pipeline-first")
-    # merge: the same plan at every size, whether or not the ids would fit a broadcast
-    kept = docs.join(first.select("first_").hint("merge"), docs.doc_id == F.col("first_"), "left_semi")
-    if first.where("n > 1").limit(1).count():
-        kept = kept.dropDuplicates(["doc_id"])
+    given = docs.where("doc_id IS NOT NULL")
+    if given.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count():
+        # rows that share a doc_id may be unrelated: each is judged under a number of its own
+        names = [f"d_{i}" for i in range(len(docs.columns))]
+        own = dict(zip(docs.columns, names))
+        rows = stage(given.toDF(*names).select(F.monotonically_increasing_id().alias("row"), "*"), "pipeline-rows")
+        found = simhash_components(rows, shingle=4, max_bits=4, id_col="row", text_col=own["text"])
+        best = found.withColumnRenamed("doc_id", "row").join(rows.select("row", F.col(own["doc_id"]).alias("id")), "row").groupBy(
+            "component_id").agg(F.min(F.struct("id", "row")).alias("first")).select("first.row")
+        kept = rows.join(best.hint("merge"), "row", "left_semi").drop("row").toDF(*docs.columns)
+    else:
+        found = simhash_components(docs, shingle=4, max_bits=4)
+        first = stage(found.where("doc_id = component_id").select(F.col("doc_id").alias("first_")), "pipeline-first")
+        # merge: the same plan at every size, whether or not the ids would fit a broadcast
+        kept = docs.join(first.hint("merge"), docs.doc_id == F.col("first_"), "left_semi")
     return kept.unionByName(docs.where("doc_id IS NULL"))
 
 
@@ -62,7 +71,8 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources by the square root of their size, as many rows as documents expected; copies are rows, in random order."""
     ship(spark)
-    return mix(docs, power=0.5, seed=42, copy_col="__copy", order_col="__order").drop("__copy", "__order")
+    mixed = mix(docs, power=0.5, seed=42)
+    return mixed.select(*[f"`{c}`" for c in mixed.columns[:-2]])
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
