@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from fractions import Fraction
+
 import numpy as np
 import pytest
 
@@ -93,6 +95,29 @@ def test_slices_sum_and_select():
     assert len(bits(sure)) <= 10 <= len(bits(sure) | bits(tied))
 
 
+def _brute_top(rows, every, k):
+    """In integers of any length; each row a query and a candidate of its own."""
+    floor = lambda x: Fraction(x) * 64 // 1
+    rows = [(i, [floor(x) for x in v]) for i, v in rows]
+    out = []
+    for a, (i, v) in enumerate(rows):
+        if i % every == 0:
+            score = [(min(max(-sum(x * y for x, y in zip(v, w)), -(1 << 63) + 1), 1 << 63), j, b) for b, (j, w) in enumerate(rows) if b != a and len(w) == len(v)]
+            out += [(i, r + 1, j, min(-s, (1 << 63) - 1)) for r, (s, j, _) in enumerate(sorted(score)[:k])]
+    return sorted(out)
+
+
 def test_top_k_fewer_rows_than_k_and_shared_id(spark):
     df = frame(spark, [], [(0, [1.0, 0.5], 0, 1, "x"), (0, [1.0, 0.5], 0, 1, "x"), (7, [-1.0, 0.25], 0, 1, "x"), (9, [1.0], 0, 1, "x")])
-    assert [tuple(r) for r in top_k(df).collect()] == [(0, 1, 7, 64 * -64 + 32 * 16)]
+    assert sorted(tuple(r) for r in top_k(df).collect()) == [(0, 1, 0, 5120)] * 2 + [(0, 2, 7, 64 * -64 + 32 * 16)] * 2
+
+
+@pytest.mark.parametrize("rows,asked", [(3, 2), (8192, 4096)])
+def test_top_k_drops_no_row(spark, rows, asked):
+    rng = np.random.default_rng(4)
+    given = [(0, [3e6, 1.0]), (1, [0.5, 0.25]), (20, [1.0, 1.0]), (20, [-1.0, 2.0]), (40, [0.0, 1.0]), (3, [1e20, 1.0]), (60, [-1e20, 0.0]),
+             (4, [2.0 ** 55, -1.0]), (5, [1e300, 0.0]), (80, [2.0 ** 54, 3.0]), (6, [-2.0 ** 57, -0.1]), (7, [float(2 ** 31), 0.015])]
+    given += [(int(i), [float(x) for x in rng.normal(size=2) * 10.0 ** rng.integers(-2, 9)]) for i in rng.integers(100, 130, 40)]
+    df = spark.createDataFrame([(i, v) for i, v in given], "vec_id long, embedding array<double>").repartition(3)
+    got = sorted(tuple(r) for r in top_k(df, every=20, k=4, rows=rows, asked=asked).collect())
+    assert got == _brute_top(given, 20, 4)
