@@ -15,7 +15,7 @@ from functools import lru_cache, partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stage
@@ -178,32 +178,67 @@ def ask(h: np.ndarray, g: np.ndarray, row: np.ndarray, pos: np.ndarray, two_rows
                                       names=["part", "h", "g", "row", "pos", "kind"])
 
 
+def lists(row: np.ndarray, value: np.ndarray, name: str) -> pa.RecordBatch:
+    """(row, list of its values): one row per distinct ``row``."""
+    order = np.argsort(row, kind="stable")
+    row, value = row[order], value[order]
+    at = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else np.empty(0, np.int64)
+    ends = pa.array(np.append(at, len(row)).astype(np.int32))
+    return pa.RecordBatch.from_arrays([pa.array(row[at].astype(np.int64)), pa.ListArray.from_arrays(ends, pa.array(value))], names=["row", name])
+
+
 def _answer(batches: Iterator[pa.RecordBatch], two_rows: bool, width: int) -> Iterator[pa.RecordBatch]:
-    open_: dict[int, list[tuple]] = {}
+    """Questions sorted by part -> the positions that repeat; one part is held at a time."""
+    now, held = None, []
+
+    def settle() -> pa.RecordBatch:
+        h, g, row, pos, kind = (np.concatenate(c) for c in zip(*held))
+        order, _, again = _groups(h, g, row, two_rows)
+        own = order[again & (kind[order] == OPEN)]
+        return lists(row[own], pos[own], "found")
+
     for b in batches:
         for part, h, g, row, pos, kind in zip(*[c.to_pylist() for c in b.columns]):
+            if part != now and held:
+                yield settle()
+                held = []
+            now = part
             rows, at, kinds = np.cumsum(np.frombuffer(row, np.int64)), np.frombuffer(pos, np.int32), np.frombuffer(kind, np.int8)
             known = kinds == KNOWN
             if known.any():
-                yield pa.RecordBatch.from_arrays([pa.array(rows[known]), pa.array(at[known])], names=["row", "pos"])
+                yield lists(rows[known], at[known], "found")
             n = int((~known).sum())
             hashes = np.zeros((n, 8), np.uint8)
             hashes[:, :width] = np.frombuffer(h, np.uint8).reshape(n, width)
             second = np.frombuffer(g, np.int32) if width == 8 else np.zeros(n, np.int32)
-            open_.setdefault(part, []).append((hashes.view(np.uint64).ravel(), second, rows[~known], at[~known], kinds[~known]))
-    while open_:
-        h, g, row, pos, kind = (np.concatenate(c) for c in zip(*open_.popitem()[1]))
-        order, _, again = _groups(h, g, row, two_rows)
-        own = order[again & (kind[order] == OPEN)]
-        yield pa.RecordBatch.from_arrays([pa.array(row[own]), pa.array(pos[own])], names=["row", "pos"])
+            held.append((hashes.view(np.uint64).ravel(), second, rows[~known], at[~known], kinds[~known]))
+    if held:
+        yield settle()
+
+
+#: Bytes of text for which an exchange has a task.
+TASK_BYTES = 4 << 20
+
 
+def tasks_for(base: DataFrame, text_col: str = "text") -> int:
+    """Tasks of an exchange: one for every TASK_BYTES of text, at least the session's shuffle partitions,
+    so that what a task holds does not grow with the table."""
+    size = base.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    return max(int(base.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK_BYTES))
 
-def parts_for(spark: SparkSession) -> int:
-    """Parts that the questions are dealt into: twice the shuffle partitions, so they fall evenly."""
-    return 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
+def parts_for(tasks: int) -> int:
+    """Parts that the questions are dealt into: twice the tasks, so they fall evenly."""
+    return 2 * tasks
 
-def answers(questions: DataFrame, two_rows: bool, width: int = 8) -> DataFrame:
+
+def answers(questions: DataFrame, tasks: int, two_rows: bool, width: int = 8) -> DataFrame:
     """(row, found): the positions asked whose hash repeats (``two_rows``: in two different rows)."""
-    found = questions.repartition("part").mapInArrow(partial(_answer, two_rows=two_rows, width=width), "row long, pos int")
-    return found.groupBy("row").agg(F.collect_list("pos").alias("found"))
+    found = questions.repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(
+        partial(_answer, two_rows=two_rows, width=width), "row long, found array<int>")
+    return gathered(found, tasks, "found")
+
+
+def gathered(lists_: DataFrame, tasks: int, name: str) -> DataFrame:
+    """One row per ``row``, its lists joined; dealt by ``row`` to ``tasks`` tasks, as what it is joined with."""
+    return lists_.repartition(tasks, "row").groupBy("row").agg(F.flatten(F.collect_list(name)).alias(name))

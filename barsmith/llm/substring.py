@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .repeats import ASK_SCHEMA, PrimeRolling, answers, ask, keyed, mixed, parts_for, slices, word_hash
+from .repeats import ASK_SCHEMA, PrimeRolling, answers, ask, keyed, mixed, parts_for, slices, tasks_for, word_hash
 
 #: Perfect difference sets: period -> cover. Each nonzero residue is a difference exactly once.
 COVERS = {3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16)}
@@ -151,7 +151,7 @@ def remove_repeats(docs: DataFrame, window: int = 35, period: int | None = None,
 
     Words are runs of characters other than ASCII white space. All
     occurrences go, those in the same document included; windows are judged
-    on the input. Null and empty texts have no words and keep empty texts.
+    on the input; very long texts are taken whole. Null and empty texts have no words and keep empty texts.
     Repeated rows are documents of their own, so their windows repeat; null
     doc_ids are kept as null. An empty table gives an empty result.
     """
@@ -159,13 +159,15 @@ def remove_repeats(docs: DataFrame, window: int = 35, period: int | None = None,
     base = keyed(docs, id_col, text_col, tuple(carry))
     kinds = {f.name: f.dataType.simpleString() for f in base.schema.fields}
     narrow = base.select("row", "doc_id", "text")
-    parts = parts_for(docs.sparkSession)
+    tasks = tasks_for(narrow)
+    parts = parts_for(tasks)
+    dealt = base.repartition(tasks, "row")
     anchors = answers(narrow.mapInArrow(partial(_anchors, window=window, period=period, parts=parts), ASK_SCHEMA),
-                      two_rows=False, width=ANCHOR_BYTES)
-    candidates = base.join(anchors, "row", "left")
+                      tasks, two_rows=False, width=ANCHOR_BYTES)
+    candidates = dealt.join(anchors, "row", "left")
     repeats = answers(candidates.mapInArrow(partial(_windows, window=window, period=period, parts=parts), ASK_SCHEMA),
-                      two_rows=False)
-    cut = base.join(repeats, "row", "left").mapInArrow(
+                      tasks, two_rows=False)
+    cut = dealt.join(repeats, "row", "left").mapInArrow(
         partial(_cut, window=window, carried=len(carry)),
         "doc_id long, n_words long, n_removed long, kept string, text string"
         + "".join(f", c_{i} {kinds[f'c_{i}']}" for i in range(len(carry))))

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .repeats import ASK_SCHEMA, Rolling, answers, ask, keyed, mixed, parts_for, slices
+from .repeats import ASK_SCHEMA, Rolling, answers, ask, gathered, keyed, lists, mixed, parts_for, slices, tasks_for
 
 #: Bytes of the gram whose smallest hash marks an anchor.
 GRAM = 16
@@ -316,17 +316,10 @@ def earlier(right_shared: np.ndarray, n_right: np.ndarray, left: np.ndarray, n_l
 
 
 def _merged(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
-    runs: dict[int, list[Run]] = {}
-    for b in batches:
-        for part, n, *cells in zip(*[c.to_pylist() for c in b.columns]):
-            cells = unpack(cells)
-            if part < 0:  # settled where the run was made: row, start, end
-                yield _spans(np.frombuffer(cells[6], np.int64), np.frombuffer(cells[5], np.int64), np.frombuffer(cells[7], np.int32))
-            else:
-                runs.setdefault(part, []).append(Run(n, *cells))
+    """Runs sorted by part -> spans that repeat; one part is held at a time."""
     reach = length - gram
-    while runs:
-        own = runs.popitem()[1]
+
+    def settle(own: list[Run]) -> pa.RecordBatch:
         which, shared, n_right = [], [], []
         for r, suffix, k in merge(own):
             which.append(r)
@@ -340,11 +333,25 @@ def _merged(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterat
         edge = np.diff(np.concatenate([np.zeros((len(hit), 1), np.int8), hit.astype(np.int8), np.zeros((len(hit), 1), np.int8)], axis=1), axis=1)
         i, lo = np.nonzero(edge == 1)
         _, hi = np.nonzero(edge == -1)
-        yield _spans(row[i], pos[i] - (hi - 1), pos[i] - lo + length)
+        return _spans(row[i], pos[i] - (hi - 1), pos[i] - lo + length)
+
+    now, own = None, []
+    for b in batches:
+        for part, n, *cells in zip(*[c.to_pylist() for c in b.columns]):
+            if part != now and own:
+                yield settle(own)
+                own = []
+            now, cells = part, unpack(cells)
+            if part < 0:  # settled where the run was made: row, start, end
+                yield _spans(np.frombuffer(cells[6], np.int64), np.frombuffer(cells[5], np.int64), np.frombuffer(cells[7], np.int32))
+            else:
+                own.append(Run(n, *cells))
+    if own:
+        yield settle(own)
 
 
 def _spans(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
-    """(row, span): overlapping spans of a row joined; a span is start * 2^32 + end."""
+    """(row, found): overlapping spans of a row joined; a span is start * 2^32 + end."""
     by = np.lexsort((start, row))
     row, start, end = row[by].astype(np.int64), start[by].astype(np.int64), end[by].astype(np.int64)
     if len(row):
@@ -355,7 +362,7 @@ def _spans(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatc
         at = np.flatnonzero(new)
         last = np.append(at[1:], len(row)) - 1
         row, start, end = row[at], start[at], (upto - base)[last]
-    return pa.RecordBatch.from_arrays([pa.array(row), pa.array(start << np.int64(32) | end)], names=["row", "span"])
+    return lists(row, start << np.int64(32) | end, "found")
 
 
 def _runs(batches: Iterator[pa.RecordBatch], length: int, gram: int, parts: int) -> Iterator[pa.RecordBatch]:
@@ -417,19 +424,21 @@ def remove_earlier(docs: DataFrame, length: int = 50, gram: int = GRAM, id_col:
     Returns, per row of ``docs``: doc_id, n_bytes, n_removed, n_spans
     (maximal removed runs) and ``kept`` (binary: the remaining bytes).
     Strings are judged on the input; they never cross documents, and overlaps
-    count. ``length`` is at most 255. Null and empty texts have no bytes. Rows
+    count. ``length`` is at most 255. Very long texts are taken whole. Null and empty texts have no bytes. Rows
     that share a doc_id are no earlier than one another; a null doc_id comes
     after all others. An empty table gives an empty result; other columns
     are not read.
     """
     if not 8 <= gram < length <= 255:
         raise ValueError("8 <= gram < length <= 255")
-    parts = parts_for(docs.sparkSession)
     base = keyed(docs, id_col, text_col)
+    tasks = tasks_for(base)
+    parts = parts_for(tasks)
+    dealt = base.repartition(tasks, "row")
     anchors = answers(base.mapInArrow(partial(_anchors, length=length, gram=gram, parts=parts), ASK_SCHEMA),
-                      two_rows=True, width=ANCHOR_BYTES)
-    runs = base.join(anchors, "row", "left").mapInArrow(partial(_runs, length=length, gram=gram, parts=parts), RUN_SCHEMA)
-    spans = (runs.repartition("part").mapInArrow(partial(_merged, length=length, gram=gram), "row long, span long")
-             .groupBy("row").agg(F.collect_list("span").alias("found")))
-    return base.join(spans, "row", "left").mapInArrow(
+                      tasks, two_rows=True, width=ANCHOR_BYTES)
+    runs = dealt.join(anchors, "row", "left").mapInArrow(partial(_runs, length=length, gram=gram, parts=parts), RUN_SCHEMA)
+    spans = gathered(runs.repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(
+        partial(_merged, length=length, gram=gram), "row long, found array<long>"), tasks, "found")
+    return dealt.join(spans, "row", "left").mapInArrow(
         _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
