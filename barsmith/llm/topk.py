@@ -234,7 +234,7 @@ def blocks_of(rows: DataFrame, size: int, scale: int, sliced: bool) -> tuple[Dat
     return stage(packed, "topk-index" if sliced else "topk-queries"), n
 
 
-def top_k(vectors: DataFrame, every: int = 20, k: int = 20, scale: int = 64, rows: int = 8192, asked: int = 4096,
+def top_k(vectors: DataFrame, every: int = 20, k: int = 20, scale: int = 64, rows: int = 16384, asked: int = 2048,
           id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` highest integer inner products of each query.
 
