@@ -11,7 +11,10 @@ context path, each with the weight that the training texts leave it.
 The counts of all (context, byte) grams are gathered by one aggregation. The
 trees are built where grams meet: grams with the same last two bytes of
 context meet in one part, which holds all their nodes of depth two and more;
-the depths above are small and built from the parts' sums. Grams that occur
+the depths above are small and built from the parts' sums. A context of two
+bytes that holds more than a small share of all bytes (there are few such) is
+dealt by its third byte too, and its own nodes are built from sums as well, so
+that no part holds a hot one whole. Grams that occur
 only in texts not learned from are gathered too, with count zero, so the
 model is a table of the log-probability of every gram there is and scoring a
 text adds up lookups. The most frequent grams are looked up where the text is;
@@ -30,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stage
-from .repeats import keyed, mixed, parts_for, slices
+from .repeats import keyed, mixed, parts_for, slices, tasks_for
 from .substring import Words
 
 #: Most frequent grams whose log-probabilities are shipped to the tasks; the other grams' are met in an exchange.
@@ -42,6 +45,9 @@ GATHER = 1 << 20
 #: Bytes of text that a task looks at together.
 SLICE = 1 << 20
 
+#: Contexts of two bytes with at least one in so many of all bytes are dealt by three bytes; there are at most so many.
+HOT_SHARE = 1024
+
 WORD, GRAM = 0, 1
 COUNT_SCHEMA = "part int, kind int, key binary, n binary"
 
@@ -81,14 +87,18 @@ def _tally(pairs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return key[at], np.add.reduceat(n, at) if len(at) else n
 
 
-def _part(kind: int, key: np.ndarray, parts: int, depth: int) -> np.ndarray:
-    """Grams are dealt by their last two context bytes, words by their hash."""
-    of = key >> np.uint64(8 * (depth - 1)) if kind == GRAM else key
+def _part(kind: int, key: np.ndarray, parts: int, depth: int, place: np.ndarray) -> np.ndarray:
+    """Grams are dealt by their last two context bytes, hot ones by three; words by their hash."""
+    of = key
+    if kind == GRAM:
+        of = key >> np.uint64(8 * (depth - 1))
+        if depth > 2:
+            of = np.where(place[of.astype(np.int64)] >= 0, (key >> np.uint64(8 * (depth - 2))) + np.uint64(1 << 32), of)
     return (mixed(of + np.uint64(kind)) >> np.uint64(33)) % np.uint64(parts)
 
 
-def _packed(kind: int, key: np.ndarray, n: np.ndarray, parts: int, depth: int) -> Iterator[tuple]:
-    part = _part(kind, key, parts, depth).astype(np.int64)
+def _packed(kind: int, key: np.ndarray, n: np.ndarray, parts: int, depth: int, place: np.ndarray) -> Iterator[tuple]:
+    part = _part(kind, key, parts, depth, place).astype(np.int64)
     order = np.argsort(part, kind="stable")
     key, n, part = key[order], n[order], part[order]
     at = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else []
@@ -102,13 +112,35 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
                                        pa.array(n, pa.binary())], names=["part", "kind", "key", "n"])
 
 
-def _count(batches: Iterator[pa.RecordBatch], depth: int, parts: int) -> Iterator[pa.RecordBatch]:
+def _pairs_of_context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(i, v): how many bytes follow each context of two bytes."""
+    sums = np.zeros(1 << 16, np.int64)
+    for b in batches:
+        for part, data, ends in slices(b, size=SLICE):
+            code, _ = gram_codes(data, ends, 2)
+            sums += np.bincount((code >> np.uint64(8)).astype(np.int64), minlength=1 << 16)
+    own = np.flatnonzero(sums)
+    yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(sums[own])], names=["i", "v"])
+
+
+def hot_contexts(base: DataFrame, depth: int, share: int = HOT_SHARE) -> np.ndarray:
+    """For each context of two bytes (most recent first) its number among the hot ones, else -1."""
+    place = np.full(1 << 16, -1, np.int64)
+    if depth > 2:
+        seen = base.select("row", "doc_id", "text").mapInArrow(_pairs_of_context, "i long, v long").groupBy("i").agg(F.sum("v")).collect()  # at most 2^16 rows
+        every = sum(v for _, v in seen)
+        hot = sorted(i for i, v in seen if v * share >= every)
+        place[hot] = np.arange(len(hot))
+    return place
+
+
+def _count(batches: Iterator[pa.RecordBatch], depth: int, parts: int, place: np.ndarray) -> Iterator[pa.RecordBatch]:
     held: dict[int, list] = {WORD: [], GRAM: []}
 
     def flush(kind: int) -> pa.RecordBatch:
         key, n = _tally(held[kind])
         held[kind] = []
-        return _batch(list(_packed(kind, key, n, parts, depth)))
+        return _batch(list(_packed(kind, key, n, parts, depth, place)))
 
     for b in batches:
         for part, data, ends in slices(b, size=SLICE):
@@ -131,27 +163,35 @@ def _count(batches: Iterator[pa.RecordBatch], depth: int, parts: int) -> Iterato
 
 
 def _sum_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per part and kind: all its keys, ascending, with their counts, and a histogram of the counts by powers of two."""
-    held: dict[tuple[int, int], list] = {}
-    for b in batches:
-        for part, kind, key, n in zip(*[c.to_pylist() for c in b.columns]):
-            held.setdefault((part, kind), []).append((np.frombuffer(key, np.uint64), np.frombuffer(n, np.int64)))
-    while held:
-        (part, kind), pairs = held.popitem()
-        key, n = _tally(pairs)
+    """Rows sorted by part and kind -> one row per part and kind: all its keys, ascending, with their
+    counts, and a histogram of the counts by powers of two."""
+    now, held = None, []
+
+    def batch() -> pa.RecordBatch:
+        key, n = _tally(held)
         size = np.bincount(np.frexp(n.astype(np.float64))[1], minlength=64)[:64]  # 2^(e-1) <= n < 2^e; 0 for n = 0
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([part], pa.int32()), pa.array([kind], pa.int32()), pa.array([key.tobytes()], pa.binary()),
+        return pa.RecordBatch.from_arrays(
+            [pa.array([now[0]], pa.int32()), pa.array([now[1]], pa.int32()), pa.array([key.tobytes()], pa.binary()),
              pa.array([n.tobytes()], pa.binary()), pa.array([int(n.sum())]), pa.array([len(key)]),
              pa.array([size.tolist()], pa.list_(pa.int64()))],
             names=["part", "kind", "key", "n", "total", "distinct", "sizes"])
 
+    for b in batches:
+        for part, kind, key, n in zip(*[c.to_pylist() for c in b.columns]):
+            if (part, kind) != now and held:
+                yield batch()
+                held = []
+            now = part, kind
+            held.append((np.frombuffer(key, np.uint64), np.frombuffer(n, np.int64)))
+    if held:
+        yield batch()
+
 
-def gather(base: DataFrame, depth: int) -> DataFrame:
+def gather(base: DataFrame, depth: int, tasks: int, place: np.ndarray) -> DataFrame:
     """Counts of all words and grams: (part, kind, key, n, total, distinct, sizes), one row per part and kind."""
-    parts = parts_for(base.sparkSession)
-    sent = base.select("row", "doc_id", "text", learned().alias("own")).mapInArrow(partial(_count, depth=depth, parts=parts), COUNT_SCHEMA)
-    return stage(sent.repartition("part", "kind").mapInArrow(
+    sent = base.select("row", "doc_id", "text", learned().alias("own")).mapInArrow(
+        partial(_count, depth=depth, parts=parts_for(tasks), place=place), COUNT_SCHEMA)
+    return stage(sent.repartition(tasks, "part", "kind").sortWithinPartitions("part", "kind").mapInArrow(
         _sum_up, COUNT_SCHEMA + ", total long, distinct long, sizes array<long>"), "ctw-counts")
 
 
@@ -189,7 +229,7 @@ class Lookup:
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """log Gamma for x >= 0.5, by Stirling's series after eight steps up."""
-    low = np.zeros_like(x)
+    low = np.zeros(np.shape(x))
     for k in range(8):
         low += np.log(x + k)
     y = x + 8
@@ -260,35 +300,66 @@ def _levels(key: np.ndarray, n: np.ndarray, depth: int, least: int) -> tuple[lis
     return levels, maps
 
 
-def _tops(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
-    """What the depths above two need of a part: per (last byte, byte) its count, and per
-    (last byte, decision node) the sum of the log weighted probabilities of its children."""
+def _node_sums(level: Level, context: np.ndarray, contexts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per (context number, byte) the count, and per (context number, decision node) the sum of the
+    level's log weighted probabilities; ``context`` is the number of each gram of the level."""
+    byte = (level.code & np.uint64(0xFF)).astype(np.int64)
+    counts = np.bincount(context << 8 | byte, level.n, contexts << 8)
+    below = np.zeros(contexts << 8)
+    for k in range(8):
+        first = np.flatnonzero(np.append(True, np.diff(level.node[k]) > 0)) if len(level.code) else np.empty(0, np.int64)
+        np.add.at(below, (context[first] << 8) + ((1 << k) | (byte[first] >> (8 - k))), level.log_weighted[k])
+    return counts, below
+
+
+def _tops(batches: Iterator[pa.RecordBatch], depth: int, place: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """What the depths above need of a part, as sums by number: for each last byte (and, after those, each hot
+    context of two bytes) the counts of the bytes after it, then the sums of its children's log weighted probabilities."""
+    hot = int(place.max()) + 1
     for b in batches:
         for key, n in zip(*[c.to_pylist() for c in b.columns]):
-            levels, _ = _levels(np.frombuffer(key, np.uint64), np.frombuffer(n, np.int64), depth, 2)
-            two = levels[-1]  # gram codes: (c1, c2, byte)
-            last = (two.code >> np.uint64(16)).astype(np.int64)
-            pair = last << 8 | (two.code & np.uint64(0xFF)).astype(np.int64)
-            sums = np.zeros(1 << 17)
-            sums[: 1 << 16] = np.bincount(pair, two.n, 1 << 16)
-            for k in range(8):
-                first = np.flatnonzero(np.append(True, np.diff(two.node[k]) > 0)) if len(two.code) else np.empty(0, np.int64)
-                node = (1 << k) | ((two.code[first] & np.uint64(0xFF)) >> np.uint64(8 - k)).astype(np.int64)
-                np.add.at(sums, (1 << 16) + (last[first] << 8) + node, two.log_weighted[k])
+            key, n = np.frombuffer(key, np.uint64), np.frombuffer(n, np.int64)
+            deep = place[(key >> np.uint64(8 * (depth - 1))).astype(np.int64)] >= 0
+            two = _levels(key[~deep], n[~deep], depth, 2)[0][-1]  # gram codes: (c1, c2, byte)
+            sums = list(_node_sums(two, (two.code >> np.uint64(16)).astype(np.int64), 256))
+            if hot:
+                three = _levels(key[deep], n[deep], depth, 3)[0][-1]
+                sums += _node_sums(three, place[(three.code >> np.uint64(16)).astype(np.int64)], hot)
+            sums = np.concatenate(sums)
             own = np.flatnonzero(sums)
             yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(sums[own])], names=["i", "v"])
 
 
+class Middle:
+    """Depth two of the hot contexts: for each (context number, decision node) weight and estimate."""
+
+    def __init__(self, counts: np.ndarray, below: np.ndarray):
+        self.one = decisions(counts)
+        kt = log_kt(self.one[..., 0], self.one[..., 1])
+        self.weighted = np.logaddexp(kt, below) - np.log(2)
+        self.stop = np.exp(kt - np.log(2) - self.weighted)
+        self.p = (self.one + 0.5) / (self.one.sum(axis=-1, keepdims=True) + 1)
+
+    def mix(self, context: np.ndarray, node: np.ndarray, bit: np.ndarray, deeper: np.ndarray) -> np.ndarray:
+        w = self.stop[context, node]
+        return w * self.p[context, node, bit] + (1 - w) * deeper
+
+
+def decisions(counts: np.ndarray) -> np.ndarray:
+    """(contexts, node, bit) counts of the eight decisions from (contexts, byte) counts."""
+    one = np.zeros((len(counts), 256, 2))
+    for k in range(8):
+        for bit in (0, 1):
+            one[:, (1 << k):(2 << k), bit] = counts.reshape(len(counts), 1 << k, 2, 128 >> k)[:, :, bit].sum(axis=-1)
+    return one
+
+
 class Top:
     """Depths zero and one: for each (last byte, decision node), weights and estimates of both depths."""
 
     def __init__(self, counts: np.ndarray, below: np.ndarray):
         """counts: (256, 256) of (last byte, byte); below: (256, 256) log weighted sums per (last byte, node)."""
-        one = np.zeros((256, 256, 2))
-        for k in range(8):
-            for bit in (0, 1):
-                per = counts.reshape(256, 1 << k, 2, -1)[:, :, bit].sum(axis=-1)
-                one[:, (1 << k):(2 << k), bit] = per
+        one = decisions(counts)
         zero = one.sum(axis=0)
         kt1, kt0 = log_kt(one[..., 0], one[..., 1]), log_kt(zero[:, 0], zero[:, 1])
         weighted1 = np.logaddexp(kt1, below) - np.log(2)
@@ -303,9 +374,21 @@ class Top:
         return w * self.p0[node, bit] + (1 - w) * deeper
 
 
-def log10_grams(key: np.ndarray, n: np.ndarray, depth: int, top: Top) -> np.ndarray:
-    """log10 probability of each gram's byte after its context; grams with the same last two context bytes come together."""
-    levels, maps = _levels(key, n, depth, 2)
+def log10_grams(key: np.ndarray, n: np.ndarray, depth: int, top: Top, middle: Middle | None = None, place: np.ndarray | None = None) -> np.ndarray:
+    """log10 probability of each gram's byte after its context. Grams with the same last two context bytes
+    come together; those of hot contexts (with ``place`` and ``middle``) with the same last three."""
+    if place is not None:
+        context = place[(key >> np.uint64(8 * (depth - 1))).astype(np.int64)]
+        deep = context >= 0
+        out = np.zeros(len(key))
+        out[~deep] = log10_grams(key[~deep], n[~deep], depth, top)
+        out[deep] = _log10(key[deep], n[deep], depth, 3, top, lambda node, bit, p: middle.mix(context[deep], node, bit, p))
+        return out
+    return _log10(key, n, depth, 2, top, lambda node, bit, p: p)
+
+
+def _log10(key: np.ndarray, n: np.ndarray, depth: int, least: int, top: Top, above) -> np.ndarray:
+    levels, maps = _levels(key, n, depth, least)
     out = np.zeros(len(key))
     last = (key >> np.uint64(8 * depth)).astype(np.int64)
     byte = (key & np.uint64(0xFF)).astype(np.int64)
@@ -314,36 +397,43 @@ def log10_grams(key: np.ndarray, n: np.ndarray, depth: int, top: Top) -> np.ndar
         path.append(at[path[-1]])
     for k in range(8):
         p = levels[0].mix(k, None)
-        for level, place in zip(levels[1:], path[1:]):
+        for level, at in zip(levels[1:], path[1:]):
             # the level's own estimates at each gram's place, mixed with the gram's deeper probability
-            a, b = (x[level.node[k]][place] for x in level.counts[k])
-            w = level.stop[k][level.node[k]][place]
+            a, b = (x[level.node[k]][at] for x in level.counts[k])
+            w = level.stop[k][level.node[k]][at]
             own = (np.where((byte >> (7 - k)) & 1, b, a) + 0.5) / (a + b + 1)
             p = w * own + (1 - w) * p
-        out += np.log10(top.mix(last, (1 << k) | (byte >> (8 - k)), (byte >> (7 - k)) & 1, p))
+        node, bit = (1 << k) | (byte >> (8 - k)), (byte >> (7 - k)) & 1
+        out += np.log10(top.mix(last, node, bit, above(node, bit, p)))
     return out
 
 
-def _model(batches: Iterator[pa.RecordBatch], depth: int, top: Top, often: int) -> Iterator[pa.RecordBatch]:
+def _model(batches: Iterator[pa.RecordBatch], depth: int, top: Top, middle: Middle, place: np.ndarray, often: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for part, key, n in zip(*[c.to_pylist() for c in b.columns]):
             key, n = np.frombuffer(key, np.uint64), np.frombuffer(n, np.int64)
-            p, head = log10_grams(key, n, depth, top), n >= often
+            p, head = log10_grams(key, n, depth, top, middle, place), n >= often
             cells = [x.tobytes() for x in (key[~head], p[~head], key[head], p[head])]
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), *[pa.array([c], pa.binary()) for c in cells]],
                                              names=["part", "key", "p", "head_key", "head_p"])
 
 
-def model(counts: DataFrame, depth: int, often: int) -> DataFrame:
+def model(counts: DataFrame, depth: int, often: int, place: np.ndarray) -> DataFrame:
     """The model as one row (part, key, p, head_key, head_p) per part: packed grams, ascending, with the log10
     probability of their byte; those counted ``often`` times and more stand apart."""
     own = counts.where(f"kind = {GRAM}").select("part", "key", "n")
     grams = own.select("key", "n")
-    sums = np.zeros(1 << 17)
-    for i, v in grams.mapInArrow(partial(_tops, depth=depth), "i long, v double").groupBy("i").agg(F.sum("v")).collect():
-        sums[i] = v  # at most 2^17 rows
-    top = Top(sums[: 1 << 16].reshape(256, 256), sums[1 << 16:].reshape(256, 256))
-    return stage(own.mapInArrow(partial(_model, depth=depth, top=top, often=often),
+    hot = int(place.max()) + 1
+    sums = np.zeros((256 + hot) << 9)
+    for i, v in grams.mapInArrow(partial(_tops, depth=depth, place=place), "i long, v double").groupBy("i").agg(F.sum("v")).collect():
+        sums[i] = v  # at most 2^9 rows for each last byte and each of the HOT_SHARE hot contexts
+    one, two = sums[: 1 << 17].reshape(2, 256, 256), sums[1 << 17:].reshape(2, hot, 256)
+    middle = Middle(two[0], two[1])
+    last = np.flatnonzero(place >= 0) >> 8  # the hot contexts are children of their last byte
+    np.add.at(one[0], last, two[0])
+    np.add.at(one[1], last, middle.weighted)
+    top = Top(one[0], one[1])
+    return stage(own.mapInArrow(partial(_model, depth=depth, top=top, middle=middle, place=place, often=often),
                                 "part int, key binary, p binary, head_key binary, head_p binary"), "ctw-model")
 
 
@@ -377,9 +467,9 @@ def _values(planes: bytes, kind: type) -> np.ndarray:
     return np.frombuffer(planes, np.uint8).reshape(8, -1).T.copy().view(kind).ravel()
 
 
-def _asked(kind: int, h: np.ndarray, doc: np.ndarray, rows: np.ndarray, parts: int, depth: int) -> Iterator[tuple]:
+def _asked(kind: int, h: np.ndarray, doc: np.ndarray, rows: np.ndarray, parts: int, depth: int, place: np.ndarray) -> Iterator[tuple]:
     """Questions of a slice by part: (part, keys, row deltas, times); a row's keys come together, each once."""
-    to = _part(kind, h, parts, depth).astype(np.int64)
+    to = _part(kind, h, parts, depth, place).astype(np.int64)
     order = np.lexsort((h, doc, to))
     h, doc, to = h[order], doc[order], to[order]
     at = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]) | (to[1:] != to[:-1]))) if len(h) else np.empty(0, np.int64)
@@ -390,7 +480,7 @@ def _asked(kind: int, h: np.ndarray, doc: np.ndarray, rows: np.ndarray, parts: i
         yield int(to[lo]), h[lo:hi], np.diff(row[lo:hi], prepend=0), times[lo:hi]
 
 
-def _score(batches: Iterator[pa.RecordBatch], depth: int, table, parts: int) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], depth: int, table, parts: int, place: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Per slice, the frequent grams' part of each row's sum (kind 2: rows, sums) and the
     other grams of each row, packed by part (kind 1: grams, then row deltas and times)."""
     lookup = _restore(table)
@@ -402,7 +492,7 @@ def _score(batches: Iterator[pa.RecordBatch], depth: int, table, parts: int) ->
             doc = np.repeat(np.arange(len(rows)), np.diff(to))[~found]
             yield _batch([(int(rows[0] % parts), 2, rows.tobytes(), _sums(p, to).tobytes()),
                           *[(at, 1, _planes(h), _planes(np.concatenate([step, times])))
-                            for at, h, step, times in _asked(GRAM, code[~found], doc, rows, parts, depth)]])
+                            for at, h, step, times in _asked(GRAM, code[~found], doc, rows, parts, depth, place)]])
 
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -460,7 +550,7 @@ def _ask(batches: Iterator[pa.RecordBatch], table, parts: int) -> Iterator[pa.Re
             rare = ~lookup.get(h)[0]
             rows = part.column(0).to_numpy(zero_copy_only=False)
             yield _batch([(to, 1, key.tobytes(), np.concatenate([step, times]).tobytes())
-                          for to, key, step, times in _asked(WORD, h[rare], doc[rare], rows, parts, 1)])
+                          for to, key, step, times in _asked(WORD, h[rare], doc[rare], rows, parts, 1, np.empty(0))])
 
 
 def _tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -497,7 +587,7 @@ def _ship(df: DataFrame, lookup: Lookup):
     return df.sparkSession.sparkContext.broadcast((lookup.bits, lookup.key, lookup.value))
 
 
-def score_texts(docs: DataFrame, depth: int = 5, shard: int = SHARD, head: int = HEAD,
+def score_texts(docs: DataFrame, depth: int = 5, shard: int = SHARD, head: int = HEAD, hot_share: int = HOT_SHARE,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row of ``docs``.
 
@@ -505,7 +595,7 @@ def score_texts(docs: DataFrame, depth: int = 5, shard: int = SHARD, head: int =
     is the log10 probability of the whole text's bytes and its end under the
     context-tree weighting of ``depth`` bytes of context. ``base_score`` is
     that of the tokens (ASCII-lower-cased words and one end) under smoothed
-    word counts. Null and empty texts have one token, the end. Repeated rows
+    word counts. Very long texts are taken whole. Null and empty texts have one token, the end. Repeated rows
     are learned and scored each; a null doc_id is learned from. An empty
     table gives an empty result; other columns are not read.
 
@@ -517,7 +607,9 @@ def score_texts(docs: DataFrame, depth: int = 5, shard: int = SHARD, head: int =
     if depth < 2 or depth > 6:
         raise ValueError("2 <= depth <= 6")
     base = keyed(docs, id_col, text_col)
-    counts = gather(base, depth)
+    tasks, place = tasks_for(base), hot_contexts(base, depth, hot_share)
+    parts = parts_for(tasks)
+    counts = gather(base, depth, tasks, place)
     words = counts.where(f"kind = {WORD}")
     total, distinct, often = _often(counts, WORD, head)
     ends = base.where(learned()).count()
@@ -531,16 +623,15 @@ def score_texts(docs: DataFrame, depth: int = 5, shard: int = SHARD, head: int =
                                                  names=["key", "n"])
 
     known = _ship(base, _table(words.select("key", "n").mapInArrow(frequent, "key binary, n binary")))
-    parts = parts_for(base.sparkSession)
     narrow = base.select("row", "doc_id", "text")
     asked = narrow.mapInArrow(partial(_ask, table=known, parts=parts), COUNT_SCHEMA)
-    told = (words.select("part", F.lit(0).alias("kind"), "key", "n").unionByName(asked).repartition("part")
+    told = (words.select("part", F.lit(0).alias("kind"), "key", "n").unionByName(asked).repartition(tasks, "part")
             .mapInArrow(_tell, "row long, s double, k long").groupBy("row").agg(F.sum("s").alias("s"), F.sum("k").alias("k")))
     basic = narrow.mapInArrow(partial(_base, table=known), "row long, n_tokens long, head_sum double, head_known long")
-    grams = model(counts, depth, _often(counts, GRAM, shard)[2])
+    grams = model(counts, depth, _often(counts, GRAM, shard)[2], place)
     likely = _ship(base, _table(grams.select("head_key", "head_p")))
-    sent = narrow.mapInArrow(partial(_score, depth=depth, table=likely, parts=parts), COUNT_SCHEMA)
-    scored = (grams.select("part", F.lit(0).alias("kind"), "key", F.col("p").alias("n")).unionByName(sent).repartition("part")
+    sent = narrow.mapInArrow(partial(_score, depth=depth, table=likely, parts=parts, place=place), COUNT_SCHEMA)
+    scored = (grams.select("part", F.lit(0).alias("kind"), "key", F.col("p").alias("n")).unionByName(sent).repartition(tasks, "part")
               .sortWithinPartitions("part", "kind").mapInArrow(_settle, "row long, score double")
               .groupBy("row").agg(F.sum("score").alias("score")))
     end = float(np.log10(ends + 0.5))

@@ -85,10 +85,10 @@ ROWS = [(i, t) for i, t in enumerate(["the cat sat on the mat", "The dog sat on
                                       "zzz qqq", "the the the the the", "cat\tdog\ncat", "on the mat sat the cat"] * 2)]
 
 
-@pytest.mark.parametrize("depth,head,shard", [(2, 4, 50), (3, 1 << 19, 3_000_000), (4, 0, 7)])
-def test_matches_brute_force(spark, depth, head, shard):
+@pytest.mark.parametrize("depth,head,shard,hot", [(2, 4, 50, 9), (3, 1 << 19, 3_000_000, 1024), (3, 4, 50, 30), (4, 0, 7, 30), (4, 0, 7, 1)])
+def test_matches_brute_force(spark, depth, head, shard, hot):
     rows = ROWS + [(30, "x" * 300)]
-    got = score_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), depth, shard, head).collect()
+    got = score_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), depth, shard, head, hot).collect()
     for r, w in zip(sorted(got, key=lambda r: r.doc_id), brute(rows, depth)):
         assert tuple(r)[:5] == w[:5]
         assert math.isclose(r.base_score, w[5], rel_tol=1e-9) and math.isclose(r.score, w[6], rel_tol=1e-8)
