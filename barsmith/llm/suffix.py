@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .repeats import ASK_SCHEMA, Rolling, answers, ask, gathered, keyed, lists, mixed, parts_for, slices, tasks_for
+from .repeats import ASK_SCHEMA, Rolling, answers, ask, gathered, keyed, lists, mixed, slices, tasks_for
 
 #: Bytes of the gram whose smallest hash marks an anchor.
 GRAM = 16
@@ -432,8 +432,7 @@ def remove_earlier(docs: DataFrame, length: int = 50, gram: int = GRAM, id_col:
     if not 8 <= gram < length <= 255:
         raise ValueError("8 <= gram < length <= 255")
     base = keyed(docs, id_col, text_col)
-    tasks = tasks_for(base)
-    parts = parts_for(tasks)
+    tasks = parts = tasks_for(base)  # no more parts than tasks: front coding wants long runs
     dealt = base.repartition(tasks, "row")
     anchors = answers(base.mapInArrow(partial(_anchors, length=length, gram=gram, parts=parts), ASK_SCHEMA),
                       tasks, two_rows=True, width=ANCHOR_BYTES)
