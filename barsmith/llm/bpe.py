@@ -150,17 +150,13 @@ class Vocabulary:
                 return t, d - n
         raise ValueError("bytes without an encoding")
 
-    def _descend(self, words: Iterable[bytes], whole: list[int] | None = None) -> Iterator[tuple[bytes, int, list[int], list[int], list[int], list[int]]]:
+    def _descend(self, words: Iterable[bytes]) -> Iterator[tuple[bytes, int, list[int], list[int], list[int], list[int]]]:
         """Depth-first walk over distinct words: (word, bytes it shares with the word before, state, last, start, count).
 
         ``last[d]``, ``start[d]`` and ``count[d]`` are the last token, its
         start and the number of tokens of the word's first d bytes (without
-        the end-of-word mark). The lists are reused for the next word, as is
-        ``whole``: if given, ``whole[d]`` is the number of tokens of the first
-        d bytes as a word of their own, the count where their last token, with
-        the end-of-word mark, starts, and one; 0 inside a character.
+        the end-of-word mark). The lists are reused for the next word.
         """
-        final_of = self.final_ends
         last, start, count, state, before = [-1], [0], [0], [0], b""
         step, ends_of, beside = self.next.get, self.ends, self.beside.get
         for word in sorted(words):
@@ -168,9 +164,7 @@ class Vocabulary:
             while shared < most and before[shared] == word[shared]:
                 shared += 1
             del last[shared + 1:], start[shared + 1:], count[shared + 1:], state[shared + 1:]
-            if whole is not None:
-                del whole[shared + 1:]
-            at, d, size = state[shared], shared, len(word)
+            at, d = state[shared], shared
             for byte in word[shared:]:
                 d += 1
                 to = step(at << 8 | byte)
@@ -188,21 +182,6 @@ class Vocabulary:
                 last.append(t)
                 start.append(s)
                 count.append(count[s] + 1)
-                if whole is None:
-                    continue
-                if d < size and word[d] & 0xC0 == 0x80:
-                    whole.append(0)
-                    continue
-                for n, t in final_of[at]:
-                    s = d - n
-                    if not s:
-                        break
-                    ok = beside(last[s] << 20 | t)
-                    if ok or ok is None and self.stand(last[s], t):
-                        break
-                else:
-                    raise ValueError(f"no encoding of {word[:d]!r}")
-                whole.append(count[s] + 1)
             yield word, shared, state, last, start, count
             before = word
 
@@ -221,11 +200,50 @@ class Vocabulary:
             yield word, last, start, count, ids
 
     def prefixes(self, words: Iterable[bytes]) -> Iterator[tuple[bytes, list[int]]]:
-        """(word, whole) per distinct word: the number of tokens of each of its prefixes as a word of its own
-        (see :meth:`_descend`), found in the same walk. The list is reused for the next word."""
-        whole = [0]
-        for word, *_ in self._descend(words, whole):
+        """(word, whole) per distinct word: ``whole[d]`` is the number of tokens of its first d bytes as a word
+        of their own: the count where their last token, with the end-of-word mark, starts, and one; 0 inside a
+        character. Found in the walk of :meth:`_descend`; the list is reused for the next word."""
+        final_of = self.final_ends
+        last, count, state, whole, before = [-1], [0], [0], [0], b""
+        step, ends_of, beside = self.next.get, self.ends, self.beside.get
+        for word in sorted(words):
+            shared, most = 0, min(len(before), len(word))
+            while shared < most and before[shared] == word[shared]:
+                shared += 1
+            del last[shared + 1:], count[shared + 1:], state[shared + 1:]
+            del whole[shared + 1:]
+            at, d, size = state[shared], shared, len(word)
+            for byte in word[shared:]:
+                d += 1
+                to = step(at << 8 | byte)
+                at = self._step(at, byte) if to is None else to
+                for n, t in ends_of[at]:
+                    s = d - n
+                    if not s:
+                        break
+                    ok = beside(last[s] << 20 | t)
+                    if ok or ok is None and self.stand(last[s], t):
+                        break
+                else:
+                    raise ValueError(f"no encoding of {word[:d]!r}")
+                state.append(at)
+                last.append(t)
+                count.append(count[s] + 1)
+                if d < size and word[d] & 0xC0 == 0x80:
+                    whole.append(0)
+                    continue
+                for n, t in final_of[at]:
+                    s = d - n
+                    if not s:
+                        break
+                    ok = beside(last[s] << 20 | t)
+                    if ok or ok is None and self.stand(last[s], t):
+                        break
+                else:
+                    raise ValueError(f"no encoding of {word[:d]!r}")
+                whole.append(count[s] + 1)
             yield word, whole
+            before = word
 
 
 class Encoder:
