@@ -106,8 +106,8 @@ def test_split_blocks_gather_no_day_in_a_window(spark):
     rows = [line for line in plan.splitlines() if "Window [" in line]
     assert rows and all("_chunk" in line or "_cnt" in line for line in rows), plan
     merged = physical_plan(op.merge_day(_written(spark, op.close_blocks(_plain_bars(spark)), "merge")))
-    windows = [line for line in merged.splitlines() if "Window [" in line]
-    assert all("ch#" in line for line in windows) and "partial_min" in merged, merged  # over chapters, merged before it
+    # the only window is over chapters, which the blocks are merged into before it
+    assert -1 < merged.rfind("Window [") < merged.rfind("partial_min"), merged
 
 
 def test_day_rows_do_not_read_the_closes(spark):
