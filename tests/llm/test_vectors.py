@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from barsmith.llm.common import min_links, roots
-from barsmith.llm.embed import Codes, embedding_components, tile
+from barsmith.llm.embed import Codes, embedding_components, levelled, reach, tile
 from barsmith.llm.topk import add_slices, select, top_k
 
 SCHEMA = "vec_id long, embedding array<float>, label int, block int, n string"
@@ -52,8 +52,43 @@ def test_bound_loses_no_pair():
     y = x + rng.normal(size=x.shape) * np.abs(x).mean() * 0.2
     for t in (0.5, 0.9, 0.99):
         cos = (x @ y.T) / np.outer(np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1))
-        i, j = tile(Codes(x), Codes(y), t, False)
-        assert set(zip(i, j)) == set(zip(*np.nonzero(cos >= t)))
+        got, certain = set(), 0
+        for i, j, sure in tile(Codes.of(x), Codes.of(y), t, False):
+            assert (cos[i[sure], j[sure]] >= t).all()
+            linked = sure | reach(x, y, i, j, t)
+            got |= set(zip(i[linked], j[linked]))
+            certain += sure.sum()
+        assert got == set(zip(*np.nonzero(cos >= t)))
+        assert certain > len(got) / 2
+
+
+def test_strips_and_long_vectors(monkeypatch):
+    monkeypatch.setattr("barsmith.llm.embed.STRIP", 7)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(6, 2500))
+    y = x + rng.normal(size=x.shape) * 0.5
+    cos = (x @ y.T) / np.outer(np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1))
+    strips = list(tile(Codes.of(x), Codes.of(y), 0.85, False))
+    assert len(strips) == 6
+    linked = [reach(x, y, i, j, 0.85) for i, j, _ in strips]
+    got = {p for (i, j, _), k in zip(strips, linked) for p in zip(i[k], j[k])}
+    assert got == set(zip(*np.nonzero(cos >= 0.85)))
+
+
+def test_levelled_keeps_cosines():
+    v = np.array([[1e300, -1e300], [3e-310, 4e-310], [0.75, 0.0]])
+    u = levelled(v)
+    assert np.isfinite((u * u).sum(axis=1)).all() and (np.abs(u).max(axis=1) >= 0.5).all()
+    assert np.array_equal(u[2], v[2]) and u[0, 0] == -u[0, 1]
+
+
+@pytest.mark.parametrize("rows", [2, 4096])
+def test_cosine_at_the_threshold_links(spark, rows):
+    # cosine 0.6 exactly: 3 / (1 * 5); just below: 2.9999 in place of 3
+    df = frame(spark, [], [(1, [1.0, 0.0], 0, 1, "x"), (2, [3.0, 4.0], 0, 1, "x"), (3, [0.0, -1.0], 0, 1, "x"),
+                           (4, [-4.0, -2.9999], 0, 1, "x"), (5, [1e30, 1e29], 0, 1, "x"), (6, [1e-30, 1e-31], 0, 1, "x")])
+    got = sorted(tuple(r) for r in embedding_components(df, threshold=0.6, rows=rows).collect())
+    assert got == [(1, 3, 1, True), (2, 3, 1, False), (3, 0, 3, True), (4, 0, 4, True), (5, 3, 1, False), (6, 3, 1, False)]
 
 
 def test_null_id_repeats_and_empty(spark):
