@@ -15,7 +15,8 @@ from .report import (calendar_lag_report, missed_transitions, regime_change_coun
 from .rsi import intraday_rsi, rsi_of_array
 from .sequence import close_points, sequence_view
 from .slots import slot_return_corr, slot_returns
-from .validate import bar_count_total, distinct_tickers, validate_bars, validate_daily
+from .validate import (bar_count_total, day_bitmaps, distinct_tickers, merge_day_bitmaps, validate_bars,
+                       validate_bitmaps, validate_daily)
 
 __all__ = [
     "candidate_pair_days", "close_pages", "date_dimension", "grid_cells", "pages_digest", "pair_bounds", "regime_grid",
@@ -28,4 +29,5 @@ __all__ = [
     "slot_returns", "strong_pairs", "ticker_pairs", "top_pairs", "top_tickers",
     "transition_counts", "validate_bars", "with_avg_volume", "with_avg_volume_window",
     "block_correlation", "block_rows", "close_blocks", "merge_day", "pair_correlation_of", "validate_daily", "with_regime",
+    "day_bitmaps", "merge_day_bitmaps", "validate_bitmaps",
 ]

@@ -254,6 +254,10 @@ def oracle_sql() -> dict[str, str]:
                                      "FROM bars GROUP BY ticker ORDER BY ticker"),
         "validate_from_daily": _q((BARS,), "SELECT ticker, count(*) AS bar_count, count(DISTINCT trade_date) "
                                            "AS day_count FROM bars GROUP BY ticker ORDER BY ticker"),
+        "validate_bitmaps": _q((BARS,), "SELECT ticker, count(*) AS bar_count, count(DISTINCT trade_date) "
+                                           "AS day_count FROM bars GROUP BY ticker ORDER BY ticker"),
+        "validate_merged": _q((BARS,), "SELECT ticker, count(*) AS bar_count, count(DISTINCT trade_date) "
+                                           "AS day_count FROM bars GROUP BY ticker ORDER BY ticker"),
         "daily_ohlcv": _q((BARS, OHLCV), "SELECT * FROM ohlcv", ("day_open", "day_close", "day_high", "day_low")),
         "ordered_closes": _q((BARS,),
                              "SELECT ticker, trade_date, count(close) AS n_closes, "

@@ -69,6 +69,18 @@ def q_validate_bars(spark, sf):
     return op.validate_bars(_bars(spark, sf))
 
 
+def q_validate_bitmaps(spark, sf):
+    return op.validate_bitmaps(op.day_bitmaps(_bars(spark, sf)))
+
+
+def q_validate_merged(spark, sf):
+    # Two deliveries that share days: the bars of even and of odd minutes.
+    bars = _bars(spark, sf)
+    even = "minute(timestamp) % 2 = 0"
+    sets = [op.day_bitmaps(bars.where(part)) for part in (even, f"NOT coalesce({even}, false)")]
+    return op.validate_bitmaps(op.merge_day_bitmaps(sets[0].unionByName(sets[1])))
+
+
 def q_daily_ohlcv(spark, sf):
     return op.daily_ohlcv(_bars(spark, sf))
 

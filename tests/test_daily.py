@@ -1,6 +1,7 @@
 import random
 
 from conftest import day_of, make_bars
+from pyspark.sql import functions as F
 
 from barsmith import operators as op
 
@@ -94,3 +95,18 @@ def test_read_bars_from_path_types_and_null_keys(spark):
     assert bars.count() == 1
     assert null_key_rows(spark.read.parquet(path)).collect()[0].null_key_rows == 2
     assert read_bars(spark, path, drop_null_keys=False).count() == 3
+
+
+def test_day_bitmaps_count_and_merge_like_sets(spark):
+    rng = random.Random(5)
+    days = ["2024-01-02", "2024-01-03", "1950-01-01", "1949-12-31", "2039-09-18", "2039-09-19", "0001-01-01", "9999-12-31", None]
+    rows = [(rng.choice("ABC"), rng.choice(days), 570 + i, 1.0, 1.0, 1) for i in range(150)] + [("N", None, 570, 1.0, 1.0, 1)]
+    schema = "ticker string, trade_date string, timestamp int, open double, close double, volume int"
+    bars = spark.createDataFrame(rows, schema).withColumn("trade_date", F.col("trade_date").cast("date"))
+    want = sorted((t, sum(r[0] == t for r in rows), len({r[1] for r in rows if r[0] == t} - {None})) for t in "ABCN")
+    assert [tuple(r) for r in op.validate_bitmaps(op.day_bitmaps(bars)).collect()] == want
+    parts = [op.day_bitmaps(bars.where(f"timestamp % 3 = {k}")) for k in range(3)]
+    two = op.merge_day_bitmaps(parts[0].unionByName(parts[1]))
+    merged = op.merge_day_bitmaps(two.unionByName(parts[2]))
+    assert [tuple(r) for r in op.validate_bitmaps(merged).collect()] == want
+    assert op.validate_bitmaps(op.day_bitmaps(bars.limit(0))).count() == 0

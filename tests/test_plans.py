@@ -155,3 +155,11 @@ def test_flagship_on_parquet_pushes_ticker_filter_to_the_scan(spark):
     assert pushed and "EqualTo(ticker,AAA)" in pushed[0], text
     assert count_nodes(physical_plan(df), "Exchange") == 2
     assert df.count() == 2
+
+
+def test_day_bitmaps_take_one_exchange(spark):
+    from conftest import day_of, make_bars
+    bars = make_bars(spark, day_of([1.0, 2.0, 3.0]) + day_of([2.0, 1.0], ticker="B"))
+    assert _shuffles(op.validate_bitmaps(op.day_bitmaps(bars), ordered=False)) == 1
+    assert _shuffles(op.validate_bars(bars, ordered=False)) == 2
+    assert "SortAggregate" not in physical_plan(op.day_bitmaps(bars))
