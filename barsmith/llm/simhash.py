@@ -88,9 +88,10 @@ def _sums(df: DataFrame, count, size: int) -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["i", "n"])
 
+    # at most ``size`` rows, in one job: an iterator would run one per shuffle partition
+    found = df.select("fp").mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(size, np.int64)
-    for i, n in df.select("fp").mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n")).toLocalIterator():
-        out[i] = n
+    out[found["i"].to_numpy()] = found["n"].to_numpy()
     return out
 
 
